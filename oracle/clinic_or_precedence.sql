@@ -1,0 +1,14 @@
+SELECT t1.pname, t1.isdob, t1.isadate, t1.iatme, t1.isddate, t5.dcdsc, t1.diagn, t2.phname
+FROM patients t1
+LEFT JOIN pathist t6 ON t1.hstnum = t6.histn
+LEFT JOIN phymast t2 ON t6.nwfdoc_no = t2.nwdrnum
+LEFT JOIN stathd t3 ON t1.hssvc = t3.svccd
+LEFT JOIN rmbed t4 ON t1.patno = t4.pat_no
+LEFT JOIN dsstat t5 ON t1.dcstat = t5.dcubs
+WHERE t1.hssvc IN ('SIP', 'MIP', 'OBS', 'NUR', 'PED', 'BBN', 'CCU', 'GYN', 'HSI', 'ICU')
+  AND t4.nurst IN ('CDU', 'ICU', 'CVIC', 'SCUJ', 'SSU', 'NUR', 'WHBC', 'PCU', 'CCU', 'MCU')
+  AND t6.nwfdoc_no IN (3, 7, 11, 15, 19, 23, 27, 31, 35, 39, 43, 47, 51, 55, 59)
+  OR t1.hssvc IN ('SIP', 'MIP', 'OBS', 'NUR', 'PED', 'BBN', 'CCU', 'GYN', 'HSI', 'ICU')
+  AND t1.isddate >= DATE '2024-01-17'
+  AND t6.nwfdoc_no IN (3, 7, 11, 15, 19, 23, 27, 31, 35, 39, 43, 47, 51, 55, 59)
+ORDER BY t2.phname

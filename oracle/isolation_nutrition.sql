@@ -1,0 +1,10 @@
+SELECT t1.nurst, t1.room, t1.bed, t1.pat_no, t2.pname, t3.trrecval, t3.trrecdt
+FROM rmbed t1
+JOIN patients t2 ON t1.pat_no = t2.patno
+JOIN nctrn t3 ON t3.trpat_no = t1.pat_no
+JOIN ncprm t4 ON t3.trprmid = t4.prid
+WHERE t1.nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU', 'NUR')
+  AND t3.trprmid = 'Q0000005455' AND t4.prsts = 'A'
+  AND t3.trrecval <> 'Standard Isolation - Universal Precautions'
+  AND t3.trrecdt >= DATE '2024-01-20'
+ORDER BY t1.nurst, t1.room, t1.bed, t3.trrecdt

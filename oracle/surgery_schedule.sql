@@ -1,0 +1,24 @@
+WITH booked AS (
+  SELECT CAST(ptb.start_datetime AS DATE) AS startdate, pt.name_legal, pml.mrn, pb.name AS surgeryname, r.name AS physician,
+         ptb.appt_id
+  FROM patbooking ptb
+  LEFT JOIN pat pt ON ptb.pat_id = pt.pat_id
+  LEFT JOIN patmrnlist pml ON pt.pat_id = pml.pat_id AND ptb.pat_id = pml.pat_id
+  LEFT JOIN visitapptlist val ON val.appt_id = ptb.appt_id
+  LEFT JOIN visit v ON val.visit_id = v.visit_id AND v.pat_id = pt.pat_id
+  LEFT JOIN appt a ON ptb.appt_id = a.appt_id AND val.appt_id = a.appt_id
+  LEFT JOIN probooking pb ON ptb.appt_id = pb.appt_id
+  LEFT JOIN resbooking rb ON ptb.appt_id = rb.appt_id
+  LEFT JOIN res r ON ptb.ordering_phys_id = r.res_id
+  LEFT JOIN service s ON a.service_id = s.service_id
+  LEFT JOIN apptstatus ats ON a.apptstatus_id = ats.apptstatus_id
+  LEFT JOIN apptclass atc ON ptb.apptclass_id = atc.apptclass_id
+  WHERE ptb.start_datetime >= DATE '2024-01-20' AND ptb.start_datetime < DATE '2024-02-25'
+    AND ats.apptstatus_id <> 2
+    AND (r.name LIKE 'Supplier#00000000%' OR r.name LIKE 'Supplier#00000001%' OR r.name LIKE 'Supplier#000000012%' OR r.name LIKE 'Supplier#00000003%' OR r.name LIKE 'Supplier#00000005%'))
+SELECT startdate, name_legal, mrn, surgeryname, physician
+FROM booked
+QUALIFY row_number() OVER (
+  PARTITION BY mrn
+  ORDER BY startdate DESC, name_legal DESC NULLS LAST, physician DESC NULLS LAST, appt_id DESC, surgeryname DESC NULLS LAST) = 1
+ORDER BY startdate
