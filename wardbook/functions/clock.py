@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the date the sources store for "none".
-NO_DATE = date(1, 1, 1)
+NO_DATE = "0001-01-01"
 
 
 def _day(as_of: date, back: int) -> Column:
@@ -20,6 +20,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def no_date() -> Column:
+    # As text, since the driver cannot pass a four-digit year 1 to the JVM.
+    return F.lit(NO_DATE).cast("date")
+
+
 def _date(d: Column | str | date) -> Column:
     return F.lit(d) if isinstance(d, date) else _col(d)
 
@@ -130,7 +135,7 @@ def us_date(col: Column | str) -> Column:
 def los_days(admitted: Column | str, discharged: Column | str, raw: bool = False) -> Column:
     """Length of stay in days; NULL while the patient is in (raw: the plain difference)."""
     days = F.datediff(_col(discharged), _col(admitted))
-    return days if raw else F.when(_col(discharged) != F.lit(NO_DATE), days)
+    return days if raw else F.when(_col(discharged) != no_date(), days)
 
 
 def duration_parts(start: Column | str, stop: Column | str) -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wardbook.functions.clock import NO_DATE, _col
+from wardbook.functions.clock import _col, no_date
 
 
 def present(col: Column | str) -> Column:
@@ -21,11 +21,11 @@ def occupied(col: Column | str) -> Column:
 
 
 def not_discharged(col: Column | str) -> Column:
-    return _col(col) == F.lit(NO_DATE)
+    return _col(col) == no_date()
 
 
 def dated(col: Column | str) -> Column:
-    return _col(col) != F.lit(NO_DATE)
+    return _col(col) != no_date()
 
 
 def starts_with_any(col: Column | str, prefixes: Iterable[str]) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.clock import on_day, same_day, since
-from wardbook.operators.joins import Facts, Look, equi_join, not_in_roster
 from wardbook.functions.predicates import any_of, occupied
+from wardbook.operators.joins import Facts, Look, equi_join
 from wardbook.operators.shape import contract, ordered, sections, spaced
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -91,9 +91,10 @@ def missing_admit_orders(t: Tables, as_of: date, p: Params) -> DataFrame:
     patient with two of them twice over.
     """
     inpatients = t.patients.where(F.col("hssvc").isin(S.INPATIENT_SERVICES)).select("patno", "pname")
-    beds = Facts(taken_beds(t)).by("pat_no", Look(inpatients, "patno", "inner")).df
     with_order = t.oeorder.where(F.col("oproc").isin(S.ADMIT_ORDERS)).select("opat_no").distinct()
-    missing = not_in_roster(beds, with_order, "pat_no", "opat_no")
+    missing = Facts(taken_beds(t)).by(
+        "pat_no", Look(inpatients, "patno", "inner"), Look(with_order, "opat_no", "left_anti")
+    ).df
     out = contract(missing, ["nurst", "room", "bed", "pname", ("patno", "pat_no")])
     return ordered(out, "nurst")
 

@@ -167,8 +167,8 @@ def lab_monitor(t: Tables, as_of: date, p: Params) -> DataFrame:
         Facts(orders)
         .by(["opat_no", "oord_no"], Look(steps, ["rhpt_no", "rhor_no"]), Look(t.rmtor, ["rmpt_no", "rmor_no"]))
         .by("opat_no", Look(patients, "patno"), Look(_beds(t), "pat_no"))
+        .by("oproc", Look(t.oeproc, "pproc"))
         .code("ostat", t.oeostat, "stat_no")
-        .code("oproc", t.oeproc, "pproc")
         .df
     )
     known = F.col("patient").isNotNull()
@@ -194,7 +194,7 @@ def missing_respiratory_orders(t: Tables, as_of: date, p: Params) -> DataFrame:
     found = (
         Facts(orders)
         .by("opat_no", Look(beds, "pat_no", "inner"), Look(patients, "patno", "inner"))
-        .code("oproc", t.oeproc, "pproc")
+        .by("oproc", Look(t.oeproc, "pproc"))
         .df
     )
     names = ["nurst", ("rb", dash("room", "bed")), ("patno", "opat_no"), *"pname osdate ostime oord_no oproc povdsc".split()]

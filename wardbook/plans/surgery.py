@@ -12,7 +12,7 @@ from wardbook.functions.codes import map_codes
 from wardbook.functions.text import to_long
 from wardbook.operators.counts import value_counts
 from wardbook.operators.dedup import copies, one_per_key, single
-from wardbook.operators.joins import Facts, Look, equi_join, join_chain, with_details, with_row_id
+from wardbook.operators.joins import Facts, Look, equi_join, join_chain, with_details
 from wardbook.operators.prefixes import keyword_filter, prefix_join
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
@@ -193,15 +193,7 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     cases = t.casemain.where((start >= month_start(as_of, 15)) & (start <= month_end(as_of, 16)))
     cases = cases.select(
         "casemain_id", "pat_acct_num", "pat_displayname", "pat_gender", "pat_birth_datetime", _START, "actcase_stop_datetime"
-    )
-    procedures = keyword_filter(t.casepro, S.SURGICAL_KEYWORDS, "actual_proname")
-    procedures = procedures.select("casemain_id", "actual_proname", "woundclass_id")
-    intraop = t.caseintraop.select("casemain_id", "asaclass_id")
-    base = Facts(with_row_id(procedures)).by(
-        "casemain_id", Look(cases, "casemain_id", "inner"), Look(intraop, "casemain_id")
-    ).df
-    base = base.withColumn("patno", to_long("pat_acct_num"))
-
+    ).withColumn("patno", to_long("pat_acct_num"))
     policies = t.benefits.select("patno", "seqno", F.trim("policy").alias("medicareid"))
     medicare = t.benext.where(F.col("ibinam") == S.MEDICARE).select("patno", "seqno")
     policies = equi_join(policies, medicare, ["patno", "seqno"], ["patno", "seqno"], "left_semi")
@@ -209,8 +201,9 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     diabetes = t.nctrn.where(F.col("trprmid") == S.DIABETES_PARAMETER).select("trpat_no", "trrecdt", reply.alias("diabetes"))
     same_day = F.when(F.col("isadate") == F.col("isddate"), "Y").otherwise("N")
     stays = t.patients.select("patno", "isadate", same_day.alias("outpatient"))
-    # One spreading of the cases serves all five lookups.
-    base = Facts(base).by(
+    # The lookups are made per case, before the procedures multiply the rows; one
+    # spreading of the cases serves all five.
+    cases = Facts(cases).by(
         "patno",
         single(policies, "patno", ["medicareid"], ["seqno"]),
         single(_answer(t, "Height", "height"), "dthpatno", ["height"], ["dthdttm"]),
@@ -218,6 +211,10 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
         single(diabetes, "trpat_no", ["diabetes"], ["trrecdt"]),
         single(stays, "patno", ["outpatient"], ["isadate"]),
     ).df
+    procedures = keyword_filter(t.casepro, S.SURGICAL_KEYWORDS, "actual_proname")
+    procedures = procedures.select("casemain_id", "actual_proname", "woundclass_id")
+    intraop = t.caseintraop.select("casemain_id", "asaclass_id")
+    base = Facts(procedures).by("casemain_id", Look(cases, "casemain_id", "inner"), Look(intraop, "casemain_id")).df
     # Answers are looked up through the patient, so without one there is none.
     known = F.col("outpatient").isNotNull()
 
