@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,20 +26,40 @@ def group_size(df: DataFrame, keys) -> DataFrame:
     return df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def non_null_counts(df: DataFrame) -> DataFrame:
-    """One row: the non-NULL values of each column."""
-    return df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+def non_null_counts(df: DataFrame, weight: str | None = None) -> DataFrame:
+    """One row: the non-NULL values of each column, each row counted `weight` times."""
+    names = [c for c in df.columns if c != weight]
+    if weight is None:
+        return df.agg(*[F.count(F.col(c)).alias(c) for c in names])
+    counted = [F.sum(F.when(F.col(c).isNotNull(), F.col(weight))) for c in names]
+    return df.agg(*[F.coalesce(n, F.lit(0)).cast("bigint").alias(c) for n, c in zip(counted, names)])
 
 
-def metric_table(df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
-    """(metric, value) rows from aggregate expressions worked out in one pass."""
-    one = df.agg(*[F.coalesce(m, F.lit(0)).cast("bigint").alias(f"m{i}") for i, m in enumerate(metrics.values())])
-    return metric_rows(one, {name: F.col(f"m{i}") for i, name in enumerate(metrics)})
+def count_where(condition: Column, weight: str | None = None) -> Column:
+    """Aggregate: the rows a condition holds for, each counted `weight` times."""
+    total = F.sum(F.when(condition, F.col(weight))) if weight else F.count_if(condition)
+    return F.coalesce(total, F.lit(0)).cast("bigint")
 
 
-def metric_rows(one_row: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
-    """A row of numbers as (metric, value) rows."""
-    pairs = F.array(
-        *[F.struct(F.lit(name).alias("metric"), m.cast("bigint").alias("value")) for name, m in metrics.items()]
-    )
-    return one_row.select(F.inline(pairs))
+def metric_table(df: DataFrame, metrics: Mapping[str, Column], weight: str | None = None) -> DataFrame:
+    """(metric, value) rows: one count per condition, all worked out in one pass."""
+    one = df.agg(*[count_where(m, weight).alias(f"m{i}") for i, m in enumerate(metrics.values())])
+    return metric_rows(one, {f"m{i}": [name] for i, name in enumerate(metrics)})
+
+
+def metric_rows(one_row: DataFrame, lines: Mapping[str, Sequence[str]]) -> DataFrame:
+    """A row of counts as (metric, value) rows; `lines` says which metrics a count goes into."""
+    pairs = [
+        F.struct(F.lit(line).alias("metric"), F.col(c).cast("bigint").alias("value"))
+        for c in one_row.columns
+        for line in lines[c]
+    ]
+    return one_row.select(F.inline(F.array(*pairs)))
+
+
+def add_metrics(*parts: DataFrame) -> DataFrame:
+    """One line per metric; a metric that several parts feed is their sum."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.groupBy("metric").agg(F.sum("value").alias("value"))

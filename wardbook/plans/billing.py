@@ -31,7 +31,7 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
         Facts(visit)
         .by("hstnum", Look(history, "histn", "inner"))
         .by("nwattphy", Look(t.phymast, "nwdrnum", "inner"))
-        .by("patno", Look(emergency, "patno", "inner"))
+        .code("patno", emergency, "patno", "inner")
         .where(F.col("ains1") == F.col("hist_ins1"))
         .df
     )
@@ -61,7 +61,7 @@ def billing_census(t: Tables, as_of: date, p: Params) -> DataFrame:
     base = (
         Facts(visit)
         .by("hstnum", Look(t.pathist.select("histn", "padr1"), "histn", "inner"))
-        .by(["patno", "hstnum"], Look(emergency, ["patno", "hstnum"], "inner"))
+        .code(["patno", "hstnum"], emergency, ["patno", "hstnum"], "inner")
         .code("nwdrnum", t.phymast.withColumn("_n", F.col("nwdrnum")).drop("nwdrnum"), "_n", "inner")
         .df
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardbook.functions.clock import on_day, same_day, since
 from wardbook.functions.predicates import any_of, occupied
 from wardbook.operators.joins import Facts, Look, equi_join
-from wardbook.operators.shape import contract, ordered, sections, spaced
+from wardbook.operators.shape import contract, ordered, spaced
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
 from wardbook.sources.tables import Tables
@@ -40,10 +40,6 @@ def admissions(t: Tables, as_of: date, p: Params) -> DataFrame:
     )
 
 
-def admission_sections(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
-    return sections(admissions(t, as_of, p), "section", ["inpatient", "OBS"])
-
-
 def unit_census(t: Tables, as_of: date, p: Params, unit: str = S.CCU) -> DataFrame:
     """One unit's beds, each followed by two blank lines to write on."""
     beds = taken_beds(t).where(F.col("nurst") == unit)
@@ -69,7 +65,7 @@ def observation(t: Tables, as_of: date, p: Params, days: int = 1) -> DataFrame:
     window = same_day("isadate", as_of, 1) if days == 1 else since("isadate", as_of, days)
     admitted = t.patients.where((F.col("hssvc") == S.OBSERVATION) & window)
     registered = t.admreg.select("patno", "hstnum", "atype", "asrce", "arrvd")
-    found = Facts(admitted).by(["patno", "hstnum"], Look(registered, ["patno", "hstnum"])).df
+    found = equi_join(admitted, registered, ["patno", "hstnum"], ["patno", "hstnum"])
     names = "patno adate iatme isqadte iqtime nwdocnum hssvc atype asrce age fincl pname arrvd diagn hstnum"
     return contract(found, names.split())
 
@@ -108,7 +104,7 @@ def _clinic(t: Tables, patients: DataFrame, p: Params) -> DataFrame:
     return (
         Facts(patients)
         .by("hstnum", Look(doctors, "histn", "inner"))
-        .by("patno", Look(taken_beds(t).select("pat_no", "nurst"), "pat_no"))
+        .code("patno", taken_beds(t).select("pat_no", "nurst"), "pat_no")
         .code("nwfdoc_no", t.phymast, "nwdrnum")
         .code("hssvc", t.stathd, "svccd")
         .code("dcstat", t.dsstat.select("dcubs", "dcdsc"), "dcubs")

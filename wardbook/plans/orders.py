@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.clock import hhmm_to_time, on_day
 from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
-from wardbook.operators.counts import value_counts
+from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
 from wardbook.operators.dedup import copies
-from wardbook.operators.joins import Facts, Look, equi_join, in_roster, not_in_roster
+from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, not_in_roster
+from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
@@ -29,6 +30,22 @@ def _beds(t: Tables) -> DataFrame:
     return taken_beds(t).select("pat_no", "nurst", "room", "bed")
 
 
+def _virus_orders(t: Tables) -> DataFrame:
+    """Virus orders per patient."""
+    orders = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS))
+    return orders.groupBy("opat_no").agg(F.count(F.lit(1)).alias("copies"), F.min("osdate").alias("first_osdate"))
+
+
+def _not_excluded(patients: DataFrame, p: Params) -> DataFrame:
+    return not_in_roster(patients, value_list(patients.sparkSession, p.excluded_patients, "patno"), "patno")
+
+
+def _reported(t: Tables, p: Params) -> DataFrame:
+    """Results that say something, of the groups reported on."""
+    results = t.rd.where(present("rdrs") & ~F.trim("rdrs").isin(S.RESULT_NOT_ONE))
+    return in_roster(results, value_list(t.rd.sparkSession, p.result_groups, "rdpf"), "rdpf")
+
+
 def results_by_code(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Results of patients who have a virus order, one section per result group.
 
@@ -36,40 +53,41 @@ def results_by_code(t: Tables, as_of: date, p: Params) -> DataFrame:
     once per order. Here a result is one row that carries that number in `copies`
     (expand_copies writes them out), and the first order date to sort by.
     """
-    spark = t.rd.sparkSession
-    orders = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS))
-    orders = orders.groupBy("opat_no").agg(F.count(F.lit(1)).alias("copies"), F.min("osdate").alias("first_osdate"))
-    patients = not_in_roster(
-        t.patients.select("patno", "pname", "dob"), value_list(spark, p.excluded_patients, "patno"), "patno"
-    )
-    results = t.rd.where(present("rdrs") & ~F.trim("rdrs").isin(S.RESULT_NOT_ONE))
-    results = in_roster(results, value_list(spark, p.result_groups, "rdpf"), "rdpf")
-    found = Facts(results).by("rdpt_no", Look(orders, "opat_no", "inner"), Look(patients, "patno", "inner")).df
+    patients = _not_excluded(t.patients.select("patno", "pname", "dob"), p)
+    found = Facts(_reported(t, p)).by(
+        "rdpt_no", Look(_virus_orders(t), "opat_no", "inner"), Look(patients, "patno", "inner")
+    ).df
     names = [("section", "rdpf"), "pname", "dob", "rdisvfdt", "rdrs", "copies", "first_osdate"]
     return ordered(contract(found, names), "section", "first_osdate")
 
 
 def result_totals(t: Tables, as_of: date, p: Params) -> DataFrame:
-    """Rows per result in each section, counting every copy."""
-    rows = results_by_code(t, as_of, p)
-    totals = rows.groupBy("section", "rdrs").agg(F.sum("copies").alias("n"))
+    """Rows per result in each section, counting every copy.
+
+    Results are counted per patient first, so each patient brings a few rows.
+    """
+    counted = copies(_reported(t, p), ["rdpt_no", "rdpf", "rdrs"], "n_results")
+    found = join_chain(
+        counted,
+        [
+            (_virus_orders(t), "rdpt_no", "opat_no", "inner"),
+            (_not_excluded(t.patients.select("patno"), p), "rdpt_no", "patno", "inner"),
+        ],
+    )
+    totals = found.groupBy(F.col("rdpf").alias("section"), "rdrs").agg(F.sum(F.col("n_results") * F.col("copies")).alias("n"))
     return totals.orderBy("section", F.desc("n"), "rdrs")
 
 
 def result_sections(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
-    rows, totals = results_by_code(t, as_of, p), result_totals(t, as_of, p)
-    lists = sections(rows, "section", p.result_groups)
-    counts = sections(totals, "section", p.result_groups)
+    lists = sections(keep(results_by_code(t, as_of, p)), "section", p.result_groups)
+    counts = sections(keep(result_totals(t, as_of, p)), "section", p.result_groups)
     return {**lists, **{f"{name} Totals": df for name, df in counts.items()}}
 
 
 def ordered_procedures(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Virus orders with the patient, the bed and the order's status."""
-    spark = t.oeorder.sparkSession
     orders = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS))
-    patients = not_in_roster(
-        t.patients.select("patno", "hssvc", "pname"), value_list(spark, p.excluded_patients, "patno"), "patno"
-    )
+    patients = _not_excluded(t.patients.select("patno", "hssvc", "pname"), p)
     found = (
         Facts(orders)
         .by("opat_no", Look(patients, "patno", "inner"), Look(_beds(t), "pat_no"))
@@ -142,16 +160,23 @@ def fax_log(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 
 def fax_by_status(t: Tables, as_of: date, p: Params) -> DataFrame:
-    return value_counts(fax_log(t, as_of, p), "flstat")
+    """Faxes per status, counted per order before orders and faxes meet."""
+    faxes = copies(t.rrfaxlog.where(on_day("flidt", as_of, 1)), ["flpt_no", "flor_no", "flstat"], "n_faxes")
+    orders = copies(t.oeorder.where(F.col("otodpt") == S.LAB), ["opat_no", "oord_no"], "n_orders")
+    found = equi_join(faxes, orders, ["flpt_no", "flor_no"], ["opat_no", "oord_no"], "inner")
+    return value_counts(found.withColumn("n_rows", F.col("n_faxes") * F.col("n_orders")), "flstat", weight="n_rows")
+
+
+def fax_with_status(t: Tables, as_of: date, p: Params, status: str) -> DataFrame:
+    return ordered(fax_log(t, as_of, p).where(F.col("flstat") == status), "date")
 
 
 def fax_sections(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
-    log = fax_log(t, as_of, p)
-    by_status = sections(log.withColumn("_s", F.col("flstat")), "_s", ["S", "U"])
+    log = keep(fax_log(t, as_of, p))
     return {
-        "Total by Status": fax_by_status(t, as_of, p),
-        "Sent Status": ordered(by_status["S"], "date"),
-        "Unsent Status": ordered(by_status["U"], "date"),
+        "Total by Status": value_counts(log, "flstat"),
+        "Sent Status": ordered(log.where(F.col("flstat") == "S"), "date"),
+        "Unsent Status": ordered(log.where(F.col("flstat") == "U"), "date"),
         "Patient Data": ordered(log, "date"),
     }
 
@@ -165,7 +190,8 @@ def lab_monitor(t: Tables, as_of: date, p: Params) -> DataFrame:
     patients = t.patients.select("patno", F.col("patno").alias("patient"), "pname")
     found = (
         Facts(orders)
-        .by(["opat_no", "oord_no"], Look(steps, ["rhpt_no", "rhor_no"]), Look(t.rmtor, ["rmpt_no", "rmor_no"]))
+        .code(["opat_no", "oord_no"], steps, ["rhpt_no", "rhor_no"])
+        .code(["opat_no", "oord_no"], t.rmtor, ["rmpt_no", "rmor_no"])
         .by("opat_no", Look(patients, "patno"), Look(_beds(t), "pat_no"))
         .by("oproc", Look(t.oeproc, "pproc"))
         .code("ostat", t.oeostat, "stat_no")
@@ -205,26 +231,29 @@ def missing_respiratory_orders(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 
 def _in_house(t: Tables, as_of: date, p: Params) -> DataFrame:
-    """Positive results of virus orders with the patient, the bed and the order's status."""
+    """Positive results of virus orders with the patient, the bed and the order's status.
+
+    A row stands for `n` rows of the source join: results and orders are counted
+    before they meet, and again per patient before beds and patients are joined,
+    so a patient with very many of them brings a few rows only.
+    """
     orders = t.oeorder.where(F.col("oproc").isin([S.FLU_ORDER, *S.VIRUS_ORDERS]))
-    orders = orders.select("opat_no", "oord_no", "oproc", "osdate", "ostat")
+    orders = copies(orders, ["opat_no", "oord_no", "oproc", "osdate", "ostat"], "n_orders")
     positive = t.rd.where((F.col("rdrs") == S.POSITIVE) | F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX))
-    orders = orders.withColumn("_pat", F.col("opat_no"))
-    return (
-        Facts(positive.select("rdpt_no", "rdor_no", "rdts", "rdrs"))
-        .by(["rdpt_no", "rdor_no"], Look(orders, ["_pat", "oord_no"], "inner"))
-        .by(
-            "rdpt_no",
-            Look(t.patients.select("patno", F.col("patno").alias("patient"), "pname", "hssvc", "isadate"), "patno"),
-            Look(_beds(t), "pat_no"),
-        )
-        .code("ostat", t.oeostat, "stat_no")
-        .df
+    positive = copies(positive, ["rdpt_no", "rdor_no", "rdrs"], "n_results")
+    rows = equi_join(positive, orders, ["rdpt_no", "rdor_no"], ["opat_no", "oord_no"], "inner")
+    rows = rows.groupBy("rdpt_no", "oproc", "osdate", "ostat", "rdrs").agg(
+        F.sum(F.col("n_results") * F.col("n_orders")).alias("n")
+    )
+    patients = t.patients.select("patno", F.col("patno").alias("patient"), "pname", "hssvc", "isadate")
+    return join_chain(
+        rows,
+        [(patients, "rdpt_no", "patno"), (_beds(t), "rdpt_no", "pat_no"), (t.oeostat, "ostat", "stat_no")],
     )
 
 
-def _flu_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(
+def _flu_on_unit() -> Column:
+    return (
         (F.col("oproc") == S.FLU_ORDER)
         & (F.col("rdrs") == S.POSITIVE)
         & (F.col("hssvc") != S.EMERGENCY)
@@ -235,49 +264,68 @@ def _flu_rows(rows: DataFrame) -> DataFrame:
 
 def flu_unit_counts(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Non-NULL values per column among the flu rows on the critical care unit."""
-    from wardbook.operators.counts import non_null_counts
-
-    rows = _flu_rows(_in_house(t, as_of, p)).where(F.col("nurst") == S.CCU)
-    names = "oproc hssvc patient pname isadate room bed nurst osdate stdsc rdrs".split()
-    return non_null_counts(rows.select(*names))
+    rows = _in_house(t, as_of, p).where(_flu_on_unit() & (F.col("nurst") == S.CCU))
+    names = "oproc hssvc patient pname isadate room bed nurst osdate stdsc rdrs n".split()
+    return non_null_counts(rows.select(*names), weight="n")
 
 
 def _died_yesterday(t: Tables, as_of: date) -> DataFrame:
     out = t.patients.where(F.col("hssvc").isin(S.DEATH_SERVICES) & on_day("isddate", as_of, 1))
-    return equi_join(out.select("patno", "dcstat"), t.dsstat.where(F.col("dcexp") == "Y").select("dcubs"), "dcstat", "dcubs", "left_semi")
+    expired = t.dsstat.where(F.col("dcexp") == "Y").select("dcubs")
+    return equi_join(out.select("patno", "dcstat"), expired, "dcstat", "dcubs", "left_semi").select("patno")
 
 
-def _flu_death_rows(t: Tables, as_of: date) -> DataFrame:
-    """Rows the source join makes per patient: positive flu orders x rooms held x beds now.
+def _flu_deaths(t: Tables, as_of: date) -> DataFrame:
+    """Rows the source join makes of those who died with flu: positive orders x rooms held x beds.
 
     Each factor is counted per patient and the counts are multiplied, so the
     product is never written out.
     """
-    dead = _died_yesterday(t, as_of).select("patno")
-    positive = t.rd.where(F.col("rdrs") == S.POSITIVE).select("rdpt_no", "rdor_no")
-    orders = t.oeorder.where(F.col("oproc") == S.FLU_ORDER).select("opat_no", "oord_no")
-    pairs = Facts(positive).by(["rdpt_no", "rdor_no"], Look(orders, ["opat_no", "oord_no"], "inner")).df
-    factors = dead
-    for table, key, name in ((pairs, "rdpt_no", "n_results"), (t.patrmbdp, "patn15", "n_rooms"), (taken_beds(t), "pat_no", "n_beds")):
-        how = "inner" if name == "n_results" else "left"
-        factors = equi_join(factors, copies(table.select(key), key, name), "patno", key, how)
-    product = F.col("n_results") * F.coalesce("n_rooms", F.lit(1)) * F.coalesce("n_beds", F.lit(1))
+    orders = copies(t.oeorder.where(F.col("oproc") == S.FLU_ORDER), ["opat_no", "oord_no"], "n_orders")
+    positive = copies(t.rd.where(F.col("rdrs") == S.POSITIVE), ["rdpt_no", "rdor_no"], "n_results")
+    pairs = equi_join(positive, orders, ["rdpt_no", "rdor_no"], ["opat_no", "oord_no"], "inner")
+    pairs = pairs.groupBy("rdpt_no").agg(F.sum(F.col("n_results") * F.col("n_orders")).alias("n_pairs"))
+    factors = join_chain(
+        _died_yesterday(t, as_of),
+        [
+            (pairs, "patno", "rdpt_no", "inner"),
+            (copies(t.patrmbdp, "patn15", "n_rooms"), "patno", "patn15"),
+            (copies(taken_beds(t), "pat_no", "n_beds"), "patno", "pat_no"),
+        ],
+    )
+    product = F.col("n_pairs") * F.coalesce("n_rooms", F.lit(1)) * F.coalesce("n_beds", F.lit(1))
     return factors.agg(F.coalesce(F.sum(product), F.lit(0)).alias("flu_deaths"))
 
 
-def _virus_deaths(t: Tables, as_of: date, p: Params) -> DataFrame:
+def _virus_deaths(t: Tables, as_of: date) -> DataFrame:
     """Patients who died yesterday with any virus order and any positive result."""
-    dead = _died_yesterday(t, as_of).select("patno")
     tested = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS)).select("opat_no").distinct()
     positive = t.rd.where(F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)).select("rdpt_no").distinct()
-    both = in_roster(in_roster(dead, tested, "patno", "opat_no"), positive, "patno", "rdpt_no")
+    both = in_roster(in_roster(_died_yesterday(t, as_of), tested, "patno", "opat_no"), positive, "patno", "rdpt_no")
     return both.agg(F.countDistinct("patno").alias("virus_deaths"))
 
 
+# Fixed value: the lines of the summary and the counts that go into each.
+_SUMMARY = {
+    "flu": ["Total Flu Positives", "Total Covid and Flu Patients"],
+    "flu_admits": ["Flu Admits Yesterday"],
+    "flu_icu": ["ICU Patients with Flu"],
+    "virus": ["Total Covid and Flu Patients"],
+    "flu_deaths": ["Deaths Yesterday with Positive Flu Test", "Deaths Yesterday with Positive Flu or Covid Test"],
+    "virus_deaths": ["Deaths Yesterday with Positive Flu or Covid Test"],
+}
+
+
 def virus_summary(t: Tables, as_of: date, p: Params) -> DataFrame:
     """The six numbers of the state summary as (metric, value) rows."""
-    flu = (F.col("oproc") == S.FLU_ORDER) & (F.col("rdrs") == S.POSITIVE) & (F.col("stdsc") != S.CANCELLED)
-    admitted_flu = flu & (F.col("hssvc") != S.EMERGENCY) & (F.col("nurst") != "NULL")
+    on_unit = _flu_on_unit()
+    in_critical_care = (
+        (F.col("oproc") == S.FLU_ORDER)
+        & (F.col("rdrs") == S.POSITIVE)
+        & (F.col("stdsc") != S.CANCELLED)
+        & (F.col("nurst") == S.CCU)
+        & (F.col("osdate") >= packed_day(as_of, p.flu_season_back))
+    )
     virus = (
         F.col("oproc").isin(S.VIRUS_ORDERS)
         & F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)
@@ -286,27 +334,10 @@ def virus_summary(t: Tables, as_of: date, p: Params) -> DataFrame:
         & present("nurst")
     )
     in_house = _in_house(t, as_of, p).agg(
-        F.count_if(admitted_flu).alias("flu"),
-        F.count_if(admitted_flu & on_day("isadate", as_of, 1)).alias("flu_admits"),
-        F.count_if(flu & (F.col("nurst") == S.CCU) & (F.col("osdate") >= packed_day(as_of, p.flu_season_back))).alias("flu_icu"),
-        F.count_if(virus).alias("virus"),
+        count_where(on_unit, "n").alias("flu"),
+        count_where(on_unit & on_day("isadate", as_of, 1), "n").alias("flu_admits"),
+        count_where(in_critical_care, "n").alias("flu_icu"),
+        count_where(virus, "n").alias("virus"),
     )
-    # Each count goes into one or two lines of the summary; the lines are sums.
-    counts = {
-        "flu": ["Total Flu Positives", "Total Covid and Flu Patients"],
-        "flu_admits": ["Flu Admits Yesterday"],
-        "flu_icu": ["ICU Patients with Flu"],
-        "virus": ["Total Covid and Flu Patients"],
-        "flu_deaths": ["Deaths Yesterday with Positive Flu Test", "Deaths Yesterday with Positive Flu or Covid Test"],
-        "virus_deaths": ["Deaths Yesterday with Positive Flu or Covid Test"],
-    }
-    parts = None
-    for one_row in (in_house, _flu_death_rows(t, as_of), _virus_deaths(t, as_of, p)):
-        pairs = [
-            F.struct(F.lit(line).alias("metric"), F.col(c).cast("bigint").alias("value"))
-            for c in one_row.columns
-            for line in counts[c]
-        ]
-        rows = one_row.select(F.inline(F.array(*pairs)))
-        parts = rows if parts is None else parts.unionByName(rows)
-    return parts.groupBy("metric").agg(F.sum("value").alias("value"))
+    parts = [in_house, _flu_deaths(t, as_of), _virus_deaths(t, as_of)]
+    return add_metrics(*[metric_rows(part, _SUMMARY) for part in parts])

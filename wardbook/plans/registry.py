@@ -43,8 +43,8 @@ REPORTS: dict[str, Report] = {
     "lab_tat": orders.lab_turnaround,
     "fax_all": orders.fax_log,
     "fax_by_status": orders.fax_by_status,
-    "fax_sent": lambda t, as_of, p: orders.fax_sections(t, as_of, p)["Sent Status"],
-    "fax_unsent": lambda t, as_of, p: orders.fax_sections(t, as_of, p)["Unsent Status"],
+    "fax_sent": partial(orders.fax_with_status, status="S"),
+    "fax_unsent": partial(orders.fax_with_status, status="U"),
     "lab_monitor": orders.lab_monitor,
     "missing_rt": orders.missing_respiratory_orders,
     "virus_summary": orders.virus_summary,

@@ -13,6 +13,7 @@ from wardbook.functions.text import to_long
 from wardbook.operators.counts import value_counts
 from wardbook.operators.dedup import copies, one_per_key, single
 from wardbook.operators.joins import Facts, Look, equi_join, join_chain, with_details
+from wardbook.operators.keep import keep
 from wardbook.operators.prefixes import keyword_filter, prefix_join
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
@@ -167,11 +168,12 @@ def schedule_by_physician(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 
 def schedule_sections(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
+    rows = keep(_booking_rows(t, as_of, p))
     return {
         "Schedule": surgery_schedule(t, as_of, p),
         "Neuro": surgery_schedule_second(t, as_of, p),
-        "Total by Date": schedule_by_date(t, as_of, p),
-        "Total By Doctor": schedule_by_physician(t, as_of, p),
+        "Total by Date": value_counts(rows, "startdate", weight="n_rows", order=False),
+        "Total By Doctor": value_counts(rows, "physician", weight="n_rows"),
     }
 
 

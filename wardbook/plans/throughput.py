@@ -11,6 +11,7 @@ from wardbook.functions.clock import between_days
 from wardbook.operators.counts import group_size, value_counts
 from wardbook.operators.dedup import one_per_key
 from wardbook.operators.joins import Facts, Look, equi_join
+from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -52,9 +53,10 @@ def by_admit_date(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 
 def throughput(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
+    moves = keep(last_moves(t, as_of, p))
     return {
-        "All Data": last_moves(t, as_of, p),
-        "Total by Move Date": by_move_date(t, as_of, p),
-        "Total by Nurse Station": by_station(t, as_of, p),
-        "Total by Admit Date": by_admit_date(t, as_of, p),
+        "All Data": moves,
+        "Total by Move Date": group_size(moves, ["asgdate", "nurst"]),
+        "Total by Nurse Station": group_size(moves, ["nurst", "asgdate", "asgtime"]),
+        "Total by Admit Date": value_counts(moves, "isadate", order=False),
     }

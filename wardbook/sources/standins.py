@@ -15,7 +15,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardbook.sources.tables import Tables, tidy
+from wardbook.sources.tables import Tables, without_padding
 
 AS_OF = date(2024, 1, 20)
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -255,18 +255,16 @@ FROM orders""",
 
 def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The views as tidied tables, each made on first use."""
-
-    def base(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    given = Tables({name: (lambda name=name: spark.read.parquet(f"{sf_dir}/{name}.parquet")) for name in BASE_TABLES})
 
     def make(name: str) -> DataFrame:
-        text = VIEWS[name]
-        used = {t: base(t) for t in BASE_TABLES if re.search(rf"\bFROM {t}\b", text)}
+        # Braces inside literals must survive the formatting of the table names.
+        text = VIEWS[name].replace("{", "{{")
+        used = {t: given[t] for t in BASE_TABLES if re.search(rf"\bFROM {t}\b", text)}
         for table in used:
             text = re.sub(rf"\bFROM {table}\b", f"FROM {{{table}}}", text)
-        # Braces inside literals must survive the formatting of the table names.
-        text = text.replace("'{signed'", "'{{signed'")
-        return tidy(spark.sql(text, **used), name)
+        # Names and types are the schema's already (tested); only the padding is left.
+        return without_padding(spark.sql(text, **used), name)
 
     return Tables({name: (lambda name=name: make(name)) for name in VIEWS})
 

@@ -61,13 +61,14 @@ def tidy(df: DataFrame, table: str | None = None) -> DataFrame:
     df = df.toDF(*[c.lower().replace("#", "_no") for c in df.columns])
     if table is None:
         return df
-    padded = set(schemas.padded(table))
-    out = []
-    for field in schemas.schema(table):
-        c = F.col(field.name)
-        c = F.rtrim(c) if field.name in padded else c
-        out.append(c.cast(field.dataType).alias(field.name))
-    return df.select(*out)
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(table)])
+    return without_padding(typed, table)
+
+
+def without_padding(df: DataFrame, table: str) -> DataFrame:
+    """Take the trailing blanks off the table's CHAR columns."""
+    padded = schemas.padded(table)
+    return df.withColumns({c: F.rtrim(c) for c in padded}) if padded else df
 
 
 def snapshot(df: DataFrame, directory: str, table: str) -> None:
