@@ -41,7 +41,9 @@ def prefix_join(df: DataFrame, roster: DataFrame, col: str, prefix: str = "prefi
     lengths = _lengths(roster, prefix)
     if not lengths:
         empty = df.where(F.lit(False))
-        return empty if keep == "exists" else empty.join(roster, F.lit(True))
+        if keep == "exists":
+            return empty
+        return empty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in roster.schema.fields])
     cut = _cuts(df, col, lengths)
     if keep == "exists":
         # No prefix left in the roster starts another, so a row matches once at most.

@@ -78,6 +78,31 @@ REPORTS: dict[str, Report] = {
 }
 
 
+
+# Reports of several sections: a frame with a `section` column where the sections are
+# a split of one list (written in one pass), else one frame per section.
+PACKS: dict[str, Callable[[Tables, date, Params], DataFrame | dict[str, DataFrame]]] = {
+    "admissions": census.admissions,
+    "clinic": census.clinic_report,
+    "infection": nursing.infection_pack,
+    "isolation": nursing.isolation_report,
+    "isolation_nutrition": partial(nursing.isolation_report, nutrition=True),
+    "results": orders.result_sections,
+    "faxes": orders.fax_sections,
+    "radiology_revenue": billing.radiology_charges,
+    "without_note": notes.patients_without_note,
+    "notes_by_author": partial(notes.notes_by_author, days=14),
+    "or_log": surgery.or_log,
+    "surgery_schedule": surgery.schedule_sections,
+    "throughput": throughput.throughput,
+}
+
+
 def run(name: str, tables: Tables, as_of: date, params: Params | None = None) -> DataFrame:
     """Run a named report."""
     return REPORTS[name](tables, as_of, params or Params())
+
+
+def run_pack(name: str, tables: Tables, as_of: date, params: Params | None = None):
+    """Run a report of several sections; `write_report` and `write_sections` take the result."""
+    return PACKS[name](tables, as_of, params or Params())
