@@ -8,7 +8,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from wardbook.operators.joins import ROWS_PER_SLOT_CONF  # noqa: E402
+from wardbook.operators.joins import FEW_KEYS_CONF, ROWS_PER_SLOT_CONF  # noqa: E402
 from wardbook.session import local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -23,10 +23,12 @@ def spark(tmp_path_factory):
 
 @pytest.fixture()
 def few_rows_per_slot(spark):
-    """Every key with more than three rows counts as hot."""
+    """Every key with more than three rows counts as hot, and no number of keys as few."""
     spark.conf.set(ROWS_PER_SLOT_CONF, "3")
+    spark.conf.set(FEW_KEYS_CONF, "0")
     yield
     spark.conf.unset(ROWS_PER_SLOT_CONF)
+    spark.conf.unset(FEW_KEYS_CONF)
 
 
 @pytest.fixture(scope="session")

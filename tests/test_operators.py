@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from wardbook.operators.counts import add_metrics, group_size, metric_rows, metric_table, non_null_counts, value_counts
 from wardbook.operators.dedup import copies, expand_copies, lookup, one_per_key
 from wardbook.operators.joins import (
+    FEW_KEYS_CONF,
+    ROWS_PER_SLOT_CONF,
     Facts,
     Look,
     equi_join,
@@ -42,8 +44,12 @@ def names(spark):
     return spark.createDataFrame([(1, "one"), (2, "two"), (2, "zwei"), (3, None), (7, "seven"), (None, "none")], "key long, name string")
 
 
+@pytest.mark.parametrize("few", ["0", "1000"])
+@pytest.mark.parametrize("slot", ["3", "40", "1000"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_facts_give_the_plain_join(facts, names, how, few_rows_per_slot):
+def test_facts_give_the_plain_join(spark, facts, names, how, slot, few, few_rows_per_slot):
+    spark.conf.set(ROWS_PER_SLOT_CONF, slot)
+    spark.conf.set(FEW_KEYS_CONF, few)
     plain = facts.join(names, facts.k == names.key, how)
     plain = plain.drop("key") if how in ("inner", "left") else plain
     assert rows(Facts(facts).by("k", Look(names, "key", how)).df) == rows(plain)
@@ -68,6 +74,14 @@ def test_facts_chain_lookups_and_keys(facts, names, spark, few_rows_per_slot):
     assert rows(found) == rows(want.select(*found.columns))
 
 
+def test_few_keys_cut_the_looked_up_table_before_its_shuffle(spark, facts, names):
+    found = Facts(facts.where("k = 2")).by("k", Look(names.groupBy("key").agg(F.max("name").alias("name")), "key")).df
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The keys go below the aggregation.
+    assert plan.index("Aggregate [key") < plan.index("LeftSemi")
+    assert {r["name"] for r in found.collect()} == {"zwei"}
+
+
 def test_facts_refuse_a_key_that_is_not_theirs(facts, names):
     with pytest.raises(ValueError):
         Facts(facts).by("name", Look(names, "key"))

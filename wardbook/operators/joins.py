@@ -1,14 +1,20 @@
 """Joins that hold when one key owns a large share of the rows.
 
 `Facts` is the usual way in: it takes the many side of a report (orders,
-results, nursing records, ...) and looks rows of other tables up by key. Keys
-with very many facts are cut into slots, so no task gets them whole; the rows
-they are looked up from are repeated once per slot. Facts without a key are
-spread as well instead of meeting in one task.
-
-No side is broadcast by hand except the list of hot keys, whose length is at
-most facts / rows_per_slot. Small code tables are broadcast by Spark itself,
-after its own size check.
+results, nursing records, ...) and looks rows of other tables up by key. It
+first counts the facts per key, which reads the key columns only, and joins
+according to the numbers:
+
+* Keys with very many facts are cut into slots, so no task gets one whole; the
+  rows they are looked up from are repeated once per slot. Facts without a key
+  are spread as well instead of meeting in one task.
+* When the facts hold few keys (a daily list over a long history), the tables
+  they are looked up in are cut to those keys before they are shuffled.
+* Otherwise the joins are plain ones. All lookups on one key share one shuffle.
+
+What is broadcast by hand was counted first: the keys of the facts when there
+are at most `FEW_KEYS` of them, and the list of hot keys, which `MAX_HOT_KEYS`
+bounds. Small code tables are broadcast by Spark itself after its own check.
 """
 
 from __future__ import annotations
@@ -21,6 +27,9 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SLOT = 2_000_000
 ROWS_PER_SLOT_CONF = "spark.wardbook.rowsPerSlot"
+FEW_KEYS = 100_000
+FEW_KEYS_CONF = "spark.wardbook.fewKeys"
+MAX_HOT_KEYS = 100_000
 NULL_SLOTS = 256
 
 _ID, _SLOT, _SLOTS = "_row_id", "_slot", "_slots"
@@ -40,6 +49,20 @@ class Look:
     how: str = "left"
 
 
+@dataclass(frozen=True)
+class _Spread:
+    """What the counts say about one key: how many keys, and who needs slots."""
+
+    on: list[str]
+    few: DataFrame | None
+    hot: DataFrame | None
+    spread_missing: bool
+
+    @property
+    def needs_slots(self) -> bool:
+        return self.hot is not None or self.spread_missing
+
+
 def with_row_id(scan: DataFrame) -> DataFrame:
     """Number the rows of a scan, for facts that are joined again after a shuffle."""
     return scan.withColumn(_ID, F.monotonically_increasing_id())
@@ -55,81 +78,121 @@ class Facts:
     """
 
     def __init__(self, facts: DataFrame, row_key: Sequence[str] | None = None):
-        self._base = facts
-        self._base_columns = set(facts.columns)
-        self._keep_id = _ID in facts.columns
-        if self._keep_id:
-            self._df = facts
-        elif row_key:
-            self._df = facts.withColumn(_ID, F.xxhash64(*row_key))
-        else:
-            self._df = with_row_id(facts)
-        conf = facts.sparkSession.conf.get(ROWS_PER_SLOT_CONF, None)
-        self._rows_per_slot = int(conf) if conf else ROWS_PER_SLOT
+        self._facts = facts
+        self._columns = set(facts.columns)
+        self._row_key = row_key
+        self._steps: list[tuple] = []
+        conf = facts.sparkSession.conf
+        self._rows_per_slot = int(conf.get(ROWS_PER_SLOT_CONF, str(ROWS_PER_SLOT)))
+        self._few_keys = int(conf.get(FEW_KEYS_CONF, str(FEW_KEYS)))
 
     def by(self, on: str | Sequence[str], *looks: Look) -> Facts:
-        """Look up by key columns of the fact table; all `looks` share one spreading."""
+        """Look up by key columns of the fact table."""
         on = _names(on)
-        if not self._base_columns.issuperset(on):
+        if not self._columns.issuperset(on):
             raise ValueError(f"{on} must be columns of the fact table; use code() for others")
-        hot = self._hot_keys(on)
-        left = self._df.join(F.broadcast(hot), [F.col(c) == hot[f"_hot_{c}"] for c in on], "left")
-        no_key = F.lit(False)
-        for c in on:
-            no_key = no_key | F.col(c).isNull()
-        slot = (
-            F.when(F.col(_SLOTS).isNotNull(), F.pmod(F.col(_ID), F.col(_SLOTS)))
-            .when(no_key, F.pmod(F.col(_ID), F.lit(NULL_SLOTS)))
-            .otherwise(F.lit(0))
-        )
-        left = left.select(*self._df.columns, slot.cast("int").alias(_SLOT))
-        for number, look in enumerate(looks):
-            left = self._look(left, on, look, hot, number)
-        self._df = left.drop(_SLOT)
+        self._steps.append(("by", on, looks))
         return self
 
     def code(self, on: str | Sequence[str], table: DataFrame, key: str | Sequence[str], how: str = "left") -> Facts:
         """Look a code up in a code table, or a key that an earlier lookup brought in."""
-        self._df = equi_join(self._df, table, on, key, how)
+        self._steps.append(("code", on, table, key, how))
         return self
 
     def where(self, condition: Column) -> Facts:
-        self._df = self._df.where(condition)
+        self._steps.append(("where", condition))
         return self
 
     @property
     def df(self) -> DataFrame:
-        return self._df if self._keep_id else self._df.drop(_ID)
-
-    def _hot_keys(self, on: list[str]) -> DataFrame:
-        return (
-            self._base.select(*on)
-            .dropna()
-            .groupBy(*on)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > self._rows_per_slot)
-            .select(
-                *[F.col(c).alias(f"_hot_{c}") for c in on],
-                F.ceil(F.col("_n") / self._rows_per_slot).alias(_SLOTS),
-            )
-        )
-
-    @staticmethod
-    def _look(left: DataFrame, on: list[str], look: Look, hot: DataFrame, number: int) -> DataFrame:
+        spreads = {tuple(step[1]): None for step in self._steps if step[0] == "by"}
+        spreads = {on: self._count(list(on)) for on in spreads}
+        result = self._facts
+        own_id = _ID not in self._columns and any(s.needs_slots for s in spreads.values())
+        if own_id:
+            result = result.withColumn(_ID, F.xxhash64(*self._row_key)) if self._row_key else with_row_id(result)
+        for kind, *step in self._steps:
+            if kind == "by":
+                on, looks = step
+                result = _look_up(result, spreads[tuple(on)], looks)
+            elif kind == "code":
+                on, table, key, how = step
+                result = equi_join(result, table, on, key, how)
+            else:
+                result = result.where(step[0])
+        return result.drop(_ID) if own_id else result
+
+    def _count(self, on: list[str]) -> _Spread:
+        """Count the facts per key; four numbers come back to the driver."""
+        counts = self._facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        missing = F.lit(False)
+        for c in on:
+            missing = missing | F.col(c).isNull()
+        seen = counts.agg(
+            F.count_if(~missing).alias("keys"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.max(F.when(~missing, F.col("_n"))), F.lit(0)).alias("most"),
+            F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("missing"),
+        ).first()
+        # At most rows / limit keys can have more than `limit` rows.
+        limit = max(self._rows_per_slot, seen["rows"] // MAX_HOT_KEYS)
+        few = hot = None
+        if seen["keys"] <= self._few_keys:
+            few = self._facts.select(*on).dropna().distinct()
+        if seen["most"] > limit:
+            hot = counts.dropna(subset=on).where(F.col("_n") > limit)
+            hot = hot.select(*on, F.ceil(F.col("_n") / limit).cast("int").alias(_SLOTS))
+        return _Spread(on, few, hot, seen["missing"] > self._rows_per_slot)
+
+
+def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFrame:
+    on = spread.on
+    slots = spread.needs_slots
+    if slots:
+        left = _with_slot(left, spread)
+    for number, look in enumerate(looks):
         keys = [f"_key{number}_{i}" for i in range(len(on))]
-        table = look.table
-        named = dict(zip(_names(look.key), keys, strict=True))
-        table = table.withColumnsRenamed(named)
-        hit = [F.col(k) == hot[f"_hot_{c}"] for k, c in zip(keys, on, strict=True)]
-        table = table.join(F.broadcast(hot), hit, "left")
-        last = F.coalesce(F.col(_SLOTS), F.lit(1)) - 1
-        slot_name = f"{_SLOT}{number}"
-        columns = [c for c in table.columns if c != _SLOTS and not c.startswith("_hot_")]
-        table = table.select(*columns, F.explode(F.sequence(F.lit(0), last.cast("int"))).alias(slot_name))
+        table = look.table.withColumnsRenamed(dict(zip(_names(look.key), keys, strict=True)))
+        if spread.few is not None:
+            known = spread.few.toDF(*[f"_few_{k}" for k in keys])
+            table = table.join(F.broadcast(known), [F.col(k) == F.col(f"_few_{k}") for k in keys], "left_semi")
         condition = [F.col(c) == F.col(k) for c, k in zip(on, keys, strict=True)]
-        condition.append(F.col(_SLOT) == F.col(slot_name))
-        joined = left.join(table, condition, look.how)
-        return joined.drop(*keys, slot_name)
+        extra = list(keys)
+        if slots:
+            extra.append(f"{_SLOT}{number}")
+            table = _repeated(table, spread, keys, extra[-1])
+            condition.append(F.col(_SLOT) == F.col(extra[-1]))
+        left = left.join(table, condition, look.how)
+        if look.how not in ("left_semi", "left_anti"):
+            left = left.drop(*extra)
+    return left.drop(_SLOT) if slots else left
+
+
+def _with_slot(facts: DataFrame, spread: _Spread) -> DataFrame:
+    """The slot of each fact: by row id for hot and for missing keys, 0 for the others."""
+    missing = F.lit(False)
+    for c in spread.on:
+        missing = missing | F.col(c).isNull()
+    slot = F.when(missing, F.pmod(F.col(_ID), F.lit(NULL_SLOTS)))
+    if spread.hot is None:
+        return facts.withColumn(_SLOT, slot.otherwise(0).cast("int"))
+    names = {c: f"_hot_{c}" for c in spread.on}
+    hot = F.broadcast(spread.hot.withColumnsRenamed(names))
+    slot = slot.when(F.col(_SLOTS).isNotNull(), F.pmod(F.col(_ID), F.col(_SLOTS))).otherwise(0)
+    found = facts.join(hot, [F.col(c) == F.col(h) for c, h in names.items()], "left")
+    return found.select(*facts.columns, slot.cast("int").alias(_SLOT))
+
+
+def _repeated(table: DataFrame, spread: _Spread, keys: Sequence[str], slot: str) -> DataFrame:
+    """The looked-up rows, those of a hot key once per slot."""
+    if spread.hot is None:
+        return table.withColumn(slot, F.lit(0))
+    columns = table.columns
+    names = {c: f"_hot_{c}" for c in spread.on}
+    hot = F.broadcast(spread.hot.withColumnsRenamed(names))
+    found = table.join(hot, [F.col(k) == F.col(h) for k, h in zip(keys, names.values(), strict=True)], "left")
+    last = F.coalesce(F.col(_SLOTS), F.lit(1)) - 1
+    return found.select(*columns, F.explode(F.sequence(F.lit(0), last)).alias(slot))
 
 
 def equi_join(left: DataFrame, right: DataFrame, on, key, how: str = "left") -> DataFrame:
@@ -189,8 +252,7 @@ def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
     names = {k: f"_d{i}" for i, k in enumerate(key)}
     facts = details.withColumnsRenamed(names)
     found = Facts(facts).by(list(names.values()), Look(heads.withColumns({f"_h{i}": F.col(c) for i, c in enumerate(on)}), [f"_h{i}" for i in range(len(on))], "inner")).df
-    keys = details.select(*key).dropna().distinct()
-    bare = equi_join(heads, keys, on, key, "left_anti")
+    bare = equi_join(heads, found.select(*on).distinct(), on, on, "left_anti")
     columns = heads.columns + [c for c in details.columns if c not in key]
     return found.select(*columns).unionByName(bare, allowMissingColumns=True)
 
