@@ -43,7 +43,7 @@ def notes_by_author(t: Tables, as_of: date, p: Params, days: int, authors: DataF
 
 def note_audit(t: Tables, as_of: date, p: Params) -> tuple[DataFrame, DataFrame]:
     """(patients with the note, patients without it), as the audit and the main output."""
-    recent = t.patients.where(F.col("isadate") > F.date_sub(F.lit(as_of), p.noted_since_days)).select("patno")
+    recent = t.patients.where(F.col("isadate") > F.lit(p.noted_since)).select("patno")
     notes = t.cdnotetb.where(F.col("titl").startswith(S.NOTE_TITLE_PREFIX)).select("encid").distinct()
     noted = in_roster(notes, recent, "encid", "patno")
     beds = taken_beds(t).where(~F.col("nurst").isin(S.NOTE_SKIPPED_UNITS))

@@ -316,6 +316,17 @@ _SUMMARY = {
 }
 
 
+# Fixed value: the order of the lines.
+SUMMARY_ORDER = [
+    "Total Flu Positives",
+    "Flu Admits Yesterday",
+    "ICU Patients with Flu",
+    "Total Covid and Flu Patients",
+    "Deaths Yesterday with Positive Flu Test",
+    "Deaths Yesterday with Positive Flu or Covid Test",
+]
+
+
 def virus_summary(t: Tables, as_of: date, p: Params) -> DataFrame:
     """The six numbers of the state summary as (metric, value) rows."""
     on_unit = _flu_on_unit()
@@ -324,7 +335,7 @@ def virus_summary(t: Tables, as_of: date, p: Params) -> DataFrame:
         & (F.col("rdrs") == S.POSITIVE)
         & (F.col("stdsc") != S.CANCELLED)
         & (F.col("nurst") == S.CCU)
-        & (F.col("osdate") >= packed_day(as_of, p.flu_season_back))
+        & (F.col("osdate") >= packed_day(p.flu_season_start))
     )
     virus = (
         F.col("oproc").isin(S.VIRUS_ORDERS)

@@ -10,10 +10,23 @@ from pyspark.sql import DataFrame
 
 from wardbook.plans import billing, census, extracts, notes, nursing, orders, surgery, throughput
 from wardbook.plans.settings import Params
+from wardbook.sinks.reports import MISSING_ORDERS_GAPS, missing_orders_title, summary_lines, text_lines
 from wardbook.sources.tables import Tables
 
 Report = Callable[[Tables, date, Params], DataFrame]
 
+
+def missing_admit_text(t: Tables, as_of: date, p: Params) -> DataFrame:
+    """The list of missing admit orders as a text report."""
+    rows = census.missing_admit_orders(t, as_of, p)
+    return text_lines(rows, missing_orders_title(as_of), MISSING_ORDERS_GAPS, ["nurst"])
+
+
+def virus_summary_text(t: Tables, as_of: date, p: Params) -> DataFrame:
+    """The virus summary as 'label: number' lines."""
+    return summary_lines(orders.virus_summary(t, as_of, p), orders.SUMMARY_ORDER)
+
+
 REPORTS: dict[str, Report] = {
     "house_census": census.house_census,
     "admit_split": census.admissions,
@@ -23,6 +36,7 @@ REPORTS: dict[str, Report] = {
     "observation_week": partial(census.observation, days=7),
     "expired": census.expired,
     "missing_admit_order": census.missing_admit_orders,
+    "missing_admit_text": missing_admit_text,
     "billing_demo": billing.demographics,
     "billing_census": billing.billing_census,
     "rad_revenue_ip": partial(billing.radiology_revenue, section="Inpatient"),
@@ -48,6 +62,7 @@ REPORTS: dict[str, Report] = {
     "lab_monitor": orders.lab_monitor,
     "missing_rt": orders.missing_respiratory_orders,
     "virus_summary": orders.virus_summary,
+    "virus_summary_text": virus_summary_text,
     "flu_unit_counts": orders.flu_unit_counts,
     "clinic_er": census.clinic_emergency,
     "clinic_or_precedence": census.clinic_inpatients,

@@ -8,6 +8,7 @@ parameter (`Params`); its defaults are synthetic and fit the stand-in views.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -145,8 +146,8 @@ class Params:
         default_factory=lambda: [_supplier(d) for d in ("00000000", "00000001", "000000012", "00000003", "00000005")]
     )
     surgeons_second: list[str] = field(default_factory=lambda: [_supplier(d) for d in ("00000000", "000000052")])
-    noted_since_days: int = 20
-    flu_season_back: int = 30
+    noted_since: date = date(2023, 12, 31)
+    flu_season_start: date = date(2023, 12, 21)
 
 
 def value_list(spark: SparkSession, values, column: str) -> DataFrame:

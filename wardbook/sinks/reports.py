@@ -99,6 +99,17 @@ def write_text_report(df: DataFrame, title: Sequence[str], gaps: Sequence[str],
     text_lines(df, title, gaps, order).write.mode("overwrite").text(path)
 
 
+def summary_lines(metrics: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(metric, value) rows as 'metric: value' lines in the order given."""
+    place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("metric"))
+    line = F.concat("metric", F.lit(": "), F.col("value").cast("string"))
+    return metrics.orderBy(place, "metric").select(line.alias("value"))
+
+
+def write_summary(metrics: DataFrame, order: Sequence[str], path: str) -> None:
+    summary_lines(metrics, order).write.mode("overwrite").text(path)
+
+
 def missing_orders_title(as_of: date) -> list[str]:
     # Fixed value: the head of the missing-order report.
     return [

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardbook.sources import schemas
+
 PROBE_ROWS = 5
 
 
@@ -33,6 +35,12 @@ def probe_tables(spark: SparkSession, directory: str, expected: Mapping[str, Seq
     return result
 
 
+def probe_snapshots(spark: SparkSession, directory: str) -> DataFrame:
+    """The probe over all tables of the clinical and the orders source."""
+    expected = {table: schemas.columns(table) for table in (*schemas.CLINICAL, *schemas.ORDERS)}
+    return probe_tables(spark, directory, expected)
+
+
 def _row(df: DataFrame, table: str, present: bool, seen, n_columns: int, missing: list[str]) -> DataFrame:
     return df.select(
         F.lit(table).alias("table_name"),
