@@ -216,9 +216,9 @@ def test_notes_match_every_prefix_and_count_edits(t):
     p = Params(note_authors=["SMI", "SMITH", "JONES"])
     rows = notes.notes_by_author(t, AS_OF, p, 14).collect()
     assert sorted((r["section"], r["encid"], r["copies"]) for r in rows) == [("JONES", 2, 1), ("SMI", 1, 2), ("SMITH", 1, 2)]
-    with_note, without = notes.note_audit(t, AS_OF, Params(noted_since=date(2024, 1, 1)))
-    assert [r["pat_no"] for r in with_note.collect()] == [1]
-    assert sorted(r["pat_no"] for r in without.collect()) == [2, 4, 5, 8]
+    p = Params(noted_since=date(2024, 1, 1))
+    assert [r["pat_no"] for r in notes.patients_with_note(t, AS_OF, p).collect()] == [1]
+    assert sorted(r["pat_no"] for r in notes.patients_without_note(t, AS_OF, p).collect()) == [2, 4, 5, 8]
 
 
 def test_last_move_to_a_known_room(t):

@@ -24,6 +24,7 @@ from wardbook.operators.joins import (
     stack_sources,
     with_details,
 )
+from wardbook.operators import prefixes
 from wardbook.operators.prefixes import keyword_filter, prefix_join, shortest_prefixes
 from wardbook.operators.shape import contract, nothing, ordered, sections, spaced
 
@@ -197,7 +198,9 @@ PREFIXES = ["SMI", "SMITH", "JO", "50%", "A_", "SMITH"]
 AUTHORS = ["SMITH, A", "SMIT", "SMI", "SM", "JONES", "50% OFF", "500", "A_B", "AXB", "", None]
 
 
-def test_prefixes_against_brute_force(spark, few_rows_per_slot):
+@pytest.mark.parametrize("few", [0, 100])
+def test_prefixes_against_brute_force(spark, few, few_rows_per_slot, monkeypatch):
+    monkeypatch.setattr(prefixes, "FEW_PREFIXES", few)
     notes = spark.createDataFrame(list(enumerate(AUTHORS)), "i int, author string")
     roster = spark.createDataFrame([(p,) for p in PREFIXES], "prefix string")
     want = Counter((i, a, p) for i, a in enumerate(AUTHORS) for p in PREFIXES if a is not None and a.startswith(p))

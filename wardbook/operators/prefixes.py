@@ -8,19 +8,34 @@ with rows x roster.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.functions.predicates import contains_any
 from wardbook.operators.joins import Facts, Look
 
 _CUT = "_cut"
+# A roster of up to this many prefixes (of a name's width) is broadcast.
+FEW_PREFIXES = 100_000
 
 
-def _lengths(roster: DataFrame, prefix: str) -> list[int]:
-    # One number per distinct prefix length: never more than the width of a name column.
-    rows = roster.select(F.length(prefix).alias("n")).where("n > 0").distinct().collect()
-    return sorted(r["n"] for r in rows)
+@dataclass(frozen=True)
+class _Roster:
+    """A roster with its size: the number of prefixes and their distinct lengths."""
+
+    table: DataFrame
+    size: int
+    lengths: list[int]
+
+
+def _measured(roster: DataFrame, prefix: str) -> _Roster:
+    # One number per distinct length comes back: never more than the width of a name column.
+    used = roster.where(F.length(prefix) > 0)
+    seen = used.agg(F.count(F.lit(1)).alias("size"), F.sort_array(F.collect_set(F.length(prefix))).alias("lengths")).first()
+    table = used.withColumn(_CUT, F.col(prefix))
+    return _Roster(F.broadcast(table) if seen["size"] <= FEW_PREFIXES else table, seen["size"], seen["lengths"])
 
 
 def _cuts(df: DataFrame, col: str, lengths: Iterable[int]) -> DataFrame:
@@ -36,33 +51,34 @@ def prefix_join(df: DataFrame, roster: DataFrame, col: str, prefix: str = "prefi
     a text that two prefixes match comes twice. keep="exists": each row once.
     Prefixes are plain text: '%' and '_' stand for themselves.
     """
+    columns = roster.columns
     if keep == "exists":
         roster = shortest_prefixes(roster.select(prefix).distinct(), prefix)
-    lengths = _lengths(roster, prefix)
-    if not lengths:
+    known = _measured(roster, prefix)
+    if not known.size:
         empty = df.where(F.lit(False))
         if keep == "exists":
             return empty
         return empty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in roster.schema.fields])
-    cut = _cuts(df, col, lengths)
+    cut = _cuts(df, col, known.lengths)
     if keep == "exists":
         # No prefix left in the roster starts another, so a row matches once at most.
-        return cut.join(roster.select(F.col(prefix).alias(_CUT)), _CUT, "left_semi").drop(_CUT)
-    return Facts(cut).by(_CUT, Look(roster.withColumn("_p", F.col(prefix)), "_p", "inner")).df.drop(_CUT)
+        return cut.join(known.table.select(_CUT), _CUT, "left_semi").drop(_CUT)
+    if known.size > FEW_PREFIXES:
+        return Facts(cut).by(_CUT, Look(known.table, _CUT, "inner")).df.drop(_CUT)
+    return cut.join(known.table, _CUT, "inner").select(*df.columns, *columns)
 
 
 def shortest_prefixes(roster: DataFrame, prefix: str = "prefix") -> DataFrame:
     """The prefixes that no other prefix in the roster starts."""
-    lengths = _lengths(roster, prefix)
-    if not lengths:
+    known = _measured(roster, prefix)
+    if not known.size:
         return roster
-    longer = _cuts(roster, prefix, lengths).where(F.length(_CUT) < F.length(prefix))
-    covered = longer.join(roster.select(F.col(prefix).alias(_CUT)), _CUT, "left_semi").select(prefix).distinct()
+    longer = _cuts(roster, prefix, known.lengths).where(F.length(_CUT) < F.length(prefix))
+    covered = longer.join(known.table.select(_CUT), _CUT, "left_semi").select(prefix).distinct()
     return roster.join(covered, prefix, "left_anti")
 
 
 def keyword_filter(df: DataFrame, keywords: Iterable[str], col: str) -> DataFrame:
     """Rows whose `col` contains any of a short list of keywords."""
-    from wardbook.functions.predicates import contains_any
-
     return df.where(contains_any(col, keywords))

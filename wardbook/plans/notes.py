@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardbook.functions.clock import between_days
 from wardbook.functions.codes import bucket
 from wardbook.operators.dedup import copies
-from wardbook.operators.joins import Facts, Look, in_roster, split_matched, stack_sources, with_row_id
+from wardbook.operators.joins import Facts, Look, in_roster, stack_sources, with_row_id
 from wardbook.operators.prefixes import prefix_join
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
@@ -41,26 +41,24 @@ def notes_by_author(t: Tables, as_of: date, p: Params, days: int, authors: DataF
     return contract(found, names)
 
 
-def note_audit(t: Tables, as_of: date, p: Params) -> tuple[DataFrame, DataFrame]:
-    """(patients with the note, patients without it), as the audit and the main output."""
+def _census_by_note(t: Tables, p: Params, how: str) -> DataFrame:
+    """Occupied beds whose patient has the note (left_semi) or has not (left_anti)."""
     recent = t.patients.where(F.col("isadate") > F.lit(p.noted_since)).select("patno")
     notes = t.cdnotetb.where(F.col("titl").startswith(S.NOTE_TITLE_PREFIX)).select("encid").distinct()
     noted = in_roster(notes, recent, "encid", "patno")
     beds = taken_beds(t).where(~F.col("nurst").isin(S.NOTE_SKIPPED_UNITS))
-    with_note, without = split_matched(with_row_id(beds), noted, "pat_no", "encid")
-    admitted = Look(t.patients.select("patno", "isadate"), "patno")
-    names = "pat_no isadate nurst room bed".split()
-    return tuple(contract(Facts(part).by("pat_no", admitted).df, names) for part in (with_note, without))
+    found = Facts(beds).by("pat_no", Look(noted, "encid", how), Look(t.patients.select("patno", "isadate"), "patno")).df
+    return contract(found, "pat_no isadate nurst room bed".split())
 
 
-def patients_without_note(t: Tables, as_of: date, p: Params) -> DataFrame:
-    _, without = note_audit(t, as_of, p)
-    section = bucket("nurst", S.NOTE_BUCKETS, S.NOTE_BUCKET_OTHER).alias("section")
-    return ordered(without.select(section, "*"), "section", "nurst")
+def patients_with_note(t: Tables, as_of: date, p: Params) -> DataFrame:
+    """The audit list: who was left out of the main list."""
+    return _census_by_note(t, p, "left_semi")
 
 
-def patients_with_note(t: Tables, as_of: date, p: Params) -> DataFrame:
-    return note_audit(t, as_of, p)[0]
+def patients_without_note(t: Tables, as_of: date, p: Params) -> DataFrame:
+    section = bucket("nurst", S.NOTE_BUCKETS, S.NOTE_BUCKET_OTHER).alias("section")
+    return ordered(_census_by_note(t, p, "left_anti").select(section, "*"), "section", "nurst")
 
 
 def department_documents(t: Tables, as_of: date, p: Params, days: int = 7) -> DataFrame:

@@ -124,7 +124,8 @@ def _bookings(t: Tables, as_of: date, surgeons: list[str]) -> DataFrame:
         Facts(bookings)
         .by("pat_id", Look(t.pat, "pat_id"), Look(t.patmrnlist, "pat_id"))
         .by("ordering_phys_id", Look(physicians, "res_id", "inner"))
-        .by("appt_id", Look(visits, "appt_id", "inner"), Look(live, "appt_id", "inner"))
+        .code("appt_id", visits, "appt_id", "inner")
+        .code("appt_id", live, "appt_id", "inner")
         .code("apptclass_id", t.apptclass, "apptclass_id")
         .df.withColumn("startdate", start.cast("date"))
     )
