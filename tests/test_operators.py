@@ -14,6 +14,7 @@ from wardbook.operators.joins import (
     ROWS_PER_SLOT_CONF,
     Facts,
     Look,
+    cut_to,
     equi_join,
     in_roster,
     join_chain,
@@ -83,6 +84,17 @@ def test_few_keys_cut_the_looked_up_table_before_its_shuffle(spark, facts, names
     assert {r["name"] for r in found.collect()} == {"zwei"}
 
 
+@pytest.mark.parametrize("few", ["1", "100"])
+def test_cut_to_a_short_list(spark, facts, few):
+    spark.conf.set(FEW_KEYS_CONF, few)
+    try:
+        asked = spark.createDataFrame([(2,), (2,), (5,), (None,)], "p long")
+        cut = cut_to(facts, "k", asked, "p")
+        assert rows(cut) == rows(facts.where("k IN (2, 5)") if few == "100" else facts)
+    finally:
+        spark.conf.unset(FEW_KEYS_CONF)
+
+
 def test_facts_refuse_a_key_that_is_not_theirs(facts, names):
     with pytest.raises(ValueError):
         Facts(facts).by("name", Look(names, "key"))

@@ -12,9 +12,9 @@ according to the numbers:
   they are looked up in are cut to those keys before they are shuffled.
 * Otherwise the joins are plain ones. All lookups on one key share one shuffle.
 
-What is broadcast by hand was counted first: the keys of the facts when there
-are at most `FEW_KEYS` of them, and the list of hot keys, which `MAX_HOT_KEYS`
-bounds. Small code tables are broadcast by Spark itself after its own check.
+What is broadcast by hand was counted first: the keys of the facts, or of a
+short list (`cut_to`), when there are at most `FEW_KEYS` of them, and the list
+of hot keys, which `MAX_HOT_KEYS` bounds. Small code tables are broadcast by Spark itself after its own check.
 """
 
 from __future__ import annotations
@@ -195,6 +195,22 @@ def _repeated(table: DataFrame, spread: _Spread, keys: Sequence[str], slot: str)
     return found.select(*columns, F.explode(F.sequence(F.lit(0), last)).alias(slot))
 
 
+def cut_to(table: DataFrame, key: str | Sequence[str], few: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """The rows of a large table that a short list asks for, without shuffling the table.
+
+    The distinct keys of the list are counted up to `FEW_KEYS`. Up to there they
+    are broadcast; beyond, the table is returned whole and the join that follows
+    sorts it out.
+    """
+    key, on = _names(key), _names(on)
+    keys = few.select(*on).dropna().distinct()
+    limit = int(few.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS)))
+    if keys.limit(limit + 1).count() > limit:
+        return table
+    keys = keys.toDF(*[f"_few_{k}" for k in key])
+    return table.join(F.broadcast(keys), [F.col(k) == F.col(f"_few_{k}") for k in key], "left_semi")
+
+
 def equi_join(left: DataFrame, right: DataFrame, on, key, how: str = "left") -> DataFrame:
     """Plain equi-join on differently named keys; the right key columns are dropped.
 
@@ -244,14 +260,15 @@ def split_matched(df: DataFrame, other: DataFrame, on, key=None, row_key=None) -
 def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
     """Left join from heads (one row per key) to many details per key.
 
-    The details are the facts here: those of a hot head are split, and when the
-    heads are few they are broadcast (by Spark's size check) and the details
-    stay where they are. Heads without details are added after.
+    The details are the facts here, so those of a hot head are split; when the
+    heads are few the details are cut to theirs first. Heads without details are
+    added after.
     """
     on, key = _names(on), _names(key)
     names = {k: f"_d{i}" for i, k in enumerate(key)}
-    facts = details.withColumnsRenamed(names)
-    found = Facts(facts).by(list(names.values()), Look(heads.withColumns({f"_h{i}": F.col(c) for i, c in enumerate(on)}), [f"_h{i}" for i in range(len(on))], "inner")).df
+    facts = cut_to(details, key, heads, on).withColumnsRenamed(names)
+    asked = {f"_h{i}": F.col(c) for i, c in enumerate(on)}
+    found = Facts(facts).by(list(names.values()), Look(heads.withColumns(asked), list(asked), "inner")).df
     bare = equi_join(heads, found.select(*on).distinct(), on, on, "left_anti")
     columns = heads.columns + [c for c in details.columns if c not in key]
     return found.select(*columns).unionByName(bare, allowMissingColumns=True)

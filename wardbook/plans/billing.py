@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.clock import between_days, on_day
-from wardbook.operators.joins import Facts, Look, equi_join, role
+from wardbook.operators.joins import Facts, Look, cut_to, equi_join, role
 from wardbook.operators.shape import contract
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -31,15 +31,14 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
         Facts(visit)
         .by("hstnum", Look(history, "histn", "inner"))
         .by("nwattphy", Look(t.phymast, "nwdrnum", "inner"))
-        .code("patno", emergency, "patno", "inner")
+        .by("patno", Look(emergency, "patno", "inner"))
         .where(F.col("ains1") == F.col("hist_ins1"))
         .df
     )
     both = F.when(F.col("ains2") == F.col("hist_ins2"), F.col("ains2"))
     base = base.withColumns({"ins1": F.col("ains1"), "ins2": both, "ins3": F.col("hist_ins3")})
-    few = base.select("patno").distinct()
-    benefits = equi_join(t.benefits, few, "patno", "patno", "left_semi")
-    extensions = equi_join(t.benext, few, "patno", "patno", "left_semi")
+    benefits = cut_to(t.benefits, "patno", visit, "patno")
+    extensions = cut_to(t.benext, "patno", visit, "patno")
     for i, how in ((1, "inner"), (2, "left"), (3, "left")):
         base = equi_join(
             base, role(benefits, f"_{i}"), ["patno", "hstnum", f"ins{i}"], [f"patno_{i}", f"histn_{i}", f"insco_{i}"], how
@@ -61,7 +60,7 @@ def billing_census(t: Tables, as_of: date, p: Params) -> DataFrame:
     base = (
         Facts(visit)
         .by("hstnum", Look(t.pathist.select("histn", "padr1"), "histn", "inner"))
-        .code(["patno", "hstnum"], emergency, ["patno", "hstnum"], "inner")
+        .by(["patno", "hstnum"], Look(emergency, ["patno", "hstnum"], "inner"))
         .code("nwdrnum", t.phymast.withColumn("_n", F.col("nwdrnum")).drop("nwdrnum"), "_n", "inner")
         .df
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.clock import on_day, same_day, since
 from wardbook.functions.predicates import any_of, occupied
-from wardbook.operators.joins import Facts, Look, equi_join
+from wardbook.operators.joins import Facts, Look, cut_to, equi_join
 from wardbook.operators.shape import contract, ordered, spaced
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -31,7 +31,7 @@ def house_census(t: Tables, as_of: date, p: Params) -> DataFrame:
 def admissions(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Yesterday's admissions that are on a station, marked inpatient or OBS."""
     admitted = t.patients.where(on_day("isadate", as_of, 1)).select("hssvc", "patno", "pname", "isadate")
-    placed = taken_beds(t).where(F.col("nurst") != "NULL")
+    placed = cut_to(taken_beds(t).where(F.col("nurst") != "NULL"), "pat_no", admitted, "patno")
     found = Facts(placed).by("pat_no", Look(admitted.withColumn("_p", F.col("patno")), "_p", "inner")).df
     section = F.when(F.col("hssvc") == S.OBSERVATION, "OBS").when(F.col("hssvc") != S.OBSERVATION, "inpatient")
     found = found.withColumn("section", section).where(F.col("section").isNotNull())
@@ -65,7 +65,7 @@ def observation(t: Tables, as_of: date, p: Params, days: int = 1) -> DataFrame:
     window = same_day("isadate", as_of, 1) if days == 1 else since("isadate", as_of, days)
     admitted = t.patients.where((F.col("hssvc") == S.OBSERVATION) & window)
     registered = t.admreg.select("patno", "hstnum", "atype", "asrce", "arrvd")
-    found = equi_join(admitted, registered, ["patno", "hstnum"], ["patno", "hstnum"])
+    found = Facts(admitted).by(["patno", "hstnum"], Look(registered, ["patno", "hstnum"])).df
     names = "patno adate iatme isqadte iqtime nwdocnum hssvc atype asrce age fincl pname arrvd diagn hstnum"
     return contract(found, names.split())
 
@@ -75,6 +75,7 @@ def expired(t: Tables, as_of: date, p: Params) -> DataFrame:
     out = t.patients.where(on_day("isddate", as_of, 1))
     dead = equi_join(out, t.dsstat.where(F.col("dcexp") == "Y").drop("dcdsc"), "dcstat", "dcubs", "inner")
     rooms = t.patrmbdp.where(F.col("recid") == "Y").select("patn15", "room", "bed")
+    rooms = cut_to(rooms, "patn15", dead, "patno")
     found = Facts(rooms).by("patn15", Look(dead.withColumn("_p", F.col("patno")), "_p", "inner")).df
     names = "hssvc patno pname age sex isadate iatme diagn isddate dtime dcsds dcexp room bed"
     return ordered(contract(found, names.split()), "pname")
@@ -104,7 +105,7 @@ def _clinic(t: Tables, patients: DataFrame, p: Params) -> DataFrame:
     return (
         Facts(patients)
         .by("hstnum", Look(doctors, "histn", "inner"))
-        .code("patno", taken_beds(t).select("pat_no", "nurst"), "pat_no")
+        .by("patno", Look(taken_beds(t).select("pat_no", "nurst"), "pat_no"))
         .code("nwfdoc_no", t.phymast, "nwdrnum")
         .code("hssvc", t.stathd, "svccd")
         .code("dcstat", t.dsstat.select("dcubs", "dcdsc"), "dcubs")

@@ -163,7 +163,8 @@ def fax_by_status(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Faxes per status, counted per order before orders and faxes meet."""
     faxes = copies(t.rrfaxlog.where(on_day("flidt", as_of, 1)), ["flpt_no", "flor_no", "flstat"], "n_faxes")
     orders = copies(t.oeorder.where(F.col("otodpt") == S.LAB), ["opat_no", "oord_no"], "n_orders")
-    found = equi_join(faxes, orders, ["flpt_no", "flor_no"], ["opat_no", "oord_no"], "inner")
+    key = ["flpt_no", "flor_no"]
+    found = Facts(faxes, row_key=[*key, "flstat"]).by(key, Look(orders, ["opat_no", "oord_no"], "inner")).df
     return value_counts(found.withColumn("n_rows", F.col("n_faxes") * F.col("n_orders")), "flstat", weight="n_rows")
 
 
@@ -190,8 +191,7 @@ def lab_monitor(t: Tables, as_of: date, p: Params) -> DataFrame:
     patients = t.patients.select("patno", F.col("patno").alias("patient"), "pname")
     found = (
         Facts(orders)
-        .code(["opat_no", "oord_no"], steps, ["rhpt_no", "rhor_no"])
-        .code(["opat_no", "oord_no"], t.rmtor, ["rmpt_no", "rmor_no"])
+        .by(["opat_no", "oord_no"], Look(steps, ["rhpt_no", "rhor_no"]), Look(t.rmtor, ["rmpt_no", "rmor_no"]))
         .by("opat_no", Look(patients, "patno"), Look(_beds(t), "pat_no"))
         .by("oproc", Look(t.oeproc, "pproc"))
         .code("ostat", t.oeostat, "stat_no")
@@ -285,13 +285,15 @@ def _flu_deaths(t: Tables, as_of: date) -> DataFrame:
     positive = copies(t.rd.where(F.col("rdrs") == S.POSITIVE), ["rdpt_no", "rdor_no"], "n_results")
     pairs = equi_join(positive, orders, ["rdpt_no", "rdor_no"], ["opat_no", "oord_no"], "inner")
     pairs = pairs.groupBy("rdpt_no").agg(F.sum(F.col("n_results") * F.col("n_orders")).alias("n_pairs"))
-    factors = join_chain(
-        _died_yesterday(t, as_of),
-        [
-            (pairs, "patno", "rdpt_no", "inner"),
-            (copies(t.patrmbdp, "patn15", "n_rooms"), "patno", "patn15"),
-            (copies(taken_beds(t), "pat_no", "n_beds"), "patno", "pat_no"),
-        ],
+    factors = (
+        Facts(_died_yesterday(t, as_of), row_key=["patno"])
+        .by(
+            "patno",
+            Look(pairs, "rdpt_no", "inner"),
+            Look(copies(t.patrmbdp, "patn15", "n_rooms"), "patn15"),
+            Look(copies(taken_beds(t), "pat_no", "n_beds"), "pat_no"),
+        )
+        .df
     )
     product = F.col("n_pairs") * F.coalesce("n_rooms", F.lit(1)) * F.coalesce("n_beds", F.lit(1))
     return factors.agg(F.coalesce(F.sum(product), F.lit(0)).alias("flu_deaths"))
@@ -301,7 +303,8 @@ def _virus_deaths(t: Tables, as_of: date) -> DataFrame:
     """Patients who died yesterday with any virus order and any positive result."""
     tested = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS)).select("opat_no").distinct()
     positive = t.rd.where(F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)).select("rdpt_no").distinct()
-    both = in_roster(in_roster(_died_yesterday(t, as_of), tested, "patno", "opat_no"), positive, "patno", "rdpt_no")
+    dead = Facts(_died_yesterday(t, as_of), row_key=["patno"])
+    both = dead.by("patno", Look(tested, "opat_no", "left_semi"), Look(positive, "rdpt_no", "left_semi")).df
     return both.agg(F.countDistinct("patno").alias("virus_deaths"))
 
 
