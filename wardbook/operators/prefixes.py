@@ -8,7 +8,6 @@ with rows x roster.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,21 +20,18 @@ _CUT = "_cut"
 FEW_PREFIXES = 100_000
 
 
-@dataclass(frozen=True)
-class _Roster:
-    """A roster with its size: the number of prefixes and their distinct lengths."""
+def _measured(roster: DataFrame, prefix: str) -> tuple[int, list[int]]:
+    """How many prefixes, and their lengths: never more numbers than a name column is wide."""
+    seen = (
+        roster.where(F.length(prefix) > 0)
+        .agg(F.count(F.lit(1)).alias("size"), F.sort_array(F.collect_set(F.length(prefix))).alias("lengths"))
+        .first()
+    )
+    return seen["size"], seen["lengths"]
 
-    table: DataFrame
-    size: int
-    lengths: list[int]
 
-
-def _measured(roster: DataFrame, prefix: str) -> _Roster:
-    # One number per distinct length comes back: never more than the width of a name column.
-    used = roster.where(F.length(prefix) > 0)
-    seen = used.agg(F.count(F.lit(1)).alias("size"), F.sort_array(F.collect_set(F.length(prefix))).alias("lengths")).first()
-    table = used.withColumn(_CUT, F.col(prefix))
-    return _Roster(F.broadcast(table) if seen["size"] <= FEW_PREFIXES else table, seen["size"], seen["lengths"])
+def _sized(roster: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(roster) if size <= FEW_PREFIXES else roster
 
 
 def _cuts(df: DataFrame, col: str, lengths: Iterable[int]) -> DataFrame:
@@ -51,32 +47,35 @@ def prefix_join(df: DataFrame, roster: DataFrame, col: str, prefix: str = "prefi
     a text that two prefixes match comes twice. keep="exists": each row once.
     Prefixes are plain text: '%' and '_' stand for themselves.
     """
-    columns = roster.columns
-    if keep == "exists":
-        roster = shortest_prefixes(roster.select(prefix).distinct(), prefix)
-    known = _measured(roster, prefix)
-    if not known.size:
+    size, lengths = _measured(roster, prefix)
+    if not size:
         empty = df.where(F.lit(False))
         if keep == "exists":
             return empty
         return empty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in roster.schema.fields])
-    cut = _cuts(df, col, known.lengths)
+    cut = _cuts(df, col, lengths)
     if keep == "exists":
         # No prefix left in the roster starts another, so a row matches once at most.
-        return cut.join(known.table.select(_CUT), _CUT, "left_semi").drop(_CUT)
-    if known.size > FEW_PREFIXES:
-        return Facts(cut).by(_CUT, Look(known.table, _CUT, "inner")).df.drop(_CUT)
-    return cut.join(known.table, _CUT, "inner").select(*df.columns, *columns)
+        short = _shortest(roster.select(prefix).distinct(), prefix, size, lengths)
+        return cut.join(_sized(short.select(F.col(prefix).alias(_CUT)), size), _CUT, "left_semi").drop(_CUT)
+    table = roster.withColumn(_CUT, F.col(prefix))
+    if size > FEW_PREFIXES:
+        return Facts(cut).by(_CUT, Look(table, _CUT, "inner")).df.drop(_CUT)
+    return cut.join(F.broadcast(table), _CUT, "inner").select(*df.columns, *roster.columns)
 
 
 def shortest_prefixes(roster: DataFrame, prefix: str = "prefix") -> DataFrame:
     """The prefixes that no other prefix in the roster starts."""
-    known = _measured(roster, prefix)
-    if not known.size:
+    return _shortest(roster, prefix, *_measured(roster, prefix))
+
+
+def _shortest(roster: DataFrame, prefix: str, size: int, lengths: list[int]) -> DataFrame:
+    if len(lengths) < 2:
         return roster
-    longer = _cuts(roster, prefix, known.lengths).where(F.length(_CUT) < F.length(prefix))
-    covered = longer.join(known.table.select(_CUT), _CUT, "left_semi").select(prefix).distinct()
-    return roster.join(covered, prefix, "left_anti")
+    longer = _cuts(roster, prefix, lengths).where(F.length(_CUT) < F.length(prefix))
+    starts = _sized(roster.select(F.col(prefix).alias(_CUT)), size)
+    covered = longer.join(starts, _CUT, "left_semi").select(prefix).distinct()
+    return roster.join(_sized(covered, size), prefix, "left_anti")
 
 
 def keyword_filter(df: DataFrame, keywords: Iterable[str], col: str) -> DataFrame:
