@@ -1,6 +1,4 @@
-SELECT CASE WHEN t1.hssvc = 'OBS' THEN 'OBS' ELSE 'inpatient' END AS section,
-       t1.hssvc, t1.patno, t1.pname, t1.isadate, t2.room, t2.bed, t2.nurst
-FROM patients t1
-LEFT JOIN rmbed t2 ON t1.patno = t2.pat_no
-WHERE t1.isadate = DATE '2024-01-19' AND t2.nurst <> 'NULL' AND t1.hssvc IS NOT NULL
-ORDER BY section, t1.hssvc
+WITH arrival AS (SELECT * FROM patients WHERE DATE '2024-01-20' - isadate = 1)
+SELECT if(hssvc = 'OBS', 'OBS', 'inpatient') AS section, hssvc, patno, pname, isadate, room, bed, nurst
+FROM rmbed JOIN arrival ON patno = pat_no
+WHERE nurst IS NOT NULL AND nurst <> 'NULL' AND hssvc IS NOT NULL

@@ -1,15 +1,9 @@
 WITH noted AS (
-  SELECT t1.patno
-  FROM patients t1
-  LEFT JOIN cdnotetb t2 ON t2.encid = t1.patno
-  LEFT JOIN cdnteatb t3 ON t2.encid = t3.enctrid AND t2.createby = t3.lstmodby AND t3.enctrid = t1.patno
-  LEFT JOIN rmbed t4 ON t4.pat_no = t1.patno
-  WHERE t1.isadate > DATE '2023-12-31' AND t2.titl LIKE 'Coronavirus%')
-SELECT CASE WHEN t1.nurst LIKE '%CCU%' THEN 'CCU' WHEN t1.nurst LIKE '%CDU%' THEN 'CDU' WHEN t1.nurst LIKE '%MCU%' THEN 'MCU'
-            WHEN t1.nurst LIKE '%PCU%' THEN 'PCU' WHEN t1.nurst LIKE '%SCUJ%' THEN 'SCUJ' ELSE 'SSU' END AS section,
-       t1.pat_no, t2.isadate, t1.nurst, t1.room, t1.bed
-FROM rmbed t1
-LEFT JOIN patients t2 ON t1.pat_no = t2.patno
-WHERE t1.nurst <> 'DIAG' AND t1.nurst <> 'NUR' AND t1.nurst <> 'WHBC' AND t1.nurst <> 'CVPR' AND t1.nurst <> 'EOP'
-  AND t1.pat_no > 0
-  AND t1.pat_no NOT IN (SELECT patno FROM noted)
+  SELECT patno FROM patients JOIN cdnotetb ON encid = patno
+  WHERE starts_with(titl, 'Coronavirus') AND isadate > DATE '2023-12-31'),
+listed AS (
+  SELECT pat_no, isadate, nurst, room, bed FROM rmbed LEFT JOIN patients ON patno = pat_no
+  WHERE pat_no > 0 AND nurst NOT IN ('DIAG', 'NUR', 'WHBC', 'CVPR', 'EOP')),
+unit AS (FROM (VALUES ('CCU', 1), ('CDU', 2), ('MCU', 3), ('PCU', 4), ('SCUJ', 5)) AS u(name, place))
+SELECT coalesce((SELECT arg_min(name, place) FROM unit WHERE contains(nurst, name)), 'SSU') AS section, listed.*
+FROM listed ANTI JOIN noted ON patno = pat_no

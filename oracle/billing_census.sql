@@ -1,7 +1,4 @@
-SELECT t1.isadate, t1.iatme, t1.isddate, t1.dtime, t1.pname, t1.age, t1.sex, t2.padr1, t1.dcstat, t1.diagn, t4.phname,
-       t4.nwdrnum, t1.hstnum, t1.patno, t1.isdob
-FROM patients t1
-JOIN pathist t2 ON t1.hstnum = t2.histn
-JOIN admreg t3 ON t1.patno = t3.patno AND t2.histn = t3.hstnum
-JOIN phymast t4 ON t4.nwdrnum = t3.nwdrnum
-WHERE t3.admhsv = 'EOP' AND t1.isadate = DATE '2024-01-19'
+WITH emergency AS (SELECT patno, hstnum, nwdrnum FROM admreg WHERE admhsv = 'EOP')
+SELECT isadate, iatme, isddate, dtime, pname, age, sex, padr1, dcstat, diagn, phname, nwdrnum, hstnum, patno, isdob
+FROM patients JOIN emergency USING (patno, hstnum) JOIN phymast USING (nwdrnum) JOIN pathist ON histn = hstnum
+WHERE DATE '2024-01-20' - isadate = 1

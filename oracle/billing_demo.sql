@@ -1,18 +1,21 @@
-SELECT t1.patno, t1.hstnum, t1.isadate, t1.isddate, t1.pname, t1.isdob, t1.sex, t2.race, t2.martl, t2.ssn, t2.padr1, t2.padr2,
-       t2.hcity, t2.zip, t2.harcd, t2.phone, t2.c1nam, t2.c1rel, t2.c1arc, t2.c1phn, t1.nwattphy, t5.phname, t1.nwrefdoc,
-       t5.phname AS phname_2, t1.diagn, t1.nwdocnum, t5.phname AS phname_3, t1.ains1, t1.apln1, t1.ains2, t1.apln2, t1.ains3,
-       t1.apln3,
-       t6.policy AS policy_1, t6.iname AS iname_1, t6.reln AS reln_1, t10.ibinam AS ibinam_1, t10.ibiadr AS ibiadr_1, t10.ibiad2 AS ibiad2_1, t10.ibicty AS ibicty_1, t10.ibstat AS ibstat_1, t10.ibarcd AS ibarcd_1, t10.ibphn1 AS ibphn1_1, t10.ibphn2 AS ibphn2_1, t10.ibizip AS ibizip_1,
-       t7.policy AS policy_2, t7.iname AS iname_2, t7.reln AS reln_2, t11.ibinam AS ibinam_2, t11.ibiadr AS ibiadr_2, t11.ibiad2 AS ibiad2_2, t11.ibicty AS ibicty_2, t11.ibstat AS ibstat_2, t11.ibarcd AS ibarcd_2, t11.ibphn1 AS ibphn1_2, t11.ibphn2 AS ibphn2_2, t11.ibizip AS ibizip_2,
-       t9.policy AS policy_3, t9.iname AS iname_3, t9.reln AS reln_3, t8.ibinam AS ibinam_3, t8.ibiadr AS ibiadr_3, t8.ibiad2 AS ibiad2_3, t8.ibicty AS ibicty_3, t8.ibstat AS ibstat_3, t8.ibarcd AS ibarcd_3, t8.ibphn1 AS ibphn1_3, t8.ibphn2 AS ibphn2_3, t8.ibizip AS ibizip_3
-FROM patients t1
-JOIN pathist t2 ON t2.histn = t1.hstnum
-JOIN phymast t5 ON t1.nwattphy = t5.nwdrnum
-JOIN admreg t12 ON t1.patno = t12.patno
-JOIN benefits t6 ON t1.patno = t6.patno AND t6.histn = t2.histn AND t2.ains1 = t6.insco AND t1.ains1 = t6.insco
-LEFT JOIN benefits t7 ON t1.patno = t7.patno AND t7.histn = t2.histn AND t2.ains2 = t7.insco AND t1.ains2 = t7.insco
-LEFT JOIN benefits t9 ON t1.patno = t9.patno AND t9.histn = t2.histn AND t2.ains3 = t9.insco
-JOIN benext t10 ON t6.patno = t10.patno AND t10.seqno = t6.seqno
-LEFT JOIN benext t11 ON t7.patno = t11.patno AND t11.seqno = t7.seqno
-LEFT JOIN benext t8 ON t9.patno = t8.patno AND t8.seqno = t9.seqno
-WHERE t12.admhsv = 'EOP' AND t1.isadate = DATE '2024-01-15'
+WITH insurance AS (
+  -- benefits with their extension; the extension decides only for the first one
+  SELECT benefits.patno, histn, insco, benext.patno IS NOT NULL AS extended, policy, iname, reln, ibinam, ibiadr, ibiad2, ibicty, ibstat, ibarcd, ibphn1, ibphn2, ibizip
+  FROM benefits LEFT JOIN benext ON benext.patno = benefits.patno AND benext.seqno = benefits.seqno),
+guest AS (
+  SELECT person.*, history.* EXCLUDE (ains1, ains2, ains3), phname,
+         person.ains1 AS own1, if(person.ains2 = history.ains2, person.ains2, NULL) AS own2, history.ains3 AS own3
+  FROM patients AS person JOIN pathist AS history ON histn = hstnum AND history.ains1 = person.ains1
+  JOIN phymast ON nwdrnum = nwattphy
+  WHERE isadate = DATE '2024-01-15')
+SELECT guest.patno, hstnum, isadate, isddate, pname, isdob, sex, race, martl, ssn, padr1, padr2, hcity, zip, harcd, phone,
+       c1nam, c1rel, c1arc, c1phn, nwattphy, phname, nwrefdoc, phname AS phname_2, diagn, nwdocnum, phname AS phname_3,
+       ains1, apln1, ains2, apln2, ains3, apln3,
+       i1.policy AS policy_1, i1.iname AS iname_1, i1.reln AS reln_1, i1.ibinam AS ibinam_1, i1.ibiadr AS ibiadr_1, i1.ibiad2 AS ibiad2_1, i1.ibicty AS ibicty_1, i1.ibstat AS ibstat_1, i1.ibarcd AS ibarcd_1, i1.ibphn1 AS ibphn1_1, i1.ibphn2 AS ibphn2_1, i1.ibizip AS ibizip_1,
+       i2.policy AS policy_2, i2.iname AS iname_2, i2.reln AS reln_2, i2.ibinam AS ibinam_2, i2.ibiadr AS ibiadr_2, i2.ibiad2 AS ibiad2_2, i2.ibicty AS ibicty_2, i2.ibstat AS ibstat_2, i2.ibarcd AS ibarcd_2, i2.ibphn1 AS ibphn1_2, i2.ibphn2 AS ibphn2_2, i2.ibizip AS ibizip_2,
+       i3.policy AS policy_3, i3.iname AS iname_3, i3.reln AS reln_3, i3.ibinam AS ibinam_3, i3.ibiadr AS ibiadr_3, i3.ibiad2 AS ibiad2_3, i3.ibicty AS ibicty_3, i3.ibstat AS ibstat_3, i3.ibarcd AS ibarcd_3, i3.ibphn1 AS ibphn1_3, i3.ibphn2 AS ibphn2_3, i3.ibizip AS ibizip_3
+FROM guest
+JOIN (SELECT patno AS registered FROM admreg WHERE admhsv = 'EOP') AS emergency ON registered = guest.patno
+JOIN insurance AS i1 ON i1.patno = guest.patno AND i1.histn = hstnum AND i1.insco = own1 AND i1.extended
+LEFT JOIN insurance AS i2 ON i2.patno = guest.patno AND i2.histn = hstnum AND i2.insco = own2
+LEFT JOIN insurance AS i3 ON i3.patno = guest.patno AND i3.histn = hstnum AND i3.insco = own3

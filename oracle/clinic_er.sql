@@ -1,8 +1,8 @@
-SELECT t1.pname, t1.isdob, t1.isadate, t1.iatme, t1.isddate, t5.dcdsc, t1.diagn, t2.phname
-FROM patients t1
-LEFT JOIN pathist t6 ON t1.hstnum = t6.histn
-LEFT JOIN phymast t2 ON t6.nwfdoc_no = t2.nwdrnum
-LEFT JOIN stathd t3 ON t1.hssvc = t3.svccd
-LEFT JOIN rmbed t4 ON t1.patno = t4.pat_no
-LEFT JOIN dsstat t5 ON t1.dcstat = t5.dcubs
-WHERE t6.nwfdoc_no IN (3, 7, 11, 15, 19, 23, 27, 31, 35, 39, 43, 47, 51, 55, 59) AND t1.hssvc = 'EOP' AND t1.isadate = DATE '2024-01-19'
+WITH person AS (
+  -- patients of the clinic's family doctors
+  SELECT patients.*, phname, dcdsc
+  FROM patients JOIN pathist ON histn = hstnum LEFT JOIN phymast ON nwdrnum = nwfdoc_no LEFT JOIN dsstat ON dcubs = dcstat
+  WHERE nwfdoc_no IN (SELECT range FROM range(3, 60, 4)))
+SELECT pname, isdob, isadate, iatme, isddate, dcdsc, diagn, phname
+FROM person LEFT JOIN stathd ON svccd = hssvc LEFT JOIN rmbed ON pat_no = patno
+WHERE hssvc = 'EOP' AND DATE '2024-01-20' - isadate = 1

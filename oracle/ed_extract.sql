@@ -1,11 +1,10 @@
-SELECT '2024-01-20T00:00:00Z' AS "TimeStamp",
-       CAST(t1.isadate AS VARCHAR) || 'T' || (CASE WHEN t1.iatme >= 0 AND t1.iatme // 100 < 24 AND t1.iatme % 100 < 60 THEN substr(lpad(CAST(t1.iatme AS VARCHAR), 4, '0'), 1, 2) || ':' || substr(lpad(CAST(t1.iatme AS VARCHAR), 4, '0'), 3, 2) || ':00' END) AS "RegistrationTimeStamp",
+WITH present_now AS (
+  SELECT patno, isadate, iatme, age, coalesce(trim(nurst) <> '', false) AS boarding
+  FROM patients LEFT JOIN rmbed ON pat_no = patno
+  WHERE nurst = 'EOP' OR (hssvc = 'EOP' AND isadate = DATE '2024-01-20' AND isddate <> DATE '2024-01-20'))
+SELECT '2024-01-20T00:00:00Z' AS "TimeStamp", CAST(isadate AS VARCHAR) || 'T' || (CASE WHEN iatme BETWEEN 0 AND 2359 AND iatme % 100 < 60 THEN format('{:02d}:{:02d}:00', iatme // 100, iatme % 100) END) AS "RegistrationTimeStamp",
        'General Hospital' AS "System", 'General Hospital' AS "Facility", '0000001' AS "FacilityID",
-       t2.nurst IS NOT NULL AND trim(t2.nurst) <> '' AS "isPatientBoarding",
-       CASE rtrim(r.rdrs) WHEN 'NOT DETECTED' THEN 'Negative' ELSE rtrim(r.rdrs) END AS "PatientCOVIDStatus",
-       CAST(t1.age AS VARCHAR) AS "patientAge"
-FROM patients t1
-LEFT JOIN rmbed t2 ON t1.patno = t2.pat_no
-JOIN rd r ON r.rdpt_no = t1.patno AND r.rdts LIKE '%COV%'
-WHERE t1.hssvc = 'EOP' AND t1.isadate = DATE '2024-01-20' AND t1.isddate <> DATE '2024-01-20'
-   OR t2.nurst = 'EOP'
+       boarding AS "isPatientBoarding", replace(rtrim(rdrs), 'NOT DETECTED', 'Negative') AS "PatientCOVIDStatus",
+       CAST(age AS VARCHAR) AS "patientAge"
+FROM present_now JOIN rd ON rdpt_no = patno
+WHERE contains(rdts, 'COV')

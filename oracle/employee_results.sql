@@ -1,7 +1,6 @@
-SELECT t1.iapnam, t2.harcd, t2.phone, t3.rdts, rtrim(t3.rdrs) AS rdrs, t4.osdate
-FROM indaccum t1
-LEFT JOIN pathist t2 ON t1.iahst_no = t2.histn
-LEFT JOIN rd t3 ON t1.iaord_no = t3.rdor_no AND t1.iaacct = t3.rdpt_no
-LEFT JOIN oeorder t4 ON t1.iaacct = t4.opat_no AND t1.iaord_no = t4.oord_no
-WHERE t4.optlst = 'MAIN' AND t3.rdts = 'COV-CM' AND t4.osdate = 240119
-ORDER BY t4.osdate
+WITH sent AS (
+  SELECT opat_no AS pat, oord_no AS ord, osdate FROM oeorder WHERE osdate = 240119 AND optlst = 'MAIN'),
+back AS (
+  SELECT rdpt_no AS pat, rdor_no AS ord, rdts, rtrim(rdrs) AS rdrs FROM rd WHERE rdts = 'COV-CM')
+SELECT iapnam, harcd, phone, rdts, rdrs, osdate
+FROM sent JOIN back USING (pat, ord) JOIN indaccum ON (iaacct, iaord_no) = (pat, ord) LEFT JOIN pathist ON histn = iahst_no

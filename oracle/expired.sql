@@ -1,7 +1,5 @@
-SELECT t1.hssvc, t1.patno, t1.pname, t1.age, t1.sex, t1.isadate, t1.iatme, t1.diagn, t1.isddate, t1.dtime, t3.dcsds,
-       t3.dcexp, t4.room, t4.bed
-FROM patients t1
-LEFT JOIN dsstat t3 ON t1.dcstat = t3.dcubs
-LEFT JOIN patrmbdp t4 ON t1.patno = t4.patn15
-WHERE t1.isddate = DATE '2024-01-19' AND t3.dcexp = 'Y' AND t4.recid = 'Y'
-ORDER BY t1.pname
+WITH dead AS (
+  SELECT * FROM patients JOIN dsstat ON dcubs = dcstat WHERE dcexp = 'Y' AND isddate = DATE '2024-01-19')
+SELECT hssvc, patno, pname, age, sex, isadate, iatme, diagn, isddate, dtime, dcsds, dcexp, place.room, place.bed
+FROM patrmbdp AS place JOIN dead ON patno = place.patn15
+WHERE place.recid = 'Y'

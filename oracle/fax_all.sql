@@ -1,7 +1,5 @@
-SELECT t1.flpt_no, t2.pname, t1.flor_no, t4.povdsc, t1.flrcpt, t1.flsphne, t1.flstat, CAST(t1.flidt AS DATE) AS "date", t1.flitm
-FROM rrfaxlog t1
-LEFT JOIN patients t2 ON t1.flpt_no = t2.patno
-LEFT JOIN oeorder t3 ON t1.flpt_no = t3.opat_no AND t1.flor_no = t3.oord_no
-LEFT JOIN oeproc t4 ON t3.oproc = t4.pproc
-WHERE t1.flidt = DATE '2024-01-19' AND t3.otodpt = 'LAB'
-ORDER BY t1.flidt
+WITH fax AS (
+  SELECT rrfaxlog.*, oproc FROM rrfaxlog JOIN oeorder ON (opat_no, oord_no) = (flpt_no, flor_no)
+  WHERE otodpt = 'LAB' AND DATE '2024-01-20' - flidt = 1)
+SELECT flpt_no, pname, flor_no, povdsc, flrcpt, flsphne, flstat, flidt AS "date", flitm
+FROM fax LEFT JOIN patients ON patno = flpt_no LEFT JOIN oeproc ON pproc = oproc

@@ -1,8 +1,4 @@
-SELECT t1.flstat, count(*) AS n
-FROM rrfaxlog t1
-LEFT JOIN patients t2 ON t1.flpt_no = t2.patno
-LEFT JOIN oeorder t3 ON t1.flpt_no = t3.opat_no AND t1.flor_no = t3.oord_no
-LEFT JOIN oeproc t4 ON t3.oproc = t4.pproc
-WHERE t1.flidt = DATE '2024-01-19' AND t3.otodpt = 'LAB' AND t1.flstat IS NOT NULL
-GROUP BY t1.flstat
-ORDER BY n DESC
+WITH fax AS (
+  SELECT rrfaxlog.*, oproc FROM rrfaxlog JOIN oeorder ON (opat_no, oord_no) = (flpt_no, flor_no)
+  WHERE otodpt = 'LAB' AND DATE '2024-01-20' - flidt = 1)
+SELECT flstat, count(flstat) AS n FROM fax GROUP BY flstat HAVING count(flstat) > 0

@@ -1,12 +1,11 @@
-SELECT count(t1.oproc) AS oproc, count(t5.hssvc) AS hssvc, count(t2.patno) AS patient, count(t2.pname) AS pname,
-       count(t5.isadate) AS isadate, count(t3.room) AS room, count(t3.bed) AS bed, count(t3.nurst) AS nurst,
-       count(t1.osdate) AS osdate, count(t4.stdsc) AS stdsc, count(t6.rdrs) AS rdrs
-FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN rmbed t3 ON t1.opat_no = t3.pat_no AND t2.patno = t3.pat_no
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN patients t5 ON t1.opat_no = t5.patno
-LEFT JOIN rd t6 ON t1.opat_no = t6.rdpt_no AND t1.oord_no = t6.rdor_no
-WHERE t1.oproc = 'INFLUPCR' AND rtrim(t6.rdrs) <> '' AND rtrim(t6.rdrs) = 'POSITIVE' AND t5.hssvc <> 'EOP'
-    AND t4.stdsc <> 'CANCELLED' AND t3.nurst <> 'NULL'
-    AND t3.nurst = 'CCU'
+WITH positive AS (
+  -- one row per positive result of a virus order, with whatever is known of patient, bed and status
+  SELECT oproc, osdate, stdsc, rtrim(rdrs) AS rdrs, patno AS patient, pname, hssvc, isadate, nurst, room, bed
+  FROM oeorder JOIN rd ON (rdpt_no, rdor_no) = (opat_no, oord_no)
+  LEFT JOIN patients ON patno = opat_no LEFT JOIN rmbed ON pat_no = opat_no LEFT JOIN oeostat ON stat_no = ostat
+  WHERE rtrim(rdrs) = 'POSITIVE' OR starts_with(rdrs, 'POS SARS'))
+SELECT count(oproc) AS oproc, count(hssvc) AS hssvc, count(patient) AS patient, count(pname) AS pname, count(isadate) AS isadate,
+       count(room) AS room, count(bed) AS bed, count(nurst) AS nurst, count(osdate) AS osdate, count(stdsc) AS stdsc,
+       count(rdrs) AS rdrs
+FROM positive
+WHERE oproc = 'INFLUPCR' AND rdrs = 'POSITIVE' AND hssvc <> 'EOP' AND stdsc <> 'CANCELLED' AND nurst <> 'NULL' AND nurst = 'CCU'

@@ -1,54 +1,13 @@
-SELECT t1.patno AS Med_Rec_No,
-       t1.hstnum AS Acct_No,
-       t1.isdob AS Date_Of_Birth,
-       t1.sex AS Gender,
-       t1.fincl AS FinancialClass_code,
-       t2.fdesc AS FinancialClass_Def,
-       CAST(NULL AS VARCHAR) AS ED_Arrival_Date,
-       CAST(NULL AS VARCHAR) AS ED_Arrival_Time,
-       CAST(NULL AS VARCHAR) AS ED_Dispo_Date,
-       CAST(NULL AS VARCHAR) AS ED_Dispo_Time,
-       CAST(NULL AS VARCHAR) AS ED_Depart_Time,
-       t1.isadate AS Admiss_Date,
-       CASE WHEN length(CAST(t1.iatme AS VARCHAR)) < 4 THEN lpad(CAST(t1.iatme AS VARCHAR), 4, '0') ELSE CAST(t1.iatme AS VARCHAR) END AS Admiss_Time,
-       CAST(NULL AS VARCHAR) AS Admiss_From_Code,
-       t3.arrvd AS Admiss_From_Definition,
-       t1.isddate AS Discharge_Date,
-       t1.dtime AS Discharge_Time,
-       t5.phname AS Admitting_Phys,
-       t6.phname AS Attending_Phys,
-       split_part(t8.odobtx, '{', 1) AS Discharging_Phys,
-       t7.oedate AS DC_Order_Date,
-       t7.oetime AS DC_Order_Time,
-       CAST(NULL AS VARCHAR) AS DC_Dispo_Code,
-       t7.oproc AS DC_Dispo_Def,
-       CAST(NULL AS VARCHAR) AS Discharge_Unit,
-       t1.drg AS MSDRG_code,
-       t4.drgdes AS MSDRG_Code_Des,
-       CAST(NULL AS VARCHAR) AS APRDRG_Code,
-       CAST(NULL AS VARCHAR) AS APRDRG_Desc,
-       t1.diag9 AS ICD1,
-       CAST(NULL AS VARCHAR) AS ICD2,
-       CAST(NULL AS VARCHAR) AS ICD3,
-       CASE WHEN t1.isddate <> DATE '0001-01-01' THEN date_diff('day', t1.isadate, t1.isddate) END AS LengthOfStay,
-       t3.admhsv AS PtStatus_Admission,
-       t3.dischsv AS PtStatus_Dicharge,
-       CAST(NULL AS VARCHAR) AS ICU_Stay,
-       CAST(NULL AS VARCHAR) AS Cost_Total,
-       CAST(NULL AS VARCHAR) AS Cost_Direct_Rad,
-       CAST(NULL AS VARCHAR) AS Cost_Direct_Pharm,
-       CAST(NULL AS VARCHAR) AS Cost_Direct_Lab
-FROM patients t1
-LEFT JOIN fcdesc t2 ON t1.fincl = t2.fcfincl
-LEFT JOIN admreg t3 ON t1.patno = t3.patno AND t1.hstnum = t3.hstnum
-LEFT JOIN drgdesc t4 ON t1.drg = t4.drg
-LEFT JOIN phymast t5 ON t1.nwrefdoc = t5.nwdrnum
-LEFT JOIN phymast t6 ON t1.nwattphy = t6.nwdrnum
-LEFT JOIN oeorder t7 ON t3.patno = t7.opat_no
-LEFT JOIN username t8 ON t7.ouser = t8.odobnm
-WHERE (t1.isadate >= DATE '2023-12-19' AND t1.hssvc NOT IN ('RAD', 'CAT', 'BBN', 'NUR', 'RE2', 'INF', 'LAB')
-   AND t1.nwattphy IN (SELECT range FROM range(1, 80, 3)) AND t7.oproc IN ('DCLTCH', 'DCHOSPM', 'DCSTGHIC', 'DCAIRF', 'DCHOME', 'DCHOMEHH', 'DCHOSP', 'DCICF', 'DCIPR', 'DCSNF', 'DCACF', 'DCFAC',
-     'DCHWHH', 'DCIHOSP', 'DCOTH'))
-   OR (t1.nwattphy IN (SELECT range FROM range(1, 80, 3)) AND t7.oedate >= 231219 AND t1.hssvc NOT IN ('RAD', 'CAT', 'BBN', 'NUR', 'RE2', 'INF', 'LAB')
-   AND t7.ouser IN (SELECT 'USER' || range FROM range(0, 1000, 9)) AND t7.oproc IN ('DCLTCH', 'DCHOSPM', 'DCSTGHIC', 'DCAIRF', 'DCHOME', 'DCHOMEHH', 'DCHOSP', 'DCICF', 'DCIPR', 'DCSNF', 'DCACF', 'DCFAC',
-     'DCHWHH', 'DCIHOSP', 'DCOTH'))
+WITH discharge AS (
+  SELECT *, ouser IN (SELECT 'USER' || range FROM range(0, 1000, 9)) AS by_roster FROM oeorder
+  WHERE oproc IN ('DCLTCH', 'DCHOSPM', 'DCSTGHIC', 'DCAIRF', 'DCHOME', 'DCHOMEHH', 'DCHOSP', 'DCICF', 'DCIPR', 'DCSNF', 'DCACF',
+                  'DCFAC', 'DCHWHH', 'DCIHOSP', 'DCOTH')),
+stay AS (
+  SELECT patients.*, arrvd, admhsv, dischsv FROM patients JOIN admreg USING (patno, hstnum)
+  WHERE nwattphy IN (SELECT range FROM range(1, 80, 3)) AND hssvc NOT IN ('RAD', 'CAT', 'BBN', 'NUR', 'RE2', 'INF', 'LAB'))
+SELECT patno AS Med_Rec_No, hstnum AS Acct_No, isdob AS Date_Of_Birth, sex AS Gender, fincl AS FinancialClass_code, fdesc AS FinancialClass_Def, isadate AS Admiss_Date, if(iatme < 1000, right('000' || CAST(iatme AS VARCHAR), 4), CAST(iatme AS VARCHAR)) AS Admiss_Time, arrvd AS Admiss_From_Definition, isddate AS Discharge_Date, dtime AS Discharge_Time, referring.phname AS Admitting_Phys, attending.phname AS Attending_Phys, split_part(odobtx, '{', 1) AS Discharging_Phys, oedate AS DC_Order_Date, oetime AS DC_Order_Time, oproc AS DC_Dispo_Def, drg AS MSDRG_code, drgdes AS MSDRG_Code_Des, diag9 AS ICD1, if(isddate = DATE '0001-01-01', NULL, isddate - isadate) AS LengthOfStay, admhsv AS PtStatus_Admission, dischsv AS PtStatus_Dicharge,
+       CAST(NULL AS VARCHAR) AS ED_Arrival_Date, CAST(NULL AS VARCHAR) AS ED_Arrival_Time, CAST(NULL AS VARCHAR) AS ED_Dispo_Date, CAST(NULL AS VARCHAR) AS ED_Dispo_Time, CAST(NULL AS VARCHAR) AS ED_Depart_Time, CAST(NULL AS VARCHAR) AS Admiss_From_Code, CAST(NULL AS VARCHAR) AS DC_Dispo_Code, CAST(NULL AS VARCHAR) AS Discharge_Unit, CAST(NULL AS VARCHAR) AS APRDRG_Code, CAST(NULL AS VARCHAR) AS APRDRG_Desc, CAST(NULL AS VARCHAR) AS ICD2, CAST(NULL AS VARCHAR) AS ICD3, CAST(NULL AS VARCHAR) AS ICU_Stay, CAST(NULL AS VARCHAR) AS Cost_Total, CAST(NULL AS VARCHAR) AS Cost_Direct_Rad, CAST(NULL AS VARCHAR) AS Cost_Direct_Pharm, CAST(NULL AS VARCHAR) AS Cost_Direct_Lab
+FROM discharge JOIN stay ON patno = opat_no
+LEFT JOIN phymast AS referring ON referring.nwdrnum = nwrefdoc LEFT JOIN phymast AS attending ON attending.nwdrnum = nwattphy
+LEFT JOIN fcdesc ON fcfincl = fincl LEFT JOIN drgdesc USING (drg) LEFT JOIN username ON odobnm = ouser
+WHERE DATE '2024-01-20' - isadate <= 32 OR (by_roster AND oedate >= 231219)

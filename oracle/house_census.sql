@@ -1,6 +1,5 @@
-SELECT t1.nurst, t1.room, t1.bed, t1.observ, t2.pname, t2.age, t2.diagn, t3.phname
-FROM rmbed t1
-LEFT JOIN patients t2 ON t1.pat_no = t2.patno
-LEFT JOIN phymast t3 ON t2.nwdocnum = t3.nwdrnum
-WHERE t1.nurst <> 'SSU' AND t1.nurst <> 'EOP' AND t1.pat_no > 0
-ORDER BY t1.nurst
+WITH person AS (
+  SELECT patients.*, phymast.phname FROM patients LEFT JOIN phymast ON nwdrnum = nwdocnum)
+SELECT nurst, room, bed, observ, pname, age, diagn, phname
+FROM rmbed LEFT JOIN person ON patno = pat_no
+WHERE pat_no > 0 AND nurst NOT IN ('SSU', 'EOP')

@@ -1,10 +1,7 @@
-SELECT t1.nurst, t1.room || '-' || t1.bed AS rb, t4.isadate, t1.pat_no, t4.pname, t2.trrecdt, t2.trrecval, t2.trcom
-FROM rmbed t1
-LEFT JOIN nctrn t2 ON t1.pat_no = t2.trpat_no
-LEFT JOIN ncprm t3 ON t2.trprmid = t3.prid
-LEFT JOIN patients t4 ON t1.pat_no = t4.patno
-WHERE t1.nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'MCU', 'CCU')
-  AND t2.trprmid IN ('Q0000000382', 'Q0000004576') AND t3.prsts = 'A'
-  AND t2.trrecval NOT IN ('Voiding', 'Incontinent', 'Other-See Comment', 'Straight Catheter')
-  AND t2.trrecdt BETWEEN DATE '2024-01-19' AND DATE '2024-01-20'
-ORDER BY t1.nurst, t2.trrecdt
+WITH entry AS (
+  SELECT nctrn.*, prval, prds FROM nctrn JOIN ncprm ON prid = trprmid WHERE prsts = 'A')
+SELECT nurst, room || '-' || bed AS rb, isadate, pat_no, pname, trrecdt, trrecval, trcom
+FROM entry JOIN rmbed ON pat_no = trpat_no LEFT JOIN patients ON patno = trpat_no
+WHERE trprmid IN ('Q0000000382', 'Q0000004576') AND nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')
+  AND trrecval NOT IN ('Voiding', 'Incontinent', 'Other-See Comment', 'Straight Catheter')
+  AND trrecdt >= TIMESTAMP '2024-01-19 00:00:00' AND trrecdt <= TIMESTAMP '2024-01-20 00:00:00'

@@ -1,10 +1,7 @@
-SELECT t1.nurst, t1.room || '-' || t1.bed AS rmbed, t1.pat_no, t2.pname, t3.trrecval, t3.trrecdt
-FROM rmbed t1
-JOIN patients t2 ON t1.pat_no = t2.patno
-JOIN nctrn t3 ON t3.trpat_no = t1.pat_no
-JOIN ncprm t4 ON t3.trprmid = t4.prid
-WHERE t1.nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')
-  AND t3.trprmid = 'Q0000005455' AND t4.prsts = 'A'
-  AND t3.trrecval <> 'Standard Isolation - Universal Precautions'
-  AND CAST(t3.trrecdt AS DATE) = DATE '2024-01-19' AND CAST(t3.trrecdt AS TIME) >= TIME '16:00:01'
-ORDER BY t1.nurst, rmbed
+WITH entry AS (
+  SELECT nctrn.*, prval, prds FROM nctrn JOIN ncprm ON prid = trprmid WHERE prsts = 'A')
+SELECT nurst, room || '-' || bed AS rmbed, pat_no, pname, trrecval, trrecdt
+FROM entry JOIN rmbed ON pat_no = trpat_no JOIN patients ON patno = pat_no
+WHERE trprmid = 'Q0000005455' AND nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')
+  AND NOT trrecval = 'Standard Isolation - Universal Precautions'
+  AND trrecdt >= TIMESTAMP '2024-01-19 16:00:01' AND trrecdt < TIMESTAMP '2024-01-20 00:00:00'

@@ -1,20 +1,23 @@
-SELECT t1.nurst, t1.room || '-' || t1.bed AS rb, t4.isadate, t1.pat_no, t4.pname, t2.trrecdt, t3.prval, t2.trrecval, t2.trcom
-FROM rmbed t1
-LEFT JOIN nctrn t2 ON t1.pat_no = t2.trpat_no
-LEFT JOIN ncprm t3 ON t2.trprmid = t3.prid
-LEFT JOIN patients t4 ON t1.pat_no = t4.patno
-WHERE t1.nurst IN ('SCUJ', 'WHBC', 'PCU', 'MCU', 'CCU', 'CDU')
-  AND t2.trprmid IN ('Q0000000163', 'Q0000004054', 'Q0000000168', 'Q0000000169', 'Q0000000667', 'Q0000000672', 'Q0000004013',
-                     'Q0000004035', 'Q0000004027', 'Q0000003057')
-  AND t4.isadate <> DATE '0001-01-01' AND t3.prsts = 'A'
-  AND t2.trrecval NOT IN ('Peripheral;Saline Lock', 'Peripheral;Double Lumen', 'Peripheral', 'Peripheral;Saline Lock;Single Lumen',
-      'Peripheral;Single Lumen', 'Peripheral;Saline Lock;Double Lumen', 'Saline Lock')
-  AND rtrim(t2.trrecval) <> ''
-  AND t4.isddate = DATE '0001-01-01'
-  AND t2.trrecdt BETWEEN DATE '2024-01-19' AND DATE '2024-01-20'
-  OR t1.nurst IN ('MCU', 'CCU', 'PCU', 'SCUJ', 'WHBC')
-  AND t3.prsts = 'A' AND t4.isadate <> DATE '0001-01-01'
-  AND t2.trprmid IN ('Q0000004066', 'Q0000004049', 'Q0000003057', 'Q0000004030')
-  AND t4.isddate = DATE '0001-01-01'
-  AND t2.trrecdt BETWEEN DATE '2024-01-19' AND DATE '2024-01-20'
-ORDER BY t1.nurst, t1.pat_no, t2.trrecdt
+WITH entry AS (
+  SELECT nctrn.*, prval, prds FROM nctrn JOIN ncprm ON prid = trprmid WHERE prsts = 'A'),
+in_house AS (
+  SELECT * FROM entry JOIN rmbed ON pat_no = trpat_no JOIN patients ON patno = trpat_no
+  WHERE isddate = DATE '0001-01-01' AND isadate <> DATE '0001-01-01'
+    AND trrecdt >= TIMESTAMP '2024-01-19 00:00:00' AND trrecdt <= TIMESTAMP '2024-01-20 00:00:00'),
+central AS (
+  SELECT * FROM in_house
+  WHERE nurst IN ('SCUJ', 'WHBC', 'PCU', 'MCU', 'CCU', 'CDU')
+    AND trprmid IN ('Q0000000163', 'Q0000004054', 'Q0000000168', 'Q0000000169', 'Q0000000667', 'Q0000000672', 'Q0000004013',
+                    'Q0000004035', 'Q0000004027', 'Q0000003057')
+    AND trim(trrecval) <> '' AND NOT trrecval IN ('Peripheral;Saline Lock', 'Peripheral;Double Lumen', 'Peripheral', 'Peripheral;Saline Lock;Single Lumen',
+      'Peripheral;Single Lumen', 'Peripheral;Saline Lock;Double Lumen', 'Saline Lock')),
+dressing AS (
+  SELECT * FROM in_house
+  WHERE nurst IN ('MCU', 'CCU', 'PCU', 'SCUJ', 'WHBC')
+    AND trprmid IN ('Q0000004066', 'Q0000004049', 'Q0000003057', 'Q0000004030'))
+SELECT nurst, room || '-' || bed AS rb, isadate, pat_no, pname, trrecdt, prval, trrecval, trcom
+FROM (SELECT * FROM central
+      UNION ALL
+      -- rows of both kinds count once; a record is told by patient, time, parameter and bed
+      SELECT * FROM dressing
+      WHERE (trpat_no, trrecdt, trprmid, room, bed) NOT IN (SELECT (trpat_no, trrecdt, trprmid, room, bed) FROM central)) AS lines

@@ -1,5 +1,3 @@
-SELECT t1.patno, t1.isddate, t1.hssvc, t2.ciinfctn, t2.ciiddte, t2.cirecdte, t2.ciresdte, t2.ciresby, t2.cistscd, t2.cicmmt
-FROM patients t1
-JOIN chpdrip t2 ON t1.patno = t2.cipat_no
-WHERE t1.isddate = DATE '2024-01-19'
-  AND t1.hssvc IN ('MIP', 'SIP', 'ICU', 'CCU', 'OBS', 'BBN', 'NUR', 'OBI', 'GYN')
+SELECT patno, isddate, hssvc, ciinfctn, ciiddte, cirecdte, ciresdte, ciresby, cistscd, cicmmt
+FROM chpdrip JOIN patients ON patno = cipat_no
+WHERE DATE '2024-01-20' - isddate = 1 AND hssvc IN ('MIP', 'SIP', 'ICU', 'CCU', 'OBS', 'BBN', 'NUR', 'OBI', 'GYN')

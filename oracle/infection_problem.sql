@@ -1,6 +1,3 @@
-SELECT t1.nurst, t1.room, t1.bed, t2.dthpatno, t3.pname, t2.dthresp, t2.dthdttm
-FROM rmbed t1
-LEFT JOIN chpdtaph t2 ON t1.pat_no = t2.dthpatno
-LEFT JOIN patients t3 ON t2.dthpatno = t3.patno
-WHERE t2.dthresp = 'Isolation' AND t1.nurst <> ''
-ORDER BY t1.nurst, t1.room, t1.bed
+SELECT nurst, room, bed, dthpatno, pname, dthresp, dthdttm
+FROM chpdtaph JOIN rmbed ON pat_no = dthpatno LEFT JOIN patients ON patno = dthpatno
+WHERE dthresp = 'Isolation' AND length(trim(nurst)) > 0

@@ -1,10 +1,7 @@
-SELECT t1.nurst, t1.room, t1.bed, t2.patno, t2.pname, t2.age, t3.trrecdt, t4.prds, t3.trrecval, t3.trusr
-FROM rmbed t1
-LEFT JOIN patients t2 ON t1.pat_no = t2.patno
-LEFT JOIN nctrn t3 ON t1.pat_no = t3.trpat_no
-LEFT JOIN ncprm t4 ON t3.trprmid = t4.prid
-WHERE t1.nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')
-  AND t3.trprmid IN ('Q0000000124', 'Q0000000113') AND t4.prsts = 'A'
-  AND rtrim(substr(t3.trrecval, 1, 3)) IN ('No', '', 'Una', 'Unr')
-  AND CAST(t3.trrecdt AS DATE) = DATE '2024-01-19'
-ORDER BY t1.nurst, t1.room, t1.bed, t4.prds
+WITH entry AS (
+  SELECT nctrn.*, prval, prds FROM nctrn JOIN ncprm ON prid = trprmid WHERE prsts = 'A')
+SELECT nurst, room, bed, patno, pname, age, trrecdt, prds, trrecval, trusr
+FROM entry JOIN rmbed ON pat_no = trpat_no LEFT JOIN patients ON patno = trpat_no
+WHERE trprmid IN ('Q0000000124', 'Q0000000113') AND nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')
+  AND trim(left(trrecval, 3)) IN ('No', '', 'Una', 'Unr')
+  AND trrecdt >= TIMESTAMP '2024-01-19 00:00:00' AND trrecdt < TIMESTAMP '2024-01-20 00:00:00'

@@ -1,11 +1,12 @@
-SELECT t7.rmxrf AS acc, t2.stdsc AS status, t6.povdsc AS test, t1.orflag AS p, t3.rhiscldt, t3.rhcltm, t3.rhisrcdt, t3.rhrctm,
-       t4.pname AS name, t4.patno, t5.nurst, t5.room, t5.bed
-FROM oeorder t1
-LEFT JOIN oeostat t2 ON t1.ostat = t2.stat_no
-LEFT JOIN rh t3 ON t1.opat_no = t3.rhpt_no AND t1.oord_no = t3.rhor_no
-LEFT JOIN patients t4 ON t1.opat_no = t4.patno
-LEFT JOIN rmbed t5 ON t1.opat_no = t5.pat_no AND t4.patno = t5.pat_no
-LEFT JOIN rmtor t7 ON t1.opat_no = t7.rmpt_no AND t1.oord_no = t7.rmor_no
-LEFT JOIN oeproc t6 ON t1.oproc = t6.pproc
-WHERE t1.osdate >= 240119 AND t1.otodpt = 'LAB' AND t1.orflag <> '1'
-ORDER BY t5.nurst
+WITH open_order AS (
+  SELECT * FROM oeorder WHERE otodpt = 'LAB' AND osdate >= 240119 AND orflag <> '1'),
+person AS (
+  SELECT patno, pname, nurst, room, bed FROM patients LEFT JOIN rmbed ON pat_no = patno)
+SELECT rmxrf AS acc, stdsc AS status, povdsc AS test, orflag AS p, rhiscldt, rhcltm, rhisrcdt, rhrctm, pname AS name, patno,
+       nurst, room, bed
+FROM open_order
+LEFT JOIN rh ON (rhpt_no, rhor_no) = (opat_no, oord_no)
+LEFT JOIN rmtor ON (rmpt_no, rmor_no) = (opat_no, oord_no)
+LEFT JOIN person ON patno = opat_no
+LEFT JOIN oeostat ON stat_no = ostat
+LEFT JOIN oeproc ON pproc = oproc

@@ -1,14 +1,8 @@
-SELECT t2.opty, t2.oproc, t3.nurst, t2.oord_no, t2.opat_no, t2.osdate,
-       CASE WHEN t2.ostime >= 0 AND t2.ostime // 100 < 24 AND t2.ostime % 100 < 60 THEN substr(lpad(CAST(t2.ostime AS VARCHAR), 4, '0'), 1, 2) || ':' || substr(lpad(CAST(t2.ostime AS VARCHAR), 4, '0'), 3, 2) || ':00' END AS stime,
-       t1.rhiscldt,
-       CASE WHEN t1.rhcltm >= 0 AND t1.rhcltm // 100 < 24 AND t1.rhcltm % 100 < 60 THEN substr(lpad(CAST(t1.rhcltm AS VARCHAR), 4, '0'), 1, 2) || ':' || substr(lpad(CAST(t1.rhcltm AS VARCHAR), 4, '0'), 3, 2) || ':00' END AS ctime,
-       t1.rhtc, t1.rhisrndt,
-       CASE WHEN t1.rhrntm >= 0 AND t1.rhrntm // 100 < 24 AND t1.rhrntm % 100 < 60 THEN substr(lpad(CAST(t1.rhrntm AS VARCHAR), 4, '0'), 1, 2) || ':' || substr(lpad(CAST(t1.rhrntm AS VARCHAR), 4, '0'), 3, 2) || ':00' END AS rtime,
-       t1.rhisvfdt,
-       CASE WHEN t1.rhvftm >= 0 AND t1.rhvftm // 100 < 24 AND t1.rhvftm % 100 < 60 THEN substr(lpad(CAST(t1.rhvftm AS VARCHAR), 4, '0'), 1, 2) || ':' || substr(lpad(CAST(t1.rhvftm AS VARCHAR), 4, '0'), 3, 2) || ':00' END AS vtime,
-       t1.rhrcby
-FROM rh t1
-LEFT JOIN oeorder t2 ON t1.rhpt_no = t2.opat_no AND t1.rhor_no = t2.oord_no
-LEFT JOIN rmbed t3 ON t1.rhpt_no = t3.pat_no AND t2.opat_no = t3.pat_no
-WHERE t2.osdate = 240120 AND t2.ostime <= 400 AND t2.otodpt <> 'RAD'
-ORDER BY t3.nurst, stime
+WITH early AS (
+  SELECT * FROM oeorder WHERE osdate = 240120 AND ostime <= 400 AND otodpt <> 'RAD')
+SELECT opty, oproc, nurst, oord_no, opat_no, osdate, rhiscldt, rhtc, rhisrndt, rhisvfdt, rhrcby,
+       CASE WHEN ostime BETWEEN 0 AND 2359 AND ostime % 100 < 60 THEN format('{:02d}:{:02d}:00', ostime // 100, ostime % 100) END AS stime,
+       CASE WHEN rhcltm BETWEEN 0 AND 2359 AND rhcltm % 100 < 60 THEN format('{:02d}:{:02d}:00', rhcltm // 100, rhcltm % 100) END AS ctime,
+       CASE WHEN rhrntm BETWEEN 0 AND 2359 AND rhrntm % 100 < 60 THEN format('{:02d}:{:02d}:00', rhrntm // 100, rhrntm % 100) END AS rtime,
+       CASE WHEN rhvftm BETWEEN 0 AND 2359 AND rhvftm % 100 < 60 THEN format('{:02d}:{:02d}:00', rhvftm // 100, rhvftm % 100) END AS vtime
+FROM early JOIN rh ON (rhpt_no, rhor_no) = (opat_no, oord_no) LEFT JOIN rmbed ON pat_no = opat_no

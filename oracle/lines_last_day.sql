@@ -1,11 +1,8 @@
-SELECT t1.nurst, t1.room, t1.bed, t4.isadate, t1.pat_no, t4.pname, t2.trrecdt, t3.prval, t2.trrecval
-FROM rmbed t1
-LEFT JOIN nctrn t2 ON t1.pat_no = t2.trpat_no
-LEFT JOIN ncprm t3 ON t2.trprmid = t3.prid
-LEFT JOIN patients t4 ON t1.pat_no = t4.patno
-WHERE t1.nurst IN ('SCUJ', 'WHBC', 'PCU', 'MCU', 'CCU', 'CDU')
-  AND t3.prsts = 'A'
-  AND t2.trprmid IN ('Q0000000163', 'Q0000004013', 'Q0000003057', 'Q0000000169', 'Q0000000168', 'Q0000000667', 'Q0000000672')
-  AND t2.trrecval NOT IN ('Peripheral;Saline Lock', 'Peripheral;Double Lumen', 'Peripheral', 'Peripheral;Saline Lock;Single Lumen',
+WITH entry AS (
+  SELECT nctrn.*, prval, prds FROM nctrn JOIN ncprm ON prid = trprmid WHERE prsts = 'A')
+SELECT nurst, room, bed, isadate, pat_no, pname, trrecdt, prval, trrecval
+FROM entry JOIN rmbed ON pat_no = trpat_no LEFT JOIN patients ON patno = trpat_no
+WHERE trrecdt >= TIMESTAMP '2024-01-19 00:00:00' AND nurst IN ('SCUJ', 'WHBC', 'PCU', 'MCU', 'CCU', 'CDU')
+  AND trprmid IN ('Q0000000163', 'Q0000004013', 'Q0000003057', 'Q0000000169', 'Q0000000168', 'Q0000000667', 'Q0000000672')
+  AND NOT trrecval IN ('Peripheral;Saline Lock', 'Peripheral;Double Lumen', 'Peripheral', 'Peripheral;Saline Lock;Single Lumen',
       'Peripheral;Single Lumen', 'Peripheral;Saline Lock;Double Lumen', 'Saline Lock')
-  AND t2.trrecdt >= DATE '2024-01-19'

@@ -1,10 +1,7 @@
-SELECT t1.nurst, t1.room, t1.bed, t2.pname, t2.patno
-FROM rmbed t1
-JOIN patients t2 ON t1.pat_no = t2.patno
-WHERE t2.hssvc IN ('MIP', 'SIP', 'OBS', 'OBI', 'NUR', 'BBN', 'ICU', 'CCU')
-  AND NOT EXISTS (
-    SELECT 1 FROM oeorder t3
-    WHERE t3.opat_no = t2.patno
-      AND t3.oproc IN ('ADMHOSP', 'ADMIPB1R', 'ADMIPOPR', 'ADMIP2DR', 'ADMITIP', 'ADMOBINP', 'ADMOBOBS', 'IPSCU', 'OBSERV',
-                       'ERINPT', 'EROBS'))
-ORDER BY t1.nurst
+WITH admitted AS (
+  SELECT DISTINCT opat_no FROM oeorder
+  WHERE oproc IN ('ADMHOSP', 'ADMIPB1R', 'ADMIPOPR', 'ADMIP2DR', 'ADMITIP', 'ADMOBINP', 'ADMOBOBS', 'IPSCU', 'OBSERV',
+                  'ERINPT', 'EROBS'))
+SELECT nurst, room, bed, pname, patno
+FROM rmbed JOIN patients ON patno = pat_no ANTI JOIN admitted ON opat_no = pat_no
+WHERE hssvc IN ('MIP', 'SIP', 'OBS', 'OBI', 'NUR', 'BBN', 'ICU', 'CCU')

@@ -1,16 +1,14 @@
+WITH missing AS (
+SELECT nurst, room, bed, pname, patno
+FROM rmbed JOIN patients ON patno = pat_no
+WHERE pat_no NOT IN (
+  SELECT DISTINCT opat_no FROM oeorder
+  WHERE oproc IN ('ADMHOSP', 'ADMIPB1R', 'ADMIPOPR', 'ADMIP2DR', 'ADMITIP', 'ADMOBINP', 'ADMOBOBS', 'IPSCU', 'OBSERV',
+                  'ERINPT', 'EROBS'))
+  AND hssvc IN ('MIP', 'SIP', 'OBS', 'OBI', 'NUR', 'BBN', 'ICU', 'CCU'))
 SELECT unnest(['MISSING ADMIT ORDERS For 2024-01-20', '===============================================', '', '',
   'Nurse St      Room         Bed     Patient Name             Account Number', '']) AS value
 UNION ALL
-SELECT coalesce(nurst, 'None') || '      ' || coalesce(room, 'None') || '         ' || coalesce(bed, 'None') || '     '
-  || coalesce(pname, 'None') || '             ' || CAST(patno AS VARCHAR)
-FROM (
-SELECT t1.nurst, t1.room, t1.bed, t2.pname, t2.patno
-FROM rmbed t1
-JOIN patients t2 ON t1.pat_no = t2.patno
-WHERE t2.hssvc IN ('MIP', 'SIP', 'OBS', 'OBI', 'NUR', 'BBN', 'ICU', 'CCU')
-  AND NOT EXISTS (
-    SELECT 1 FROM oeorder t3
-    WHERE t3.opat_no = t2.patno
-      AND t3.oproc IN ('ADMHOSP', 'ADMIPB1R', 'ADMIPOPR', 'ADMIP2DR', 'ADMITIP', 'ADMOBINP', 'ADMOBOBS', 'IPSCU', 'OBSERV',
-                       'ERINPT', 'EROBS'))
-) missing
+SELECT concat(ifnull(nurst, 'None'), repeat(' ', 6), ifnull(room, 'None'), repeat(' ', 9), ifnull(bed, 'None'), repeat(' ', 5),
+              ifnull(pname, 'None'), repeat(' ', 13), patno)
+FROM missing

@@ -1,13 +1,11 @@
-SELECT t3.nurst, t3.room || '-' || t3.bed AS rb, t1.patno, t1.pname, t2.osdate, t2.ostime, t2.oord_no, t2.oproc, t4.povdsc
-FROM patients t1
-LEFT JOIN oeorder t2 ON t1.patno = t2.opat_no
-LEFT JOIN rmbed t3 ON t1.patno = t3.pat_no
-LEFT JOIN oeproc t4 ON t2.oproc = t4.pproc
-WHERE t3.nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')
-  AND t2.oproc IN ('ABGCAPI', 'ABGCORDV', 'AP', 'ABGCORDA', 'ABGELGLU', 'RSV', 'FLU/RVP', 'RESPDFA', 'BORDPER', 'BPRTAB',
-                   'ABGERPNL', 'ABGORPNL', 'ABGO2SAT', 'ABGVENBL', 'CULRSP', 'CARBONM', 'FLU/PCR', 'FLUABAB', 'FLUABAG',
-                   'FLUEABPCR', 'HINFBIGG', 'INFABDFA', 'FLUPCR', 'INFLUAB', 'INFLUWOP', 'RVPPCR', 'SPECCOLL', 'RVP PCR',
-                   'FLUPCRAB', 'INFLUPCR', 'RVPPCREX', 'CULRESP', 'CULLRES', 'CULAFBPL', 'RVP-PCR', 'COVID-19', 'COVID-QL',
-                   'COVID-LC', 'COVID-CM', 'COVID-RO')
-  AND t2.ostat = 3 AND t2.oinit <> 'Y'
-ORDER BY t3.nurst, rb
+WITH waiting AS (
+  SELECT * FROM oeorder
+  WHERE ostat = 3 AND oinit <> 'Y'
+    AND oproc IN ('ABGCAPI', 'ABGCORDV', 'AP', 'ABGCORDA', 'ABGELGLU', 'RSV', 'FLU/RVP', 'RESPDFA', 'BORDPER', 'BPRTAB',
+                  'ABGERPNL', 'ABGORPNL', 'ABGO2SAT', 'ABGVENBL', 'CULRSP', 'CARBONM', 'FLU/PCR', 'FLUABAB', 'FLUABAG',
+                  'FLUEABPCR', 'HINFBIGG', 'INFABDFA', 'FLUPCR', 'INFLUAB', 'INFLUWOP', 'RVPPCR', 'SPECCOLL', 'RVP PCR',
+                  'FLUPCRAB', 'INFLUPCR', 'RVPPCREX', 'CULRESP', 'CULLRES', 'CULAFBPL', 'RVP-PCR', 'COVID-19', 'COVID-QL',
+                  'COVID-LC', 'COVID-CM', 'COVID-RO'))
+SELECT nurst, room || '-' || bed AS rb, patno, pname, osdate, ostime, oord_no, oproc, povdsc
+FROM waiting JOIN rmbed ON pat_no = opat_no JOIN patients ON patno = opat_no LEFT JOIN oeproc ON pproc = oproc
+WHERE nurst IN ('CDU', 'CVIC', 'ICU', 'SCUJ', 'WHBC', 'PCU', 'CCU', 'MCU')

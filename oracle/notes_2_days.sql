@@ -1,8 +1,8 @@
-WITH edits AS (SELECT enctrid, lstmodby, count(*) AS n FROM cdnteatb GROUP BY ALL)
-SELECT r.prefix AS section, t1.hssvc, t1.hstnum, t2.encid, t1.pname, t1.isdob, t2.titl, t2.createdt, t2.crtdname,
-       coalesce(t3.n, 1) AS copies
-FROM patients t1
-LEFT JOIN cdnotetb t2 ON t2.encid = t1.patno
-LEFT JOIN edits t3 ON t2.encid = t3.enctrid AND t2.createby = t3.lstmodby AND t3.enctrid = t1.patno
-JOIN (SELECT prefix FROM (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000004'), ('Supplier#000000045')) AS roster(prefix)) r ON t2.crtdname LIKE r.prefix || '%'
-WHERE t2.createdt BETWEEN DATE '2024-01-20' - 2 AND DATE '2024-01-20'
+WITH author AS (
+  FROM (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000004'), ('Supplier#000000045'))
+  AS a(prefix)),
+edited AS (
+  SELECT enctrid AS encid, lstmodby AS createby, count(*) AS times FROM cdnteatb GROUP BY ALL)
+SELECT prefix AS section, hssvc, hstnum, encid, pname, isdob, titl, createdt, crtdname, ifnull(times, 1) AS copies
+FROM cdnotetb JOIN author ON starts_with(crtdname, prefix) JOIN patients ON patno = encid LEFT JOIN edited USING (encid, createby)
+WHERE DATE '2024-01-20' - createdt BETWEEN 0 AND 2

@@ -1,13 +1,13 @@
-SELECT t1.patient_id AS mrn, t1.encid AS account_number, t2.pname AS patient_name, t1.crtdname AS physician, t1.titl AS document,
-       t1.createdt AS document_date
-FROM cdnotetb t1
-LEFT JOIN patients t2 ON t1.encid = t2.patno AND t1.patient_id = t2.hstnum
-JOIN (SELECT prefix FROM (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000004'), ('Supplier#000000045')) AS roster(prefix)) r ON t1.crtdname LIKE r.prefix || '%'
-WHERE t1.createdt BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'
-UNION ALL
-SELECT t1.dhhstno, t1.dhpatno, t3.pname, t2.phname, t1.dhfldr, t1.dhdate
-FROM trdochp t1
-LEFT JOIN phymast t2 ON t1.dhdrno = t2.nwdrnum
-LEFT JOIN patients t3 ON t1.dhhstno = t3.hstnum AND t1.dhpatno = t3.patno
-WHERE t1.dhdate BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'
-  AND t1.dhdrno IN (2, 9, 16, 23, 30, 37, 44, 51, 58)
+WITH author AS (
+  FROM (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000004'), ('Supplier#000000045'))
+  AS a(prefix)),
+document AS (
+  SELECT patient_id AS mrn, encid AS account_number, crtdname AS physician, titl AS document, createdt AS document_date
+  FROM cdnotetb JOIN author ON starts_with(crtdname, prefix)
+  UNION ALL
+  SELECT dhhstno, dhpatno, phname, dhfldr, dhdate
+  FROM trdochp LEFT JOIN phymast ON nwdrnum = dhdrno
+  WHERE dhdrno IN (SELECT range FROM range(2, 60, 7)))
+SELECT document.*, pname AS patient_name
+FROM document LEFT JOIN patients ON (patno, hstnum) = (account_number, mrn)
+WHERE DATE '2024-01-20' - document_date BETWEEN 0 AND 7

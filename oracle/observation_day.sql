@@ -1,5 +1,3 @@
-SELECT t1.patno, t1.adate, t1.iatme, t1.isqadte, t1.iqtime, t1.nwdocnum, t1.hssvc, t2.atype, t2.asrce, t1.age, t1.fincl,
-       t1.pname, t2.arrvd, t1.diagn, t1.hstnum
-FROM patients t1
-LEFT JOIN admreg t2 ON t1.patno = t2.patno AND t1.hstnum = t2.hstnum
-WHERE t1.hssvc = 'OBS' AND t1.isadate = DATE '2024-01-19'
+SELECT patno, adate, iatme, isqadte, iqtime, nwdocnum, hssvc, atype, asrce, age, fincl, pname, arrvd, diagn, hstnum
+FROM patients LEFT JOIN (SELECT patno, hstnum, atype, asrce, arrvd FROM admreg) AS registration USING (patno, hstnum)
+WHERE hssvc = 'OBS' AND DATE '2024-01-20' - isadate = 1

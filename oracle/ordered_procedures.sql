@@ -1,8 +1,3 @@
-SELECT t1.oproc, t5.hssvc, t2.patno, t2.pname, t3.room, t3.bed, t3.nurst, t1.osdate, t4.stdsc, t1.oisrdate
-FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN rmbed t3 ON t1.opat_no = t3.pat_no AND t2.patno = t3.pat_no
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN patients t5 ON t1.opat_no = t5.patno
-WHERE t1.oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') AND t2.patno NOT IN (11, 101, 1001)
-ORDER BY t1.osdate
+SELECT oproc, hssvc, patno, pname, room, bed, nurst, osdate, stdsc, oisrdate
+FROM oeorder JOIN patients ON patno = opat_no LEFT JOIN rmbed ON pat_no = patno LEFT JOIN oeostat ON stat_no = ostat
+WHERE oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') AND patno NOT IN (11, 101, 1001)

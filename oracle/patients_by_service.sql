@@ -1,5 +1,3 @@
-SELECT t1.patno, t1.pname, t1.isadate, t2.phname
-FROM patients t1
-LEFT JOIN phymast t2 ON t1.nwattphy = t2.nwdrnum
-WHERE t1.hssvc = 'RE2' AND t1.isadate = DATE '2024-01-19'
-ORDER BY t2.phname
+SELECT patno, pname, isadate, (SELECT any_value(phname) FROM phymast WHERE nwdrnum = nwattphy) AS phname
+FROM patients
+WHERE (hssvc, DATE '2024-01-20' - isadate) = ('RE2', 1)

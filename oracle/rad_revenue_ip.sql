@@ -1,10 +1,7 @@
-SELECT a.ispdatea, a.dept, g.gldesc, a.patno, p.pname, p.hssvc, a.isdate, a.svccd, c.desc, a.qty, a.qty AS qty_2, a.amt1
-FROM accumchg a
-LEFT JOIN patients p ON a.patno = p.patno
-LEFT JOIN chrgdesc c ON a.svccd = c.svccd
-LEFT JOIN glkeysm g ON a.dept = g.deptg
-WHERE a.ispdatea BETWEEN DATE '2023-11-19' AND DATE '2024-01-19'
-  AND a.dept IN (161, 162, 163, 164, 281)
-  AND p.rectyp <> 'I'
-  AND a.svccd NOT IN (2811277, 2811241, 2811255, 2811167, 2811256, 2811238, 2811243)
-ORDER BY 6, 1, 5, 9
+WITH charge AS (
+  SELECT * FROM accumchg
+  WHERE dept IN (161, 162, 163, 164, 281) AND DATE '2024-01-20' - ispdatea BETWEEN 1 AND 62
+    AND svccd NOT IN (2811277, 2811241, 2811255, 2811167, 2811256, 2811238, 2811243))
+SELECT ispdatea, dept, gldesc, patno, pname, hssvc, charge.isdate, svccd, chrgdesc.desc, qty, qty AS qty_2, amt1
+FROM charge JOIN patients USING (patno) LEFT JOIN chrgdesc USING (svccd) LEFT JOIN glkeysm ON deptg = dept
+WHERE rectyp <> 'I'

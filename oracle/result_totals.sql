@@ -1,10 +1,7 @@
-SELECT t6.rdpf AS section, rtrim(t6.rdrs) AS rdrs, count(*) AS n
-FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN rd t6 ON t2.patno = t6.rdpt_no
-WHERE t1.oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO')
-  AND t2.patno NOT IN (11, 101, 1001)
-  AND rtrim(t6.rdrs) <> '' AND t6.rdpf IN ('PF0', 'PF1')
-  AND trim(t6.rdrs) NOT IN ('OR PUB.HLTH.LAB', 'LABCORP', 'CALL IF NEG', 'CALL IF POS', '*')
-GROUP BY 1, 2
+WITH said AS (
+  SELECT rdpt_no, rdpf AS section, rtrim(rdrs) AS rdrs, rdisvfdt FROM rd
+  WHERE rdpf IN ('PF0', 'PF1') AND trim(rdrs) NOT IN ('', 'OR PUB.HLTH.LAB', 'LABCORP', 'CALL IF NEG', 'CALL IF POS', '*'))
+SELECT section, rdrs, count(*) AS n
+FROM said JOIN oeorder ON opat_no = rdpt_no JOIN patients ON patno = rdpt_no
+WHERE oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') AND patno NOT IN (11, 101, 1001)
+GROUP BY section, rdrs

@@ -1,10 +1,8 @@
-WITH per_patient AS (
-  SELECT opat_no, count(*) AS copies, min(osdate) AS first_osdate FROM oeorder
-  WHERE oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') GROUP BY opat_no)
-SELECT t6.rdpf AS section, t2.pname, t2.dob, t6.rdisvfdt, rtrim(t6.rdrs) AS rdrs, t1.copies, t1.first_osdate
-FROM rd t6
-JOIN patients t2 ON t2.patno = t6.rdpt_no
-JOIN per_patient t1 ON t1.opat_no = t2.patno
-WHERE t2.patno NOT IN (11, 101, 1001)
-  AND rtrim(t6.rdrs) <> '' AND t6.rdpf IN ('PF0', 'PF1')
-  AND trim(t6.rdrs) NOT IN ('OR PUB.HLTH.LAB', 'LABCORP', 'CALL IF NEG', 'CALL IF POS', '*')
+WITH said AS (
+  SELECT rdpt_no, rdpf AS section, rtrim(rdrs) AS rdrs, rdisvfdt FROM rd
+  WHERE rdpf IN ('PF0', 'PF1') AND trim(rdrs) NOT IN ('', 'OR PUB.HLTH.LAB', 'LABCORP', 'CALL IF NEG', 'CALL IF POS', '*')),
+tested AS (
+  SELECT opat_no, count(*) AS copies, min(osdate) AS first_osdate FROM oeorder WHERE oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') GROUP BY opat_no)
+SELECT section, pname, dob, rdisvfdt, rdrs, copies, first_osdate
+FROM said JOIN tested ON opat_no = rdpt_no JOIN patients ON patno = rdpt_no
+WHERE patno NOT IN (11, 101, 1001)

@@ -1,17 +1,10 @@
-SELECT CAST(ptb.start_datetime AS DATE) AS startdate, count(*) AS n
-  FROM patbooking ptb
-  LEFT JOIN pat pt ON ptb.pat_id = pt.pat_id
-  LEFT JOIN patmrnlist pml ON pt.pat_id = pml.pat_id AND ptb.pat_id = pml.pat_id
-  LEFT JOIN visitapptlist val ON val.appt_id = ptb.appt_id
-  LEFT JOIN visit v ON val.visit_id = v.visit_id AND v.pat_id = pt.pat_id
-  LEFT JOIN appt a ON ptb.appt_id = a.appt_id AND val.appt_id = a.appt_id
-  LEFT JOIN probooking pb ON ptb.appt_id = pb.appt_id
-  LEFT JOIN resbooking rb ON ptb.appt_id = rb.appt_id
-  LEFT JOIN res r ON ptb.ordering_phys_id = r.res_id
-  LEFT JOIN service s ON a.service_id = s.service_id
-  LEFT JOIN apptstatus ats ON a.apptstatus_id = ats.apptstatus_id
-  LEFT JOIN apptclass atc ON ptb.apptclass_id = atc.apptclass_id
-  WHERE ptb.start_datetime >= DATE '2024-01-20' AND ptb.start_datetime < DATE '2024-02-25'
-    AND ats.apptstatus_id <> 2
-    AND (r.name LIKE 'Supplier#00000000%' OR r.name LIKE 'Supplier#00000001%' OR r.name LIKE 'Supplier#000000012%' OR r.name LIKE 'Supplier#00000003%' OR r.name LIKE 'Supplier#00000005%')
-GROUP BY 1
+WITH surgeon AS (FROM (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000003'), ('Supplier#00000005')) AS s(prefix)),
+booked AS (
+  SELECT CAST(start_datetime AS DATE) AS startdate, name_legal, mrn, probooking.name AS surgeryname, res.name AS physician, appt_id
+  FROM patbooking JOIN res ON res_id = ordering_phys_id JOIN appt USING (appt_id) JOIN visitapptlist USING (appt_id)
+  SEMI JOIN apptstatus USING (apptstatus_id)
+  LEFT JOIN pat USING (pat_id) LEFT JOIN patmrnlist USING (pat_id)
+  LEFT JOIN probooking USING (appt_id) LEFT JOIN resbooking USING (appt_id)
+  WHERE apptstatus_id <> 2 AND EXISTS (FROM surgeon WHERE starts_with(res.name, prefix))
+    AND start_datetime >= TIMESTAMP '2024-01-20 00:00:00' AND start_datetime < TIMESTAMP '2024-02-25 00:00:00')
+SELECT startdate, count(*) AS n FROM booked GROUP BY startdate

@@ -1,58 +1,36 @@
 WITH policy AS (
-  SELECT t1.patno, trim(t1.policy) AS policy
-  FROM benefits t1
-  LEFT JOIN benext t4 ON t1.patno = t4.patno AND t1.seqno = t4.seqno
-  WHERE t4.ibinam = 'MEDICARE'
-  QUALIFY row_number() OVER (PARTITION BY t1.patno ORDER BY t1.seqno DESC, trim(t1.policy) DESC) = 1),
+  SELECT patno, trim(policy) AS answer FROM benefits
+  SEMI JOIN (SELECT patno, seqno FROM benext WHERE ibinam = 'MEDICARE') AS medicare USING (patno, seqno)
+  QUALIFY row_number() OVER (PARTITION BY patno ORDER BY seqno DESC, answer DESC) = 1),
 height AS (
-  SELECT t1.patno, trim(t2.dthresp) AS answer
-  FROM patients t1 LEFT JOIN chpdtaph t2 ON t1.patno = t2.dthpatno
-  WHERE t2.dthfield = 'Height'
-  QUALIFY row_number() OVER (PARTITION BY t1.patno ORDER BY t2.dthdttm DESC, trim(t2.dthresp) DESC) = 1),
+  SELECT dthpatno AS patno, trim(dthresp) AS answer FROM chpdtaph
+  WHERE dthfield = 'Height'
+  QUALIFY row_number() OVER (PARTITION BY dthpatno ORDER BY dthdttm DESC, answer DESC) = 1),
 weight AS (
-  SELECT t1.patno, trim(t2.dthresp) AS answer
-  FROM patients t1 LEFT JOIN chpdtaph t2 ON t1.patno = t2.dthpatno
-  WHERE t2.dthfield = 'Weight'
-  QUALIFY row_number() OVER (PARTITION BY t1.patno ORDER BY t2.dthdttm DESC, trim(t2.dthresp) DESC) = 1),
+  SELECT dthpatno AS patno, trim(dthresp) AS answer FROM chpdtaph
+  WHERE dthfield = 'Weight'
+  QUALIFY row_number() OVER (PARTITION BY dthpatno ORDER BY dthdttm DESC, answer DESC) = 1),
 diabetes AS (
-  SELECT trpat_no AS patno,
-         CASE WHEN trim(trrecval) IN ('Type 1', 'Type 2 - Insulin Controlled', 'Type 2 - Oral Medication Controlled',
-                                      'Type 2 - Diet Controlled') THEN 'Y' ELSE 'N' END AS answer
-  FROM nctrn WHERE trprmid = 'Q0000005629'
+  SELECT trpat_no AS patno, if(trim(trrecval) IN ('Type 1', 'Type 2 - Insulin Controlled', 'Type 2 - Oral Medication Controlled', 'Type 2 - Diet Controlled'), 'Y', 'N') AS answer FROM nctrn
+  WHERE trprmid = 'Q0000005629'
   QUALIFY row_number() OVER (PARTITION BY trpat_no ORDER BY trrecdt DESC, answer DESC) = 1),
-cases AS (
-  SELECT cm.*, cp.actual_proname, cp.woundclass_id, cio.asaclass_id,
-         date_diff('second', cm.actcase_start_datetime, cm.actcase_stop_datetime) AS seconds
-  FROM casemain cm
-  LEFT JOIN casepro cp ON cm.casemain_id = cp.casemain_id
-  LEFT JOIN caseintraop cio ON cm.casemain_id = cio.casemain_id AND cp.casemain_id = cio.casemain_id
-  WHERE cp.actual_proname LIKE '%ARTHROPLASTY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%COLOSTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%ROBOTIC HYSTERECTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%LAMINECTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%ARTHROSCOPY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%HEMILAMINECTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%OSTEOTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%LAMINECTOMIES%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%COLECTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%HYSTERECTOMY%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31'
-   OR cp.actual_proname LIKE '%CORONARY ARTERY BYPASS%' AND cm.actcase_start_datetime BETWEEN DATE '2022-10-01' AND DATE '2024-01-31')
-SELECT c.pat_acct_num AS patid, policy.policy AS medicareid, c.pat_displayname AS "patient name", c.pat_gender AS gender,
-       strftime(c.pat_birth_datetime, '%m/%d/%Y') AS dob, height.answer AS height, weight.answer AS weight, c.actual_proname,
-       '' AS proccode, '' AS jntreptype, '' AS jntreptot, '' AS jntrephemi, '' AS jntrepres,
-       strftime(c.actcase_start_datetime, '%m/%d/%Y') AS procdate, diabetes.answer AS diabetes, 'N' AS emergency, 'N' AS trauma,
-       CASE c.asaclass_id WHEN 1 THEN '1' WHEN 2 THEN '1E' WHEN 3 THEN '2' WHEN 4 THEN '2E' WHEN 5 THEN '3' WHEN 6 THEN '3E'
-            WHEN 7 THEN '4' WHEN 8 THEN '4E' WHEN 9 THEN '5' WHEN 10 THEN '5E' END AS asaclass,
+watched AS (
+  SELECT * FROM casepro
+  WHERE regexp_matches(actual_proname, 'ARTHROPLASTY|COLOSTOMY|ROBOTIC HYSTERECTOMY|LAMINECTOMY|ARTHROSCOPY|HEMILAMINECTOMY|OSTEOTOMY|LAMINECTOMIES|COLECTOMY|HYSTERECTOMY|CORONARY ARTERY BYPASS')),
+done AS (
+  SELECT *, CAST(pat_acct_num AS BIGINT) AS patno, date_diff('minute', actcase_start_datetime, actcase_stop_datetime) AS minutes
+  FROM watched JOIN casemain USING (casemain_id) LEFT JOIN caseintraop USING (casemain_id)
+  WHERE actcase_start_datetime >= TIMESTAMP '2022-10-01 00:00:00' AND actcase_start_datetime <= TIMESTAMP '2024-01-31 00:00:00')
+SELECT pat_acct_num AS patid, policy.answer AS medicareid, pat_displayname AS "patient name", pat_gender AS gender,
+       strftime(pat_birth_datetime, '%m/%d/%Y') AS dob,
+       if(stay.patno IS NULL, NULL, height.answer) AS height, if(stay.patno IS NULL, NULL, weight.answer) AS weight,
+       actual_proname, '' AS proccode, '' AS jntreptype, '' AS jntreptot, '' AS jntrephemi, '' AS jntrepres,
+       strftime(actcase_start_datetime, '%m/%d/%Y') AS procdate, diabetes.answer AS diabetes, 'N' AS emergency, 'N' AS trauma,
+       ['1', '1E', '2', '2E', '3', '3E', '4', '4E', '5', '5E'][nullif(asaclass_id, 0)] AS asaclass,
        'Y' AS anesthesia,
-       lpad(CAST(c.seconds // 3600 AS VARCHAR), 2, '0') AS procdurationhr,
-       lpad(CAST(c.seconds % 3600 // 60 AS VARCHAR), 2, '0') AS procdurationmin,
-       CASE WHEN stay.patno IS NULL THEN NULL WHEN stay.isadate = stay.isddate THEN 'Y' ELSE 'N' END AS outpatient,
-       'N' AS scope,
-       CASE c.woundclass_id WHEN 9 THEN 'C' WHEN 3 THEN 'CC' WHEN 4 THEN 'CO' WHEN 5 THEN 'D' END AS swclass,
-       'Pri' AS closure, '' AS infection
-FROM cases c
-LEFT JOIN policy ON policy.patno = CAST(c.pat_acct_num AS BIGINT)
-LEFT JOIN height ON height.patno = CAST(c.pat_acct_num AS BIGINT)
-LEFT JOIN weight ON weight.patno = CAST(c.pat_acct_num AS BIGINT)
-LEFT JOIN diabetes ON diabetes.patno = CAST(c.pat_acct_num AS BIGINT)
-LEFT JOIN patients stay ON stay.patno = CAST(c.pat_acct_num AS BIGINT)
+       format('{:02d}', minutes // 60) AS procdurationhr, format('{:02d}', minutes % 60) AS procdurationmin,
+       if(stay.patno IS NULL, NULL, if(stay.isadate = stay.isddate, 'Y', 'N')) AS outpatient,
+       'N' AS scope, map {9: 'C', 3: 'CC', 4: 'CO', 5: 'D'}[woundclass_id] AS swclass, 'Pri' AS closure, '' AS infection
+FROM done
+LEFT JOIN policy USING (patno) LEFT JOIN height USING (patno) LEFT JOIN weight USING (patno) LEFT JOIN diabetes USING (patno)
+LEFT JOIN patients AS stay ON stay.patno = done.patno

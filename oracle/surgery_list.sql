@@ -1,7 +1,6 @@
-SELECT t1.pat_acct_num AS "Account Number", t1.pat_legalname AS "Patient Name", t1.attending_res_name AS "Physician Name",
-       t1.schedcase_start_datetime AS "Scheduled Date", substr(t2.actual_proname, 1, 50) AS "Procedure"
-FROM casemain t1
-LEFT JOIN casepro t2 ON t1.casemain_id = t2.casemain_id
-WHERE t1.schedcase_start_datetime >= DATE '2024-01-20' AND t1.schedcase_start_datetime <= DATE '2024-01-21'
-  AND (t1.attending_res_name LIKE 'Supplier#00000000%' OR t1.attending_res_name LIKE 'Supplier#00000001%' OR t1.attending_res_name LIKE 'Supplier#000000012%' OR t1.attending_res_name LIKE 'Supplier#00000003%' OR t1.attending_res_name LIKE 'Supplier#00000005%')
-ORDER BY t1.schedcase_start_datetime
+WITH surgeon AS (FROM (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000003'), ('Supplier#00000005')) AS s(prefix))
+SELECT pat_acct_num AS "Account Number", pat_legalname AS "Patient Name", attending_res_name AS "Physician Name",
+       schedcase_start_datetime AS "Scheduled Date", left(actual_proname, 50) AS "Procedure"
+FROM casemain LEFT JOIN casepro USING (casemain_id)
+WHERE schedcase_start_datetime BETWEEN TIMESTAMP '2024-01-20 00:00:00' AND TIMESTAMP '2024-01-21 00:00:00'
+  AND EXISTS (FROM surgeon WHERE starts_with(attending_res_name, prefix))

@@ -1,15 +1,15 @@
-WITH moves AS (
+WITH move AS (
   SELECT patn15 AS patno, room, asgdate, CAST(hour(asgtime) AS BIGINT) AS asgtime FROM patrmbdp
-  WHERE asgdate BETWEEN DATE '2023-12-24' AND DATE '2024-01-20'
-    AND room NOT IN ('VMCU', 'HALL', 'VCDU', 'VCCU', 'VOR', 'VSCJ', 'VPCU', 'VSSU', 'VCVP', '1', '2', '3', '4', '5', '6', '7', '8', '9', '10', '11', '12', '13', '14', '15', '16', '17', 'S01', 'S02', 'S03', 'S04', 'S05', 'S06', 'S07', 'S08', 'S09', 'S10', 'S11', 'S12', 'S13', 'S14', 'S15', 'S16', 'S17', 'S18', 'S19', 'S20', 'S21', 'S22', 'S23', 'S24', 'S25', 'S26', 'S27', 'S28', 'S29', 'S30', 'S31', 'S32', 'S33', 'S34', 'S35', 'S36', 'S37', 'S38', 'S39', 'S40', 'SER1', 'SER2')),
+  WHERE DATE '2024-01-20' - asgdate BETWEEN 0 AND 27
+    AND room NOT IN ('VMCU', 'HALL', 'VCDU', 'VCCU', 'VOR', 'VSCJ', 'VPCU', 'VSSU', 'VCVP', 'SER1', 'SER2')
+    AND room NOT IN (SELECT CAST(range AS VARCHAR) FROM range(1, 18))
+    AND room NOT IN (SELECT format('S{:02d}', range) FROM range(1, 41))),
 last_rows AS (
-  SELECT t1.patno, t1.isadate, t1.iatme, t1.hssvc, moves.room, moves.asgdate, moves.asgtime, t3.nurst
-  FROM patients t1
-  JOIN moves ON moves.patno = t1.patno
-  JOIN rmbed t3 ON t3.room = moves.room
-  WHERE t1.isadate BETWEEN DATE '2023-12-24' AND DATE '2024-01-20'
-    AND t1.hssvc NOT IN ('GIO', 'SOP', 'CAT', 'WCC', 'LAB', 'OS1', 'RE2', 'RAD', 'INF', 'CAR', 'MOP', 'REF')
+  SELECT patno, isadate, iatme, hssvc, room, asgdate, asgtime, nurst
+  FROM patients JOIN move USING (patno) JOIN rmbed USING (room)
+  WHERE DATE '2024-01-20' - isadate BETWEEN 0 AND 27
+    AND hssvc NOT IN ('GIO', 'SOP', 'CAT', 'WCC', 'LAB', 'OS1', 'RE2', 'RAD', 'INF', 'CAR', 'MOP', 'REF')
   QUALIFY row_number() OVER (
-    PARTITION BY t1.patno
-    ORDER BY t1.isadate DESC, t1.iatme DESC, moves.asgdate DESC, moves.asgtime DESC, moves.room DESC, t3.nurst DESC NULLS LAST) = 1)
+    PARTITION BY patno
+    ORDER BY isadate DESC, iatme DESC, asgdate DESC, asgtime DESC, room DESC, nurst DESC NULLS LAST) = 1)
 SELECT * FROM last_rows

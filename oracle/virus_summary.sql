@@ -1,63 +1,37 @@
-WITH flu AS (
-  SELECT count(*) AS n FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN rmbed t3 ON t1.opat_no = t3.pat_no AND t2.patno = t3.pat_no
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN patients t5 ON t1.opat_no = t5.patno
-LEFT JOIN rd t6 ON t1.opat_no = t6.rdpt_no AND t1.oord_no = t6.rdor_no
-  WHERE t1.oproc = 'INFLUPCR' AND rtrim(t6.rdrs) <> '' AND rtrim(t6.rdrs) = 'POSITIVE' AND t5.hssvc <> 'EOP'
-    AND t4.stdsc <> 'CANCELLED' AND t3.nurst <> 'NULL'),
-flu_admits AS (
-  SELECT count(*) AS n FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN rmbed t3 ON t1.opat_no = t3.pat_no AND t2.patno = t3.pat_no
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN patients t5 ON t1.opat_no = t5.patno
-LEFT JOIN rd t6 ON t1.opat_no = t6.rdpt_no AND t1.oord_no = t6.rdor_no
-  WHERE t1.oproc = 'INFLUPCR' AND rtrim(t6.rdrs) <> '' AND rtrim(t6.rdrs) = 'POSITIVE' AND t5.hssvc <> 'EOP'
-    AND t4.stdsc <> 'CANCELLED' AND t3.nurst <> 'NULL'
-    AND t5.isadate = DATE '2024-01-19'),
-flu_icu AS (
-  SELECT count(*) AS n FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN rmbed t3 ON t1.opat_no = t3.pat_no AND t2.patno = t3.pat_no
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN patients t5 ON t1.opat_no = t5.patno
-LEFT JOIN rd t6 ON t1.opat_no = t6.rdpt_no AND t1.oord_no = t6.rdor_no
-  WHERE t1.oproc = 'INFLUPCR' AND rtrim(t6.rdrs) = 'POSITIVE' AND t3.nurst = 'CCU' AND t1.osdate >= 231221
-    AND t4.stdsc <> 'CANCELLED'),
-virus AS (
-  SELECT count(*) AS n FROM oeorder t1
-LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-LEFT JOIN rmbed t3 ON t1.opat_no = t3.pat_no AND t2.patno = t3.pat_no
-LEFT JOIN oeostat t4 ON t1.ostat = t4.stat_no
-LEFT JOIN patients t5 ON t1.opat_no = t5.patno
-LEFT JOIN rd t6 ON t1.opat_no = t6.rdpt_no AND t1.oord_no = t6.rdor_no
-  WHERE t1.oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') AND t2.patno NOT IN (11, 101, 1001) AND t3.nurst <> ''
-    AND t6.rdrs LIKE 'POS SARS%'),
+WITH positive AS (
+  -- one row per positive result of a virus order, with whatever is known of patient, bed and status
+  SELECT oproc, osdate, stdsc, rtrim(rdrs) AS rdrs, patno AS patient, pname, hssvc, isadate, nurst, room, bed
+  FROM oeorder JOIN rd ON (rdpt_no, rdor_no) = (opat_no, oord_no)
+  LEFT JOIN patients ON patno = opat_no LEFT JOIN rmbed ON pat_no = opat_no LEFT JOIN oeostat ON stat_no = ostat
+  WHERE rtrim(rdrs) = 'POSITIVE' OR starts_with(rdrs, 'POS SARS')),
+dead AS (
+  SELECT patno FROM patients JOIN dsstat ON dcubs = dcstat
+  WHERE isddate = DATE '2024-01-19' AND dcexp = 'Y'
+    AND hssvc IN ('SIP', 'MIP', 'ICU', 'GYN', 'CCU', 'PED', 'OBS', 'OBI', 'NUR')),
+numbers AS (
+  SELECT count(*) FILTER (oproc = 'INFLUPCR' AND rdrs = 'POSITIVE' AND hssvc <> 'EOP' AND stdsc <> 'CANCELLED' AND nurst <> 'NULL') AS flu,
+         count(*) FILTER (oproc = 'INFLUPCR' AND rdrs = 'POSITIVE' AND hssvc <> 'EOP' AND stdsc <> 'CANCELLED' AND nurst <> 'NULL'
+                          AND isadate = DATE '2024-01-19') AS flu_admits,
+         count(*) FILTER (oproc = 'INFLUPCR' AND rdrs = 'POSITIVE' AND stdsc <> 'CANCELLED' AND nurst = 'CCU'
+                          AND osdate >= 231221) AS flu_icu,
+         count(*) FILTER (oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') AND starts_with(rdrs, 'POS SARS')
+                          AND patient NOT IN (11, 101, 1001) AND trim(nurst) <> '') AS virus
+  FROM positive),
 flu_deaths AS (
-  SELECT count(*) AS n FROM patients t1
-  LEFT JOIN dsstat t3 ON t1.dcstat = t3.dcubs
-  LEFT JOIN patrmbdp t4 ON t1.patno = t4.patn15
-  LEFT JOIN rmbed t5 ON t1.patno = t5.pat_no
-  LEFT JOIN oeorder t7 ON t1.patno = t7.opat_no
-  LEFT JOIN rd t6 ON t1.patno = t6.rdpt_no AND t6.rdor_no = t7.oord_no
-  WHERE t1.hssvc IN ('SIP', 'MIP', 'ICU', 'GYN', 'CCU', 'PED', 'OBS', 'OBI', 'NUR')
-    AND t1.isddate = DATE '2024-01-19' AND t3.dcexp = 'Y'
-    AND t7.oproc = 'INFLUPCR' AND rtrim(t6.rdrs) = 'POSITIVE'),
+  SELECT count(*) AS n FROM dead JOIN oeorder ON opat_no = patno JOIN rd ON (rdpt_no, rdor_no) = (opat_no, oord_no)
+  LEFT JOIN patrmbdp ON patn15 = patno LEFT JOIN rmbed ON pat_no = patno
+  WHERE oproc = 'INFLUPCR' AND rtrim(rdrs) = 'POSITIVE'),
 virus_deaths AS (
-  SELECT count(DISTINCT t1.patno) AS n FROM patients t1
-  LEFT JOIN dsstat t3 ON t1.dcstat = t3.dcubs
-  LEFT JOIN patrmbdp t4 ON t1.patno = t4.patn15
-  LEFT JOIN rmbed t5 ON t1.patno = t5.pat_no
-  LEFT JOIN rd t6 ON t1.patno = t6.rdpt_no
-  LEFT JOIN oeorder t7 ON t1.patno = t7.opat_no
-  WHERE t1.hssvc IN ('SIP', 'MIP', 'ICU', 'GYN', 'CCU', 'PED', 'OBS', 'OBI', 'NUR')
-    AND t1.isddate = DATE '2024-01-19' AND t3.dcexp = 'Y'
-    AND t7.oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO') AND t6.rdrs LIKE 'POS SARS%')
-SELECT 'Total Flu Positives' AS metric, (SELECT n FROM flu) AS value
-UNION ALL SELECT 'Flu Admits Yesterday', (SELECT n FROM flu_admits)
-UNION ALL SELECT 'ICU Patients with Flu', (SELECT n FROM flu_icu)
-UNION ALL SELECT 'Total Covid and Flu Patients', (SELECT n FROM virus) + (SELECT n FROM flu)
-UNION ALL SELECT 'Deaths Yesterday with Positive Flu Test', (SELECT n FROM flu_deaths)
-UNION ALL SELECT 'Deaths Yesterday with Positive Flu or Covid Test', (SELECT n FROM virus_deaths) + (SELECT n FROM flu_deaths)
+  SELECT count(*) AS n FROM dead
+  WHERE patno IN (SELECT opat_no FROM oeorder WHERE oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO'))
+    AND patno IN (SELECT rdpt_no FROM rd WHERE starts_with(rdrs, 'POS SARS'))),
+lines AS (
+  SELECT unnest([
+    {'metric': 'Total Flu Positives', 'value': flu},
+    {'metric': 'Flu Admits Yesterday', 'value': flu_admits},
+    {'metric': 'ICU Patients with Flu', 'value': flu_icu},
+    {'metric': 'Total Covid and Flu Patients', 'value': virus + flu},
+    {'metric': 'Deaths Yesterday with Positive Flu Test', 'value': flu_deaths.n},
+    {'metric': 'Deaths Yesterday with Positive Flu or Covid Test', 'value': virus_deaths.n + flu_deaths.n}], recursive := true)
+  FROM numbers, flu_deaths, virus_deaths)
+SELECT metric, value FROM lines
