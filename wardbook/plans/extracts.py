@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.clock import hhmm_pad, iso_of, iso_z_of, los_days, same_day
 from wardbook.functions.codes import map_codes, normalise
-from wardbook.functions.predicates import any_of, occupied, present
+from wardbook.functions.predicates import occupied, present
 from wardbook.functions.text import nth_part, top_code, zero_to_null
 from wardbook.operators.dedup import one_per_key, single
-from wardbook.operators.joins import Facts, Look, cut_to, equi_join, join_chain, merge, role
+from wardbook.operators.joins import Facts, Look, cut_to, equi_join, in_roster, join_chain, merge, role
 from wardbook.operators.shape import contract, nothing
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
@@ -206,36 +206,38 @@ def hospitalist_extract(t: Tables, as_of: date, p: Params, days: int = 32) -> Da
     The first two heads hold the account and the record number in that order,
     as in the source feed.
     """
-    spark = t.oeorder.sparkSession
     orders = t.oeorder.where(F.col("oproc").isin(S.DISCHARGE_ORDERS))
     orders = orders.select("opat_no", "oproc", "ouser", "oedate", "oetime")
     patients = t.patients.where(
         ~F.col("hssvc").isin(S.HOSPITALIST_SKIPPED_SERVICES) & F.col("nwattphy").isin(p.hospitalists)
     )
     registered = t.admreg.select("patno", "hstnum", "arrvd", "admhsv", "dischsv")
-    stays = equi_join(patients, registered, ["patno", "hstnum"], ["patno", "hstnum"], "inner")
-    users = value_list(spark, p.order_users, "odobnm").withColumn("on_roster", F.lit(True))
-    found = (
-        Facts(orders)
-        .by("opat_no", Look(stays.withColumn("_p", F.col("patno")), "_p", "inner"))
-        .by("ouser", Look(t.username, "odobnm"))
-        .code("ouser", users, "odobnm")
-        .where(
-            any_of(
-                F.col("isadate") >= F.lit(as_of - timedelta(days=days)),
-                (F.col("oedate") >= packed_day(as_of, days)) & F.col("on_roster").isNotNull(),
-            )
-        )
-        .code("fincl", t.fcdesc, "fcfincl")
-        .code("drg", t.drgdesc.withColumn("_d", F.col("drg")).drop("drg"), "_d")
-        .code("nwrefdoc", role(t.phymast, "_ref"), "nwdrnum_ref")
-        .code("nwattphy", role(t.phymast, "_att"), "nwdrnum_att")
-        .df.withColumns(
-            {
-                "admit_time": hhmm_pad("iatme"),
-                "discharging": nth_part("odobtx", "{", 1),
-                "stay": los_days("isadate", "isddate").cast("bigint"),
-            }
-        )
+    recent = F.coalesce(F.col("isadate") >= F.lit(as_of - timedelta(days=days)), F.lit(False))
+
+    def discharged(some_orders: DataFrame, some_patients: DataFrame) -> DataFrame:
+        stays = equi_join(some_patients, registered, ["patno", "hstnum"], ["patno", "hstnum"], "inner")
+        stays = Look(stays.withColumn("_p", F.col("patno")), "_p", "inner")
+        return Facts(some_orders).by("opat_no", stays).by("ouser", Look(t.username, "odobnm")).df
+
+    # The two ways in are taken apart, so that each filters one of the large tables at its scan.
+    admitted = patients.where(recent)
+    by_admission = discharged(cut_to(orders, "opat_no", admitted, "patno"), admitted)
+    by_users = orders.where(F.col("oedate") >= packed_day(as_of, days))
+    by_users = in_roster(by_users, value_list(t.oeorder.sparkSession, p.order_users, "ouser"), "ouser")
+    by_order = discharged(by_users, patients.where(~recent))
+    found = join_chain(
+        by_admission.unionByName(by_order),
+        [
+            (t.fcdesc, "fincl", "fcfincl"),
+            (t.drgdesc.withColumnRenamed("drg", "_d"), "drg", "_d"),
+            (role(t.phymast, "_ref"), "nwrefdoc", "nwdrnum_ref"),
+            (role(t.phymast, "_att"), "nwattphy", "nwdrnum_att"),
+        ],
+    ).withColumns(
+        {
+            "admit_time": hhmm_pad("iatme"),
+            "discharging": nth_part("odobtx", "{", 1),
+            "stay": los_days("isadate", "isddate").cast("bigint"),
+        }
     )
     return contract(found, [(head, column or nothing()) for head, column in _HOSPITALIST])

@@ -12,7 +12,7 @@ from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
 from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
 from wardbook.operators.dedup import copies
-from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, not_in_roster
+from wardbook.operators.joins import Facts, Look, cut_to, equi_join, in_roster, join_chain, not_in_roster
 from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
 from wardbook.plans import settings as S
@@ -104,6 +104,7 @@ def employee_results(t: Tables, as_of: date, p: Params) -> DataFrame:
     orders = t.oeorder.where((F.col("optlst") == p.site_code) & (F.col("osdate") == packed_day(as_of, 1)))
     orders = orders.select("opat_no", "oord_no", "osdate")
     accounts = t.indaccum.select("iapnam", "iahst_no", "iaord_no", "iaacct")
+    results = cut_to(results, ["rdpt_no", "rdor_no"], orders, ["opat_no", "oord_no"])
     found = (
         Facts(results)
         .by(
@@ -122,9 +123,10 @@ def lab_turnaround(t: Tables, as_of: date, p: Params) -> DataFrame:
     orders = t.oeorder.where(
         (F.col("osdate") == packed_day(as_of)) & (F.col("ostime") <= 400) & (F.col("otodpt") != S.RADIOLOGY)
     ).select("opty", "oproc", "opat_no", "oord_no", "osdate", "ostime")
+    steps = cut_to(t.rh, ["rhpt_no", "rhor_no"], orders, ["opat_no", "oord_no"])
     orders = orders.withColumns({"_pat": F.col("opat_no"), "_ord": F.col("oord_no")})
     found = (
-        Facts(t.rh)
+        Facts(steps)
         .by(["rhpt_no", "rhor_no"], Look(orders, ["_pat", "_ord"], "inner"))
         .by("rhpt_no", Look(taken_beds(t).select("pat_no", "nurst"), "pat_no"))
         .df

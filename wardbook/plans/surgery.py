@@ -12,7 +12,7 @@ from wardbook.functions.codes import map_codes
 from wardbook.functions.text import to_long
 from wardbook.operators.counts import value_counts
 from wardbook.operators.dedup import copies, one_per_key, single
-from wardbook.operators.joins import Facts, Look, equi_join, join_chain, with_details
+from wardbook.operators.joins import Facts, Look, equi_join, with_details
 from wardbook.operators.keep import keep
 from wardbook.operators.prefixes import keyword_filter, prefix_join
 from wardbook.operators.shape import contract, ordered
@@ -36,15 +36,17 @@ def _first_cases(t: Tables, window: Column) -> DataFrame:
     first = one_per_key(cases, "pat_acct_num", [_START, "casemain_id"])
     procedures = t.casepro.select("casemain_id", "actual_proname", "primpract_res_name")
     procedure = one_per_key(procedures, "casemain_id", ["actual_proname", "primpract_res_name"])
-    return join_chain(
-        first,
-        [
-            (t.psmresindroom, "actualroom_res_id", "res_id"),
-            (procedure, "casemain_id", "casemain_id"),
-            (t.caseintraop, "casemain_id", "casemain_id"),
-            (t.casepreop, "casemain_id", "casemain_id"),
-            (t.psmpattype, "pattype_id", "pattype_id"),
-        ],
+    return (
+        Facts(first, row_key=["casemain_id"])
+        .by(
+            "casemain_id",
+            Look(procedure, "casemain_id"),
+            Look(t.caseintraop, "casemain_id"),
+            Look(t.casepreop, "casemain_id"),
+        )
+        .code("actualroom_res_id", t.psmresindroom, "res_id")
+        .code("pattype_id", t.psmpattype, "pattype_id")
+        .df
     )
 
 
@@ -105,7 +107,7 @@ def surgery_list(t: Tables, as_of: date, p: Params) -> DataFrame:
     return ordered(contract(found, list(zip(names, columns))), "Scheduled Date", nulls="first")
 
 
-def _bookings(t: Tables, as_of: date, surgeons: list[str]) -> DataFrame:
+def _bookings(t: Tables, as_of: date, surgeons: list[str], *of_appointment: Look) -> DataFrame:
     """Bookings of the next 35 days with patient, status and physician, not cancelled.
 
     The source also joins the visit by its own number, which brings no column in
@@ -124,7 +126,7 @@ def _bookings(t: Tables, as_of: date, surgeons: list[str]) -> DataFrame:
         Facts(bookings)
         .by("pat_id", Look(t.pat, "pat_id"), Look(t.patmrnlist, "pat_id"))
         .by("ordering_phys_id", Look(physicians, "res_id", "inner"))
-        .by("appt_id", Look(visits, "appt_id", "inner"), Look(live, "appt_id", "inner"))
+        .by("appt_id", Look(visits, "appt_id", "inner"), Look(live, "appt_id", "inner"), *of_appointment)
         .code("apptclass_id", t.apptclass, "apptclass_id")
         .df.withColumn("startdate", start.cast("date"))
     )
@@ -132,13 +134,12 @@ def _bookings(t: Tables, as_of: date, surgeons: list[str]) -> DataFrame:
 
 def surgery_schedule(t: Tables, as_of: date, p: Params, surgeons: list[str] | None = None) -> DataFrame:
     """The last booking of each record number: by date, then by the other columns."""
-    bookings = _bookings(t, as_of, surgeons or p.surgeons)
-    bookings = bookings.select("startdate", "name_legal", "mrn", "physician", "appt_id")
-    last = one_per_key(bookings, "mrn", ["startdate", "name_legal", "physician", "appt_id"], "last")
     names = one_per_key(t.probooking.select("appt_id", "name"), "appt_id", ["name"], "last")
-    found = equi_join(last, names, "appt_id", "appt_id")
+    bookings = _bookings(t, as_of, surgeons or p.surgeons, Look(names, "appt_id"))
+    bookings = bookings.select("startdate", "name_legal", "mrn", "physician", "appt_id", "name")
+    last = one_per_key(bookings, "mrn", ["startdate", "name_legal", "physician", "appt_id", "name"], "last")
     out = ["startdate", "name_legal", "mrn", ("surgeryname", "name"), "physician"]
-    return ordered(contract(found, out), "startdate", nulls="first")
+    return ordered(contract(last, out), "startdate", nulls="first")
 
 
 def surgery_schedule_second(t: Tables, as_of: date, p: Params) -> DataFrame:
@@ -147,16 +148,15 @@ def surgery_schedule_second(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 def _booking_rows(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Bookings with the number of rows the source join makes of each (procedures x resources)."""
-    bookings = _bookings(t, as_of, p.surgeons).select("appt_id", "startdate", "physician")
-    found = join_chain(
-        bookings,
-        [
-            (copies(t.probooking.select("appt_id"), "appt_id", "n_procedures"), "appt_id", "appt_id"),
-            (copies(t.resbooking, "appt_id", "n_resources"), "appt_id", "appt_id"),
-        ],
+    found = _bookings(
+        t,
+        as_of,
+        p.surgeons,
+        Look(copies(t.probooking, "appt_id", "n_procedures"), "appt_id"),
+        Look(copies(t.resbooking, "appt_id", "n_resources"), "appt_id"),
     )
     rows = F.coalesce("n_procedures", F.lit(1)) * F.coalesce("n_resources", F.lit(1))
-    return found.withColumn("n_rows", rows)
+    return found.select("startdate", "physician", rows.alias("n_rows"))
 
 
 def schedule_by_date(t: Tables, as_of: date, p: Params) -> DataFrame:
