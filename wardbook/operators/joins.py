@@ -42,11 +42,13 @@ def _names(keys: str | Sequence[str]) -> list[str]:
 @dataclass(frozen=True)
 class Look:
     """Where to look a fact's key up. `key` names the table's own key columns;
-    they are dropped from the result, the facts keep theirs."""
+    they are dropped from the result, the facts keep theirs. `short` marks a table
+    that is itself the short list, so that it is not cut to the facts' keys."""
 
     table: DataFrame
     key: str | Sequence[str]
     how: str = "left"
+    short: bool = False
 
 
 @dataclass(frozen=True)
@@ -153,7 +155,7 @@ def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFra
     for number, look in enumerate(looks):
         keys = [f"_key{number}_{i}" for i in range(len(on))]
         table = look.table.withColumnsRenamed(dict(zip(_names(look.key), keys, strict=True)))
-        if spread.few is not None:
+        if spread.few is not None and not look.short:
             known = spread.few.toDF(*[f"_few_{k}" for k in keys])
             table = table.join(F.broadcast(known), [F.col(k) == F.col(f"_few_{k}") for k in keys], "left_semi")
         condition = [F.col(c) == F.col(k) for c, k in zip(on, keys, strict=True)]
@@ -268,7 +270,7 @@ def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
     names = {k: f"_d{i}" for i, k in enumerate(key)}
     facts = cut_to(details, key, heads, on).withColumnsRenamed(names)
     asked = {f"_h{i}": F.col(c) for i, c in enumerate(on)}
-    found = Facts(facts).by(list(names.values()), Look(heads.withColumns(asked), list(asked), "inner")).df
+    found = Facts(facts).by(list(names.values()), Look(heads.withColumns(asked), list(asked), "inner", short=True)).df
     bare = equi_join(heads, found.select(*on).distinct(), on, on, "left_anti")
     columns = heads.columns + [c for c in details.columns if c not in key]
     return found.select(*columns).unionByName(bare, allowMissingColumns=True)

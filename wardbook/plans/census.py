@@ -32,7 +32,7 @@ def admissions(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Yesterday's admissions that are on a station, marked inpatient or OBS."""
     admitted = t.patients.where(on_day("isadate", as_of, 1)).select("hssvc", "patno", "pname", "isadate")
     placed = cut_to(taken_beds(t).where(F.col("nurst") != "NULL"), "pat_no", admitted, "patno")
-    found = Facts(placed).by("pat_no", Look(admitted.withColumn("_p", F.col("patno")), "_p", "inner")).df
+    found = Facts(placed).by("pat_no", Look(admitted.withColumn("_p", F.col("patno")), "_p", "inner", short=True)).df
     section = F.when(F.col("hssvc") == S.OBSERVATION, "OBS").when(F.col("hssvc") != S.OBSERVATION, "inpatient")
     found = found.withColumn("section", section).where(F.col("section").isNotNull())
     return ordered(
@@ -76,7 +76,7 @@ def expired(t: Tables, as_of: date, p: Params) -> DataFrame:
     dead = equi_join(out, t.dsstat.where(F.col("dcexp") == "Y").drop("dcdsc"), "dcstat", "dcubs", "inner")
     rooms = t.patrmbdp.where(F.col("recid") == "Y").select("patn15", "room", "bed")
     rooms = cut_to(rooms, "patn15", dead, "patno")
-    found = Facts(rooms).by("patn15", Look(dead.withColumn("_p", F.col("patno")), "_p", "inner")).df
+    found = Facts(rooms).by("patn15", Look(dead.withColumn("_p", F.col("patno")), "_p", "inner", short=True)).df
     names = "hssvc patno pname age sex isadate iatme diagn isddate dtime dcsds dcexp room bed"
     return ordered(contract(found, names.split()), "pname")
 

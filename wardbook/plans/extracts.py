@@ -137,7 +137,7 @@ def emergency_extract(t: Tables, as_of: date, p: Params) -> DataFrame:
         "rdpt_no", normalise("rdrs", {"NOT DETECTED": "Negative"}).alias("PatientCOVIDStatus")
     )
     results = cut_to(results, "rdpt_no", present_now, "patno")
-    found = Facts(results).by("rdpt_no", Look(present_now, "patno", "inner")).df
+    found = Facts(results).by("rdpt_no", Look(present_now, "patno", "inner", short=True)).df
     return contract(
         found,
         [

@@ -120,7 +120,7 @@ def resistant_organisms(t: Tables, as_of: date, p: Params) -> DataFrame:
     """
     left = t.patients.where(on_day("isddate", as_of, 1) & F.col("hssvc").isin(S.ORGANISM_SERVICES))
     left = left.select("patno", "isddate", "hssvc").withColumn("_p", F.col("patno"))
-    found = Facts(cut_to(t.chpdrip, "cipat_no", left, "patno")).by("cipat_no", Look(left, "_p", "inner")).df
+    found = Facts(cut_to(t.chpdrip, "cipat_no", left, "patno")).by("cipat_no", Look(left, "_p", "inner", short=True)).df
     return contract(found, "patno isddate hssvc ciinfctn ciiddte cirecdte ciresdte ciresby cistscd cicmmt".split())
 
 

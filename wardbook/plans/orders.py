@@ -109,7 +109,7 @@ def employee_results(t: Tables, as_of: date, p: Params) -> DataFrame:
         Facts(results)
         .by(
             ["rdpt_no", "rdor_no"],
-            Look(orders, ["opat_no", "oord_no"], "inner"),
+            Look(orders, ["opat_no", "oord_no"], "inner", short=True),
             Look(accounts, ["iaacct", "iaord_no"], "inner"),
         )
         .code("iahst_no", t.pathist.select("histn", "harcd", "phone"), "histn")
@@ -127,7 +127,7 @@ def lab_turnaround(t: Tables, as_of: date, p: Params) -> DataFrame:
     orders = orders.withColumns({"_pat": F.col("opat_no"), "_ord": F.col("oord_no")})
     found = (
         Facts(steps)
-        .by(["rhpt_no", "rhor_no"], Look(orders, ["_pat", "_ord"], "inner"))
+        .by(["rhpt_no", "rhor_no"], Look(orders, ["_pat", "_ord"], "inner", short=True))
         .by("rhpt_no", Look(taken_beds(t).select("pat_no", "nurst"), "pat_no"))
         .df
     )

@@ -125,7 +125,7 @@ def _bookings(t: Tables, as_of: date, surgeons: list[str], *of_appointment: Look
     return (
         Facts(bookings)
         .by("pat_id", Look(t.pat, "pat_id"), Look(t.patmrnlist, "pat_id"))
-        .by("ordering_phys_id", Look(physicians, "res_id", "inner"))
+        .by("ordering_phys_id", Look(physicians, "res_id", "inner", short=True))
         .by("appt_id", Look(visits, "appt_id", "inner"), Look(live, "appt_id", "inner"), *of_appointment)
         .code("apptclass_id", t.apptclass, "apptclass_id")
         .df.withColumn("startdate", start.cast("date"))
