@@ -62,11 +62,11 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = work()
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
+            for start in range(0, batch.num_rows, rows):  # never an empty part
                 part = batch.slice(start, rows)
                 found = values(part.column(at).cast(pa.binary()).to_pylist())
                 arrays = [part.column(i) for i in range(len(names))]
-                arrays += [pa.array(column, kind) for column, kind in zip(found, added.values(), strict=True)]
+                arrays += [column if isinstance(column, pa.Array) else pa.array(column, kind) for column, kind in zip(found, added.values(), strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *added])
 
     return df.select(*[F.col(f"`{c}`") for c in sent]).mapInArrow(run, schema)

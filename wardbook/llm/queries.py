@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardbook.llm.common import read
+from wardbook.llm.chats import collapse_and_render
+from wardbook.llm.common import held_out, read
+from wardbook.llm.decontaminate import contamination
+from wardbook.llm.language import dictionaries, identify
 from wardbook.llm.quality_rules import quality_rules
+from wardbook.llm.sentencepiece_tokens import load, tokenize
 from wardbook.llm.simhash import hex_digits, near_duplicates
+from wardbook.llm.warc import base32_sha1, read_archives, write_pages
+from wardbook.operators.keep import shared_folder
+
+#: A public model file; a parameter of `op2_sentencepiece`.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +27,55 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(found["code"]).alias("fingerprint"), "component_id")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = MODEL_PATH) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = tokenize(docs, load(docs, model_path))
+    return found.select("doc_id", "ids", "n_tokens", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "round_trip", "parity")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes every page to archives in the shared folder and reads them back; lengths and digests of responses are of the payload as read."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    write_pages(read(spark, sf_dir, "pages"), path)
+    back = read_archives(spark, path)
+    whole = F.col("record_type") == "response"
+    return back.select(
+        "page_id",
+        F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, base32_sha1(F.col("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        F.regexp_extract("refers_to", r"^urn:page:(-?\d+)$", 1).cast("long").alias("refers_to"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.col("items").cast("array<string>"), ",").cast("binary")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_and_render(read(spark, sf_dir, "conversations"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return identify(docs, dictionaries(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_simhash": op1_simhash,
-    "op7_quality_rules": op7_quality_rules,
+    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -218,7 +218,7 @@ def classes(rows: DataFrame, distance: int = MAX_DISTANCE, group_rows: int = GRO
     placed = codes.join(stars.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))
     placed = keep_table(placed)
     # Components of one code need no second look-up.
-    least = placed.filter("root <> code").select("root").distinct().join(placed, "root").groupBy("root").agg(F.min("first_id").alias("component_id"))
+    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
     return placed.join(least, "root", "left").select("code", "root", F.coalesce("component_id", "first_id").alias("component_id"))
 
 
