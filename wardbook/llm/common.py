@@ -92,6 +92,25 @@ def spark_schema(kinds: dict[str, pa.DataType]) -> str:
     return ", ".join(f"`{n}` {_SPARK_TYPES[t]}" for n, t in kinds.items())
 
 
+_PLACES = 1 << 40
+
+
+def hash_place(*keys: str) -> Column:
+    """A number from 0 to 2^40 that depends on the keys alone."""
+    return F.pmod(F.xxhash64(*keys), F.lit(_PLACES))
+
+
+def hash_limit(wanted: int, n: Column | int) -> Column:
+    """The place below which about `wanted` of n rows lie, with some to spare."""
+    return F.least(F.lit(1.0), F.lit(1.2 * wanted + 100) / F.lit(n) if isinstance(n, int) else F.lit(1.2 * wanted + 100) / n) * _PLACES
+
+
 def bounded_ids(labelled: DataFrame, key: str, bound: int) -> DataFrame:
-    """At most `bound` rows of a labelled table, by the hash of their key: the same ones at any partitioning."""
-    return labelled.orderBy(F.xxhash64(key), key).limit(bound)
+    """At most `bound` rows of a table, those with the lowest hashes of their keys: the same ones at any partitioning.
+
+    A count comes first, so that only little more than `bound` rows ever leave their tasks.
+    """
+    n = labelled.count()
+    if n <= bound:
+        return labelled
+    return labelled.filter(hash_place(key) < hash_limit(bound, n)).orderBy(hash_place(key), key).limit(bound)

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardbook.llm.common import held_out, map_texts
+from wardbook.llm.common import hash_limit, hash_place, held_out, map_texts
 
 LEVEL = 6
 DICTIONARY_BYTES = 64 * 1024
@@ -53,11 +53,15 @@ def dictionaries(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")
     )
-    languages = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
-    # Ids first: the window sees no text, and each task sends on max_texts rows a language.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "bytes"), "doc_id", "bytes")
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["count"] for r in counted.collect()}  # at most max_languages rows
+    languages = list(sizes)
+    counts = docs.sparkSession.createDataFrame(list(sizes.items()), "lang string, n bigint")
+    # Ids first: the window sees no text, and of each language little more than max_texts rows.
     short = rows.select("lang", "doc_id", F.octet_length("text").alias("bytes")).filter(F.col("bytes").between(1, MAX_TEXT_BYTES))
-    taken = short.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_texts).filter(F.col("lang").isin(languages))
+    few = short.join(F.broadcast(counts), "lang").filter(hash_place("doc_id") < hash_limit(4 * max_texts, F.col("n")))
+    order = Window.partitionBy("lang").orderBy(hash_place("doc_id"), "doc_id", "bytes")
+    taken = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_texts).drop("n")
     chosen = rows.withColumn("bytes", F.octet_length("text")).join(F.broadcast(taken), ["lang", "doc_id", "bytes"])  # bounded: languages x max_texts
     # As many texts as fill the dictionary: a running sum over at most max_texts rows a language.
     filled = chosen.withColumn("upto", F.sum("bytes").over(Window.partitionBy("lang").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, 0)))

@@ -5,14 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.llm.chats import collapse_and_render
 from wardbook.llm.common import held_out, read
 from wardbook.llm.decontaminate import contamination
+from wardbook.llm.factorisation import classify, train
 from wardbook.llm.language import dictionaries, identify
 from wardbook.llm.quality_rules import quality_rules
+from wardbook.llm.secrets import KINDS, listed, secrets
 from wardbook.llm.sentencepiece_tokens import load, tokenize
 from wardbook.llm.simhash import hex_digits, near_duplicates
 from wardbook.llm.warc import base32_sha1, read_archives, write_pages
@@ -48,6 +50,22 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = classify(docs, train(docs, read(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(list(KINDS)))
+
+    def n_of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[n_of(kind) for kind in KINDS], F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -75,7 +93,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
+    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
 }
 
 #: DuckDB SQL for the queries that SQL can express.
