@@ -14,6 +14,7 @@ from wardbook.llm.decontaminate import contamination
 from wardbook.llm.factorisation import classify, train
 from wardbook.llm.language import dictionaries, identify
 from wardbook.llm.quality_rules import quality_rules
+from wardbook.llm.repeats import remove_repeats
 from wardbook.llm.secrets import KINDS, listed, secrets
 from wardbook.llm.sentencepiece_tokens import load, tokenize
 from wardbook.llm.simhash import hex_digits, near_duplicates
@@ -56,6 +57,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(read(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(list(KINDS)))
@@ -93,7 +99,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
+    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
 }
 
 #: DuckDB SQL for the queries that SQL can express.
