@@ -9,7 +9,8 @@ Where no piece has the marker after another character, no piece can reach from a
 are then cut there. That changes no result, and each distinct word goes through the library once per worker.
 
 Parity: with `verify`, the sentencepiece library encodes everything that the tokenizers library encodes, and a column says
-if a text's ids are equal; where they are not, the sentencepiece ids are the ones returned.
+if a text's ids are equal; where they are not, the sentencepiece ids are the ones returned. One difference is known: in a unigram model with byte fallback the
+library takes the literal text `<0x0A>` for that byte's piece.
 
 Defined results. Null text: null ids and null text back, 0 tokens. Empty text: no ids. `round_trip` says whether the decoded text
 equals the normalised input. Repeated rows: each comes back; an empty table gives no rows; other columns play no part.
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from wardbook.llm.common import map_texts
 
@@ -39,6 +40,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Distinct words that a worker holds with their ids.
 MAX_WORDS = 300_000
+#: Words that go through the library as one string.
+JOINED = 1000
 
 TOKENS = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "decoded": pa.string(), "round_trip": pa.bool_(), "parity": pa.bool_()}
 
@@ -113,7 +116,8 @@ def _merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
 def build(model: Model) -> Tokenizer:
     unknown = model.ids(UNKNOWN)
     if model.kind == UNIGRAM:
-        core = models.Unigram([(p, s) for p, s, _ in model.pieces], unk_id=unknown[0] if unknown else None, byte_fallback=model.byte_fallback)
+        # Control pieces stand for no text; with a blank, which normalised texts do not have, none can match them.
+        core = models.Unigram([(f" {p}" if kind in (UNKNOWN, CONTROL) and model.escape else p, s) for p, s, kind in model.pieces], unk_id=unknown[0] if unknown else None, byte_fallback=model.byte_fallback)
     else:
         core = models.BPE(
             {p: i for i, (p, _, _) in enumerate(model.pieces)},
@@ -126,7 +130,7 @@ def build(model: Model) -> Tokenizer:
     marker = MARKER if model.escape else " "
     steps = [normalizers.Precompiled(model.character_map)] if model.character_map else []
     if model.trim:
-        steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(f"^ +|[ {MARKER if model.escape else ''}]+$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if model.escape:
         steps.append(normalizers.Replace(" ", MARKER))
     if model.dummy_prefix:
@@ -175,20 +179,28 @@ class Codec:
             self.bare.encode_special_tokens = True
             self.bare.normalizer = normalizers.Sequence([])
             self.bare.decoder = decoder(model, strip=False)
+            self.joiner = build(model)
+            self.joiner.encode_special_tokens = True
+            self.joiner.normalizer = normalizers.Sequence([])
+            self.joiner.pre_tokenizer = pre_tokenizers.Split(Regex(self.cutter.pattern), "isolated")
+            self.starts = np.array([p.startswith(MARKER) for p, _, _ in model.pieces])
         if verify:
             import sentencepiece
 
             self.check = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def normal(self, text: str) -> str:
-        """The text as the decoder should give it back."""
-        plain = self.normalizer.normalize_str(text).replace(MARKER, " ")
-        return plain[1:] if self.prefixed and plain.startswith(" ") else plain
+        return self.normalizer.normalize_str(text)
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[str], list[bool]]:
-        """Per text its ids, what they decode to, and whether both libraries agree."""
+    def plain(self, normal: str) -> str:
+        """What the decoder should give back for a normalised text."""
+        out = normal.replace(MARKER, " ")
+        return out[1:] if self.prefixed and out.startswith(" ") else out
+
+    def encode(self, texts: list[str], normal: list[str] | None = None) -> tuple[list[np.ndarray], list[str], list[bool]]:
+        """Per text its ids, what they decode to, and whether both libraries agree; `normal`: the normalised texts."""
         if self.cutter:
-            ids, back, same = self._encode_words([self.cutter.findall(self.normalizer.normalize_str(t)) for t in texts])
+            ids, back, same = self._encode_words([self.cutter.findall(n) for n in normal or map(self.normal, texts)])
         else:
             found = self._library(self.tokenizer, texts)
             ids, back, same = [np.array(f, np.int32) for f in found], self.decode(found), [True] * len(texts)
@@ -202,23 +214,44 @@ class Codec:
     def _library(tokenizer: Tokenizer, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _by_sentencepiece(self, words: list[str]) -> list[list[int]]:
+    def _by_tokenizers(self, words: list[str]) -> list[bytes]:
+        """The ids of words, as bytes. Words with one marker go through the library many at a time: the marker shows
+        where each begins in the ids."""
+        joined = ["".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        out: list[bytes] = []
+        for at, ids in zip(range(0, len(words), JOINED), self._library(self.joiner, joined), strict=True):
+            raw, part = np.array(ids, np.int32), words[at : at + JOINED]
+            starts = np.flatnonzero(self.starts[raw])
+            if len(starts) != len(part) or any(w[1:2] == MARKER or w == MARKER for w in part):
+                out += [array("i", f).tobytes() for f in self._library(self.bare, part)]
+                continue
+            data, cuts = raw.tobytes(), (4 * np.append(starts, len(raw))).tolist()
+            out += [data[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        return out
+
+    def _by_sentencepiece(self, words: list[str]) -> list[bytes]:
         """The ids of words that start with a marker each, which the library puts there itself."""
-        found = self.check.encode([w.replace(MARKER, " ")[1:] for w in words], num_threads=self.threads)
+        found = self.check.encode([w[1:].replace(MARKER, " ") for w in words], num_threads=self.threads)
         # An empty text gets no marker.
-        return [f if f or w != MARKER else [self.check.piece_to_id(MARKER)] for f, w in zip(found, words, strict=True)]
+        return [array("i", f).tobytes() if f or w != MARKER else array("i", [self.check.piece_to_id(MARKER)]).tobytes() for f, w in zip(found, words, strict=True)]
+
+    def _back(self, words: list[str], ids: list[bytes]) -> list[str]:
+        """What the ids of words decode to; together where that gives the words themselves."""
+        whole = [w.replace(MARKER, " ") for w in words]
+        if self.bare.decode(np.frombuffer(b"".join(ids), np.int32).tolist(), skip_special_tokens=False) == "".join(whole):
+            return whole
+        return self.bare.decode_batch([np.frombuffer(i, np.int32).tolist() for i in ids], skip_special_tokens=False)
 
     def _encode_words(self, cut: list[list[str]]) -> tuple[list[np.ndarray], list[str], list[bool]]:
         """Each distinct word is encoded and decoded once and then looked up, until there are too many to hold."""
         if len(self.words) > MAX_WORDS:
             self.words.clear()
-        new = list({w for words in cut for w in words} - self.words.keys())
+        # Words with several markers stand together, so that few of them are encoded one by one.
+        new = sorted({w for words in cut for w in words if w not in self.words}, key=lambda w: w[1:2] == MARKER or len(w) == 1)
         if new:
-            found = self._library(self.bare, new)
-            expected = self._by_sentencepiece(new) if self.check and self.by_word else found
-            back = self.bare.decode_batch(expected, skip_special_tokens=False)
-            for word, ids, right, text in zip(new, found, expected, back, strict=True):
-                self.words[word] = (array("i", right).tobytes(), text, ids == right)
+            found = self._by_tokenizers(new)
+            right = self._by_sentencepiece(new) if self.check and self.by_word else found
+            self.words.update(zip(new, zip(right, self._back(new, right), map(bytes.__eq__, found, right), strict=True), strict=True))
         ids, back, same = [], [], []
         for words in cut:
             known = [self.words[w] for w in words]
@@ -255,14 +288,15 @@ def tokenize(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str =
 
         def values(texts):
             plain = [t.decode("utf-8", "replace") for t in texts if t is not None]
-            ids, back, same = coder.encode(plain)
+            normal = [coder.normal(t) for t in plain]
+            ids, back, same = coder.encode(plain, normal)
             there = np.array([t is not None for t in texts], bool)
             n = np.zeros(len(texts), np.int64)
             n[there] = [len(i) for i in ids]
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             listed = pa.ListArray.from_arrays(offsets, flat, mask=pa.array(~there))
-            rest = iter(zip(back, (b == coder.normal(t) for b, t in zip(back, plain, strict=True)), same, strict=True))
+            rest = iter(zip(back, (b == coder.plain(n) for b, n in zip(back, normal, strict=True)), same, strict=True))
             rows = [next(rest) if t is not None else (None, None, None) for t in texts]
             return listed, n, *zip(*rows, strict=True)
 
