@@ -403,5 +403,10 @@ def write_pages(pages: DataFrame, path: str, page_id: str = "page_id", url: str
 
 
 def read_archives(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """All records below `path`.
+
+    Spark keeps a Python source's plan with the frame, and asks for a new one only where a query has a predicate: after a filtered
+    query, an unfiltered one on the same frame would read what the first one wanted. So every query gets one that always holds.
+    """
     register(spark)
-    return spark.read.format("warc").options(**options).load(path)
+    return spark.read.format("warc").options(**options).load(path).filter("payload_bytes IS NOT NULL")
