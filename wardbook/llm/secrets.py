@@ -44,7 +44,9 @@ TOKEN = "([A-Za-z0-9+/_=-]{16,})"
 IDENTIFIER = "[A-Za-z_][A-Za-z0-9_]{7,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Mean nats per pair of characters above which a token is more like a random string.
-THRESHOLD = 1.0
+THRESHOLD = 3.5
+#: Weight of a character's own chance against its counts after another.
+FALLBACK = 8.0
 SAMPLE_DOCS = 20_000
 _WIDTH = len(ALPHABET)
 _BLOCK = 64
@@ -119,15 +121,16 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_do
             counts[row["random"]][row["pair"]] = row["count"]
     if not counts[False]:
         return [0.0] * (_WIDTH * _WIDTH)
-    return [_log_ratio(counts, a, b) for a in ALPHABET for b in ALPHABET]
+    random_chance, ordinary_chance = _chances(counts[True]), _chances(counts[False])
+    return [math.log(0.5 * random_chance[a + b] + 0.5 / _WIDTH) - math.log(ordinary_chance[a + b]) for a in ALPHABET for b in ALPHABET]
 
 
-def _log_ratio(counts: dict[bool, dict[str, int]], a: str, b: str) -> float:
-    def chance(which: bool) -> float:
-        row = sum(counts[which].get(a + c, 0) for c in ALPHABET)
-        return (counts[which].get(a + b, 0) + 0.5) / (row + 0.5 * _WIDTH)
-
-    return math.log(0.5 * chance(True) + 0.5 / _WIDTH) - math.log(chance(False))
+def _chances(counts: dict[str, int]) -> dict[str, float]:
+    """The chance of a character after another; after rarely seen ones it falls back on that of the character by itself."""
+    alone = {b: 0.5 + sum(counts.get(c + b, 0) for c in ALPHABET) for b in ALPHABET}
+    total = sum(alone.values())
+    row = {a: sum(counts.get(a + c, 0) for c in ALPHABET) for a in ALPHABET}
+    return {a + b: (counts.get(a + b, 0) + FALLBACK * alone[b] / total) / (row[a] + FALLBACK) for a in ALPHABET for b in ALPHABET}
 
 
 def _ratio(token: Column, table: Column) -> Column:
