@@ -6,7 +6,7 @@ is some conversation's hash at a later turn is a prefix of it and goes by an ant
 Hashes are made distinct before the join, so a first turn that a third of all logs share is one row. Texts move once, and only those of
 maximal conversations.
 
-Turns are ordered by turn, then role, then text; their place in that order counts, not the number itself.
+Turns are ordered by turn, then role, then a hash of the text; their place in that order counts, not the number itself.
 
 Defined results. Null role or text: kept apart from an empty one when conversations are compared, rendered as `unknown` and as nothing.
 Null turn: comes first. Rows without a conv_id form one conversation without an id. Repeated rows are turns like any other. Ties

@@ -18,6 +18,7 @@ from wardbook.llm.repeats import remove_repeats
 from wardbook.llm.secrets import KINDS, listed, secrets
 from wardbook.llm.sentencepiece_tokens import load, tokenize
 from wardbook.llm.simhash import hex_digits, near_duplicates
+from wardbook.llm.sql import SQL as SQL
 from wardbook.llm.warc import base32_sha1, read_archives, write_pages
 from wardbook.operators.keep import shared_folder
 
@@ -101,6 +102,3 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
 }
-
-#: DuckDB SQL for the queries that SQL can express.
-SQL: dict[str, str] = {}
