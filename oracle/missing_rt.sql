@@ -1,6 +1,7 @@
 WITH waiting AS (
   SELECT * FROM oeorder
   WHERE ostat = 3 AND oinit <> 'Y'
+    -- Fixed value: respiratory orders.
     AND oproc IN ('ABGCAPI', 'ABGCORDV', 'AP', 'ABGCORDA', 'ABGELGLU', 'RSV', 'FLU/RVP', 'RESPDFA', 'BORDPER', 'BPRTAB',
                   'ABGERPNL', 'ABGORPNL', 'ABGO2SAT', 'ABGVENBL', 'CULRSP', 'CARBONM', 'FLU/PCR', 'FLUABAB', 'FLUABAG',
                   'FLUEABPCR', 'HINFBIGG', 'INFABDFA', 'FLUPCR', 'INFLUAB', 'INFLUWOP', 'RVPPCR', 'SPECCOLL', 'RVP PCR',

@@ -14,7 +14,20 @@ logged AS (
   WHERE place = 1)
 SELECT casemain_id, pat_acct_num, pat_lastname, primpract_res_name, pat_or_in_datetime, pat_or_out_datetime,
        actcase_start_datetime, actcase_stop_datetime, schedcase_start_datetime, schedcase_stop_datetime,
-       if(CAST(right(actualroom_res_abbr, 2) AS INT) BETWEEN 1 AND 12,
-          'OPERATING ROOM ' || CAST(CAST(right(actualroom_res_abbr, 2) AS INT) AS VARCHAR), NULL) AS "Room Name",
+       -- Fixed value: room names.
+       CASE actualroom_res_abbr
+         WHEN 'OR 01' THEN 'OPERATING ROOM 1'
+         WHEN 'OR 02' THEN 'OPERATING ROOM 2'
+         WHEN 'OR 03' THEN 'OPERATING ROOM 3'
+         WHEN 'OR 04' THEN 'OPERATING ROOM 4'
+         WHEN 'OR 05' THEN 'OPERATING ROOM 5'
+         WHEN 'OR 06' THEN 'OPERATING ROOM 6'
+         WHEN 'OR 07' THEN 'OPERATING ROOM 7'
+         WHEN 'OR 08' THEN 'OPERATING ROOM 8'
+         WHEN 'OR 09' THEN 'OPERATING ROOM 9'
+         WHEN 'OR 10' THEN 'OPERATING ROOM 10'
+         WHEN 'OR 11' THEN 'OPERATING ROOM 11'
+         WHEN 'OR 12' THEN 'OPERATING ROOM 12'
+       END AS "Room Name",
        actual_proname AS "Procedure"
 FROM logged

@@ -16,6 +16,7 @@ diabetes AS (
   QUALIFY row_number() OVER (PARTITION BY trpat_no ORDER BY trrecdt DESC, answer DESC) = 1),
 watched AS (
   SELECT * FROM casepro
+  -- Fixed value: watched procedures.
   WHERE regexp_matches(actual_proname, 'ARTHROPLASTY|COLOSTOMY|ROBOTIC HYSTERECTOMY|LAMINECTOMY|ARTHROSCOPY|HEMILAMINECTOMY|OSTEOTOMY|LAMINECTOMIES|COLECTOMY|HYSTERECTOMY|CORONARY ARTERY BYPASS')),
 done AS (
   SELECT *, CAST(pat_acct_num AS BIGINT) AS patno, date_diff('minute', actcase_start_datetime, actcase_stop_datetime) AS minutes
@@ -26,11 +27,14 @@ SELECT pat_acct_num AS patid, policy.answer AS medicareid, pat_displayname AS "p
        if(stay.patno IS NULL, NULL, height.answer) AS height, if(stay.patno IS NULL, NULL, weight.answer) AS weight,
        actual_proname, '' AS proccode, '' AS jntreptype, '' AS jntreptot, '' AS jntrephemi, '' AS jntrepres,
        strftime(actcase_start_datetime, '%m/%d/%Y') AS procdate, diabetes.answer AS diabetes, 'N' AS emergency, 'N' AS trauma,
-       ['1', '1E', '2', '2E', '3', '3E', '4', '4E', '5', '5E'][nullif(asaclass_id, 0)] AS asaclass,
+       -- Fixed value: anaesthesia classes.
+       CASE asaclass_id WHEN 1 THEN '1' WHEN 2 THEN '1E' WHEN 3 THEN '2' WHEN 4 THEN '2E' WHEN 5 THEN '3' WHEN 6 THEN '3E'
+         WHEN 7 THEN '4' WHEN 8 THEN '4E' WHEN 9 THEN '5' WHEN 10 THEN '5E' END AS asaclass,
        'Y' AS anesthesia,
-       format('{:02d}', minutes // 60) AS procdurationhr, format('{:02d}', minutes % 60) AS procdurationmin,
+       if(minutes >= 0, format('{:02d}', minutes // 60), NULL) AS procdurationhr,
+       if(minutes >= 0, format('{:02d}', minutes % 60), NULL) AS procdurationmin,
        if(stay.patno IS NULL, NULL, if(stay.isadate = stay.isddate, 'Y', 'N')) AS outpatient,
-       'N' AS scope, map {9: 'C', 3: 'CC', 4: 'CO', 5: 'D'}[woundclass_id] AS swclass, 'Pri' AS closure, '' AS infection
+       'N' AS scope, CASE woundclass_id WHEN 9 THEN 'C' WHEN 3 THEN 'CC' WHEN 4 THEN 'CO' WHEN 5 THEN 'D' END AS swclass, 'Pri' AS closure, '' AS infection
 FROM done
 LEFT JOIN policy USING (patno) LEFT JOIN height USING (patno) LEFT JOIN weight USING (patno) LEFT JOIN diabetes USING (patno)
 LEFT JOIN patients AS stay ON stay.patno = done.patno

@@ -26,6 +26,7 @@ virus_deaths AS (
   WHERE patno IN (SELECT opat_no FROM oeorder WHERE oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO'))
     AND patno IN (SELECT rdpt_no FROM rd WHERE starts_with(rdrs, 'POS SARS'))),
 lines AS (
+  -- Fixed value: the lines of the summary.
   SELECT unnest([
     {'metric': 'Total Flu Positives', 'value': flu},
     {'metric': 'Flu Admits Yesterday', 'value': flu_admits},

@@ -70,9 +70,19 @@ def test_sentinel_date(spark):
 
 def test_durations(spark):
     start, stop = datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 18, 5, 59)
-    df = spark.createDataFrame([(start, stop), (start, None)], "a timestamp_ntz, b timestamp_ntz")
+    later = [datetime(2024, 1, 5, 12), datetime(2024, 1, 5, 13), datetime(2024, 1, 1, 7, 50), start, datetime(2024, 3, 1)]
+    df = spark.createDataFrame([(start, stop), (start, None), (None, stop), *[(start, x) for x in later]], "a timestamp_ntz, b timestamp_ntz")
     hours, minutes = clock.duration_parts("a", "b")
-    assert [tuple(r) for r in df.select(hours, minutes).collect()] == [("10", "05"), (None, None)]
+    assert [tuple(r) for r in df.select(hours, minutes).collect()] == [
+        ("10", "05"), (None, None), (None, None), ("100", "00"), ("101", "00"), (None, None), ("00", "00"), ("1432", "00"),
+    ]
+
+
+def test_packed_dates(spark):
+    values = ["240119", "40119", "2401191", "991399", "", "x", None]
+    want = [date(2024, 1, 19), date(2004, 1, 19), None, None, None, None, None]
+    assert each(spark, values, "x string", clock.from_yymmdd("x")) == want
+    assert each(spark, [240119, 2401191], "x int", clock.from_yymmdd("x")) == want[:1] + [None]
 
 
 def test_rendering(spark):

@@ -14,6 +14,7 @@ from wardbook.operators.joins import (
     ROWS_PER_SLOT_CONF,
     Facts,
     Look,
+    cut_all,
     cut_to,
     equi_join,
     in_roster,
@@ -95,6 +96,37 @@ def test_cut_to_a_short_list(spark, facts, few):
         spark.conf.unset(FEW_KEYS_CONF)
 
 
+def test_keys_are_counted_in_one_job(spark, facts, names, monkeypatch):
+    """However many keys: one pass, and one more to write the list of hot keys if there are any."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counting", "counting")
+    try:
+        three = Facts(facts).by("k", Look(names, "key")).by("v", Look(names, "name")).by(["k", "v"], Look(names, ["key", "name"]))
+        assert three.df.columns
+        actions = spark.sparkContext._jsc.sc().listenerBus()
+        actions.waitUntilEmpty(10_000)
+        # Shuffle stages of one action may be jobs of their own; a second pass over the facts would double them.
+        assert len(tracker.getJobIdsForGroup("counting")) <= 3
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_third_of_the_rows_without_a_key(spark, names, few_rows_per_slot):
+    data = [(i, None if i % 3 == 0 else i % 9) for i in range(900)]
+    facts = spark.createDataFrame(data, "id int, k long")
+    for how in ("left", "inner", "left_anti"):
+        plain = facts.join(names, facts.k == names.key, how)
+        plain = plain.drop("key") if how != "left_anti" else plain
+        assert rows(Facts(facts).by("k", Look(names, "key", how)).df) == rows(plain)
+
+
+def test_the_list_is_counted_without_a_single_task(spark, facts):
+    """No exchange brings the keys themselves to one task; only the counts meet."""
+    asked = spark.createDataFrame([(2,), (5,)], "p long")
+    plan = cut_all([(facts, "k")], asked, "p")[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "GlobalLimit" not in plan and "LeftSemi" in plan
+
+
 def test_facts_refuse_a_key_that_is_not_theirs(facts, names):
     with pytest.raises(ValueError):
         Facts(facts).by("name", Look(names, "key"))
@@ -204,6 +236,16 @@ def test_counts(spark):
 def test_copies_come_back(spark, facts):
     counted = copies(facts, ["k", "v"])
     assert rows(expand_copies(counted)) == rows(facts.select("k", "v"))
+    for at_once in (1, 7, 100, 101):
+        assert rows(expand_copies(counted, at_once=at_once)) == rows(facts.select("k", "v"))
+
+
+def test_copies_of_one_row_are_the_work_of_many_tasks(spark):
+    one = spark.createDataFrame([("x", 1_000_000), ("y", 0), ("z", None)], "v string, copies long")
+    out = expand_copies(one)
+    assert out.groupBy("v").count().collect() == [("x", 1_000_000)]
+    lists = out._jdf.queryExecution().optimizedPlan().toString()
+    assert lists.count("Generate explode(sequence(") == 2 and "Rebalance" in lists
 
 
 PREFIXES = ["SMI", "SMITH", "JO", "50%", "A_", "SMITH"]
@@ -221,6 +263,10 @@ def test_prefixes_against_brute_force(spark, few, few_rows_per_slot, monkeypatch
     exists = prefix_join(notes, roster, "author", keep="exists")
     assert sorted(r["i"] for r in exists.collect()) == sorted({i for i, _, _ in want})
     assert exists.columns == notes.columns
+    listed = prefix_join(notes, PREFIXES, "author")
+    assert Counter(tuple(r) for r in listed.select("i", "author", "prefix").collect()) == want
+    assert rows(prefix_join(notes, PREFIXES, "author", keep="exists")) == rows(exists)
+    assert prefix_join(notes, [], "author").columns == ["i", "author", "prefix"] and prefix_join(notes, [""], "author").count() == 0
     nobody = roster.where("prefix = '?'")
     assert prefix_join(notes, nobody, "author").columns == ["i", "author", "prefix"]
     assert prefix_join(notes, nobody, "author").count() == prefix_join(notes, nobody, "author", keep="exists").count() == 0

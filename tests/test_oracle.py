@@ -36,30 +36,3 @@ def test_entry(spark):
     assert len(df.columns) == 16
     assert df.count() > 0
 
-
-def test_copies_write_out_the_source_rows(spark, con):
-    """The run-length lists hold exactly the rows of the plain joins."""
-    from wardbook.operators.dedup import expand_copies
-
-    results = """
-        SELECT t6.rdpf AS section, t2.pname, t2.dob, t6.rdisvfdt, rtrim(t6.rdrs) AS rdrs
-        FROM oeorder t1
-        LEFT JOIN patients t2 ON t1.opat_no = t2.patno
-        LEFT JOIN rd t6 ON t2.patno = t6.rdpt_no
-        WHERE t1.oproc IN ('COVID-19', 'COVID-LC', 'COVID-QL', 'COVID-CM', 'COVID-RO')
-          AND t2.patno NOT IN (11, 101, 1001) AND rtrim(t6.rdrs) <> '' AND t6.rdpf IN ('PF0', 'PF1')
-          AND trim(t6.rdrs) NOT IN ('OR PUB.HLTH.LAB', 'LABCORP', 'CALL IF NEG', 'CALL IF POS', '*')"""
-    notes = """
-        SELECT r.prefix AS section, t1.hssvc, t1.hstnum, t2.encid, t1.pname, t1.isdob, t2.titl, t2.createdt, t2.crtdname
-        FROM patients t1
-        LEFT JOIN cdnotetb t2 ON t2.encid = t1.patno
-        LEFT JOIN cdnteatb t3 ON t2.encid = t3.enctrid AND t2.createby = t3.lstmodby AND t3.enctrid = t1.patno
-        JOIN (VALUES ('Supplier#00000000'), ('Supplier#00000001'), ('Supplier#000000012'), ('Supplier#00000004'),
-                     ('Supplier#000000045')) AS r(prefix) ON t2.crtdname LIKE r.prefix || '%'
-        WHERE t2.createdt BETWEEN DATE '2024-01-06' AND DATE '2024-01-20'"""
-    from wardbook.sources.standins import duckdb_views
-
-    listed = expand_copies(QUERIES["results_by_code"](spark, SMALL)).drop("first_osdate")
-    assert differences(listed, con, duckdb_views(results)) == []
-    listed = expand_copies(QUERIES["notes_by_prefix"](spark, SMALL))
-    assert differences(listed, con, duckdb_views(notes)) == []

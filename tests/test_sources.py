@@ -64,6 +64,35 @@ def test_probe(spark, tmp_path):
     assert (found["rmbed"]["present"], found["rmbed"]["rows_read"], found["rmbed"]["passed"]) == (True, 5, True)
     assert (found["phymast"]["present"], found["phymast"]["passed"], found["phymast"]["missing_columns"]) == (True, False, "phname")
     assert (found["patients"]["present"], found["patients"]["passed"]) == (False, False)
+    assert (found["rmbed"]["readable"], found["rmbed"]["n_columns"], found["patients"]["readable"]) == (True, 5, False)
+
+
+def test_probe_tells_broken_files(spark, tmp_path):
+    """A file cut short, one with broken pages and an absent one are rows, beside a good one."""
+    for name in ("good", "short", "pages"):
+        spark.range(50_000).selectExpr("id AS a", "uuid() AS b").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        (file,) = (tmp_path / f"{name}.parquet").glob("part-*")
+        raw = file.read_bytes()
+        if name == "short":
+            file.write_bytes(raw[: len(raw) // 2])
+        if name == "pages":
+            file.write_bytes(raw[:4] + bytes(len(raw) // 2) + raw[4 + len(raw) // 2 :])
+        for other in (tmp_path / f"{name}.parquet").glob(".*.crc"):
+            other.unlink()
+    expected = {name: ["a", "b"] for name in ("good", "short", "pages", "absent")}
+    found = {r["table_name"]: (r["present"], r["readable"], r["rows_read"], r["passed"]) for r in probe_tables(spark, str(tmp_path), expected).collect()}
+    assert found == {
+        "good": (True, True, 5, True),
+        "short": (True, False, 0, False),
+        "pages": (True, False, 0, False),
+        "absent": (False, False, 0, False),
+    }
+
+
+def test_probe_reads_the_expected_columns(spark, tmp_path):
+    spark.range(5).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(f"{tmp_path}/t.parquet")
+    plan = probe_tables(spark, str(tmp_path), {"t": ["a", "c"]})._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<a:bigint,c:bigint>" in plan
 
 
 def test_filters_reach_the_scan(spark, tmp_path):

@@ -78,9 +78,9 @@ def yymmdd(d: Column | str | date) -> Column:
 
 
 def from_yymmdd(col: Column | str) -> Column:
-    """The six-digit number, or text, as a date; NULL when it is none."""
-    text = F.lpad(_col(col).cast("string"), 6, "0")
-    return F.try_to_timestamp(text, F.lit("yyMMdd")).cast("date")
+    """The six-digit number, or text, as a date; NULL when it is none. Longer numbers are none."""
+    text = _col(col).cast("string")
+    return F.when(F.length(text) <= 6, F.try_to_timestamp(F.lpad(text, 6, "0"), F.lit("yyMMdd")).cast("date"))
 
 
 def hhmm_pad(col: Column | str) -> Column:
@@ -139,11 +139,12 @@ def los_days(admitted: Column | str, discharged: Column | str, raw: bool = False
 
 
 def duration_parts(start: Column | str, stop: Column | str) -> tuple[Column, Column]:
-    """A span as two-digit hours and minutes; NULL when an end is missing."""
+    """A span as hours and minutes of two digits at least; NULL when an end is missing or the stop comes before the start."""
     seconds = F.timestamp_diff("SECOND", _col(start), _col(stop))
-    hours = F.floor(seconds / 3600)
-    minutes = F.floor(seconds % 3600 / 60)
-    return (
-        F.lpad(hours.cast("string"), 2, "0"),
-        F.lpad(minutes.cast("string"), 2, "0"),
-    )
+    seconds = F.when(seconds >= 0, seconds)
+    return _two_digits(F.floor(seconds / 3600)), _two_digits(F.floor(seconds % 3600 / 60))
+
+
+def _two_digits(n: Column) -> Column:
+    text = n.cast("string")
+    return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)

@@ -42,7 +42,17 @@ def copies(df: DataFrame, keys, name: str = "copies") -> DataFrame:
     return df.groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias(name))
 
 
-def expand_copies(df: DataFrame, name: str = "copies") -> DataFrame:
-    """Write a run-length row out as many times as it counts."""
-    rows = df.where(F.col(name) > 0).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(name))))
-    return rows.drop("_i", name)
+COPIES_AT_ONCE = 10_000
+
+
+def expand_copies(df: DataFrame, name: str = "copies", at_once: int = COPIES_AT_ONCE) -> DataFrame:
+    """Write a run-length row out as many times as it counts.
+
+    In two steps: a row becomes blocks of at most `at_once` copies, the blocks are dealt out, and each writes its own
+    copies. So no row ever holds a long list, and the copies of one row are the work of many tasks.
+    """
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(name) - 1) / at_once))
+    rows = df.where(F.col(name) > 0).withColumn("_block", F.explode(blocks))
+    left = F.least(F.lit(at_once).cast("bigint"), F.col(name) - F.col("_block") * at_once)
+    rows = rows.withColumn("_left", left).hint("rebalance")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_left")))).drop("_block", "_left", "_copy", name)

@@ -5,9 +5,11 @@ results, nursing records, ...) and looks rows of other tables up by key. It
 first counts the facts per key, which reads the key columns only, and joins
 according to the numbers:
 
+* All keys of the facts are counted in one pass (grouping sets).
 * Keys with very many facts are cut into slots, so no task gets one whole; the
   rows they are looked up from are repeated once per slot. Facts without a key
-  are spread as well instead of meeting in one task.
+  are spread over as many slots as their number asks for. The list of hot keys is
+  written once, so that facts and looked-up rows see the same one.
 * When the facts hold few keys (a daily list over a long history), the tables
   they are looked up in are cut to those keys before they are shuffled.
 * Otherwise the joins are plain ones. All lookups on one key share one shuffle.
@@ -25,12 +27,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.operators.keep import keep_table
+
 ROWS_PER_SLOT = 2_000_000
 ROWS_PER_SLOT_CONF = "spark.wardbook.rowsPerSlot"
 FEW_KEYS = 100_000
 FEW_KEYS_CONF = "spark.wardbook.fewKeys"
+#: At most so many keys are hot. Beyond 2 * 10^11 facts a slot, and the largest key that is left whole, grows with them:
+#: it holds a hundred-thousandth of all facts at most.
 MAX_HOT_KEYS = 100_000
-NULL_SLOTS = 256
 
 _ID, _SLOT, _SLOTS = "_row_id", "_slot", "_slots"
 
@@ -58,11 +63,11 @@ class _Spread:
     on: list[str]
     few: DataFrame | None
     hot: DataFrame | None
-    spread_missing: bool
+    missing_slots: int
 
     @property
     def needs_slots(self) -> bool:
-        return self.hot is not None or self.spread_missing
+        return self.hot is not None or self.missing_slots > 1
 
 
 def with_row_id(scan: DataFrame) -> DataFrame:
@@ -107,8 +112,7 @@ class Facts:
 
     @property
     def df(self) -> DataFrame:
-        spreads = {tuple(step[1]): None for step in self._steps if step[0] == "by"}
-        spreads = {on: self._count(list(on)) for on in spreads}
+        spreads = self._count(list(dict.fromkeys(tuple(step[1]) for step in self._steps if step[0] == "by")))
         result = self._facts
         own_id = _ID not in self._columns and any(s.needs_slots for s in spreads.values())
         if own_id:
@@ -124,27 +128,45 @@ class Facts:
                 result = result.where(step[0])
         return result.drop(_ID) if own_id else result
 
-    def _count(self, on: list[str]) -> _Spread:
-        """Count the facts per key; four numbers come back to the driver."""
-        counts = self._facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    def _count(self, keys: list[tuple[str, ...]]) -> dict[tuple[str, ...], _Spread]:
+        """Count the facts per key, all keys in one pass; four numbers per key come back to the driver."""
+        if not keys:
+            return {}
+        columns = list(dict.fromkeys(c for on in keys for c in on))
+        # The number that Spark gives a grouping set: a bit for each column that is not in it.
+        numbers = {on: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in on) for on in keys}
+        sets = {number: list(on) for on, number in numbers.items()}
+        counts = self._facts.groupingSets(list(sets.values()), *columns).agg(
+            F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set")
+        )
         missing = F.lit(False)
-        for c in on:
-            missing = missing | F.col(c).isNull()
-        seen = counts.agg(
+        for number, on in sets.items():
+            for c in on:
+                missing = missing | ((F.col("_set") == number) & F.col(c).isNull())
+        seen = counts.groupBy("_set").agg(
             F.count_if(~missing).alias("keys"),
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+            F.sum("_n").alias("rows"),
             F.coalesce(F.max(F.when(~missing, F.col("_n"))), F.lit(0)).alias("most"),
             F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias("missing"),
-        ).first()
+        )
+        seen = {row["_set"]: row for row in seen.collect()}  # a row per key
         # At most rows / limit keys can have more than `limit` rows.
-        limit = max(self._rows_per_slot, seen["rows"] // MAX_HOT_KEYS)
-        few = hot = None
-        if seen["keys"] <= self._few_keys:
+        limits = {n: max(self._rows_per_slot, row["rows"] // MAX_HOT_KEYS) for n, row in seen.items()}
+        hot = None
+        if any(row["most"] > limits[n] for n, row in seen.items()):
+            limit = F.lit(None).cast("long")
+            for n, rows in limits.items():
+                limit = F.when(F.col("_set") == n, F.lit(rows)).otherwise(limit)
+            hot = counts.where(~missing & (F.col("_n") > limit))
+            hot = keep_table(hot.withColumn(_SLOTS, F.ceil(F.col("_n") / limit).cast("int")))
+        return {on: self._spread(list(on), seen.get(n), hot.where(F.col("_set") == n) if hot and seen[n]["most"] > limits[n] else None) for on, n in numbers.items()}
+
+    def _spread(self, on: list[str], seen, hot: DataFrame | None) -> _Spread:
+        few = None
+        if seen is None or seen["keys"] <= self._few_keys:
             few = self._facts.select(*on).dropna().distinct()
-        if seen["most"] > limit:
-            hot = counts.dropna(subset=on).where(F.col("_n") > limit)
-            hot = hot.select(*on, F.ceil(F.col("_n") / limit).cast("int").alias(_SLOTS))
-        return _Spread(on, few, hot, seen["missing"] > self._rows_per_slot)
+        missing_slots = -(-seen["missing"] // self._rows_per_slot) if seen else 0
+        return _Spread(on, few, hot.select(*on, _SLOTS) if hot else None, missing_slots)
 
 
 def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFrame:
@@ -175,7 +197,7 @@ def _with_slot(facts: DataFrame, spread: _Spread) -> DataFrame:
     missing = F.lit(False)
     for c in spread.on:
         missing = missing | F.col(c).isNull()
-    slot = F.when(missing, F.pmod(F.col(_ID), F.lit(NULL_SLOTS)))
+    slot = F.when(missing, F.pmod(F.col(_ID), F.lit(max(1, spread.missing_slots))))
     if spread.hot is None:
         return facts.withColumn(_SLOT, slot.otherwise(0).cast("int"))
     names = {c: f"_hot_{c}" for c in spread.on}
@@ -200,17 +222,24 @@ def _repeated(table: DataFrame, spread: _Spread, keys: Sequence[str], slot: str)
 def cut_to(table: DataFrame, key: str | Sequence[str], few: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """The rows of a large table that a short list asks for, without shuffling the table.
 
-    The distinct keys of the list are counted up to `FEW_KEYS`. Up to there they
-    are broadcast; beyond, the table is returned whole and the join that follows
-    sorts it out.
+    The distinct keys of the list are counted. Up to `FEW_KEYS` they are
+    broadcast; beyond, the table is returned whole and the join that follows
+    sorts it out. The rows of the report are the same either way.
     """
-    key, on = _names(key), _names(on)
+    return cut_all([(table, key)], few, on)[0]
+
+
+def cut_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], few: DataFrame, on: str | Sequence[str]) -> list[DataFrame]:
+    """`cut_to` for several tables and their keys; the list is counted once."""
+    on = _names(on)
     keys = few.select(*on).dropna().distinct()
-    limit = int(few.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS)))
-    if keys.limit(limit + 1).count() > limit:
-        return table
-    keys = keys.toDF(*[f"_few_{k}" for k in key])
-    return table.join(F.broadcast(keys), [F.col(k) == F.col(f"_few_{k}") for k in key], "left_semi")
+    if keys.count() > int(few.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS))):
+        return [table for table, _ in tables]
+    out = []
+    for table, key in tables:
+        named = keys.toDF(*[f"_few_{k}" for k in _names(key)])
+        out.append(table.join(F.broadcast(named), [F.col(k) == F.col(f"_few_{k}") for k in _names(key)], "left_semi"))
+    return out
 
 
 def equi_join(left: DataFrame, right: DataFrame, on, key, how: str = "left") -> DataFrame:
@@ -279,18 +308,21 @@ def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
 def merge(left: DataFrame, right: DataFrame, key: str, how: str = "inner", row_key: Sequence[str] | None = None) -> DataFrame:
     """Frame merge on one key; `right` holds one row per key.
 
-    Unlike a frame library, NULL keys never match each other. A full outer merge
-    is the left join plus the right rows nobody asked for, so that hot and NULL
-    keys on the left stay spread.
+    Unlike a frame library, NULL keys never match each other. A full outer merge is one join; its left side is meant to be
+    a list of places, without hot keys.
     """
     probe = right.withColumnRenamed(key, "_merge_key")
     if how in ("inner", "left"):
         return Facts(left, row_key).by(key, Look(probe, "_merge_key", how)).df
     if how != "full_outer":
         raise ValueError(f"merge knows inner, left and full_outer, not {how!r}")
-    matched = Facts(left, row_key).by(key, Look(probe, "_merge_key", "left")).df
-    rest = equi_join(right, left.select(key).dropna().distinct(), key, key, "left_anti")
-    return matched.unionByName(rest, allowMissingColumns=True)
+    # Each input is worked out once. Rows without a key get one of their own that matches nothing, so they are spread.
+    salt = F.when(F.col(key).isNull(), F.xxhash64(*(row_key or left.columns))).otherwise(F.lit(0))
+    joined = left.withColumn("_salt", salt).join(
+        probe.withColumn("_salt_right", F.lit(0).cast("long")), (F.col(key) == F.col("_merge_key")) & (F.col("_salt") == F.col("_salt_right")), "full_outer"
+    )
+    columns = [F.coalesce(key, "_merge_key").alias(key) if c == key else F.col(c) for c in left.columns]
+    return joined.select(*columns, *[c for c in right.columns if c != key])
 
 
 def stack_sources(*frames: DataFrame) -> DataFrame:

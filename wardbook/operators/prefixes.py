@@ -1,18 +1,19 @@
-"""Matching a text column against a roster of prefixes, as an equi-join.
+"""Matching a text column against a roster of prefixes.
 
-The text is cut to each prefix length the roster holds and joined on equality,
-so a long roster needs no nested loop and the work grows with the rows, not
-with rows x roster.
+A parameter list (strings) becomes one condition of `startswith`s, which reaches
+the scan. A roster that is a table is an equi-join: the text is cut to each prefix
+length the roster holds and joined on equality, so a long roster needs no nested
+loop and the work grows with the rows, not with rows x roster.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardbook.functions.predicates import contains_any
+from wardbook.functions.predicates import contains_any, starts_with_any
 from wardbook.operators.joins import Facts, Look
 
 _CUT = "_cut"
@@ -40,13 +41,15 @@ def _cuts(df: DataFrame, col: str, lengths: Iterable[int]) -> DataFrame:
     return df.withColumn(_CUT, F.explode(F.array_compact(cuts)))
 
 
-def prefix_join(df: DataFrame, roster: DataFrame, col: str, prefix: str = "prefix", keep: str = "all") -> DataFrame:
+def prefix_join(df: DataFrame, roster: DataFrame | Sequence[str], col: str, prefix: str = "prefix", keep: str = "all") -> DataFrame:
     """Rows of `df` whose `col` starts with a roster prefix.
 
     keep="all": one row per matching prefix with the roster's columns added, so
     a text that two prefixes match comes twice. keep="exists": each row once.
     Prefixes are plain text: '%' and '_' stand for themselves.
     """
+    if not isinstance(roster, DataFrame):
+        return _listed(df, roster, col, prefix, keep)
     size, lengths = _measured(roster, prefix)
     if not size:
         empty = df.where(F.lit(False))
@@ -64,6 +67,19 @@ def prefix_join(df: DataFrame, roster: DataFrame, col: str, prefix: str = "prefi
     return cut.join(F.broadcast(table), _CUT, "inner").select(*df.columns, *roster.columns)
 
 
+def _listed(df: DataFrame, prefixes: Sequence[str], col: str, prefix: str, keep: str) -> DataFrame:
+    """The same for a list of strings, which is a condition and needs neither a count nor a join.
+
+    As in a roster, a prefix that is listed twice matches twice, and an empty one matches nothing.
+    """
+    prefixes = [p for p in prefixes if p]
+    found = df.where(starts_with_any(col, prefixes) if prefixes else F.lit(False))
+    if keep == "exists":
+        return found
+    listed = F.array(*[F.lit(p) for p in prefixes]).cast("array<string>")
+    return found.withColumn(prefix, F.explode(F.filter(listed, lambda p: F.startswith(F.col(col), p))))
+
+
 def shortest_prefixes(roster: DataFrame, prefix: str = "prefix") -> DataFrame:
     """The prefixes that no other prefix in the roster starts."""
     return _shortest(roster, prefix, *_measured(roster, prefix))

@@ -12,7 +12,7 @@ from wardbook.functions.codes import map_codes, normalise
 from wardbook.functions.predicates import occupied, present
 from wardbook.functions.text import nth_part, top_code, zero_to_null
 from wardbook.operators.dedup import one_per_key, single
-from wardbook.operators.joins import Facts, Look, cut_to, equi_join, in_roster, join_chain, merge, role
+from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, in_roster, join_chain, merge, role
 from wardbook.operators.shape import contract, nothing
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
@@ -86,6 +86,7 @@ def bed_extract(t: Tables, as_of: date, p: Params) -> DataFrame:
     )
     details = ["isPatientLevelCareICU", "PatientAdmitDate", "patientAge"]
     occupants = beds.where(occupied("pat_no")).select("pat_no").distinct()
+    patients, results = cut_all([(patients, "patno"), (results, "rdpt_no")], occupants, "pat_no")
     occupants = join_chain(
         occupants,
         [

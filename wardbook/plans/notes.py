@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.clock import between_days
 from wardbook.functions.codes import bucket
-from wardbook.operators.dedup import copies
+from wardbook.operators.dedup import copies, expand_copies
 from wardbook.operators.joins import Facts, Look, in_roster, stack_sources, with_row_id
 from wardbook.operators.prefixes import prefix_join
 from wardbook.operators.shape import contract, ordered
@@ -26,9 +26,9 @@ def notes_by_author(t: Tables, as_of: date, p: Params, days: int, authors: DataF
     note once per edit. That number is in `copies` here; expand_copies writes
     the rows out.
     """
-    roster = authors if authors is not None else value_list(t.cdnotetb.sparkSession, p.note_authors, "prefix")
     notes = with_row_id(t.cdnotetb.where(between_days("createdt", as_of, days)))
-    matched = prefix_join(notes, roster.withColumn("section", F.col("prefix")), "crtdname")
+    matched = prefix_join(notes, authors if authors is not None else p.note_authors, "crtdname")
+    matched = matched.withColumn("section", F.col("prefix"))
     patients = t.patients.select("patno", "hssvc", "hstnum", "pname", "isdob")
     edits = copies(t.cdnteatb, ["enctrid", "lstmodby"])
     found = (
@@ -41,6 +41,11 @@ def notes_by_author(t: Tables, as_of: date, p: Params, days: int, authors: DataF
     return contract(found, names)
 
 
+def notes_rows(t: Tables, as_of: date, p: Params, days: int = 14) -> DataFrame:
+    """The notes as the source lists them, once per edit."""
+    return expand_copies(notes_by_author(t, as_of, p, days))
+
+
 def _census_by_note(t: Tables, p: Params, how: str) -> DataFrame:
     """Occupied beds whose patient has the note (left_semi) or has not (left_anti)."""
     recent = t.patients.where(F.col("isadate") > F.lit(p.noted_since)).select("patno")
@@ -66,7 +71,7 @@ def department_documents(t: Tables, as_of: date, p: Params, days: int = 7) -> Da
     spark = t.cdnotetb.sparkSession
     out = ["mrn", "account_number", "patient_name", "physician", "document", "document_date"]
     notes = with_row_id(t.cdnotetb.where(between_days("createdt", as_of, days)))
-    notes = prefix_join(notes, value_list(spark, p.note_authors, "prefix"), "crtdname")
+    notes = prefix_join(notes, p.note_authors, "crtdname")
     patients = t.patients.select("patno", "hstnum", "pname")
     notes = Facts(notes).by(["encid", "patient_id"], Look(patients, ["patno", "hstnum"])).df
     notes = ordered(contract(notes, list(zip(out, ["patient_id", "encid", "pname", "crtdname", "titl", "createdt"]))), "patient_name")

@@ -11,7 +11,7 @@ from wardbook.functions.clock import hhmm_to_time, on_day
 from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
 from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
-from wardbook.operators.dedup import copies
+from wardbook.operators.dedup import copies, expand_copies
 from wardbook.operators.joins import Facts, Look, cut_to, equi_join, in_roster, join_chain, not_in_roster
 from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
@@ -61,6 +61,11 @@ def results_by_code(t: Tables, as_of: date, p: Params) -> DataFrame:
     return ordered(contract(found, names), "section", "first_osdate")
 
 
+def results_by_code_rows(t: Tables, as_of: date, p: Params) -> DataFrame:
+    """The results as the source lists them, once per order."""
+    return expand_copies(results_by_code(t, as_of, p)).drop("first_osdate")
+
+
 def result_totals(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Rows per result in each section, counting every copy.
 
@@ -195,7 +200,7 @@ def lab_monitor(t: Tables, as_of: date, p: Params) -> DataFrame:
         Facts(orders)
         .by(["opat_no", "oord_no"], Look(steps, ["rhpt_no", "rhor_no"]), Look(t.rmtor, ["rmpt_no", "rmor_no"]))
         .by("opat_no", Look(patients, "patno"), Look(_beds(t), "pat_no"))
-        .by("oproc", Look(t.oeproc, "pproc"))
+        .code("oproc", t.oeproc, "pproc")
         .code("ostat", t.oeostat, "stat_no")
         .df
     )
@@ -222,7 +227,7 @@ def missing_respiratory_orders(t: Tables, as_of: date, p: Params) -> DataFrame:
     found = (
         Facts(orders)
         .by("opat_no", Look(beds, "pat_no", "inner"), Look(patients, "patno", "inner"))
-        .by("oproc", Look(t.oeproc, "pproc"))
+        .code("oproc", t.oeproc, "pproc")
         .df
     )
     names = ["nurst", ("rb", dash("room", "bed")), ("patno", "opat_no"), *"pname osdate ostime oord_no oproc povdsc".split()]

@@ -51,6 +51,7 @@ REPORTS: dict[str, Report] = {
     "isolation_orders": nursing.isolation_orders,
     "isolation_nutrition": nursing.isolation_nutrition,
     "results_by_code": orders.results_by_code,
+    "results_by_code_rows": orders.results_by_code_rows,
     "result_totals": orders.result_totals,
     "ordered_procedures": orders.ordered_procedures,
     "employee_results": orders.employee_results,
@@ -70,6 +71,7 @@ REPORTS: dict[str, Report] = {
     "audit_matched": notes.patients_with_note,
     "notes_2_days": partial(notes.notes_by_author, days=2),
     "notes_by_prefix": partial(notes.notes_by_author, days=14),
+    "notes_rows": notes.notes_rows,
     "notes_32_days": partial(notes.notes_by_author, days=32),
     "notes_45_days": partial(notes.notes_by_author, days=45),
     "notes_plus_transcripts": notes.department_documents,

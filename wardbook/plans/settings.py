@@ -38,13 +38,13 @@ HOSPITALIST_SKIPPED_SERVICES = ["RAD", "CAT", "BBN", "NUR", "RE2", "INF", "LAB"]
 THROUGHPUT_SKIPPED_SERVICES = ["GIO", "SOP", "CAT", "WCC", "LAB", "OS1", "RE2", "RAD", "INF", "CAR", "MOP", "REF"]
 COMMUNITY_SERVICE = "RE2"
 
-# Virtual rooms, the numbered rooms 1-17 and S01-S40, and two overflow rooms.
 THROUGHPUT_SKIPPED_ROOMS = [
-    *["VMCU", "HALL", "VCDU", "VCCU", "VOR", "VSCJ", "VPCU", "VSSU", "VCVP"],
-    *[str(n) for n in range(1, 18)],
-    *[f"S{n:02d}" for n in range(1, 41)],
-    *["SER1", "SER2"],
-]
+    "VMCU", "HALL", "VCDU", "VCCU", "VOR", "VSCJ", "VPCU", "VSSU", "VCVP", "1", "2", "3", "4", "5", "6", "7", "8",
+    "9", "10", "11", "12", "13", "14", "15", "16", "17", "S01", "S02", "S03", "S04", "S05", "S06", "S07", "S08",
+    "S09", "S10", "S11", "S12", "S13", "S14", "S15", "S16", "S17", "S18", "S19", "S20", "S21", "S22", "S23", "S24",
+    "S25", "S26", "S27", "S28", "S29", "S30", "S31", "S32", "S33", "S34", "S35", "S36", "S37", "S38", "S39", "S40",
+    "SER1", "SER2",
+]
 
 # --- fixed values: order, result and nursing codes -----------------------------
 
@@ -105,7 +105,20 @@ RADIOLOGY_SKIPPED_CHARGES = [2811277, 2811241, 2811255, 2811167, 2811256, 281123
 
 CARE_LEVELS = {"CCU": "Adult ICU 3", "PCU": "Adult PCU", "CDU": "Adult OBS"}
 CARE_LEVEL_OTHER = "Adult Med Surg"
-ROOM_NAMES = {f"OR {n:02d}": f"OPERATING ROOM {n}" for n in range(1, 13)}
+ROOM_NAMES = {
+    "OR 01": "OPERATING ROOM 1",
+    "OR 02": "OPERATING ROOM 2",
+    "OR 03": "OPERATING ROOM 3",
+    "OR 04": "OPERATING ROOM 4",
+    "OR 05": "OPERATING ROOM 5",
+    "OR 06": "OPERATING ROOM 6",
+    "OR 07": "OPERATING ROOM 7",
+    "OR 08": "OPERATING ROOM 8",
+    "OR 09": "OPERATING ROOM 9",
+    "OR 10": "OPERATING ROOM 10",
+    "OR 11": "OPERATING ROOM 11",
+    "OR 12": "OPERATING ROOM 12",
+}
 WOUND_CLASSES = {9: "C", 3: "CC", 4: "CO", 5: "D"}
 ASA_CLASSES = {1: "1", 2: "1E", 3: "2", 4: "2E", 5: "3", 6: "3E", 7: "4", 8: "4E", 9: "5", 10: "5E"}
 DIABETES_YES = [

@@ -12,12 +12,12 @@ from wardbook.functions.codes import map_codes
 from wardbook.functions.text import to_long
 from wardbook.operators.counts import value_counts
 from wardbook.operators.dedup import copies, one_per_key, single
-from wardbook.operators.joins import Facts, Look, equi_join, with_details
+from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, with_details
 from wardbook.operators.keep import keep
 from wardbook.operators.prefixes import keyword_filter, prefix_join
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
-from wardbook.plans.settings import Params, value_list
+from wardbook.plans.settings import Params
 from wardbook.sources.tables import Tables
 
 _START = "actcase_start_datetime"
@@ -34,7 +34,7 @@ def _first_cases(t: Tables, window: Column) -> DataFrame:
     """
     cases = t.casemain.where(window)
     first = one_per_key(cases, "pat_acct_num", [_START, "casemain_id"])
-    procedures = t.casepro.select("casemain_id", "actual_proname", "primpract_res_name")
+    procedures = cut_to(t.casepro, "casemain_id", first, "casemain_id").select("casemain_id", "actual_proname", "primpract_res_name")
     procedure = one_per_key(procedures, "casemain_id", ["actual_proname", "primpract_res_name"])
     return (
         Facts(first, row_key=["casemain_id"])
@@ -99,8 +99,7 @@ def surgery_list(t: Tables, as_of: date, p: Params) -> DataFrame:
     start = F.col("schedcase_start_datetime")
     # BETWEEN a day and the next: the upper bound is that midnight itself.
     cases = t.casemain.where((start >= F.lit(as_of)) & (start <= F.lit(as_of + timedelta(days=1))))
-    roster = value_list(t.casemain.sparkSession, p.surgeons, "prefix")
-    cases = prefix_join(cases, roster, "attending_res_name", keep="exists")
+    cases = prefix_join(cases, p.surgeons, "attending_res_name", keep="exists")
     found = with_details(cases, t.casepro.select("casemain_id", "actual_proname"), "casemain_id", "casemain_id")
     names = ["Account Number", "Patient Name", "Physician Name", "Scheduled Date", "Procedure"]
     columns = ["pat_acct_num", "pat_legalname", "attending_res_name", "schedcase_start_datetime", F.substring("actual_proname", 1, 50)]
@@ -110,18 +109,17 @@ def surgery_list(t: Tables, as_of: date, p: Params) -> DataFrame:
 def _bookings(t: Tables, as_of: date, surgeons: list[str], *of_appointment: Look) -> DataFrame:
     """Bookings of the next 35 days with patient, status and physician, not cancelled.
 
-    The source also joins the visit by its own number, which brings no column in
-    and matches one row at most; that join is left out. Appointments with several
-    procedures or resources are handled by the callers.
+    The visit is joined by its own number, counted first: it brings no column in, but a booking is listed once for each.
+    Appointments with several procedures or resources are handled by the callers.
     """
     start = F.col("start_datetime")
     bookings = t.patbooking.where((start >= F.lit(as_of)) & (start < F.lit(as_of + timedelta(days=36))))
-    roster = value_list(t.res.sparkSession, surgeons, "prefix")
-    physicians = prefix_join(t.res, roster, "name", keep="exists").withColumnRenamed("name", "physician")
+    physicians = prefix_join(t.res, surgeons, "name", keep="exists").withColumnRenamed("name", "physician")
     live = equi_join(t.appt, t.apptstatus, "apptstatus_id", "apptstatus_id", "left_semi")
     live = live.where(F.col("apptstatus_id") != S.CANCELLED_APPOINTMENT)
     live = equi_join(live, t.service, "service_id", "service_id").select("appt_id")
-    visits = t.visitapptlist.select("appt_id")
+    visits = equi_join(t.visitapptlist, copies(t.visit, "visit_id", "n_visits"), "visit_id", "visit_id")
+    visits = visits.groupBy("appt_id").agg(F.sum(F.coalesce("n_visits", F.lit(1))).alias("n_visits"))
     return (
         Facts(bookings)
         .by("pat_id", Look(t.pat, "pat_id"), Look(t.patmrnlist, "pat_id"))
@@ -155,7 +153,7 @@ def _booking_rows(t: Tables, as_of: date, p: Params) -> DataFrame:
         Look(copies(t.probooking, "appt_id", "n_procedures"), "appt_id"),
         Look(copies(t.resbooking, "appt_id", "n_resources"), "appt_id"),
     )
-    rows = F.coalesce("n_procedures", F.lit(1)) * F.coalesce("n_resources", F.lit(1))
+    rows = F.col("n_visits") * F.coalesce("n_procedures", F.lit(1)) * F.coalesce("n_resources", F.lit(1))
     return found.select("startdate", "physician", rows.alias("n_rows"))
 
 
@@ -180,9 +178,13 @@ def schedule_sections(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]
 # --- surgical-site denominator ----------------------------------------------------------
 
 
-def _answer(t: Tables, field: str, name: str) -> DataFrame:
-    answers = t.chpdtaph.where(F.col("dthfield") == field)
-    return answers.select("dthpatno", "dthdttm", F.trim("dthresp").alias(name))
+def _latest_answers(answers: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The latest answer of each field per patient, all fields in one pass; ties go to the larger answer."""
+    latest = [
+        F.max(F.when(F.col("dthfield") == field, F.struct("dthdttm", F.trim("dthresp").alias("answer"))))["answer"].alias(name)
+        for field, name in names.items()
+    ]
+    return answers.groupBy("dthpatno").agg(*latest)
 
 
 def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
@@ -196,11 +198,17 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     cases = cases.select(
         "casemain_id", "pat_acct_num", "pat_displayname", "pat_gender", "pat_birth_datetime", _START, "actcase_stop_datetime"
     ).withColumn("patno", to_long("pat_acct_num"))
-    policies = t.benefits.select("patno", "seqno", F.trim("policy").alias("medicareid"))
-    medicare = t.benext.where(F.col("ibinam") == S.MEDICARE).select("patno", "seqno")
+    # The histories are cut to the cases' patients before anything is joined or sorted; the cases are counted once for all.
+    answers = t.chpdtaph.where(F.col("dthfield").isin("Height", "Weight"))
+    replies = t.nctrn.where(F.col("trprmid") == S.DIABETES_PARAMETER)
+    benefits, extensions, answers, replies = cut_all(
+        [(t.benefits, "patno"), (t.benext, "patno"), (answers, "dthpatno"), (replies, "trpat_no")], cases, "patno"
+    )
+    policies = benefits.select("patno", "seqno", F.trim("policy").alias("medicareid"))
+    medicare = extensions.where(F.col("ibinam") == S.MEDICARE).select("patno", "seqno")
     policies = equi_join(policies, medicare, ["patno", "seqno"], ["patno", "seqno"], "left_semi")
     reply = F.when(F.trim("trrecval").isin(S.DIABETES_YES), "Y").otherwise("N")
-    diabetes = t.nctrn.where(F.col("trprmid") == S.DIABETES_PARAMETER).select("trpat_no", "trrecdt", reply.alias("diabetes"))
+    diabetes = replies.select("trpat_no", "trrecdt", reply.alias("diabetes"))
     same_day = F.when(F.col("isadate") == F.col("isddate"), "Y").otherwise("N")
     stays = t.patients.select("patno", "isadate", same_day.alias("outpatient"))
     # The lookups are made per case, before the procedures multiply the rows; one
@@ -208,20 +216,21 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     cases = Facts(cases).by(
         "patno",
         single(policies, "patno", ["medicareid"], ["seqno"]),
-        single(_answer(t, "Height", "height"), "dthpatno", ["height"], ["dthdttm"]),
-        single(_answer(t, "Weight", "weight"), "dthpatno", ["weight"], ["dthdttm"]),
+        Look(_latest_answers(answers, {"Height": "height", "Weight": "weight"}), "dthpatno"),
         single(diabetes, "trpat_no", ["diabetes"], ["trrecdt"]),
         single(stays, "patno", ["outpatient"], ["isadate"]),
     ).df
     procedures = keyword_filter(t.casepro, S.SURGICAL_KEYWORDS, "actual_proname")
     procedures = procedures.select("casemain_id", "actual_proname", "woundclass_id")
     intraop = t.caseintraop.select("casemain_id", "asaclass_id")
+    # Both sides of this join are worked out per case already.
     base = Facts(procedures).by("casemain_id", Look(cases, "casemain_id", "inner"), Look(intraop, "casemain_id")).df
     # Answers are looked up through the patient, so without one there is none.
     known = F.col("outpatient").isNotNull()
 
     hours, minutes = duration_parts(_START, "actcase_stop_datetime")
     empty = F.lit("")
+    # Fixed value: the 26 heads of the denominator, in order.
     return contract(
         base,
         [

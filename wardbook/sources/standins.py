@@ -210,7 +210,8 @@ FROM lineitem""",
     "rmtor": f"""SELECT {_L} + 1 AS rmpt_no, {_ORDER_NO} + CASE l_linestatus WHEN 'F' THEN 0 ELSE {_big('500000000000')} END AS rmor_no,
   'X' || {_text('l_partkey')} AS rmxrf
 FROM lineitem""",
-    "nctrn": f"""SELECT CASE WHEN {_E} % 3 = 0 THEN user_id + 1 ELSE {_E} + 1 END AS trpat_no, {_pick(_E, PARAMETERS)} AS trprmid, ts AS trrecdt,
+    "nctrn": f"""SELECT CASE WHEN {_E} % 3 = 0 THEN user_id + 1 ELSE {_E} + 1 END AS trpat_no, {_pick(_E, PARAMETERS)} AS trprmid,
+  CASE WHEN {_E} % 7 < 3 THEN {_at(f"DATE '{AS_OF}' - 1", f'720 + ({_E} * 17) % 720')} ELSE ts END AS trrecdt,
   {_pick(_big(f'floor({_E} / 10)'), NURSING_VALUES)} AS trrecval, props AS trcom, 'USER' || {_text('user_id')} AS trusr
 FROM events""",
     "ncprm": f"""SELECT CASE WHEN n_nationkey < {len(PARAMETERS)} THEN {_pick('n_nationkey', PARAMETERS)} ELSE 'Q' || {_text('n_nationkey')} END AS prid,
@@ -221,7 +222,10 @@ FROM nation""",
   'LAST' || {_text('o_custkey % 500')} AS pat_lastname, {_pick('o_custkey', ['F', 'M'])} AS pat_gender,
   {_at("DATE '1930-01-01' + " + _int('(o_custkey * 37) % 33000'), '0')} AS pat_birth_datetime,
   {_at(_back(f'{_K} % 503'), f'({_K} * 7) % 1440')} AS actcase_start_datetime,
-  CASE WHEN {_K} % 11 = 0 THEN NULL ELSE {_at(_back(f'{_K} % 503'), f'({_K} * 7) % 1440 + 20 + {_K} % 400')} END AS actcase_stop_datetime,
+  CASE WHEN {_K} % 11 = 0 THEN NULL
+    WHEN {_K} % 13 = 0 THEN {_at(_back(f'{_K} % 503'), f'({_K} * 7) % 1440 + 5990 + {_K} % 900')}
+    WHEN {_K} % 17 = 0 THEN {_at(_back(f'{_K} % 503'), f'({_K} * 7) % 1440 - 10')}
+    ELSE {_at(_back(f'{_K} % 503'), f'({_K} * 7) % 1440 + 20 + {_K} % 400')} END AS actcase_stop_datetime,
   {_at(_back(f'{_K} % 43 - 3'), f'({_K} * 11) % 1440')} AS schedcase_start_datetime,
   {_at(_back(f'{_K} % 43 - 3'), f'({_K} * 11) % 1440 + 60')} AS schedcase_stop_datetime,
   {_K} % 25 AS actualroom_res_id, 'OR ' || lpad({_text(f'{_K} % 14')}, 2, '0') AS actualroom_res_abbr,
