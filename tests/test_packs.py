@@ -34,6 +34,35 @@ def test_sections_of_a_pack_are_the_single_reports(tables):
     assert pack["Total by Move Date"].exceptAll(run("throughput_by_move", tables, AS_OF)).count() == 0
 
 
+SHARED = {
+    "infection": {
+        "Foley": "infection_foley", "Central Lines": "infection_lines", "Isolation": "infection_iso",
+        "Isolation-CHP": "infection_problem", "MDRO": "infection_mdro", "Vaccine": "infection_vaccine",
+    },
+    "or_log": {"Yesterday": "or_log_yesterday", "MTD": "or_log_mtd"},
+    "isolation": {"Nurse Orders": "isolation_orders", "CHP Locations": "infection_problem"},
+}
+
+
+@pytest.mark.parametrize("name", SHARED)
+def test_sections_from_a_shared_base_are_the_single_reports(tables, name):
+    pack = run_pack(name, tables, AS_OF)
+    for section, report in SHARED[name].items():
+        single = run(report, tables, AS_OF)
+        assert pack[section].exceptAll(single).count() == single.exceptAll(pack[section]).count() == 0
+
+
+def test_sections_do_not_read_the_shared_tables_again(tables):
+    """Records, beds and cases are written once; a section reads what was written."""
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    pack = run_pack("infection", tables, AS_OF)
+    # Stand-in records are events: none of their columns is worked out in a section on records.
+    for section in ("Foley", "Central Lines", "Isolation", "Vaccine"):
+        assert "event_id" not in scans(pack[section]), section
+    for section, df in run_pack("or_log", tables, AS_OF).items():
+        assert "l_orderkey" not in scans(df) and "o_orderdate" not in scans(df), section
+
+
 def test_audit_and_main_output_make_up_the_census(tables):
     matched, unmatched = run("audit_matched", tables, AS_OF), run("anti_note_buckets", tables, AS_OF)
     beds = tables.rmbed.where("pat_no > 0 AND nurst NOT IN ('DIAG', 'NUR', 'WHBC', 'CVPR', 'EOP')")

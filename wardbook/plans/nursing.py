@@ -11,6 +11,7 @@ from wardbook.functions.clock import between_days, on_day, since, time_after
 from wardbook.functions.predicates import any_of, dated, not_discharged, present
 from wardbook.functions.text import dash
 from wardbook.operators.joins import Facts, Look, cut_to
+from wardbook.operators.keep import keep_table
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
@@ -133,7 +134,18 @@ def vaccines_not_given(t: Tables, as_of: date, p: Params) -> DataFrame:
     return ordered(contract(found, names), "nurst", "room", "bed", "prds")
 
 
+def _day_of_records(t: Tables, as_of: date) -> Tables:
+    """The records since yesterday, with the columns the sections show, and the taken beds: each worked out once."""
+    codes = dict.fromkeys(
+        [*S.CATHETER_PARAMETERS, *S.LINE_PARAMETERS, *S.LINE_PARAMETERS_DRESSING, S.ISOLATION_PARAMETER, *S.VACCINE_PARAMETERS]
+    )
+    records = t.nctrn.where(_parameter(list(codes), since("trrecdt", as_of, 1)))
+    return t.replaced(nctrn=keep_table(records), rmbed=keep_table(taken_beds(t)))
+
+
 def infection_pack(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
+    """Six sections from one reading of the records and one of the beds."""
+    t = _day_of_records(t, as_of)
     return {
         "Foley": catheters(t, as_of, p),
         "Central Lines": central_lines(t, as_of, p),
@@ -145,6 +157,7 @@ def infection_pack(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
 
 
 def isolation_report(t: Tables, as_of: date, p: Params, nutrition: bool = False) -> dict[str, DataFrame]:
+    t = _day_of_records(t, as_of)
     if nutrition:
         return {"All Patients": isolation_nutrition(t, as_of, p), "CHP": isolation_problems(t, as_of, p)}
     return {"Nurse Orders": isolation_orders(t, as_of, p), "CHP Locations": isolation_problems(t, as_of, p)}

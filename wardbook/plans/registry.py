@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from wardbook.plans import billing, census, extracts, notes, nursing, orders, surgery, throughput
 from wardbook.plans.settings import Params
-from wardbook.sinks.reports import MISSING_ORDERS_GAPS, missing_orders_title, summary_lines, text_lines
+from wardbook.sinks.reports import MISSING_ORDERS_GAPS, missing_orders_title, rendered, summary_lines, text_lines
 from wardbook.sources.tables import Tables
 
 Report = Callable[[Tables, date, Params], DataFrame]
@@ -27,6 +27,17 @@ def virus_summary_text(t: Tables, as_of: date, p: Params) -> DataFrame:
     return summary_lines(orders.virus_summary(t, as_of, p), orders.SUMMARY_ORDER)
 
 
+def bed_extract_text(t: Tables, as_of: date, p: Params) -> DataFrame:
+    """The bed extract as its delimited file shows it."""
+    return rendered(extracts.bed_extract(t, as_of, p))
+
+
+def radiology_text(t: Tables, as_of: date, p: Params) -> DataFrame:
+    """The inpatient revenue list as its delimited file shows it, amounts as floats without decimals."""
+    rows = billing.radiology_revenue(t, as_of, p, "Inpatient")
+    return rendered(rows.withColumn("amt1", rows["amt1"].cast("double")))
+
+
 REPORTS: dict[str, Report] = {
     "house_census": census.house_census,
     "admit_split": census.admissions,
@@ -40,6 +51,7 @@ REPORTS: dict[str, Report] = {
     "billing_demo": billing.demographics,
     "billing_census": billing.billing_census,
     "rad_revenue_ip": partial(billing.radiology_revenue, section="Inpatient"),
+    "rad_revenue_text": radiology_text,
     "rad_revenue_op": partial(billing.radiology_revenue, section="Outpatient"),
     "lines_last_day": nursing.central_lines_last_day,
     "infection_foley": nursing.catheters,
@@ -86,6 +98,7 @@ REPORTS: dict[str, Report] = {
     "schedule_by_physician": surgery.schedule_by_physician,
     "bed_feed": extracts.bed_feed,
     "bed_extract": extracts.bed_extract,
+    "bed_extract_text": bed_extract_text,
     "ed_extract": extracts.emergency_extract,
     "hospitalist_extract": extracts.hospitalist_extract,
     "throughput_all": throughput.last_moves,
@@ -95,7 +108,6 @@ REPORTS: dict[str, Report] = {
 }
 
 
-
 # Reports of several sections: a frame with a `section` column where the sections are
 # a split of one list (written in one pass), else one frame per section.
 PACKS: dict[str, Callable[[Tables, date, Params], DataFrame | dict[str, DataFrame]]] = {

@@ -13,7 +13,7 @@ from wardbook.functions.text import to_long
 from wardbook.operators.counts import value_counts
 from wardbook.operators.dedup import copies, one_per_key, single
 from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, with_details
-from wardbook.operators.keep import keep
+from wardbook.operators.keep import keep, keep_table
 from wardbook.operators.prefixes import keyword_filter, prefix_join
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
@@ -74,6 +74,13 @@ def or_log_month_to_date(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 
 def or_log(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
+    """Both sections from one reading of the month's cases and of what was done and noted in them."""
+    start = F.col(_START)
+    since = min(as_of.replace(day=1), as_of - timedelta(days=1))
+    cases = keep_table(t.casemain.where((start >= F.lit(since)) & (start < F.lit(as_of))))
+    parts = ("casepro", "caseintraop", "casepreop")
+    cut = cut_all([(t[name], "casemain_id") for name in parts], cases, "casemain_id")
+    t = t.replaced(casemain=cases, **{name: keep_table(df) for name, df in zip(parts, cut, strict=True)})
     return {"Yesterday": or_log_yesterday(t, as_of, p), "MTD": or_log_month_to_date(t, as_of, p)}
 
 

@@ -62,6 +62,12 @@ def as_text(df: DataFrame, no_decimals: bool = False) -> DataFrame:
     return df.select(*[show(f) for f in df.schema.fields])
 
 
+def rendered(df: DataFrame, no_decimals: bool = True) -> DataFrame:
+    """Every value as the text that a delimited file holds; NULL is empty."""
+    shown = as_text(df, no_decimals)
+    return shown.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in shown.columns])
+
+
 def write_delimited(
     df: DataFrame, path: str, sep: str = ",", header: bool = True, no_decimals: bool = False, names: Sequence[str] | None = None
 ) -> None:

@@ -34,6 +34,10 @@ class Tables(Mapping):
     def __len__(self) -> int:
         return len(self._makers)
 
+    def replaced(self, **tables: DataFrame) -> Tables:
+        """The same tables but for those given, as the base that several sections share."""
+        return Tables({**{name: (lambda name=name: self[name]) for name in self}, **{n: (lambda df=df: df) for n, df in tables.items()}})
+
 
 def jdbc_options(
     url: str, table: str, partition_column: str, lower: int, upper: int, partitions: int, fetch_size: int = 10_000
