@@ -300,7 +300,7 @@ def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
     facts = cut_to(details, key, heads, on).withColumnsRenamed(names)
     asked = {f"_h{i}": F.col(c) for i, c in enumerate(on)}
     found = Facts(facts).by(list(names.values()), Look(heads.withColumns(asked), list(asked), "inner", short=True)).df
-    bare = equi_join(heads, found.select(*on).distinct(), on, on, "left_anti")
+    bare = equi_join(heads, facts.select(*names.values()).distinct(), on, list(names.values()), "left_anti")
     columns = heads.columns + [c for c in details.columns if c not in key]
     return found.select(*columns).unionByName(bare, allowMissingColumns=True)
 

@@ -22,7 +22,7 @@ def taken_beds(t: Tables) -> DataFrame:
 
 
 def house_census(t: Tables, as_of: date, p: Params) -> DataFrame:
-    beds = taken_beds(t).where((F.col("nurst") != "SSU") & (F.col("nurst") != "EOP"))
+    beds = taken_beds(t).where(~F.col("nurst").isin(S.CENSUS_SKIPPED_UNITS))
     patients = t.patients.select("patno", "pname", "age", "diagn", "nwdocnum")
     found = Facts(beds).by("pat_no", Look(patients, "patno")).code("nwdocnum", t.phymast, "nwdrnum").df
     return ordered(contract(found, ["nurst", "room", "bed", "observ", "pname", "age", "diagn", "phname"]), "nurst")

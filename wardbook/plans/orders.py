@@ -12,7 +12,7 @@ from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
 from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
 from wardbook.operators.dedup import copies, expand_copies
-from wardbook.operators.joins import Facts, Look, cut_to, equi_join, in_roster, join_chain, not_in_roster
+from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, in_roster, join_chain, not_in_roster
 from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
 from wardbook.plans import settings as S
@@ -282,7 +282,14 @@ def _died_yesterday(t: Tables, as_of: date) -> DataFrame:
     return equi_join(out.select("patno", "dcstat"), expired, "dcstat", "dcubs", "left_semi").select("patno")
 
 
-def _flu_deaths(t: Tables, as_of: date) -> DataFrame:
+def _of_the_dead(t: Tables, dead: DataFrame) -> Tables:
+    """Orders, results, rooms and beds of a short list of patients; the list is counted once for all four."""
+    histories = {"oeorder": (t.oeorder, "opat_no"), "rd": (t.rd, "rdpt_no"), "patrmbdp": (t.patrmbdp, "patn15"), "rmbed": (taken_beds(t), "pat_no")}
+    cut = cut_all(list(histories.values()), dead, "patno")
+    return t.replaced(**dict(zip(histories, cut, strict=True)))
+
+
+def _flu_deaths(t: Tables, dead: DataFrame) -> DataFrame:
     """Rows the source join makes of those who died with flu: positive orders x rooms held x beds.
 
     Each factor is counted per patient and the counts are multiplied, so the
@@ -292,26 +299,23 @@ def _flu_deaths(t: Tables, as_of: date) -> DataFrame:
     positive = copies(t.rd.where(F.col("rdrs") == S.POSITIVE), ["rdpt_no", "rdor_no"], "n_results")
     pairs = equi_join(positive, orders, ["rdpt_no", "rdor_no"], ["opat_no", "oord_no"], "inner")
     pairs = pairs.groupBy("rdpt_no").agg(F.sum(F.col("n_results") * F.col("n_orders")).alias("n_pairs"))
-    factors = (
-        Facts(_died_yesterday(t, as_of), row_key=["patno"])
-        .by(
-            "patno",
-            Look(pairs, "rdpt_no", "inner"),
-            Look(copies(t.patrmbdp, "patn15", "n_rooms"), "patn15"),
-            Look(copies(taken_beds(t), "pat_no", "n_beds"), "pat_no"),
-        )
-        .df
+    factors = join_chain(
+        dead,
+        [
+            (pairs, "patno", "rdpt_no", "inner"),
+            (copies(t.patrmbdp, "patn15", "n_rooms"), "patno", "patn15"),
+            (copies(t.rmbed, "pat_no", "n_beds"), "patno", "pat_no"),
+        ],
     )
     product = F.col("n_pairs") * F.coalesce("n_rooms", F.lit(1)) * F.coalesce("n_beds", F.lit(1))
     return factors.agg(F.coalesce(F.sum(product), F.lit(0)).alias("flu_deaths"))
 
 
-def _virus_deaths(t: Tables, as_of: date) -> DataFrame:
+def _virus_deaths(t: Tables, dead: DataFrame) -> DataFrame:
     """Patients who died yesterday with any virus order and any positive result."""
     tested = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS)).select("opat_no").distinct()
     positive = t.rd.where(F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)).select("rdpt_no").distinct()
-    dead = Facts(_died_yesterday(t, as_of), row_key=["patno"])
-    both = dead.by("patno", Look(tested, "opat_no", "left_semi"), Look(positive, "rdpt_no", "left_semi")).df
+    both = join_chain(dead, [(tested, "patno", "opat_no", "left_semi"), (positive, "patno", "rdpt_no", "left_semi")])
     return both.agg(F.countDistinct("patno").alias("virus_deaths"))
 
 
@@ -360,5 +364,7 @@ def virus_summary(t: Tables, as_of: date, p: Params) -> DataFrame:
         count_where(in_critical_care, "n").alias("flu_icu"),
         count_where(virus, "n").alias("virus"),
     )
-    parts = [in_house, _flu_deaths(t, as_of), _virus_deaths(t, as_of)]
+    dead = _died_yesterday(t, as_of)
+    theirs = _of_the_dead(t, dead)
+    parts = [in_house, _flu_deaths(theirs, dead), _virus_deaths(theirs, dead)]
     return add_metrics(*[metric_rows(part, _SUMMARY) for part in parts])
