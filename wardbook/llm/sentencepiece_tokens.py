@@ -39,7 +39,7 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Distinct words that a worker holds with their ids.
-MAX_WORDS = 300_000
+MAX_WORDS = 200_000
 #: Words that go through the library as one string.
 JOINED = 1000
 
@@ -168,8 +168,10 @@ class Codec:
         self.tokenizer.encode_special_tokens = True
         self.normalizer = self.tokenizer.normalizer
         self.cutter = cutter(model)
-        #: word -> (ids as bytes, decoded text, same by both libraries)
-        self.words: dict[str, tuple[bytes, str, bool]] = {}
+        #: The ids of words, as bytes.
+        self.words: dict[str, bytes] = {}
+        #: Words whose ids do not decode to themselves, or differ between the libraries: (decoded text, same ids).
+        self.odd: dict[str, tuple[str, bool]] = {}
         self.prefixed = model.dummy_prefix
         self.threads, self.check = threads, None
         # A word that was cut from a normalised text is a text of its own only if normalising it again changes nothing.
@@ -235,30 +237,38 @@ class Codec:
         # An empty text gets no marker.
         return [array("i", f).tobytes() if f or w != MARKER else array("i", [self.check.piece_to_id(MARKER)]).tobytes() for f, w in zip(found, words, strict=True)]
 
-    def _back(self, words: list[str], ids: list[bytes]) -> list[str]:
-        """What the ids of words decode to; together where that gives the words themselves."""
-        whole = [w.replace(MARKER, " ") for w in words]
-        if self.bare.decode(np.frombuffer(b"".join(ids), np.int32).tolist(), skip_special_tokens=False) == "".join(whole):
-            return whole
-        return self.bare.decode_batch([np.frombuffer(i, np.int32).tolist() for i in ids], skip_special_tokens=False)
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words by both libraries and decode them again."""
+        found = self._by_tokenizers(words)
+        right = self._by_sentencepiece(words) if self.check and self.by_word else found
+        self.words.update(zip(words, right, strict=True))
+        differ = [w for w, f, r in zip(words, found, right, strict=True) if f != r]
+        self.odd.update((w, (self._text(self.words[w]), False)) for w in differ)
+        # Decoded together first; one by one only where that does not give the words themselves.
+        if self._text(b"".join(right)) != "".join(words).replace(MARKER, " "):
+            for word, ids in zip(words, right, strict=True):
+                if (text := self._text(ids)) != word.replace(MARKER, " "):
+                    self.odd[word] = text, self.odd.get(word, ("", True))[1]
+
+    def _text(self, ids: bytes) -> str:
+        return self.bare.decode(np.frombuffer(ids, np.int32).tolist(), skip_special_tokens=False)
 
     def _encode_words(self, cut: list[list[str]]) -> tuple[list[np.ndarray], list[str], list[bool]]:
         """Each distinct word is encoded and decoded once and then looked up, until there are too many to hold."""
         if len(self.words) > MAX_WORDS:
             self.words.clear()
+            self.odd.clear()
         # Words with several markers stand together, so that few of them are encoded one by one.
         new = sorted({w for words in cut for w in words if w not in self.words}, key=lambda w: w[1:2] == MARKER or len(w) == 1)
         if new:
-            found = self._by_tokenizers(new)
-            right = self._by_sentencepiece(new) if self.check and self.by_word else found
-            self.words.update(zip(new, zip(right, self._back(new, right), map(bytes.__eq__, found, right), strict=True), strict=True))
+            self._learn(new)
         ids, back, same = [], [], []
         for words in cut:
-            known = [self.words[w] for w in words]
-            ids.append(np.frombuffer(b"".join([k[0] for k in known]), np.int32))
-            text = "".join([k[1] for k in known])
+            ids.append(np.frombuffer(b"".join([self.words[w] for w in words]), np.int32))
+            odd = [w for w in words if w in self.odd] if self.odd else []
+            text = "".join([self.odd[w][0] if w in self.odd else w.replace(MARKER, " ") for w in words]) if odd else "".join(words).replace(MARKER, " ")
             back.append(text[1:] if self.prefixed and text.startswith(" ") else text)
-            same.append(all([k[2] for k in known]))
+            same.append(all(self.odd[w][1] for w in odd))
         return ids, back, same
 
     def decode(self, ids: list[list[int]]) -> list[str]:
