@@ -224,13 +224,22 @@ def classes(rows: DataFrame, distance: int = MAX_DISTANCE, group_rows: int = GRO
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """One row of `docs` per component: one that has the component's smallest id."""
-    code, root, first = fresh(docs, "code"), fresh(docs, "root"), fresh(docs, "component_id")
-    coded = fingerprints(docs, code, text, words)
-    rows = keep_table(coded.select(F.col(doc_id).alias("doc_id"), F.col(code).alias("code")))
-    found = classes(rows, distance).select(F.col("code").alias(code), F.col("root").alias(root), F.col("component_id").alias(first))
-    # Only rows that carry a component's smallest id can stay; cut to them by id and fingerprint before the texts move.
-    chosen = coded.join(found, code).filter(F.col(doc_id).eqNullSafe(F.col(first)))
-    return chosen.dropDuplicates([root]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, number, absent = fresh(docs, "text_hash"), fresh(docs, "id_number"), fresh(docs, "id_absent")
+
+    def keyed(rows: DataFrame, doc: str) -> DataFrame:
+        """A row is known by its text's hash and its id; a missing id is a value of its own."""
+        return rows.withColumns({number: F.coalesce(F.col(doc), F.lit(0)), absent: F.col(doc).isNull()})
+
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text).isNull(), F.col(text)).alias(key))
+    rows = keep_table(fingerprints(rows, "code", words=words, drop_text=True))
+    # One row per component: of those with its smallest id, the one with the smallest hash.
+    first = rows.join(classes(rows, distance), "code").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.groupBy("root").agg(F.min(F.struct("doc_id", key)).alias("first")).select("first.*")
+    kept = [key, number, absent]
+    docs_keyed = keyed(docs.withColumn(key, F.xxhash64(F.col(text).isNull(), F.col(text))), doc_id)
+    chosen = docs_keyed.join(keyed(first, "doc_id").select(*kept), kept, "left_semi")
+    # Repeated rows have met by the same columns already.
+    return chosen.dropDuplicates(kept).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def hex_digits(code: Column) -> Column:
