@@ -205,12 +205,10 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     cases = cases.select(
         "casemain_id", "pat_acct_num", "pat_displayname", "pat_gender", "pat_birth_datetime", _START, "actcase_stop_datetime"
     ).withColumn("patno", to_long("pat_acct_num"))
-    # The histories are cut to the cases' patients before anything is joined or sorted; the cases are counted once for all.
+    # Policies are cut to the cases' patients before their two tables are joined; the other histories are cut by the lookup.
     answers = t.chpdtaph.where(F.col("dthfield").isin("Height", "Weight"))
     replies = t.nctrn.where(F.col("trprmid") == S.DIABETES_PARAMETER)
-    benefits, extensions, answers, replies = cut_all(
-        [(t.benefits, "patno"), (t.benext, "patno"), (answers, "dthpatno"), (replies, "trpat_no")], cases, "patno"
-    )
+    benefits, extensions = cut_all([(t.benefits, "patno"), (t.benext, "patno")], cases, "patno")
     policies = benefits.select("patno", "seqno", F.trim("policy").alias("medicareid"))
     medicare = extensions.where(F.col("ibinam") == S.MEDICARE).select("patno", "seqno")
     policies = equi_join(policies, medicare, ["patno", "seqno"], ["patno", "seqno"], "left_semi")
