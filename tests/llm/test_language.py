@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import pytest
@@ -58,3 +59,46 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in identify(docs, []).collect()} == {"und"}
     none = spark.createDataFrame([], DOCS)
     assert dictionaries(none) == [] and identify(none, []).count() == 0
+
+
+def _words(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(300)]
+    return " ".join(rng.choices(words, k=n))
+
+
+def test_a_language_of_long_texts_has_a_dictionary(spark):
+    """One book, four laws and a short text beside them; none of the long ones fits whole."""
+    book = _words(1, 40_000)
+    rows = [(4 * i, text, lang) for i, (text, lang) in enumerate([(book, "book"), *[(_words(2, 4_000), "law")] * 4, (_words(3, 20), "note"), (_words(3, 9_000), "note")])]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2] + [(None, book, "book"), (None, _words(2, 4_000), "law"), (None, _words(3, 20), "note"), (None, _words(3, 9_000), "note")]
+    learned = dict(dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert set(learned) == {"book", "law", "note"}
+    assert all(16 * 1024 < len(c) <= language.DICTIONARY_BYTES + language.MAX_TEXTS for c in learned.values())
+    assert len(learned["book"]) > 60 * 1024
+    first, last = learned["book"].split(b"\n")[0], learned["book"].split(b"\n")[-1]
+    assert book.encode().startswith(first) and book.encode()[-4096:].find(last[-500:]) >= 0
+    assert learned["note"].startswith(_words(3, 20).encode())  # short texts come first
+    assert Encoders(list(learned.items())).answer(book[50_000:52_000].encode())[0] == "book"
+
+
+def test_short_texts_among_many_others_are_all_used(spark):
+    """The share of texts looked at follows from those that may be taken, not from all rows of the language."""
+    empty = spark.range(30_000).selectExpr("id AS doc_id", "'' AS text", "'xx' AS lang")
+    few = spark.createDataFrame([(None, f"short text {i}", "xx") for i in range(5)], "doc_id long, text string, lang string")
+    content = dict(dictionaries(empty.union(few)))["xx"]
+    assert sorted(content.split(b"\n")) == [b"short text %d" % i for i in range(5)]
+
+
+def test_every_language_of_many_is_learned_and_compared_in_groups(spark):
+    rows = [(None, _words(i, 60), f"l{i:03d}") for i in range(520)]
+    learned = dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [name for name, _ in learned] == [f"l{i:03d}" for i in range(520)]
+    few = learned[:7]
+    docs = odd_docs(spark, [(4000 + i, _words(i, 30), None, None, None) for i in range(7)])
+
+    def found(at_a_time: int) -> list:
+        return sorted((r.doc_id is None, r.doc_id or 0, r.lang_pred, round(r.score, 9), round(r.margin, 9), r.rejected) for r in identify(docs, few, at_a_time=at_a_time).collect())
+
+    assert found(2) == found(512)
+    assert [r[2] for r in found(2)][-8:-1] == [f"l{i:03d}" for i in range(7)]
