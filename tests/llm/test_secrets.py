@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
+import uuid
 
 import brute
 import pytest
@@ -85,6 +87,27 @@ def test_markov_spans(spark):
     assert scanned(spark, [f"token={strings[0]}"], ratios) == [[(0, 0, 46, "assign")]]
 
 
+CLEAN = """news/2024/01/15/some-article-title com/products/category/item-12345 org/wiki/World_War_2 state-of-the-art-2024
+ISO-8601-2019-standard 2024-01-15T12-30-00 2024-01-15T12-30-00Z/2024-01-16T12-30-00Z 20240115T123000Z-run-0001 =====section1=====
+MAX_BUFFER_SIZE_1024 getAccountByName2/configFile3 customer-account-number-2 covid-19-vaccination-rates""".split()
+
+
+def test_paths_dates_and_names_are_no_secrets(spark):
+    """Models of a corpus that holds no such tokens."""
+    ratios = secrets.train(spark.read.parquet(f"{MIDDLE}/documents.parquet"))
+    assert {t: f for t, f in zip(CLEAN, scanned(spark, [f"see {t} here" for t in CLEAN], ratios), strict=True) if f} == {}
+    rng = random.Random(4)
+    kinds = {
+        "base64": [base64.b64encode(rng.randbytes(30)).decode() for _ in range(100)],
+        "base64url": [base64.urlsafe_b64encode(rng.randbytes(30)).decode() for _ in range(100)],
+        "hex": [f"{rng.getrandbits(80):020x}" for _ in range(100)],
+        "groups": [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(100)],
+    }
+    for kind, strings in kinds.items():
+        found = scanned(spark, [f"see {s} here" for s in strings], ratios)
+        assert sum([(4, 3, 4 + len(s), "markov")] == f for s, f in zip(strings, found, strict=True)) >= 98, kind
+
+
 def test_the_table_equals_counting(spark):
     """The models from plain counts of the same samples."""
     text = "token=0123456789abcdef0123 some_identifier other_identifier"

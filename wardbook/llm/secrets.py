@@ -4,7 +4,10 @@ Everything is DataFrame functions in one narrow pass. A pattern's matches come a
 running sums of the pieces' lengths give positions in code points. The base patterns are `assign`, `access` and `hex`.
 
 The method adds `markov` spans: long tokens with a digit and a letter whose characters follow each other as in random strings
-rather than as in identifiers, by the mean log-likelihood ratio of two first-order models. They are trained from samples that the base
+rather than as in identifiers, by the mean log-likelihood ratio of two first-order models. Separators (+ / _ = -) stand in paths,
+dates and names as well as in random strings, so pairs with one are not scored, nor are numbers and times between separators. A piece
+between separators that is a word in whatever case, or words run together with capitals, is scored in lower case and without a number
+behind it: a corpus need not hold identifiers in every case. The models are trained from samples that the base
 patterns label: values that these find are random strings, other words are ordinary identifiers. The random model is mixed
 with equal chances for every character, so alphabets beyond those seen count as random as well. The samples come from at most
 `sample_docs` documents (those with the lowest hashes of their ids); all documents are scanned. The models are a table of a
@@ -43,12 +46,18 @@ MARKOV = "markov"
 TOKEN = "([A-Za-z0-9+/_=-]{16,})"
 IDENTIFIER = "[A-Za-z_][A-Za-z0-9_]{7,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Pieces between separators that are a number or a time, and that are a word, or words run together, with or without a number.
+NUMBER = "^[0-9]+(T[0-9]+)?Z?$"
+WORDS = "^([A-Z]+|[A-Z]?[a-z]+)([A-Z][a-z]+)*[0-9]*$"
 #: Mean nats per pair of characters above which a token is more like a random string.
 THRESHOLD = 3.5
+#: The mean is over as many pairs at least: a few odd ones in a date are no random string.
+LEAST_PAIRS = 10
 #: Weight of a character's own chance against its counts after another.
 FALLBACK = 8.0
 SAMPLE_DOCS = 20_000
 _WIDTH = len(ALPHABET)
+_SEPARATORS = ALPHABET.index("+")
 _BLOCK = 64
 PLACEHOLDER = "[SECRET]"
 
@@ -134,10 +143,18 @@ def _chances(counts: dict[str, int]) -> dict[str, float]:
 
 
 def _ratio(token: Column, table: Column) -> Column:
-    """Mean log-likelihood ratio over the token's pairs of characters."""
-    places = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    pairs = F.zip_with(F.slice(places, 1, F.size(places) - 1), F.slice(places, 2, F.size(places) - 1), lambda a, b: F.get(table, a * _WIDTH + b))
-    return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x) / (F.length(token) - 1)
+    """Mean log-likelihood ratio over the token's pairs of characters without a separator."""
+    pieces = F.regexp_extract_all(token, F.lit("[A-Za-z0-9]+|[^A-Za-z0-9]+"), F.lit(0))
+    # What is not scored becomes a separator.
+    words = F.transform(pieces, lambda p: F.when(p.rlike(WORDS), F.regexp_replace(F.lower(p), "[0-9]", "-")).when(p.rlike(NUMBER), F.regexp_replace(p, ".", "-")).otherwise(p))
+    plain = F.array_join(words, "")
+    places = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+
+    def pair(a: Column, b: Column) -> Column:
+        return F.when(F.greatest(a, b) < _SEPARATORS, F.get(table, a * _WIDTH + b))
+
+    pairs = F.filter(F.zip_with(F.slice(places, 1, F.size(places) - 1), F.slice(places, 2, F.size(places) - 1), pair), lambda x: x.isNotNull())
+    return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x) / F.greatest(F.size(pairs), F.lit(LEAST_PAIRS))
 
 
 def scan(docs: DataFrame, ratios: list[float], text: str = "text", column: str = "spans", threshold: float = THRESHOLD) -> DataFrame:
