@@ -7,7 +7,7 @@ import pytest
 from helpers import SMALL, ordered, table
 
 from wardbook.llm import queries
-from wardbook.llm.chats import END, START, collapse_and_render
+from wardbook.llm.chats import END, START, collapse_and_render, prefix_hashes
 
 ROWS = "conv_id long, turn long, role string, text string"
 
@@ -51,3 +51,15 @@ def test_odd_rows(spark):
 def test_a_null_turn_comes_first(spark):
     rows = [(1, None, "user", "b"), (1, 0, "user", "a")]
     assert collapse_and_render(spark.createDataFrame(rows, ROWS)).first()["rendered"] == rendered([("user", "b"), ("user", "a")])
+
+
+@pytest.mark.parametrize("conv", [1, None])
+def test_a_long_conversation_is_many_parts(spark, conv):
+    """Equal turns too are dealt over the parts; places and hashes are those of one part."""
+    rows = [(conv, i, ["user", None, "assistant"][i % 3], f"text {i % 5}") for i in range(400)] + [(conv, 1000, "user", "same")] * 200
+    rows += [(i, 0, "user", "hi") for i in range(2, 40)] + [(99, i, ["user", None, "assistant"][i % 3], f"text {i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, ROWS)
+    one, many = (ordered(prefix_hashes(df, parts).collect()) for parts in (1, 9))
+    assert one == many
+    assert sorted(r[1] for r in many if r[0] == conv) == list(range(1, 601))
+    assert ordered(collapse_and_render(df).collect()) == want(rows)

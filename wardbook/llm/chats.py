@@ -24,18 +24,40 @@ START, END = "<|im_start|>", "<|im_end|>"
 
 
 
-def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """(conv_id, place, h1, h2) for each turn: the hashes of the conversation up to it."""
-    order = Window.partitionBy("conv_id").orderBy("turn", F.col("role").isNull(), "role", F.col("text_key"))
+def prefix_hashes(turns: DataFrame, parts: int | None = None) -> DataFrame:
+    """(conv_id, place, h1, h2) for each turn: the hashes of the conversation up to it.
+
+    Turns are dealt by ranges of their order, so a long conversation is many parts. Places and hashes are worked out in each part and
+    moved on by what the parts before it hold; a cut between ranges goes through one conversation, so only few have more than one part.
+    """
     # The order needs the text only as a tie-break: its hash does, and the text itself does not move.
     rows = turns.select(
         "conv_id", "turn", "role", F.xxhash64(F.col("text").isNull(), "text").alias("text_key"), F.xxhash64(F.lit(7), F.col("text").isNull(), "text").alias("text_key2")
     )
-    placed = rows.withColumn("place", F.row_number().over(order))
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = ["turn", F.col("role").isNull(), "role", "text_key", "text_key2", "spread"]
+    rows = rows.withColumn("spread", F.monotonically_increasing_id())  # parts equal turns
+    ranged = rows.repartitionByRange(*([parts] if parts else []), "conv_id", *by)
+    dealt = keep_table(ranged.withColumn("part", F.spark_partition_id()))
+    order = Window.partitionBy("conv_id", "part").orderBy(*by)
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
+    split = sizes.withColumns({"n_parts": F.count("*").over(Window.partitionBy("conv_id")), "places": F.coalesce(F.sum("n").over(before), F.lit(0))})
+    split = keep_table(split.filter("n_parts > 1").selectExpr("conv_id AS split_id", "part AS split_part", "places"))
+
+    def beside(df: DataFrame, few: DataFrame) -> DataFrame:
+        on = df["conv_id"].eqNullSafe(few["split_id"]) & (df["part"] == few["split_part"])
+        return df.join(F.broadcast(few), on, "left").drop("split_id", "split_part")  # bounded: two parts a cut
+
+    placed = beside(dealt.withColumn("place", F.row_number().over(order)), split)
+    placed = placed.withColumn("place", (F.col("place") + F.coalesce("places", F.lit(0))).cast("int"))
     one = F.xxhash64(F.lit(1), "place", F.col("role").isNull(), "role", "text_key", "text_key2")
     two = F.xxhash64(F.lit(2), "place", F.col("role").isNull(), "role", "text_key", "text_key2")
-    return placed.select("conv_id", "place", F.bit_xor(one).over(upto).alias("h1"), F.bit_xor(two).over(upto).alias("h2"))
+    placed = keep_table(placed.select("conv_id", "part", "place", one.alias("h1"), two.alias("h2"), F.col("places").isNotNull().alias("split")))
+    whole = placed.filter("split").groupBy("conv_id", "part").agg(F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
+    earlier = whole.select(F.col("conv_id").alias("split_id"), F.col("part").alias("split_part"), F.bit_xor("h1").over(before).alias("e1"), F.bit_xor("h2").over(before).alias("e2"))
+    upto = Window.partitionBy("conv_id", "part").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hashed = beside(placed.withColumns({"h1": F.bit_xor("h1").over(upto), "h2": F.bit_xor("h2").over(upto)}), earlier)
+    return hashed.select("conv_id", "place", *[F.col(f"h{i}").bitwiseXOR(F.coalesce(f"e{i}", F.lit(0).cast("long"))).alias(f"h{i}") for i in (1, 2)])
 
 
 def maximal(turns: DataFrame) -> DataFrame:
