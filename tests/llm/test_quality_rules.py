@@ -69,3 +69,11 @@ def test_the_bound_on_trusted_documents(spark):
     a = {r.doc_id for r in quality_rules.trusted_ids(labels, 10).collect()}
     b = {r.doc_id for r in quality_rules.trusted_ids(labels.repartition(7), 10).collect()}
     assert a == b and len(a) == 10
+
+
+def test_every_trusted_document_counts_however_many(spark):
+    docs = odd_docs(spark, [(3000, LONG, "en", "a", 1), (3000, "the long one's id again", "en", "a", 1)])
+    labels = spark.createDataFrame([(i, 1) for i in (5, 6, 9, 10, 12, 3000, 99999)] + [(7, 0), (8, 0), (8, 1), (None, 1)], "doc_id int, quality int")
+    broadcast, moved = (quality_rules.log_ratios(docs, labels, broadcast_ids=n) for n in (7, 3))
+    assert np.array_equal(broadcast, moved)
+    assert np.count_nonzero(moved) > 0

@@ -1,7 +1,7 @@
 """Quality rules: a log-likelihood ratio of hashed n-grams, beside counted rules.
 
 Every text is a bag of its overlapping 4-byte n-grams, hashed to 65,536 buckets. Two multinomials are counted: the raw corpus
-over all documents, and the trusted target over documents that a label marks as good. A document's score is the mean over its
+over all documents, and the trusted target over all documents that labels mark as good. A document's score is the mean over its
 n-grams of log(target / raw), so length does not matter; it is kept when the score reaches a fixed threshold. The counts are
 whole numbers, summed in Spark; the tables that travel are of a fixed size (65,536 numbers), whatever the corpus.
 
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.llm.bloom import Bloom
 from wardbook.llm.common import bounded_ids, fresh, map_texts, spark_schema
 
 BUCKETS = 1 << 16
@@ -30,8 +31,8 @@ NGRAM_BYTES = 4
 #: Mean nats per n-gram below which a text is more like the rest of the corpus than like the target.
 THRESHOLD = -0.4
 SMOOTHING = 0.5
-#: Trusted documents used at most, those with the lowest hashes of their ids.
-MAX_TRUSTED = 1_000_000
+#: Trusted ids that are broadcast at most; with more, the texts that may be trusted are moved to them.
+BROADCAST_IDS = 1_000_000
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 _SYMBOLS = b"#*$%&|<>"
@@ -97,19 +98,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some]), pa.array(counts[1, some])], names=["bucket", "target", "raw"])
 
 
-def trusted_ids(labels: DataFrame, bound: int = MAX_TRUSTED) -> DataFrame:
-    """Ids that labels agree on as good, at most `bound` of them."""
+def trusted_ids(labels: DataFrame, bound: int | None = None) -> DataFrame:
+    """Ids that labels agree on as good; all of them, or at most `bound`."""
     agreed = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
-    return bounded_ids(agreed.filter("low = 1 and high = 1").select("doc_id"), "doc_id", bound)
+    good = agreed.filter("low = 1 and high = 1").select("doc_id")
+    return good if bound is None else bounded_ids(good, "doc_id", bound)
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", max_trusted: int = MAX_TRUSTED) -> np.ndarray:
-    """log(target / raw) for each bucket, counted over all of `docs`."""
-    trusted = trusted_ids(labels, max_trusted).withColumn("trusted", F.lit(True))
+def log_ratios(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_ids: int = BROADCAST_IDS) -> np.ndarray:
+    """log(target / raw) for each bucket: raw over all of `docs`, target over all that are trusted."""
+    trusted = trusted_ids(labels).withColumn("trusted", F.lit(True))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(trusted), "doc_id", "left").select("text", "trusted")  # bounded: max_trusted ids
     schema = spark_schema({"bucket": pa.int64(), "target": pa.int64(), "raw": pa.int64()})
-    sums = rows.mapInArrow(_counted, schema).groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
+    if trusted.count() <= broadcast_ids:
+        rows = rows.join(F.broadcast(trusted), "doc_id", "left").select("text", "trusted")  # bounded: broadcast_ids ids
+        found = rows.mapInArrow(_counted, schema)
+    else:
+        raw = rows.select("text", F.lit(False).alias("trusted")).mapInArrow(_counted, schema)
+        key = F.xxhash64(F.col("doc_id").cast("string"))
+        likely = rows.withColumn("key", key).filter(Bloom(trusted.select(key.alias("key"))).may_have("key"))
+        good = likely.join(trusted.hint("shuffle_merge"), "doc_id").select("text", "trusted").mapInArrow(_counted, schema)
+        found = raw.union(good.withColumn("raw", F.lit(0).cast("long")))
+    sums = found.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
     counts = np.zeros((2, BUCKETS))
     for row in sums.collect():  # one row per bucket at most
         counts[:, row["bucket"]] = row["target"], row["raw"]
