@@ -73,3 +73,10 @@ def test_nothing_to_learn(spark):
     none = spark.createDataFrame([], DOCS)
     assert classify(none, train(none, ones)).count() == 0
     assert factorisation.classify(docs.drop("n_chars"), 0.7).count() == len(ODD)
+
+
+def test_only_the_chosen_rows_move_to_the_training_task(spark):
+    """The scan and the join stay with the tasks they have; one task would read all documents behind a coalesce."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    plan = factorisation.training_rows(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and "Exchange SinglePartition" in plan

@@ -140,16 +140,20 @@ def _rows(docs: DataFrame, doc_id: str, text: str, n_chars: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"), size.alias("n_chars"))
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", max_training: int = MAX_TRAINING) -> Machine | float:
-    """A machine, or a constant score where there is nothing to tell apart."""
+def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", max_training: int = MAX_TRAINING) -> DataFrame:
+    """(order, mark, text, n_chars) of the rows to learn from, moved to one task; they are found by as many tasks as there are."""
     agreed = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     marked = agreed.filter((F.col("low") == F.col("high")) & F.col("low").isin(0, 1) & ~held_out("doc_id")).select("doc_id", F.col("low").alias("mark"))
     chosen = bounded_ids(marked, "doc_id", max_training)
     rows = _rows(docs, doc_id, text, n_chars).join(F.broadcast(chosen), "doc_id")  # bounded: max_training ids
     # Ids that occur on more rows than one make no more training rows than the bound.
     rows = rows.withColumn("order", F.xxhash64("doc_id", "text", "n_chars"))
-    sample = bounded_ids(rows, "order", max_training).select("order", "mark", "text", "n_chars")
-    found = sample.coalesce(1).mapInArrow(_trained, "model binary").collect()
+    return bounded_ids(rows, "order", max_training).select("order", "mark", "text", "n_chars").repartition(1)
+
+
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", max_training: int = MAX_TRAINING) -> Machine | float:
+    """A machine, or a constant score where there is nothing to tell apart."""
+    found = training_rows(docs, labels, doc_id, text, n_chars, max_training).mapInArrow(_trained, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else 0.5
 
 
