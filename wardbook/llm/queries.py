@@ -12,6 +12,7 @@ from wardbook.llm.chats import collapse_and_render
 from wardbook.llm.common import held_out, read
 from wardbook.llm.decontaminate import contamination
 from wardbook.llm.factorisation import classify, train
+from wardbook.llm.hard_negatives import hard_negatives, scaled
 from wardbook.llm.language import dictionaries, identify
 from wardbook.llm.quality_rules import quality_rules
 from wardbook.llm.repeats import remove_repeats
@@ -99,6 +100,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, dictionaries(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = scaled(rows.withColumn("label", label), 256)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language)
+    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language, op13_hard_negatives)
 }

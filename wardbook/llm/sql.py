@@ -103,4 +103,28 @@ FROM kept k JOIN placed p ON p.conv_id IS NOT DISTINCT FROM k.conv_id
 GROUP BY k.conv_id, k.n_turns, k.n_copies
 """
 
-SQL = {"op3_warc": OP3, "op5_suffix_dedup": OP5, "op8_decontaminate": OP8, "op9_chats": OP9}
+OP13 = """
+WITH taking_part AS (
+    SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END)::BIGINT AS label,
+           list_transform(embedding, lambda v: floor(256 * v::DOUBLE)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+    FROM (SELECT DISTINCT * FROM taking_part WHERE vec_id % 100 = 0) AS a JOIN taking_part AS r ON r.vec_id <> a.vec_id
+), positives AS (
+    SELECT anchor_id, row_id AS positive_id, score AS positive_score,
+           row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) AS positive_rank
+    FROM scores WHERE same
+), ranked AS (
+    SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_rank ORDER BY score DESC, row_id) AS rank,
+           row_id AS negative_id, positive_score, score AS negative_score, positive_rank
+    FROM positives AS p JOIN scores AS s ON s.anchor_id = p.anchor_id AND NOT same
+    WHERE positive_rank <= 5 AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score, positive_rank
+FROM ranked WHERE rank <= 10
+"""
+
+SQL = {"op3_warc": OP3, "op5_suffix_dedup": OP5, "op8_decontaminate": OP8, "op9_chats": OP9, "op13_hard_negatives": OP13}
