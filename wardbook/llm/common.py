@@ -20,6 +20,7 @@ _SPARK_TYPES = {
     pa.binary(): "binary",
     pa.list_(pa.int32()): "array<int>",
     pa.list_(pa.int64()): "array<bigint>",
+    pa.list_(pa.list_(pa.int32())): "array<array<int>>",
 }
 
 

@@ -14,6 +14,7 @@ from wardbook.llm.decontaminate import contamination
 from wardbook.llm.factorisation import classify, train
 from wardbook.llm.hard_negatives import hard_negatives, scaled
 from wardbook.llm.language import dictionaries, identify
+from wardbook.llm.licenses import license_scan
 from wardbook.llm.quality_rules import quality_rules
 from wardbook.llm.repeats import remove_repeats
 from wardbook.llm.secrets import KINDS, listed, secrets
@@ -100,6 +101,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, dictionaries(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "embeddings")
     label = F.col("label").cast("long")
@@ -109,5 +114,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language, op13_hard_negatives)
+    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language, op12_licenses, op13_hard_negatives)
 }

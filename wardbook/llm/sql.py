@@ -5,6 +5,8 @@ Left out: op1 (DuckDB has no XXH64), op2 (a tokenizer), op4, op6, op7 and op10 (
 
 from __future__ import annotations
 
+from wardbook.llm.licenses import TEMPLATES, words
+
 OP3 = """
 WITH payloads AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hexed FROM pages
@@ -103,6 +105,48 @@ FROM kept k JOIN placed p ON p.conv_id IS NOT DISTINCT FROM k.conv_id
 GROUP BY k.conv_id, k.n_turns, k.n_copies
 """
 
+_NOTICES = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
+_STEP = max(len(words(text.encode())) for _, text in TEMPLATES)
+
+
+def _words_of(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+OP12 = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS id, doc_id, {_words_of("coalesce(text, '')")} AS w FROM documents
+), places AS (
+    SELECT id, unnest(range(0, len(w))) AS p, unnest(w) AS word, unnest(w[2:] || [NULL]) AS second, unnest(w[3:] || [NULL, NULL]) AS third FROM texts WHERE len(w) > 0
+), base AS (
+    SELECT id, p, 'cc-by' AS label FROM places WHERE word = 'cc' AND second = 'by'
+    UNION ALL SELECT id, p, 'gpl' FROM places WHERE word = 'general' AND second = 'public' AND third = 'license'
+    UNION ALL SELECT id, p, 'reserved' FROM places WHERE word = 'all' AND second = 'rights' AND third = 'reserved'
+), notices AS (
+    SELECT n, label, {_words_of("text")} AS w FROM (VALUES {_NOTICES}) AS t(n, label, text)
+), pairs AS (
+    SELECT DISTINCT n, label, a || ' ' || b AS pair FROM (SELECT n, label, unnest(w[:-2]) AS a, unnest(w[2:]) AS b FROM notices)
+), sizes AS (
+    SELECT n, count(*) AS size FROM pairs GROUP BY n
+), blocks AS (
+    SELECT id, n, label, block, count(DISTINCT pair) AS common
+    FROM places JOIN pairs ON pair = word || ' ' || second, unnest([p // {_STEP}, p // {_STEP} - 1]) AS u(block)
+    WHERE block >= 0 AND p + 1 < (block + 2) * {_STEP}
+    GROUP BY id, n, label, block
+), found AS (
+    SELECT id, label, common / size AS share FROM blocks JOIN sizes USING (n) WHERE common >= ceil(0.8 * size - 1e-9)
+), summed AS (
+    SELECT id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY id
+), listed AS (
+    SELECT id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT id, label FROM base UNION ALL SELECT id, label FROM found) GROUP BY id
+), most AS (
+    SELECT id, max(share) AS share FROM found GROUP BY id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM texts LEFT JOIN summed USING (id) LEFT JOIN listed USING (id) LEFT JOIN most USING (id)
+"""
+
 OP13 = """
 WITH taking_part AS (
     SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END)::BIGINT AS label,
@@ -127,4 +171,4 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 FROM ranked WHERE rank <= 10
 """
 
-SQL = {"op3_warc": OP3, "op5_suffix_dedup": OP5, "op8_decontaminate": OP8, "op9_chats": OP9, "op13_hard_negatives": OP13}
+SQL = {"op3_warc": OP3, "op5_suffix_dedup": OP5, "op8_decontaminate": OP8, "op9_chats": OP9, "op12_licenses": OP12, "op13_hard_negatives": OP13}
