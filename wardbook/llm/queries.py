@@ -22,6 +22,7 @@ from wardbook.llm.sentencepiece_tokens import load, tokenize
 from wardbook.llm.simhash import hex_digits, near_duplicates
 from wardbook.llm.sql import SQL as SQL
 from wardbook.llm.warc import base32_sha1, read_archives, write_pages
+from wardbook.llm.whitening import whiten
 from wardbook.operators.keep import shared_folder
 
 #: A public model file; a parameter of `op2_sentencepiece`.
@@ -101,6 +102,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, dictionaries(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation that is no long is NULL here."""
+    found = whiten(read(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read(spark, sf_dir, "documents"))
 
@@ -114,5 +121,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language, op12_licenses, op13_hard_negatives)
+    q.__name__: q for q in (op1_simhash, op2_sentencepiece, op3_warc, op4_quality_classifier, op5_suffix_dedup, op6_secrets, op7_quality_rules, op8_decontaminate, op9_chats, op10_language, op11_whitening, op12_licenses, op13_hard_negatives)
 }
