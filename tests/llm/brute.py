@@ -81,6 +81,13 @@ def repeats(texts: list[str | None], length: int) -> list[tuple[int, int, int, s
     return out
 
 
+def repeated_words(texts: list[str | None], length: int) -> list[int]:
+    """Words in runs of `length` words that start anywhere else too."""
+    cut = [words(t) for t in texts]
+    seen = Counter(tuple(w[i : i + length]) for w in cut for i in range(len(w) - length + 1))
+    return [len({k for i in range(len(w) - length + 1) if seen[tuple(w[i : i + length])] > 1 for k in range(i, i + length)}) for w in cut]
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 

@@ -10,13 +10,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from wardbook.llm import queries
-from wardbook.llm.repeats import remove_repeats
+from wardbook.llm.repeats import remove_repeats, repeated_words
 from wardbook.llm.suffix_index import Anchors, IndexFamily, entry, merged, runs
 
 
 def test_query_equals_brute_force(spark):
     rows = table("documents", "doc_id, text")
-    want = ordered((d, *w) for (d, _), w in zip(rows, brute.repeats([t for _, t in rows], 400), strict=True))
+    texts = [t for _, t in rows]
+    want = ordered((d, *w, n) for (d, _), w, n in zip(rows, brute.repeats(texts, 400), brute.repeated_words(texts, 51), strict=True))
     assert ordered(queries.op5_suffix_dedup(spark, SMALL).collect()) == want
     assert sum(w[2] for w in want) > 0
 
@@ -39,6 +40,54 @@ def test_equals_brute_force_on_shared_passages(spark, hot, batch, seed):
     assert ordered(got) == ordered((i, *w) for i, w in enumerate(brute.repeats(texts, 20)))
 
 
+@pytest.mark.parametrize(("hot", "batch"), [(50_000, 2_000), (3, 2), (1, 1)])
+def test_a_hot_anchor_is_split(spark, hot, batch):
+    """Many different texts round one passage: by sides of the anchor, and by windows where a side is shared by many too."""
+    rng = random.Random(9)
+    core, beside = "K" * 6 + "abcdef", "ghijklmn"
+    texts = []
+    for _ in range(80):
+        left, right = ("".join(rng.choices("pqrs", k=rng.randint(0, 16))) for _ in range(2))
+        texts.append(left + rng.choice(("", beside)) + core + rng.choice(("", beside, beside[:4])) + right)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    found = remove_repeats(docs, length=20, anchor=6, hot_stretches=hot, batch_entries=batch)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in found.collect()]
+    assert ordered(got) == ordered((i, *w) for i, w in enumerate(brute.repeats(texts, 20)))
+
+
+def planted() -> tuple[list[str], dict[int, tuple[int, int]], set[int]]:
+    """Texts, (bytes, words) of the passage planted in each text of a pair or group, and the clean ones."""
+    rng = random.Random(11)
+
+    def prose(n: int) -> str:
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))
+
+    texts, where = [], {}
+    for n in [*range(48, 56), 60, 66, 72, 80, 100] * 3:
+        passage = prose(n)
+        for _ in range(rng.choice((2, 2, 3, 40))):
+            where[len(texts)] = (len(passage.encode()), n)
+            texts.append(f"{prose(rng.randint(5, 60))}#{len(texts)}\n\n{passage}\n\n@{len(texts)} {prose(rng.randint(5, 60))}")
+    clean = set(range(len(texts), len(texts) + 60))
+    return [*texts, *(prose(rng.randint(1, 300)) for _ in clean)], where, clean
+
+
+@pytest.mark.parametrize("hot", [1_000, 10])
+def test_planted_passages_on_both_sides_of_the_limits(spark, hot):
+    """All of 400 bytes and all of 51 words are caught, shorter ones and clean texts are left alone."""
+    texts, where, clean = planted()
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    removed = {r.doc_id: r.n_removed for r in remove_repeats(docs, hot_stretches=hot).collect()}
+    worded = {r.doc_id: r.n_repeated_words for r in repeated_words(docs, hot_stretches=hot).collect()}
+    assert {size >= 400 for size, _ in where.values()} == {words >= 51 for _, words in where.values()} == {True, False}
+    for i, (size, words) in where.items():
+        # A copy agrees on the blank lines beside the passage as well, and on what follows by chance.
+        assert removed[i] >= size if size >= 400 else removed[i] in (0, *range(400, 410)), (i, size)
+        assert worded.get(i, 0) >= words if words >= 51 else i not in worded
+    assert all(not removed[i] and i not in worded for i in clean)
+    assert [worded.get(i, 0) for i in range(len(texts))] == brute.repeated_words(texts, 51)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text("ab", max_size=120), min_size=1, max_size=12), st.integers(1, 4), st.integers(0, 40))
 def test_the_family_finds_what_comparing_finds(texts, batch, pairs):
@@ -84,6 +133,10 @@ def test_odd_rows(spark):
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in remove_repeats(docs, length=40, anchor=16).collect()]
     assert ordered(got) == ordered((d, *w[:3]) for (d, _), w in zip(rows, brute.repeats([t for _, t in rows], 40), strict=True))
     assert remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
+    found = {(r.doc_id, r.hash): r.n_repeated_words for r in repeated_words(docs, words=4, anchor=2).collect()}
+    have = ordered((d, n) for (d, _), n in zip(rows, brute.repeated_words([t for _, t in rows], 4), strict=True) if n)
+    assert ordered({(d, n) for (d, _), n in found.items()}) == ordered(set(have))
+    assert repeated_words(spark.createDataFrame([], DOCS)).count() == 0
 
 
 def test_runs_and_merging():

@@ -16,14 +16,14 @@ from wardbook.llm.hard_negatives import hard_negatives, scaled
 from wardbook.llm.language import dictionaries, identify
 from wardbook.llm.licenses import license_scan
 from wardbook.llm.quality_rules import quality_rules
-from wardbook.llm.repeats import remove_repeats
+from wardbook.llm.repeats import remove_repeats, repeated_words
 from wardbook.llm.secrets import KINDS, listed, secrets
 from wardbook.llm.sentencepiece_tokens import load, tokenize
 from wardbook.llm.simhash import hex_digits, near_duplicates
 from wardbook.llm.sql import SQL as SQL
 from wardbook.llm.warc import base32_sha1, read_archives, write_pages
 from wardbook.llm.whitening import whiten
-from wardbook.operators.keep import shared_folder
+from wardbook.operators.keep import keep_table, shared_folder
 
 #: A public model file; a parameter of `op2_sentencepiece`.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -62,8 +62,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """Also the words in passages of over 50 words that stand elsewhere, many of which are less than 400 bytes."""
+    docs = read(spark, sf_dir, "documents")
+    found = remove_repeats(docs).select("doc_id", "hash", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    passages = keep_table(repeated_words(docs)).withColumnsRenamed({"doc_id": "text_id", "hash": "text_hash"})
+    found = found.join(passages, (F.col("hash") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("text_id")), "left")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.coalesce("n_repeated_words", F.lit(0).cast("long")).alias("n_repeated_words"))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,9 +23,9 @@ SELECT page_id,
 FROM payloads JOIN shared USING (payload)
 """
 
-OP5 = """
+OP5 = r"""
 WITH texts AS (
-    SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS raw FROM documents
+    SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS raw, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), starts AS (
     SELECT id, i, md5(raw[i : i + 399]) AS window_hash FROM texts, unnest(range(1, octet_length(raw) - 398)) AS u(i)
 ), repeated AS (
@@ -45,13 +45,22 @@ WITH texts AS (
     SELECT id, unhex(string_agg(CASE WHEN ends >= begins THEN hex(raw[begins : ends]) ELSE '' END, '' ORDER BY begins)) AS left_over FROM kept GROUP BY id
 ), counted AS (
     SELECT id, sum(after - first) AS n_removed, count(*) AS n_spans FROM spans GROUP BY id
+), passages AS (
+    SELECT id, i, md5(array_to_string(w[i : i + 50], ' ')) AS passage_hash FROM texts, unnest(range(1, len(w) - 49)) AS u(i)
+), again AS (
+    SELECT id, i FROM passages WHERE passage_hash IN (SELECT passage_hash FROM passages GROUP BY passage_hash HAVING count(*) > 1)
+), steps AS (
+    SELECT id, least(51, coalesce(i - lag(i) OVER (PARTITION BY id ORDER BY i), 51)) AS added FROM again
+), worded AS (
+    SELECT id, sum(added) AS n_repeated_words FROM steps GROUP BY id
 )
 SELECT doc_id,
        octet_length(raw) AS n_bytes,
        coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_spans, 0) AS n_spans,
-       sha256(coalesce(left_over, raw)) AS kept_sha256
-FROM texts LEFT JOIN counted USING (id) LEFT JOIN rest USING (id)
+       sha256(coalesce(left_over, raw)) AS kept_sha256,
+       coalesce(n_repeated_words, 0)::BIGINT AS n_repeated_words
+FROM texts LEFT JOIN counted USING (id) LEFT JOIN rest USING (id) LEFT JOIN worded USING (id)
 """
 
 OP8 = r"""
