@@ -12,22 +12,24 @@ according to the numbers:
   written once, so that facts and looked-up rows see the same one.
 * When the facts hold few keys (a daily list over a long history), the tables
   they are looked up in are cut to those keys before they are shuffled.
-* Otherwise the joins are plain ones. All lookups on one key share one shuffle.
+* When they hold more, those tables are cut by a bitmap of the keys (`KeyFilter`), of fixed size and built once, and shuffled after.
+* All lookups on one key share one shuffle.
 
 What is broadcast by hand was counted first: the keys of the facts, or of a
-short list (`cut_to`), when there are at most `FEW_KEYS` of them, and the list
+short list (`cut_to`), when there are at most `FEW_KEYS` of them, the bitmap of more keys, which has a largest size, and the list
 of hot keys, which `MAX_HOT_KEYS` bounds. Small code tables are broadcast by Spark itself after its own check.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.operators.keep import keep_table
+from wardbook.operators.keyfilter import MOST_KEYS, KeyFilter
 
 ROWS_PER_SLOT = 2_000_000
 ROWS_PER_SLOT_CONF = "spark.wardbook.rowsPerSlot"
@@ -48,12 +50,18 @@ def _names(keys: str | Sequence[str]) -> list[str]:
 class Look:
     """Where to look a fact's key up. `key` names the table's own key columns;
     they are dropped from the result, the facts keep theirs. `short` marks a table
-    that is itself the short list, so that it is not cut to the facts' keys."""
+    that is itself the short list, so that it is not cut to the facts' keys. `pick` makes one row per key of the
+    rows that are left after the cut."""
 
     table: DataFrame
     key: str | Sequence[str]
     how: str = "left"
     short: bool = False
+    pick: Callable[[DataFrame], DataFrame] | None = None
+
+    @property
+    def picked(self) -> DataFrame:
+        return self.pick(self.table) if self.pick else self.table
 
 
 @dataclass(frozen=True)
@@ -62,6 +70,7 @@ class _Spread:
 
     on: list[str]
     few: DataFrame | None
+    filter: KeyFilter | None
     hot: DataFrame | None
     missing_slots: int
 
@@ -162,11 +171,13 @@ class Facts:
         return {on: self._spread(list(on), seen.get(n), hot.where(F.col("_set") == n) if hot and seen[n]["most"] > limits[n] else None) for on, n in numbers.items()}
 
     def _spread(self, on: list[str], seen, hot: DataFrame | None) -> _Spread:
-        few = None
+        few = cut = None
         if seen is None or seen["keys"] <= self._few_keys:
             few = self._facts.select(*on).dropna().distinct()
+        elif seen["keys"] <= MOST_KEYS and any(not look.short for step in self._steps if step[:2] == ("by", on) for look in step[2]):
+            cut = KeyFilter(self._facts, on, seen["keys"])
         missing_slots = -(-seen["missing"] // self._rows_per_slot) if seen else 0
-        return _Spread(on, few, hot.select(*on, _SLOTS) if hot else None, missing_slots)
+        return _Spread(on, few, cut, hot.select(*on, _SLOTS) if hot else None, missing_slots)
 
 
 def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFrame:
@@ -176,10 +187,13 @@ def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFra
         left = _with_slot(left, spread)
     for number, look in enumerate(looks):
         keys = [f"_key{number}_{i}" for i in range(len(on))]
-        table = look.table.withColumnsRenamed(dict(zip(_names(look.key), keys, strict=True)))
-        if spread.few is not None and not look.short:
-            known = spread.few.toDF(*[f"_few_{k}" for k in keys])
-            table = table.join(F.broadcast(known), [F.col(k) == F.col(f"_few_{k}") for k in keys], "left_semi")
+        table = look.table
+        if not look.short and spread.few is not None:
+            table = _semi(table, look.key, spread.few)
+        elif not look.short and spread.filter is not None:
+            table = spread.filter.cut(table, _names(look.key))
+        table = look.pick(table) if look.pick else table
+        table = table.withColumnsRenamed(dict(zip(_names(look.key), keys, strict=True)))
         condition = [F.col(c) == F.col(k) for c, k in zip(on, keys, strict=True)]
         extra = list(keys)
         if slots:
@@ -192,6 +206,12 @@ def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFra
     return left.drop(_SLOT) if slots else left
 
 
+def _semi(table: DataFrame, key: str | Sequence[str], few: DataFrame) -> DataFrame:
+    """The rows of a table whose key is one of the few counted ones."""
+    names = [f"_few_{i}" for i in range(len(few.columns))]
+    return table.join(F.broadcast(few.toDF(*names)), [F.col(k) == F.col(n) for k, n in zip(_names(key), names, strict=True)], "left_semi")
+
+
 def _with_slot(facts: DataFrame, spread: _Spread) -> DataFrame:
     """The slot of each fact: by row id for hot and for missing keys, 0 for the others."""
     missing = F.lit(False)
@@ -229,17 +249,27 @@ def cut_to(table: DataFrame, key: str | Sequence[str], few: DataFrame, on: str |
     return cut_all([(table, key)], few, on)[0]
 
 
-def cut_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], few: DataFrame, on: str | Sequence[str]) -> list[DataFrame]:
+def cut_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], few: DataFrame, on: str | Sequence[str], sift: bool = False) -> list[DataFrame]:
     """`cut_to` for several tables and their keys; the list is counted once."""
     on = _names(on)
     keys = few.select(*on).dropna().distinct()
-    if keys.count() > int(few.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS))):
+    n = keys.count()
+    if n <= int(few.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS))):
+        return [_semi(table, key, keys) for table, key in tables]
+    if not sift or n > MOST_KEYS:
         return [table for table, _ in tables]
-    out = []
-    for table, key in tables:
-        named = keys.toDF(*[f"_few_{k}" for k in _names(key)])
-        out.append(table.join(F.broadcast(named), [F.col(k) == F.col(f"_few_{k}") for k in _names(key)], "left_semi"))
-    return out
+    cut = KeyFilter(few, on, n)
+    return [cut.cut(table, _names(key)) for table, key in tables]
+
+
+def sift_to(table: DataFrame, key: str | Sequence[str], asked: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """`cut_to` for a table that is joined with the list afterwards: beyond `FEW_KEYS` a bitmap of the keys takes most other rows away."""
+    return cut_all([(table, key)], asked, on, sift=True)[0]
+
+
+def sift_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], asked: DataFrame, on: str | Sequence[str]) -> list[DataFrame]:
+    """`sift_to` for several tables; the list is counted, and its bitmap made, once."""
+    return cut_all(tables, asked, on, sift=True)
 
 
 def equi_join(left: DataFrame, right: DataFrame, on, key, how: str = "left") -> DataFrame:
@@ -297,7 +327,7 @@ def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
     """
     on, key = _names(on), _names(key)
     names = {k: f"_d{i}" for i, k in enumerate(key)}
-    facts = cut_to(details, key, heads, on).withColumnsRenamed(names)
+    facts = sift_to(details, key, heads, on).withColumnsRenamed(names)
     asked = {f"_h{i}": F.col(c) for i, c in enumerate(on)}
     found = Facts(facts).by(list(names.values()), Look(heads.withColumns(asked), list(asked), "inner", short=True)).df
     bare = equi_join(heads, facts.select(*names.values()).distinct(), on, list(names.values()), "left_anti")

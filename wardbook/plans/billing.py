@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.clock import between_days, on_day
-from wardbook.operators.joins import Facts, Look, cut_all, equi_join, role
+from wardbook.operators.joins import Facts, Look, equi_join, role, sift_all
 from wardbook.operators.shape import contract
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -37,7 +37,7 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
     )
     both = F.when(F.col("ains2") == F.col("hist_ins2"), F.col("ains2"))
     base = base.withColumns({"ins1": F.col("ains1"), "ins2": both, "ins3": F.col("hist_ins3")})
-    benefits, extensions = cut_all([(t.benefits, "patno"), (t.benext, "patno")], visit, "patno")
+    benefits, extensions = sift_all([(t.benefits, "patno"), (t.benext, "patno")], visit, "patno")
     for i, how in ((1, "inner"), (2, "left"), (3, "left")):
         base = equi_join(
             base, role(benefits, f"_{i}"), ["patno", "hstnum", f"ins{i}"], [f"patno_{i}", f"histn_{i}", f"insco_{i}"], how

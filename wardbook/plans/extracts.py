@@ -12,7 +12,7 @@ from wardbook.functions.codes import map_codes, normalise
 from wardbook.functions.predicates import occupied, present
 from wardbook.functions.text import nth_part, top_code, zero_to_null
 from wardbook.operators.dedup import one_per_key, single
-from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, in_roster, join_chain, merge, role
+from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, merge, role, sift_all, sift_to
 from wardbook.operators.shape import contract, nothing
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
@@ -86,15 +86,15 @@ def bed_extract(t: Tables, as_of: date, p: Params) -> DataFrame:
     )
     details = ["isPatientLevelCareICU", "PatientAdmitDate", "patientAge"]
     occupants = beds.where(occupied("pat_no")).select("pat_no").distinct()
-    patients, results = cut_all([(patients, "patno"), (results, "rdpt_no")], occupants, "pat_no")
+    patients, results = sift_all([(patients, "patno"), (results, "rdpt_no")], occupants, "pat_no")
     occupants = join_chain(
         occupants,
         [
-            (single(patients, "patno", ["is_patient", *details], ["isadate"], "first").table, "pat_no", "patno"),
+            (single(patients, "patno", ["is_patient", *details], ["isadate"], "first").picked, "pat_no", "patno"),
             (
                 single(
                     results, "rdpt_no", ["is_result", "PatientCOVIDStatus"], ["rdisvfdt", "rdor_no", "rdts"], "first"
-                ).table,
+                ).picked,
                 "pat_no",
                 "rdpt_no",
             ),
@@ -137,7 +137,7 @@ def emergency_extract(t: Tables, as_of: date, p: Params) -> DataFrame:
     results = t.rd.where(F.col("rdts").contains(S.VIRUS_TEST_PREFIX)).select(
         "rdpt_no", normalise("rdrs", {"NOT DETECTED": "Negative"}).alias("PatientCOVIDStatus")
     )
-    results = cut_to(results, "rdpt_no", present_now, "patno")
+    results = sift_to(results, "rdpt_no", present_now, "patno")
     found = Facts(results).by("rdpt_no", Look(present_now, "patno", "inner", short=True)).df
     return contract(
         found,
@@ -222,7 +222,7 @@ def hospitalist_extract(t: Tables, as_of: date, p: Params, days: int = 32) -> Da
 
     # The two ways in are taken apart, so that each filters one of the large tables at its scan.
     admitted = patients.where(recent)
-    by_admission = discharged(cut_to(orders, "opat_no", admitted, "patno"), admitted)
+    by_admission = discharged(sift_to(orders, "opat_no", admitted, "patno"), admitted)
     by_users = orders.where(F.col("oedate") >= packed_day(as_of, days))
     by_users = in_roster(by_users, value_list(t.oeorder.sparkSession, p.order_users, "ouser"), "ouser")
     by_order = discharged(by_users, patients.where(~recent))

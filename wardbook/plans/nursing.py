@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardbook.functions.clock import between_days, on_day, since, time_after
 from wardbook.functions.predicates import any_of, dated, not_discharged, present
 from wardbook.functions.text import dash
-from wardbook.operators.joins import Facts, Look, cut_to
+from wardbook.operators.joins import Facts, Look, sift_to
 from wardbook.operators.keep import keep_table
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
@@ -105,7 +105,7 @@ def isolation_nutrition(t: Tables, as_of: date, p: Params) -> DataFrame:
 def isolation_problems(t: Tables, as_of: date, p: Params) -> DataFrame:
     answers = t.chpdtaph.where(F.col("dthresp") == S.ISOLATION_RESPONSE).select("dthpatno", "dthresp", "dthdttm")
     beds = taken_beds(t).where(present("nurst")).select("pat_no", "nurst", "room", "bed")
-    answers = cut_to(answers, "dthpatno", beds, "pat_no")
+    answers = sift_to(answers, "dthpatno", beds, "pat_no")
     found = Facts(answers).by(
         "dthpatno", Look(beds, "pat_no", "inner"), Look(t.patients.select("patno", "pname"), "patno")
     ).df
@@ -121,7 +121,7 @@ def resistant_organisms(t: Tables, as_of: date, p: Params) -> DataFrame:
     """
     left = t.patients.where(on_day("isddate", as_of, 1) & F.col("hssvc").isin(S.ORGANISM_SERVICES))
     left = left.select("patno", "isddate", "hssvc").withColumn("_p", F.col("patno"))
-    found = Facts(cut_to(t.chpdrip, "cipat_no", left, "patno")).by("cipat_no", Look(left, "_p", "inner", short=True)).df
+    found = Facts(sift_to(t.chpdrip, "cipat_no", left, "patno")).by("cipat_no", Look(left, "_p", "inner", short=True)).df
     return contract(found, "patno isddate hssvc ciinfctn ciiddte cirecdte ciresdte ciresby cistscd cicmmt".split())
 
 

@@ -12,7 +12,7 @@ from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
 from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
 from wardbook.operators.dedup import copies, expand_copies
-from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, in_roster, join_chain, not_in_roster
+from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, not_in_roster, sift_all, sift_to
 from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
 from wardbook.plans import settings as S
@@ -109,7 +109,7 @@ def employee_results(t: Tables, as_of: date, p: Params) -> DataFrame:
     orders = t.oeorder.where((F.col("optlst") == p.site_code) & (F.col("osdate") == packed_day(as_of, 1)))
     orders = orders.select("opat_no", "oord_no", "osdate")
     accounts = t.indaccum.select("iapnam", "iahst_no", "iaord_no", "iaacct")
-    results = cut_to(results, ["rdpt_no", "rdor_no"], orders, ["opat_no", "oord_no"])
+    results = sift_to(results, ["rdpt_no", "rdor_no"], orders, ["opat_no", "oord_no"])
     found = (
         Facts(results)
         .by(
@@ -128,7 +128,7 @@ def lab_turnaround(t: Tables, as_of: date, p: Params) -> DataFrame:
     orders = t.oeorder.where(
         (F.col("osdate") == packed_day(as_of)) & (F.col("ostime") <= 400) & (F.col("otodpt") != S.RADIOLOGY)
     ).select("opty", "oproc", "opat_no", "oord_no", "osdate", "ostime")
-    steps = cut_to(t.rh, ["rhpt_no", "rhor_no"], orders, ["opat_no", "oord_no"])
+    steps = sift_to(t.rh, ["rhpt_no", "rhor_no"], orders, ["opat_no", "oord_no"])
     orders = orders.withColumns({"_pat": F.col("opat_no"), "_ord": F.col("oord_no")})
     found = (
         Facts(steps)
@@ -285,7 +285,7 @@ def _died_yesterday(t: Tables, as_of: date) -> DataFrame:
 def _of_the_dead(t: Tables, dead: DataFrame) -> Tables:
     """Orders, results, rooms and beds of a short list of patients; the list is counted once for all four."""
     histories = {"oeorder": (t.oeorder, "opat_no"), "rd": (t.rd, "rdpt_no"), "patrmbdp": (t.patrmbdp, "patn15"), "rmbed": (taken_beds(t), "pat_no")}
-    cut = cut_all(list(histories.values()), dead, "patno")
+    cut = sift_all(list(histories.values()), dead, "patno")
     return t.replaced(**dict(zip(histories, cut, strict=True)))
 
 

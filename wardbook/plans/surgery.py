@@ -11,8 +11,8 @@ from wardbook.functions.clock import duration_parts, month_end, month_start, on_
 from wardbook.functions.codes import map_codes
 from wardbook.functions.text import to_long
 from wardbook.operators.counts import value_counts
-from wardbook.operators.dedup import copies, one_per_key, single
-from wardbook.operators.joins import Facts, Look, cut_all, cut_to, equi_join, with_details
+from wardbook.operators.dedup import copies, first_of_scan, one_per_key, single
+from wardbook.operators.joins import Facts, Look, equi_join, sift_all, sift_to, with_details
 from wardbook.operators.keep import keep, keep_table
 from wardbook.operators.prefixes import keyword_filter, prefix_join
 from wardbook.operators.shape import contract, ordered
@@ -33,8 +33,8 @@ def _first_cases(t: Tables, window: Column) -> DataFrame:
     case, and cases to one procedure, before anything is joined.
     """
     cases = t.casemain.where(window)
-    first = one_per_key(cases, "pat_acct_num", [_START, "casemain_id"])
-    procedures = cut_to(t.casepro, "casemain_id", first, "casemain_id").select("casemain_id", "actual_proname", "primpract_res_name")
+    first = first_of_scan(cases, "pat_acct_num", [_START, "casemain_id"])
+    procedures = sift_to(t.casepro, "casemain_id", first, "casemain_id").select("casemain_id", "actual_proname", "primpract_res_name")
     procedure = one_per_key(procedures, "casemain_id", ["actual_proname", "primpract_res_name"])
     return (
         Facts(first, row_key=["casemain_id"])
@@ -79,7 +79,7 @@ def or_log(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]:
     since = min(as_of.replace(day=1), as_of - timedelta(days=1))
     cases = keep_table(t.casemain.where((start >= F.lit(since)) & (start < F.lit(as_of))))
     parts = ("casepro", "caseintraop", "casepreop")
-    cut = cut_all([(t[name], "casemain_id") for name in parts], cases, "casemain_id")
+    cut = sift_all([(t[name], "casemain_id") for name in parts], cases, "casemain_id")
     t = t.replaced(casemain=cases, **{name: keep_table(df) for name, df in zip(parts, cut, strict=True)})
     return {"Yesterday": or_log_yesterday(t, as_of, p), "MTD": or_log_month_to_date(t, as_of, p)}
 
@@ -187,11 +187,11 @@ def schedule_sections(t: Tables, as_of: date, p: Params) -> dict[str, DataFrame]
 
 def _latest_answers(answers: DataFrame, names: dict[str, str]) -> DataFrame:
     """The latest answer of each field per patient, all fields in one pass; ties go to the larger answer."""
-    latest = [
-        F.max(F.when(F.col("dthfield") == field, F.struct("dthdttm", F.trim("dthresp").alias("answer"))))["answer"].alias(name)
-        for field, name in names.items()
-    ]
-    return answers.groupBy("dthpatno").agg(*latest)
+    rows = answers.select("dthpatno", "dthfield", "dthdttm", F.trim("dthresp").alias("answer"))
+    latest = first_of_scan(rows, ["dthpatno", "dthfield"], ["dthdttm", "answer"], "last")
+    # One entry per field, so a list is never longer than `names`.
+    by_field = latest.groupBy("dthpatno").agg(F.map_from_entries(F.collect_list(F.struct("dthfield", "answer"))).alias("by_field"))
+    return by_field.select("dthpatno", *[F.element_at("by_field", F.lit(field)).alias(name) for field, name in names.items()])
 
 
 def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
@@ -208,7 +208,7 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     # Policies are cut to the cases' patients before their two tables are joined; the other histories are cut by the lookup.
     answers = t.chpdtaph.where(F.col("dthfield").isin("Height", "Weight"))
     replies = t.nctrn.where(F.col("trprmid") == S.DIABETES_PARAMETER)
-    benefits, extensions = cut_all([(t.benefits, "patno"), (t.benext, "patno")], cases, "patno")
+    benefits, extensions = sift_all([(t.benefits, "patno"), (t.benext, "patno")], cases, "patno")
     policies = benefits.select("patno", "seqno", F.trim("policy").alias("medicareid"))
     medicare = extensions.where(F.col("ibinam") == S.MEDICARE).select("patno", "seqno")
     policies = equi_join(policies, medicare, ["patno", "seqno"], ["patno", "seqno"], "left_semi")
@@ -221,7 +221,7 @@ def surgical_denominator(t: Tables, as_of: date, p: Params) -> DataFrame:
     cases = Facts(cases).by(
         "patno",
         single(policies, "patno", ["medicareid"], ["seqno"]),
-        Look(_latest_answers(answers, {"Height": "height", "Weight": "weight"}), "dthpatno"),
+        Look(answers, "dthpatno", pick=lambda rows: _latest_answers(rows, {"Height": "height", "Weight": "weight"})),
         single(diabetes, "trpat_no", ["diabetes"], ["trrecdt"]),
         single(stays, "patno", ["outpatient"], ["isadate"]),
     ).df
