@@ -249,27 +249,48 @@ def cut_to(table: DataFrame, key: str | Sequence[str], few: DataFrame, on: str |
     return cut_all([(table, key)], few, on)[0]
 
 
-def cut_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], few: DataFrame, on: str | Sequence[str], sift: bool = False) -> list[DataFrame]:
+def cut_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], few: DataFrame, on: str | Sequence[str]) -> list[DataFrame]:
     """`cut_to` for several tables and their keys; the list is counted once."""
-    on = _names(on)
-    keys = few.select(*on).dropna().distinct()
-    n = keys.count()
-    if n <= int(few.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS))):
-        return [_semi(table, key, keys) for table, key in tables]
-    if not sift or n > MOST_KEYS:
-        return [table for table, _ in tables]
-    cut = KeyFilter(few, on, n)
-    return [cut.cut(table, _names(key)) for table, key in tables]
+    keys, n = _distinct(few, _names(on))
+    return [_semi(table, key, keys) for table, key in tables] if n <= _few_keys(few) else [table for table, _ in tables]
+
+
+def _distinct(asked: DataFrame, on: list[str]) -> tuple[DataFrame, int]:
+    keys = asked.select(*on).dropna().distinct()
+    return keys, keys.count()
 
 
-def sift_to(table: DataFrame, key: str | Sequence[str], asked: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """`cut_to` for a table that is joined with the list afterwards: beyond `FEW_KEYS` a bitmap of the keys takes most other rows away."""
-    return cut_all([(table, key)], asked, on, sift=True)[0]
+def _few_keys(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(FEW_KEYS_CONF, str(FEW_KEYS)))
 
 
-def sift_all(tables: Sequence[tuple[DataFrame, str | Sequence[str]]], asked: DataFrame, on: str | Sequence[str]) -> list[DataFrame]:
+def sift_to(table: DataFrame, key: str | Sequence[str], asked: DataFrame, on: str | Sequence[str], also: Column | None = None) -> DataFrame:
+    """`cut_to` for a table that is joined with the list afterwards: beyond `FEW_KEYS` a bitmap of the keys takes most other rows away.
+
+    Rows that `also` holds for stay whatever their key.
+    """
+    return sift_all([(table, key)], asked, on, also)[0]
+
+
+def sift_all(
+    tables: Sequence[tuple[DataFrame, str | Sequence[str]]], asked: DataFrame, on: str | Sequence[str], also: Column | None = None
+) -> list[DataFrame]:
     """`sift_to` for several tables; the list is counted, and its bitmap made, once."""
-    return cut_all(tables, asked, on, sift=True)
+    on = _names(on)
+    keys, n = _distinct(asked, on)
+    if n <= _few_keys(asked):
+        return [_semi(table, key, keys) if also is None else _marked(table, key, keys, also) for table, key in tables]
+    if n > MOST_KEYS:
+        return [table for table, _ in tables]
+    cut = KeyFilter(asked, on, n)
+    return [cut.cut(table, _names(key), also) for table, key in tables]
+
+
+def _marked(table: DataFrame, key: str | Sequence[str], few: DataFrame, also: Column) -> DataFrame:
+    """Rows whose key is one of the few, and those that `also` holds for."""
+    names = [f"_few_{i}" for i in range(len(few.columns))]
+    found = table.join(F.broadcast(few.toDF(*names)), [F.col(k) == F.col(n) for k, n in zip(_names(key), names, strict=True)], "left")
+    return found.where(also | F.col(names[0]).isNotNull()).drop(*names)
 
 
 def equi_join(left: DataFrame, right: DataFrame, on, key, how: str = "left") -> DataFrame:

@@ -50,8 +50,8 @@ class KeyFilter:
     def _place(self, columns: Sequence[Column]) -> Column:
         return F.pmod(F.xxhash64(*columns), F.lit(self.places)) + 1
 
-    def cut(self, table: DataFrame, key: Sequence[str]) -> DataFrame:
-        """The rows of `table` that may be asked for; all of them if the keys' types differ."""
+    def cut(self, table: DataFrame, key: Sequence[str], also: Column | None = None) -> DataFrame:
+        """The rows of `table` that may be asked for, and those that `also` holds for; all of them if the keys' types differ."""
         kinds, columns = _hashable(table, key)
         if kinds != self.kinds:
             return table
@@ -60,5 +60,6 @@ class KeyFilter:
         # The first of eight bytes is the highest of the number.
         bit = (7 - F.floor(at / 8) % 8) * 8 + at % 8
         row, words = (next(n for i in range(len(table.columns) + 1) if (n := f"{name}{i}") not in table.columns) for name in ("_row", "_words"))
-        found = table.join(F.broadcast(self.bitmap.toDF(row, words)), F.bitmap_bucket_number(place) == F.col(row))
-        return found.where(F.getbit(F.get(words, F.floor(at / 64).cast("int")), bit.cast("int")) == 1).select(*[F.col(f"`{c}`") for c in table.columns])
+        found = table.join(F.broadcast(self.bitmap.toDF(row, words)), F.bitmap_bucket_number(place) == F.col(row), "inner" if also is None else "left")
+        asked = F.getbit(F.get(words, F.floor(at / 64).cast("int")), bit.cast("int")) == 1
+        return found.where(asked if also is None else asked | also).select(*[F.col(f"`{c}`") for c in table.columns])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.clock import between_days, on_day
 from wardbook.operators.joins import Facts, Look, equi_join, role, sift_all
+from wardbook.operators.keep import keep_table
 from wardbook.operators.shape import contract
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -37,14 +38,9 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
     )
     both = F.when(F.col("ains2") == F.col("hist_ins2"), F.col("ains2"))
     base = base.withColumns({"ins1": F.col("ains1"), "ins2": both, "ins3": F.col("hist_ins3")})
-    benefits, extensions = sift_all([(t.benefits, "patno"), (t.benext, "patno")], visit, "patno")
+    policies = _policies(t, visit)
     for i, how in ((1, "inner"), (2, "left"), (3, "left")):
-        base = equi_join(
-            base, role(benefits, f"_{i}"), ["patno", "hstnum", f"ins{i}"], [f"patno_{i}", f"histn_{i}", f"insco_{i}"], how
-        )
-        base = equi_join(
-            base, role(extensions, f"_{i}"), ["patno", f"seqno_{i}"], [f"patno_{i}", f"seqno_{i}"], how
-        )
+        base = equi_join(base, role(policies, f"_{i}"), ["patno", "hstnum", f"ins{i}"], [f"patno_{i}", f"histn_{i}", f"insco_{i}"], how)
     names = ["patno", "hstnum", "isadate", "isddate", "pname", "isdob", "sex", *_HISTORY, "nwattphy", "phname", "nwrefdoc"]
     names += [("phname_2", "phname"), "diagn", "nwdocnum", ("phname_3", "phname")]
     names += ["ains1", "apln1", "ains2", "apln2", "ains3", "apln3"]
@@ -53,6 +49,13 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
     return contract(base, names)
 
 
+def _policies(t: Tables, visit: DataFrame) -> DataFrame:
+    """The policies of the visits' patients with their extensions: read once, written, and then joined in each of three roles."""
+    benefits, extensions = sift_all([(t.benefits, "patno"), (t.benext, "patno")], visit, "patno")
+    found = equi_join(benefits, extensions.select("patno", "seqno", *_EXTENSION), ["patno", "seqno"], ["patno", "seqno"])
+    return keep_table(found.select("patno", "histn", "insco", "policy", "iname", "reln", *_EXTENSION))
+
+
 def billing_census(t: Tables, as_of: date, p: Params) -> DataFrame:
     visit = t.patients.where(on_day("isadate", as_of, 1))
     emergency = t.admreg.where(F.col("admhsv") == S.EMERGENCY).select("patno", "hstnum", "nwdrnum")

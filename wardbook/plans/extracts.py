@@ -12,12 +12,12 @@ from wardbook.functions.codes import map_codes, normalise
 from wardbook.functions.predicates import occupied, present
 from wardbook.functions.text import nth_part, top_code, zero_to_null
 from wardbook.operators.dedup import one_per_key, single
-from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, merge, role, sift_all, sift_to
+from wardbook.operators.joins import Facts, Look, equi_join, join_chain, merge, role, sift_all, sift_to
 from wardbook.operators.shape import contract, nothing
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
 from wardbook.plans.orders import packed_day
-from wardbook.plans.settings import Params, value_list
+from wardbook.plans.settings import Params
 from wardbook.sources.tables import Tables
 
 
@@ -207,27 +207,21 @@ def hospitalist_extract(t: Tables, as_of: date, p: Params, days: int = 32) -> Da
     The first two heads hold the account and the record number in that order,
     as in the source feed.
     """
-    orders = t.oeorder.where(F.col("oproc").isin(S.DISCHARGE_ORDERS))
-    orders = orders.select("opat_no", "oproc", "ouser", "oedate", "oetime")
     patients = t.patients.where(
         ~F.col("hssvc").isin(S.HOSPITALIST_SKIPPED_SERVICES) & F.col("nwattphy").isin(p.hospitalists)
     )
-    registered = t.admreg.select("patno", "hstnum", "arrvd", "admhsv", "dischsv")
     recent = F.coalesce(F.col("isadate") >= F.lit(as_of - timedelta(days=days)), F.lit(False))
-
-    def discharged(some_orders: DataFrame, some_patients: DataFrame) -> DataFrame:
-        stays = equi_join(some_patients, registered, ["patno", "hstnum"], ["patno", "hstnum"], "inner")
-        stays = Look(stays.withColumn("_p", F.col("patno")), "_p", "inner")
-        return Facts(some_orders).by("opat_no", stays).by("ouser", Look(t.username, "odobnm")).df
-
-    # The two ways in are taken apart, so that each filters one of the large tables at its scan.
-    admitted = patients.where(recent)
-    by_admission = discharged(sift_to(orders, "opat_no", admitted, "patno"), admitted)
-    by_users = orders.where(F.col("oedate") >= packed_day(as_of, days))
-    by_users = in_roster(by_users, value_list(t.oeorder.sparkSession, p.order_users, "ouser"), "ouser")
-    by_order = discharged(by_users, patients.where(~recent))
+    by_user = F.coalesce((F.col("oedate") >= packed_day(as_of, days)) & F.col("ouser").isin(p.order_users), F.lit(False))
+    # One reading of the orders: those by a user on the roster, and those of the admitted, whose keys come along.
+    orders = t.oeorder.where(F.col("oproc").isin(S.DISCHARGE_ORDERS))
+    orders = orders.select("opat_no", "oproc", "ouser", "oedate", "oetime", by_user.alias("by_user"))
+    orders = sift_to(orders, "opat_no", patients.where(recent), "patno", also=F.col("by_user"))
+    registered = t.admreg.select("patno", "hstnum", "arrvd", "admhsv", "dischsv")
+    patients = patients.withColumns({"recent": recent, "_p": F.col("patno")})
+    found = Facts(orders).by("opat_no", Look(patients, "_p", "inner")).where(F.col("recent") | F.col("by_user"))
+    found = found.code(["patno", "hstnum"], registered, ["patno", "hstnum"], "inner").by("ouser", Look(t.username, "odobnm")).df
     found = join_chain(
-        by_admission.unionByName(by_order),
+        found,
         [
             (t.fcdesc, "fincl", "fcfincl"),
             (t.drgdesc.withColumnRenamed("drg", "_d"), "drg", "_d"),

@@ -12,7 +12,7 @@ from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
 from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
 from wardbook.operators.dedup import copies, expand_copies
-from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, not_in_roster, sift_all, sift_to
+from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, not_in_roster, sift_to
 from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
 from wardbook.plans import settings as S
@@ -276,47 +276,51 @@ def flu_unit_counts(t: Tables, as_of: date, p: Params) -> DataFrame:
     return non_null_counts(rows.select(*names), weight="n")
 
 
-def _died_yesterday(t: Tables, as_of: date) -> DataFrame:
-    out = t.patients.where(F.col("hssvc").isin(S.DEATH_SERVICES) & on_day("isddate", as_of, 1))
-    expired = t.dsstat.where(F.col("dcexp") == "Y").select("dcubs")
-    return equi_join(out.select("patno", "dcstat"), expired, "dcstat", "dcubs", "left_semi").select("patno")
+def _expired(t: Tables) -> DataFrame:
+    return t.dsstat.where(F.col("dcexp") == "Y").select("dcubs")
 
 
-def _of_the_dead(t: Tables, dead: DataFrame) -> Tables:
-    """Orders, results, rooms and beds of a short list of patients; the list is counted once for all four."""
-    histories = {"oeorder": (t.oeorder, "opat_no"), "rd": (t.rd, "rdpt_no"), "patrmbdp": (t.patrmbdp, "patn15"), "rmbed": (taken_beds(t), "pat_no")}
-    cut = sift_all(list(histories.values()), dead, "patno")
-    return t.replaced(**dict(zip(histories, cut, strict=True)))
+def _left_dead(as_of: date) -> Column:
+    """Left a ward yesterday; whether the patient had died is the discharge code's to say (`_expired`)."""
+    return F.col("hssvc").isin(S.DEATH_SERVICES) & on_day("isddate", as_of, 1)
 
 
-def _flu_deaths(t: Tables, dead: DataFrame) -> DataFrame:
-    """Rows the source join makes of those who died with flu: positive orders x rooms held x beds.
+def _factors(t: Tables, p: Params) -> DataFrame:
+    """Per patient: the pairs of virus orders and positive results of each kind, and whether there is any of either.
 
-    Each factor is counted per patient and the counts are multiplied, so the
-    product is never written out.
+    Orders and results are read once each: what counts of a row stands in 0/1 columns, which are summed per patient and
+    order number and multiplied there, so the pairs are never written out.
     """
-    orders = copies(t.oeorder.where(F.col("oproc") == S.FLU_ORDER), ["opat_no", "oord_no"], "n_orders")
-    positive = copies(t.rd.where(F.col("rdrs") == S.POSITIVE), ["rdpt_no", "rdor_no"], "n_results")
-    pairs = equi_join(positive, orders, ["rdpt_no", "rdor_no"], ["opat_no", "oord_no"], "inner")
-    pairs = pairs.groupBy("rdpt_no").agg(F.sum(F.col("n_results") * F.col("n_orders")).alias("n_pairs"))
-    factors = join_chain(
-        dead,
-        [
-            (pairs, "patno", "rdpt_no", "inner"),
-            (copies(t.patrmbdp, "patn15", "n_rooms"), "patno", "patn15"),
-            (copies(t.rmbed, "pat_no", "n_beds"), "patno", "pat_no"),
-        ],
+    orders = t.oeorder.where(F.col("oproc").isin([S.FLU_ORDER, *S.VIRUS_ORDERS])).select("opat_no", "oord_no", "oproc", "osdate", "ostat")
+    orders = equi_join(orders, t.oeostat, "ostat", "stat_no")
+    flu, going_on = F.col("oproc") == S.FLU_ORDER, F.col("stdsc") != S.CANCELLED
+    of_order = {
+        "flu": flu,
+        "flu_on": flu & going_on,
+        "flu_season": flu & going_on & (F.col("osdate") >= packed_day(p.flu_season_start)),
+        "virus": F.col("oproc").isin(S.VIRUS_ORDERS),
+    }
+    results = t.rd.where((F.col("rdrs") == S.POSITIVE) | F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX))
+    of_result = {"positive": F.col("rdrs") == S.POSITIVE, "positive_virus": F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)}
+
+    def marked(rows: DataFrame, patient: str, order: str, marks: dict[str, Column]) -> DataFrame:
+        columns = {name: F.coalesce(marks[name].cast("long"), F.lit(0)) if name in marks else F.lit(0).cast("long") for name in [*of_order, *of_result]}
+        return rows.where(F.col(patient).isNotNull()).select(F.col(patient).alias("patno"), F.col(order).alias("order_no"), *[c.alias(n) for n, c in columns.items()])
+
+    both = marked(orders, "opat_no", "oord_no", of_order).unionByName(marked(results, "rdpt_no", "rdor_no", of_result))
+    summed = both.groupBy("patno", "order_no").agg(*[F.sum(c).alias(c) for c in [*of_order, *of_result]])
+    pairs = {
+        "n_flu_any": F.col("flu") * F.col("positive"),
+        "n_flu": F.col("flu_on") * F.col("positive"),
+        "n_flu_season": F.col("flu_season") * F.col("positive"),
+        "n_virus": F.col("virus") * F.col("positive_virus"),
+    }
+    same_order = F.col("order_no").isNotNull()
+    return summed.groupBy("patno").agg(
+        *[F.sum(F.when(same_order, n).otherwise(0)).alias(name) for name, n in pairs.items()],
+        (F.max("virus") > 0).alias("tested"),
+        (F.max("positive_virus") > 0).alias("found"),
     )
-    product = F.col("n_pairs") * F.coalesce("n_rooms", F.lit(1)) * F.coalesce("n_beds", F.lit(1))
-    return factors.agg(F.coalesce(F.sum(product), F.lit(0)).alias("flu_deaths"))
-
-
-def _virus_deaths(t: Tables, dead: DataFrame) -> DataFrame:
-    """Patients who died yesterday with any virus order and any positive result."""
-    tested = t.oeorder.where(F.col("oproc").isin(S.VIRUS_ORDERS)).select("opat_no").distinct()
-    positive = t.rd.where(F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)).select("rdpt_no").distinct()
-    both = join_chain(dead, [(tested, "patno", "opat_no", "left_semi"), (positive, "patno", "rdpt_no", "left_semi")])
-    return both.agg(F.countDistinct("patno").alias("virus_deaths"))
 
 
 # Fixed value: the lines of the summary and the counts that go into each.
@@ -342,29 +346,29 @@ SUMMARY_ORDER = [
 
 
 def virus_summary(t: Tables, as_of: date, p: Params) -> DataFrame:
-    """The six numbers of the state summary as (metric, value) rows."""
-    on_unit = _flu_on_unit()
-    in_critical_care = (
-        (F.col("oproc") == S.FLU_ORDER)
-        & (F.col("rdrs") == S.POSITIVE)
-        & (F.col("stdsc") != S.CANCELLED)
-        & (F.col("nurst") == S.CCU)
-        & (F.col("osdate") >= packed_day(p.flu_season_start))
-    )
-    virus = (
-        F.col("oproc").isin(S.VIRUS_ORDERS)
-        & F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)
-        & F.col("patient").isNotNull()
-        & ~F.col("patient").isin(p.excluded_patients)
-        & present("nurst")
+    """The six numbers of the state summary as (metric, value) rows.
+
+    A row below stands for a patient in a bed (or in none). What the source joins to it, orders and results and, for
+    the dead, rooms held, is a factor of its counts.
+    """
+    patients = t.patients.select("patno", F.col("patno").alias("patient"), "hssvc", "isadate", "isddate", "dcstat")
+    dead = equi_join(patients.where(_left_dead(as_of)), _expired(t), "dcstat", "dcubs", "left_semi")
+    rooms = copies(sift_to(t.patrmbdp, "patn15", dead, "patient"), "patn15", "n_rooms")
+    expired = _expired(t).distinct().withColumn("expired", F.lit(True))
+    rows = join_chain(
+        _factors(t, p),
+        [(patients, "patno", "patno"), (_beds(t).select("pat_no", "nurst"), "patno", "pat_no"), (expired, "dcstat", "dcubs"), (rooms, "patno", "patn15")],
     )
-    in_house = _in_house(t, as_of, p).agg(
-        count_where(on_unit, "n").alias("flu"),
-        count_where(on_unit & on_day("isadate", as_of, 1), "n").alias("flu_admits"),
-        count_where(in_critical_care, "n").alias("flu_icu"),
-        count_where(virus, "n").alias("virus"),
+    on_unit = (F.col("hssvc") != S.EMERGENCY) & (F.col("nurst") != "NULL")
+    known = F.col("patient").isNotNull() & ~F.col("patient").isin(p.excluded_patients) & present("nurst")
+    died = F.col("expired") & _left_dead(as_of)
+    of_dead = F.col("n_flu_any") * F.coalesce("n_rooms", F.lit(1))
+    counts = rows.agg(
+        count_where(on_unit, "n_flu").alias("flu"),
+        count_where(on_unit & on_day("isadate", as_of, 1), "n_flu").alias("flu_admits"),
+        count_where(F.col("nurst") == S.CCU, "n_flu_season").alias("flu_icu"),
+        count_where(known, "n_virus").alias("virus"),
+        F.coalesce(F.sum(F.when(died, of_dead)), F.lit(0)).alias("flu_deaths"),
+        F.countDistinct(F.when(died & F.col("tested") & F.col("found"), F.col("patno"))).alias("virus_deaths"),
     )
-    dead = _died_yesterday(t, as_of)
-    theirs = _of_the_dead(t, dead)
-    parts = [in_house, _flu_deaths(theirs, dead), _virus_deaths(theirs, dead)]
-    return add_metrics(*[metric_rows(part, _SUMMARY) for part in parts])
+    return add_metrics(metric_rows(counts, _SUMMARY))

@@ -125,7 +125,10 @@ def _bookings(t: Tables, as_of: date, surgeons: list[str], *of_appointment: Look
     live = equi_join(t.appt, t.apptstatus, "apptstatus_id", "apptstatus_id", "left_semi")
     live = live.where(F.col("apptstatus_id") != S.CANCELLED_APPOINTMENT)
     live = equi_join(live, t.service, "service_id", "service_id").select("appt_id")
-    visits = equi_join(t.visitapptlist, copies(t.visit, "visit_id", "n_visits"), "visit_id", "visit_id")
+    # From the bookings through the list of links to the visits they ask for, before either is grouped.
+    links = sift_to(t.visitapptlist, "appt_id", bookings, "appt_id")
+    visit = sift_to(t.visit, "visit_id", links, "visit_id")
+    visits = equi_join(links, copies(visit, "visit_id", "n_visits"), "visit_id", "visit_id")
     visits = visits.groupBy("appt_id").agg(F.sum(F.coalesce("n_visits", F.lit(1))).alias("n_visits"))
     return (
         Facts(bookings)
