@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from wardbook.llm import queries
 from wardbook.llm.repeats import remove_repeats, repeated_words
-from wardbook.llm.suffix_index import Anchors, IndexFamily, entry, merged, runs
+from wardbook.llm.suffix_index import Anchors, IndexFamily, Words, entry, merged, runs
 
 
 def test_query_equals_brute_force(spark):
@@ -35,7 +35,7 @@ def passages(seed: int) -> list[str]:
 def test_equals_brute_force_on_shared_passages(spark, hot, batch, seed):
     texts = passages(seed)
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
-    found = remove_repeats(docs, length=20, anchor=6, hot_stretches=hot, batch_entries=batch)
+    found = remove_repeats(docs, length=20, anchor=6, hot_stretches=hot, batch_entries=batch, large_group=hot)
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in found.collect()]
     assert ordered(got) == ordered((i, *w) for i, w in enumerate(brute.repeats(texts, 20)))
 
@@ -50,7 +50,7 @@ def test_a_hot_anchor_is_split(spark, hot, batch):
         left, right = ("".join(rng.choices("pqrs", k=rng.randint(0, 16))) for _ in range(2))
         texts.append(left + rng.choice(("", beside)) + core + rng.choice(("", beside, beside[:4])) + right)
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
-    found = remove_repeats(docs, length=20, anchor=6, hot_stretches=hot, batch_entries=batch)
+    found = remove_repeats(docs, length=20, anchor=6, hot_stretches=hot, batch_entries=batch, large_group=hot)
     got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in found.collect()]
     assert ordered(got) == ordered((i, *w) for i, w in enumerate(brute.repeats(texts, 20)))
 
@@ -139,6 +139,20 @@ def test_odd_rows(spark):
     assert repeated_words(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 18])
+def test_words_are_coded_alike_wherever_they_stand(piece):
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("ab\x00ä \t\n\v\x1c\u00a0", k=rng.randint(0, 60))) for _ in range(200)]
+    codes: dict[str, bytes] = {}
+    for text in texts:
+        found = Words(piece).codes(text.encode())
+        want = brute.words(text)
+        assert len(found) == 4 * len(want)
+        for i, word in enumerate(want):
+            assert codes.setdefault(word, found[4 * i : 4 * i + 4]) == found[4 * i : 4 * i + 4]
+    assert len(set(codes.values())) == len(codes)
+
+
 def test_runs_and_merging():
     assert runs(0b1101110) == [1, 4, 5, 7]
     assert runs(0) == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,19 +32,22 @@ class Anchors:
 
     A window is `length` bytes. Its anchor is the `anchor`-byte string in it with the smallest hash (the leftmost of equal ones), so
     equal windows have equal anchors at equal places, wherever they stand. A stretch is a run of neighbouring windows with the
-    same anchor; its bytes are those of all its windows.
+    same anchor; its bytes are those of all its windows. All places and lengths are in units of `unit` bytes (1, or 4 for coded words).
     """
 
-    def __init__(self, length: int = LENGTH, anchor: int = ANCHOR, piece: int = PIECE):
+    def __init__(self, length: int = LENGTH, anchor: int = ANCHOR, piece: int = PIECE, unit: int = 1):
         self.length, self.anchor = length, anchor
+        self.unit = unit
+        self.kind = np.dtype({1: np.uint8, 4: "<u4"}[unit])
         self.width = length - anchor + 1
         self.piece = min(piece, _PLACE - length)
         self.power, self.inverse = (_powers(b, self.piece + length) for b in (_BASE, _INVERSE))
 
     def stretches(self, text: bytes) -> Iterator[tuple[int, int, int, int]]:
         """(first window, windows, the anchor's place, its hash) for each stretch."""
-        for start in range(0, len(text) - self.length + 1, self.piece):
-            part = np.frombuffer(text, np.uint8, min(self.piece + self.length - 1, len(text) - start), start)
+        size = len(text) // self.unit
+        for start in range(0, size - self.length + 1, self.piece):
+            part = np.frombuffer(text, self.kind, min(self.piece + self.length - 1, size - start), start * self.unit)
             yield from ((start + a, n, start + p, h) for a, n, p, h in self._part(part))
 
     def _part(self, part: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
@@ -70,6 +74,46 @@ class Anchors:
         return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+class Words:
+    """Texts as one 32-bit hash per word; a word is a run of bytes other than 20 and 09 to 0D."""
+
+    def __init__(self, piece: int = PIECE):
+        self.piece = piece
+        self.power = self.inverse = np.zeros(0, np.uint64)
+
+    def codes(self, text: bytes) -> bytes:
+        raw = np.frombuffer(text, np.uint8)
+        out, start = [], 0
+        while start < len(raw):
+            end = min(start + self.piece, len(raw))
+            if end < len(raw):  # up to the next blank, so that no word is cut
+                found = _NEXT_BLANK.search(text, end)
+                end = found.start() if found else len(raw)
+            out.append(self._piece(raw[start:end]))
+            start = end
+        return b"".join(out)
+
+    def _piece(self, part: np.ndarray) -> bytes:
+        if len(self.power) < len(part):
+            self.power, self.inverse = (_powers(b, len(part)) for b in (_BASE, _INVERSE))
+        word = np.concatenate([[False], ~_BLANK[part], [False]])
+        edges = np.flatnonzero(word[1:] != word[:-1])
+        first, end = edges[::2], edges[1::2]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * self.power[: len(part)], out=sums[1:])
+        hashes = (sums[end] - sums[first]) * self.inverse[first]
+        hashes ^= hashes >> np.uint64(32)
+        hashes *= np.uint64(0xD6E8FEB86659FD93)
+        return (hashes >> np.uint64(32)).astype("<u4").tobytes()
+
+
+_NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
 def identity(content: bytes) -> tuple[int, int]:
     """128 bits that stand for a stretch's bytes, as two signed numbers."""
     digest = xxhash.xxh3_128_digest(content)
@@ -83,6 +127,7 @@ class Entry:
     anchor: int
     right: bytes
     left: bytes
+    place: int
     windows: int
     key: tuple[int, int]
     #: Bit t: the t-th window stands elsewhere too.
@@ -93,15 +138,15 @@ class Entry:
         return self.anchor, self.right
 
     def mark(self, left: int, right: int, length: int) -> None:
-        """Another suffix agrees on `left` bytes before the anchor and `right` bytes from it on."""
-        first, last = max(0, len(self.left) - left), min(self.windows - 1, len(self.left) + right - length)
+        """Another suffix agrees on `left` units before the anchor and `right` units from it on."""
+        first, last = max(0, self.place - left), min(self.windows - 1, self.place + right - length)
         if first <= last:
             self.found |= ((1 << (last - first + 1)) - 1) << first
 
 
-def entry(anchor: int, key: tuple[int, int], copies: int, place: int, windows: int, content: bytes) -> Entry:
+def entry(anchor: int, key: tuple[int, int], copies: int, place: int, windows: int, content: bytes, unit: int = 1) -> Entry:
     """copies: how often the stretch stands in the corpus; a second one makes all its windows repeats."""
-    return Entry(anchor, content[place:], content[:place][::-1], windows, key, (1 << windows) - 1 if copies > 1 else 0)
+    return Entry(anchor, content[place * unit :], content[: place * unit][::-1], place, windows, key, (1 << windows) - 1 if copies > 1 else 0)
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -137,8 +182,8 @@ class IndexFamily:
     #: Groups up to this size are compared pair by pair, larger ones class by class.
     PAIRS = 40
 
-    def __init__(self, length: int = LENGTH):
-        self.length = length
+    def __init__(self, length: int = LENGTH, unit: int = 1):
+        self.length, self.unit = length, unit
         self.levels: list[Level] = []
 
     def add(self, batch: list[Entry]) -> None:
@@ -171,7 +216,7 @@ class IndexFamily:
             return
         for i, a in enumerate(fresh):
             for b in old if old is not None else fresh[i + 1 :]:
-                left, right = common(a.left, b.left), common(a.right, b.right)
+                left, right = common(a.left, b.left) // self.unit, common(a.right, b.right) // self.unit
                 if left + right >= self.length:
                     a.mark(left, right, self.length)
                     b.mark(left, right, self.length)
@@ -186,7 +231,7 @@ class IndexFamily:
 
         def cuts(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             order = sorted(range(len(parts)), key=parts.__getitem__)
-            agree = [0] + [common(parts[a], parts[b]) for a, b in zip(order, order[1:], strict=False)]
+            agree = [0] + [common(parts[a], parts[b]) // self.unit for a, b in zip(order, order[1:], strict=False)]
             return np.array(order), np.array(agree)
 
         def classes(order: np.ndarray, agree: np.ndarray, least: int) -> np.ndarray:
@@ -195,7 +240,7 @@ class IndexFamily:
             return out
 
         lefts, rights = cuts([e.left for e in group]), cuts([e.right for e in group])
-        far = np.array([len(e.left) for e in group])
+        far = np.array([e.place for e in group])
         near = far - np.array([e.windows for e in group]) + 1
         for d in range(max(0, int(near.min())), int(far.max()) + 1):
             inside = np.flatnonzero((near <= d) & (d <= far))
@@ -204,7 +249,7 @@ class IndexFamily:
             both = classes(*lefts, d)[inside] * (len(group) + 1) + classes(*rights, self.length - d)[inside]
             _, which, counts = np.unique(both, return_inverse=True, return_counts=True)
             for i in inside[counts[which] > 1].tolist():
-                group[i].found |= 1 << (len(group[i].left) - d)
+                group[i].found |= 1 << (group[i].place - d)
 
 
 def runs(found: int) -> list[int]:
