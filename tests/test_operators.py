@@ -272,6 +272,20 @@ def test_prefixes_against_brute_force(spark, few, few_rows_per_slot, monkeypatch
     assert prefix_join(notes, nobody, "author").count() == prefix_join(notes, nobody, "author", keep="exists").count() == 0
 
 
+def test_the_range_of_a_roster_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "notes")
+    texts = ["a", "ab", "abz", "az", "b", "ba", "B", "", None, "a\U0010ffff", "\ud7ff1", "\ue000", "\U0010ffffx", "ä"]
+    spark.createDataFrame(list(enumerate(texts)), "i int, author string").write.parquet(path)
+    notes = spark.read.parquet(path)
+    for listed in (["a", "ab"], ["ab", "abc"], ["b"], ["\ud7ff"], ["\U0010ffff"], ["a\U0010ffff"], ["a", "ä", "B"]):
+        roster = spark.createDataFrame([(p,) for p in listed], "prefix string")
+        want = sorted(i for i, a in enumerate(texts) if a is not None and a.startswith(tuple(listed)))
+        found = prefix_join(notes, roster, "author", keep="exists")
+        assert sorted(r["i"] for r in found.collect()) == want, listed
+    plan = prefix_join(notes, spark.createDataFrame([("ab",), ("abc",)], "prefix string"), "author")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(author,ab)" in plan and "LessThan(author,ac)" in plan
+
+
 def test_shortest_prefixes(spark):
     roster = spark.createDataFrame([(p,) for p in ("SMI", "SMITH", "JO", "JOHN", "JOHNSON", "K")], "prefix string")
     assert sorted(r[0] for r in shortest_prefixes(roster).collect()) == ["JO", "K", "SMI"]

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from glob import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from wardbook.sinks import reports
@@ -25,6 +26,43 @@ def test_report_of_sections(spark, tmp_path):
     assert lines(tmp_path / "c" / "section=a") == ["0", "1"]
 
 
+def failing(spark):
+    return spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("no such ward"))).otherwise(F.col("id")).cast("long").alias("id"))
+
+
+def test_a_section_that_fails_leaves_the_old_report(spark, tmp_path):
+    path = str(tmp_path / "r")
+    reports.write_report({"a": spark.range(3), "b": spark.range(2)}, path)
+    with pytest.raises(Exception, match="no such ward"):
+        reports.write_report({"a": spark.range(30), "b": failing(spark)}, path)
+    back = spark.read.parquet(path)
+    assert {r["section"]: r["count"] for r in back.groupBy("section").count().collect()} == {"a": 3, "b": 2}
+    reports.write_report({"a": spark.range(4)}, path)
+    assert {r["section"]: r["count"] for r in spark.read.parquet(path).groupBy("section").count().collect()} == {"a": 4, "b": 2}
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_a_published_report_is_seen_as_a_whole(spark, tmp_path, file_format):
+    path = str(tmp_path / "p")
+    assert reports.published_sections(spark, path) == {}
+
+    def counts():
+        return {name: df.count() for name, df in reports.published_sections(spark, path).items()}
+
+    reports.publish_report({"a": spark.range(3), "b b": spark.range(2)}, path, file_format)
+    before = reports.published_sections(spark, path)
+    with pytest.raises(Exception, match="no such ward"):
+        reports.publish_report({"a": spark.range(30), "b b": failing(spark)}, path, file_format)
+    assert counts() == {"a": 3, "b b": 2}
+    reports.publish_report({"a": spark.range(5)}, path, file_format)
+    assert counts() == {"a": 5}
+    # A reader that began before goes on.
+    assert before["a"].count() == 3
+    reports.publish_report({"a": spark.range(6)}, path, file_format)
+    assert counts() == {"a": 6}
+    assert len(list((tmp_path / "p" / "manifests").glob("[0-9]*"))) == 2
+
+
 def test_sections_in_one_pass(spark, tmp_path):
     df = spark.range(100).withColumn("section", F.when(F.col("id") < 70, "big").otherwise("small"))
     reports.write_sections(df, str(tmp_path / "s"))

@@ -4,10 +4,14 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from conftest import rows
+from pyspark.sql import functions as F
 
+from wardbook.plans.registry import run
 from wardbook.sources import schemas
 from wardbook.sources.probe import probe_tables
-from wardbook.sources.tables import jdbc_options, load, load_all, snapshot, tidy
+from wardbook.sources.standins import AS_OF
+from wardbook.sources.tables import SourceTable, Tables, jdbc_options, load, load_all, snapshot, tidy
 from wardbook.sources.text import read_delimited, read_roster, roster
 
 
@@ -121,3 +125,35 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "In(nurst, [" in plan and "GreaterThan(pat_no,0)" in plan
     assert "EqualTo(prsts,A)" in plan
     assert "trcom" not in plan.split("ReadSchema")[1]
+
+
+def test_filters_on_padded_columns_reach_the_source(spark, tmp_path):
+    """Equality, IN and prefixes on a CHAR column go to the column as the source has it, padded or not."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    held = ["CCU", "CCU ", "CCU   ", "CCUX", "CC", " CCU", "SSU  ", "", "   ", None, "POSX", "POS SARS 2", "POS"]
+    raw = spark.createDataFrame([(i, v, v, v, "o") for i, v in enumerate(held)], "`PAT#` long, NURST string, ROOM string, BED string, OBSERV string")
+    raw.write.parquet(str(tmp_path / "raw"))
+    t = Tables({"rmbed": SourceTable(spark.read.parquet(str(tmp_path / "raw")), "rmbed")})
+    for values, prefixes in ((["CCU"], []), (["CCU", "SSU"], []), ([""], []), ([], ["POS "]), (["CC"], ["POS SARS"]), ([], [])):
+        found = t.only("rmbed", "nurst", values, prefixes)
+        want = [i for i, v in enumerate(held) if v is not None and (v.rstrip(" ") in values or v.rstrip(" ").startswith(tuple(prefixes)))]
+        assert sorted(r["pat_no"] for r in found.collect()) == want, (values, prefixes)
+        assert rows(found) == rows(Tables({"rmbed": lambda: t.rmbed}).only("rmbed", "nurst", values, prefixes))
+        assert rows(t.replaced(other=raw).only("rmbed", "nurst", values, prefixes)) == rows(found)
+    plan = t.only("rmbed", "nurst", ["CCU", "SSU"])._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
+    assert "In(NURST, [CCU,SSU])" in pushed and "StringStartsWith(NURST,CCU )" in pushed
+    plan = t.only("rmbed", "pat_no", [3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert "In(`PAT#`, [3,5])" in plan or "In(PAT#, [3,5])" in plan
+
+
+def test_reports_hand_their_lists_to_the_source(spark, tmp_path, tables):
+    """A report over padded source tables: the same rows as over the tidied ones, with its service list pushed."""
+    padded = tables.patients.withColumn("hssvc", F.rpad("hssvc", 8, " ")).withColumnsRenamed({"hssvc": "HSSVC"})
+    padded.write.parquet(str(tmp_path / "patients"))
+    source = SourceTable(spark.read.parquet(str(tmp_path / "patients")), "patients")
+    t = Tables({**{name: (lambda name=name: tables[name]) for name in tables}, "patients": source})
+    for name in ("missing_admit_order", "patients_by_service"):
+        found = run(name, t, AS_OF)
+        assert "StringStartsWith(HSSVC," in found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found) == rows(run(name, tables, AS_OF)) != []

@@ -3,14 +3,16 @@
 A parameter list (strings) becomes one condition of `startswith`s, which reaches
 the scan. A roster that is a table is an equi-join: the text is cut to each prefix
 length the roster holds and joined on equality, so a long roster needs no nested
-loop and the work grows with the rows, not with rows x roster.
+loop and the work grows with the rows, not with rows x roster. Texts outside the
+range from the lowest to the highest prefix are left out at the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.predicates import contains_any, starts_with_any
@@ -21,14 +23,43 @@ _CUT = "_cut"
 FEW_PREFIXES = 100_000
 
 
-def _measured(roster: DataFrame, prefix: str) -> tuple[int, list[int]]:
-    """How many prefixes, and their lengths: never more numbers than a name column is wide."""
+@dataclass(frozen=True)
+class _Measure:
+    """How many prefixes, their lengths (never more numbers than a name column is wide), the lowest and the highest."""
+
+    size: int
+    lengths: list[int]
+    lowest: str | None
+    highest: str | None
+
+    def in_range(self, col: str) -> Column:
+        """Whether a text may start with a prefix. A shorter prefix that starts the highest one reaches further than that."""
+        end = _after(self.highest[: self.lengths[0]])
+        return (F.col(col) >= self.lowest) & ((F.col(col) < end) if end else F.lit(True))
+
+
+def _measured(roster: DataFrame, prefix: str) -> _Measure:
     seen = (
         roster.where(F.length(prefix) > 0)
-        .agg(F.count(F.lit(1)).alias("size"), F.sort_array(F.collect_set(F.length(prefix))).alias("lengths"))
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.sort_array(F.collect_set(F.length(prefix))).alias("lengths"),
+            F.min(prefix).alias("lowest"),
+            F.max(prefix).alias("highest"),
+        )
         .first()
     )
-    return seen["size"], seen["lengths"]
+    return _Measure(*seen)
+
+
+def _after(prefix: str) -> str:
+    """The first text after all that start with a prefix; empty if there is none."""
+    while prefix:
+        code = ord(prefix[-1]) + 1
+        if code <= 0x10FFFF:
+            return prefix[:-1] + chr(0xE000 if 0xD800 <= code < 0xE000 else code)
+        prefix = prefix[:-1]
+    return ""
 
 
 def _sized(roster: DataFrame, size: int) -> DataFrame:
@@ -50,13 +81,14 @@ def prefix_join(df: DataFrame, roster: DataFrame | Sequence[str], col: str, pref
     """
     if not isinstance(roster, DataFrame):
         return _listed(df, roster, col, prefix, keep)
-    size, lengths = _measured(roster, prefix)
+    measure = _measured(roster, prefix)
+    size, lengths = measure.size, measure.lengths
     if not size:
         empty = df.where(F.lit(False))
         if keep == "exists":
             return empty
         return empty.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in roster.schema.fields])
-    cut = _cuts(df, col, lengths)
+    cut = _cuts(df.where(measure.in_range(col)), col, lengths)
     if keep == "exists":
         # No prefix left in the roster starts another, so a row matches once at most.
         short = _shortest(roster.select(prefix).distinct(), prefix, size, lengths)
@@ -82,7 +114,8 @@ def _listed(df: DataFrame, prefixes: Sequence[str], col: str, prefix: str, keep:
 
 def shortest_prefixes(roster: DataFrame, prefix: str = "prefix") -> DataFrame:
     """The prefixes that no other prefix in the roster starts."""
-    return _shortest(roster, prefix, *_measured(roster, prefix))
+    measure = _measured(roster, prefix)
+    return _shortest(roster, prefix, measure.size, measure.lengths)
 
 
 def _shortest(roster: DataFrame, prefix: str, size: int, lengths: list[int]) -> DataFrame:

@@ -55,7 +55,7 @@ def unit_census_lines(t: Tables, as_of: date, p: Params) -> DataFrame:
 
 def patients_by_service(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Yesterday's patients of one service with their attending physician."""
-    admitted = t.patients.where((F.col("hssvc") == S.COMMUNITY_SERVICE) & on_day("isadate", as_of, 1))
+    admitted = t.only("patients", "hssvc", [S.COMMUNITY_SERVICE]).where(on_day("isadate", as_of, 1))
     found = Facts(admitted).by("nwattphy", Look(t.phymast, "nwdrnum")).df
     return ordered(contract(found, ["patno", "pname", "isadate", "phname"]), "phname")
 
@@ -63,7 +63,7 @@ def patients_by_service(t: Tables, as_of: date, p: Params) -> DataFrame:
 def observation(t: Tables, as_of: date, p: Params, days: int = 1) -> DataFrame:
     """Observation patients admitted yesterday (1), or in the last `days` days."""
     window = same_day("isadate", as_of, 1) if days == 1 else since("isadate", as_of, days)
-    admitted = t.patients.where((F.col("hssvc") == S.OBSERVATION) & window)
+    admitted = t.only("patients", "hssvc", [S.OBSERVATION]).where(window)
     registered = t.admreg.select("patno", "hstnum", "atype", "asrce", "arrvd")
     found = Facts(admitted).by(["patno", "hstnum"], Look(registered, ["patno", "hstnum"])).df
     names = "patno adate iatme isqadte iqtime nwdocnum hssvc atype asrce age fincl pname arrvd diagn hstnum"
@@ -87,7 +87,7 @@ def missing_admit_orders(t: Tables, as_of: date, p: Params) -> DataFrame:
     Each bed comes once; looking each patient up again would list the beds of a
     patient with two of them twice over.
     """
-    inpatients = t.patients.where(F.col("hssvc").isin(S.INPATIENT_SERVICES)).select("patno", "pname")
+    inpatients = t.only("patients", "hssvc", S.INPATIENT_SERVICES).select("patno", "pname")
     with_order = t.oeorder.where(F.col("oproc").isin(S.ADMIT_ORDERS)).select("opat_no").distinct()
     missing = Facts(taken_beds(t)).by(
         "pat_no", Look(inpatients, "patno", "inner"), Look(with_order, "opat_no", "left_anti")
@@ -117,13 +117,13 @@ _CLINIC = "pname isdob isadate iatme isddate dcdsc diagn phname".split()
 
 
 def clinic_emergency(t: Tables, as_of: date, p: Params) -> DataFrame:
-    patients = t.patients.where((F.col("hssvc") == S.EMERGENCY) & same_day("isadate", as_of, 1))
+    patients = t.only("patients", "hssvc", [S.EMERGENCY]).where(same_day("isadate", as_of, 1))
     return contract(_clinic(t, patients, p), _CLINIC)
 
 
 def clinic_inpatients(t: Tables, as_of: date, p: Params) -> DataFrame:
     """In a bed on one of the units, or discharged in the last three days."""
-    patients = t.patients.where(F.col("hssvc").isin(S.CLINIC_SERVICES))
+    patients = t.only("patients", "hssvc", S.CLINIC_SERVICES)
     in_unit = F.col("nurst").isin(S.CLINIC_UNITS)
     found = _clinic(t, patients, p).where(any_of(in_unit, since("isddate", as_of, 3)))
     return ordered(contract(found, _CLINIC), "phname")

@@ -119,7 +119,7 @@ def resistant_organisms(t: Tables, as_of: date, p: Params) -> DataFrame:
     One service code of the source list has a leading blank and never matched;
     the list here holds the code itself.
     """
-    left = t.patients.where(on_day("isddate", as_of, 1) & F.col("hssvc").isin(S.ORGANISM_SERVICES))
+    left = t.only("patients", "hssvc", S.ORGANISM_SERVICES).where(on_day("isddate", as_of, 1))
     left = left.select("patno", "isddate", "hssvc").withColumn("_p", F.col("patno"))
     found = Facts(sift_to(t.chpdrip, "cipat_no", left, "patno")).by("cipat_no", Look(left, "_p", "inner", short=True)).df
     return contract(found, "patno isddate hssvc ciinfctn ciiddte cirecdte ciresdte ciresby cistscd cicmmt".split())

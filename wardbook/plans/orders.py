@@ -246,7 +246,7 @@ def _in_house(t: Tables, as_of: date, p: Params) -> DataFrame:
     """
     orders = t.oeorder.where(F.col("oproc").isin([S.FLU_ORDER, *S.VIRUS_ORDERS]))
     orders = copies(orders, ["opat_no", "oord_no", "oproc", "osdate", "ostat"], "n_orders")
-    positive = t.rd.where((F.col("rdrs") == S.POSITIVE) | F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX))
+    positive = t.only("rd", "rdrs", [S.POSITIVE], [S.POSITIVE_VIRUS_PREFIX])
     positive = copies(positive, ["rdpt_no", "rdor_no", "rdrs"], "n_results")
     rows = equi_join(positive, orders, ["rdpt_no", "rdor_no"], ["opat_no", "oord_no"], "inner")
     rows = rows.groupBy("rdpt_no", "oproc", "osdate", "ostat", "rdrs").agg(
@@ -300,7 +300,7 @@ def _factors(t: Tables, p: Params) -> DataFrame:
         "flu_season": flu & going_on & (F.col("osdate") >= packed_day(p.flu_season_start)),
         "virus": F.col("oproc").isin(S.VIRUS_ORDERS),
     }
-    results = t.rd.where((F.col("rdrs") == S.POSITIVE) | F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX))
+    results = t.only("rd", "rdrs", [S.POSITIVE], [S.POSITIVE_VIRUS_PREFIX])
     of_result = {"positive": F.col("rdrs") == S.POSITIVE, "positive_virus": F.col("rdrs").startswith(S.POSITIVE_VIRUS_PREFIX)}
 
     def marked(rows: DataFrame, patient: str, order: str, marks: dict[str, Column]) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +25,92 @@ def stamped(path: str, at: datetime) -> str:
     return f"{path}{at:%Y%d%m%H%M%S}"
 
 
+def _write_section(df: DataFrame, target: str, file_format: str, header: bool) -> None:
+    writer = df.write.mode("overwrite")
+    if file_format == "csv":
+        writer.csv(target, header=header)
+    else:
+        writer.parquet(target)
+
+
 def write_report(report: Mapping[str, DataFrame], path: str, file_format: str = "parquet", header: bool = True) -> None:
-    """Each section under `path/section=<name>`. The order of a sorted section is kept in its file names."""
+    """Each section under `path/section=<name>`. The order of a sorted section is kept in its file names.
+
+    All sections are written aside before the first one is put in place, so a section that fails leaves the report as it was. Sections
+    are then moved one after the other; `publish_report` has no such moment.
+    """
+    spark = _session(report)
+    staged = f"{path}/_staging/{uuid.uuid4().hex}"
+    try:
+        for name, df in report.items():
+            _write_section(df, f"{staged}/section={name}", file_format, header)
+        for name in report:
+            target = _path(spark, f"{path}/section={name}")
+            _files(spark, target).delete(target, True)
+            _moved(spark, f"{staged}/section={name}", f"{path}/section={name}")
+    finally:
+        folder = _path(spark, f"{path}/_staging")
+        _files(spark, folder).delete(folder, True)
+
+
+def publish_report(report: Mapping[str, DataFrame], path: str, file_format: str = "parquet", header: bool = True, keep: int = 2) -> str:
+    """A whole set of sections that readers see at once, or not at all; returns the run's name.
+
+    Each run has a folder of its own under `path/runs`. When all sections are written, one small file under `path/manifests` names
+    them; `published_sections` goes by the last manifest, so a reader never finds sections of two runs, and a run that fails is never
+    seen. The last `keep` runs stay, for readers that have begun.
+    """
+    spark = _session(report)
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     for name, df in report.items():
-        writer = df.write.mode("overwrite")
-        target = f"{path}/section={name}"
-        if file_format == "csv":
-            writer.csv(target, header=header)
-        else:
-            writer.parquet(target)
+        _write_section(df, f"{path}/runs/{run}/section={name}", file_format, header)
+    aside, manifest = f"{path}/manifests/_{run}", f"{path}/manifests/{run}"
+    out = _files(spark, _path(spark, path)).create(_path(spark, aside))
+    out.write(bytearray(json.dumps({"run": run, "format": file_format, "header": header, "sections": list(report)}).encode()))
+    out.close()
+    _moved(spark, aside, manifest)
+    for old in _manifests(spark, path)[:-keep]:
+        # The manifest goes first: what has none is not looked for.
+        for gone in (f"{path}/manifests/{old}", f"{path}/runs/{old}"):
+            _files(spark, _path(spark, path)).delete(_path(spark, gone), True)
+    return run
+
+
+def published_sections(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The sections of the last published run; none if there is none."""
+    runs = _manifests(spark, path)
+    if not runs:
+        return {}
+    held = json.loads(spark.read.text(f"{path}/manifests/{runs[-1]}", wholetext=True).first()[0])
+    reader = spark.read.option("header", held["header"])
+    return {name: reader.format(held["format"]).load(f"{path}/runs/{held['run']}/section={name}") for name in held["sections"]}
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    """Names of published runs, the oldest first."""
+    folder = _path(spark, f"{path}/manifests")
+    files = _files(spark, folder)
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def _session(report: Mapping[str, DataFrame]) -> SparkSession:
+    return next((df.sparkSession for df in report.values()), None) or SparkSession.active()
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path):
+    """The file system of a path, whatever store it is in."""
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> None:
+    here, there = _path(spark, source), _path(spark, target)
+    if not _files(spark, here).rename(here, there):
+        raise OSError(f"{source} cannot be moved to {target}")
 
 
 def write_sections(df: DataFrame, path: str, by: str = "section") -> None:
