@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from wardbook.operators.dedup import at_extreme, first_of_scan, one_per_key
-from wardbook.operators.joins import FEW_KEYS_CONF, Facts, Look
+from wardbook.operators.joins import FEW_KEYS_CONF, Facts, Look, meet
 from wardbook.operators.keyfilter import KeyFilter
 from wardbook.plans.registry import run
 from wardbook.sources.standins import AS_OF
@@ -118,3 +118,30 @@ def test_a_hot_key_is_ranked_in_its_tasks(spark):
     found = one_per_key(df, "k", ["t"])
     assert shuffled_rows(found) <= 8
     assert rows(found) == [(1, 0, "0")]
+
+
+@pytest.mark.parametrize("few", ["0", "100"])
+def test_a_history_meets_a_list(spark, few):
+    """Repeated keys on both sides, a hot one, and keys that are missing."""
+    history = spark.createDataFrame([(i % 7 if i % 5 else None, 1, i) for i in range(300)] + [(3, 1, -i) for i in range(200)], "p long, o int, v int")
+    asked = spark.createDataFrame([(2, 1, "a"), (2, 1, "b"), (3, 1, "c"), (9, 1, "d"), (None, 1, "e")], "q long, r int, w string")
+    spark.conf.set(FEW_KEYS_CONF, few)
+    try:
+        found = meet(history, ["p", "o"], asked, ["q", "r"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found) == rows(history.join(asked, (F.col("p") == F.col("q")) & (F.col("o") == F.col("r"))).drop("q", "r"))
+        assert ("BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan) or few == "0"
+    finally:
+        spark.conf.unset(FEW_KEYS_CONF)
+
+
+@pytest.mark.parametrize(("name", "most"), [("lab_tat", 5), ("virus_summary", 6), ("billing_demo", 9), ("admit_split", 2), ("infection_mdro", 2)])
+def test_jobs_before_a_report_runs(spark, tables, name, most):
+    """Counting takes few Spark jobs (one per shuffle stage)."""
+    spark.sparkContext.setJobGroup(f"jobs {name}", name)
+    try:
+        assert run(name, tables, AS_OF).columns
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"jobs {name}")) <= most
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -74,6 +74,12 @@ class _Spread:
     hot: DataFrame | None
     missing_slots: int
 
+    def cut(self, table: DataFrame, key: str | Sequence[str]) -> DataFrame:
+        """The table's rows that these keys may ask for."""
+        if self.few is not None:
+            return _semi(table, key, self.few)
+        return self.filter.cut(table, _names(key)) if self.filter is not None else table
+
     @property
     def needs_slots(self) -> bool:
         return self.hot is not None or self.missing_slots > 1
@@ -98,6 +104,7 @@ class Facts:
         self._columns = set(facts.columns)
         self._row_key = row_key
         self._steps: list[tuple] = []
+        self._spreads: dict[tuple[str, ...], _Spread] | None = None
         conf = facts.sparkSession.conf
         self._rows_per_slot = int(conf.get(ROWS_PER_SLOT_CONF, str(ROWS_PER_SLOT)))
         self._few_keys = int(conf.get(FEW_KEYS_CONF, str(FEW_KEYS)))
@@ -119,9 +126,21 @@ class Facts:
         self._steps.append(("where", condition))
         return self
 
+    @property
+    def spreads(self) -> dict[tuple[str, ...], _Spread]:
+        """What the counts say, once for all uses of these facts."""
+        if self._spreads is None:
+            self._spreads = self._count(list(dict.fromkeys(tuple(step[1]) for step in self._steps if step[0] == "by")))
+        return self._spreads
+
+    def sift(self, on: str | Sequence[str], *tables: tuple[DataFrame, str | Sequence[str]]) -> list[DataFrame]:
+        """`sift_all` of tables that are joined later, by a key that these facts look up by and so have counted."""
+        spread = self.spreads[tuple(_names(on))]
+        return [spread.cut(table, key) for table, key in tables]
+
     @property
     def df(self) -> DataFrame:
-        spreads = self._count(list(dict.fromkeys(tuple(step[1]) for step in self._steps if step[0] == "by")))
+        spreads = self.spreads
         result = self._facts
         own_id = _ID not in self._columns and any(s.needs_slots for s in spreads.values())
         if own_id:
@@ -187,11 +206,7 @@ def _look_up(left: DataFrame, spread: _Spread, looks: Sequence[Look]) -> DataFra
         left = _with_slot(left, spread)
     for number, look in enumerate(looks):
         keys = [f"_key{number}_{i}" for i in range(len(on))]
-        table = look.table
-        if not look.short and spread.few is not None:
-            table = _semi(table, look.key, spread.few)
-        elif not look.short and spread.filter is not None:
-            table = spread.filter.cut(table, _names(look.key))
+        table = look.table if look.short else spread.cut(look.table, look.key)
         table = look.pick(table) if look.pick else table
         table = table.withColumnsRenamed(dict(zip(_names(look.key), keys, strict=True)))
         condition = [F.col(c) == F.col(k) for c, k in zip(on, keys, strict=True)]
@@ -286,6 +301,20 @@ def sift_all(
     return [cut.cut(table, _names(key), also) for table, key in tables]
 
 
+def meet(history: DataFrame, key: str | Sequence[str], asked: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Inner join of a many-rows history with a list that is usually short, which is counted once.
+
+    Up to `FEW_KEYS` rows the list is broadcast as it is: the history is neither shuffled nor counted, so it does not matter who has how
+    many rows in it. Beyond, the history is cut by the list's keys and joined as `Facts`. The key columns of the list are dropped.
+    """
+    key, on = _names(key), _names(on)
+    names = [f"_asked_{i}" for i in range(len(on))]
+    asked = asked.dropna(subset=on).withColumnsRenamed(dict(zip(on, names, strict=True)))
+    if asked.count() > _few_keys(history):
+        return Facts(sift_to(history, key, asked, names)).by(key, Look(asked, names, "inner", short=True)).df
+    return history.join(F.broadcast(asked), [F.col(k) == F.col(n) for k, n in zip(key, names, strict=True)], "inner").drop(*names)
+
+
 def _marked(table: DataFrame, key: str | Sequence[str], few: DataFrame, also: Column) -> DataFrame:
     """Rows whose key is one of the few, and those that `also` holds for."""
     names = [f"_few_{i}" for i in range(len(few.columns))]
@@ -348,9 +377,10 @@ def with_details(heads: DataFrame, details: DataFrame, on, key) -> DataFrame:
     """
     on, key = _names(on), _names(key)
     names = {k: f"_d{i}" for i, k in enumerate(key)}
-    facts = sift_to(details, key, heads, on).withColumnsRenamed(names)
+    facts = details.withColumnsRenamed(names)
     asked = {f"_h{i}": F.col(c) for i, c in enumerate(on)}
-    found = Facts(facts).by(list(names.values()), Look(heads.withColumns(asked), list(asked), "inner", short=True)).df
+    found = meet(facts, list(names.values()), heads.withColumns(asked), list(asked))
+    facts = equi_join(facts, heads.select(*on), list(names.values()), on, "left_semi")
     bare = equi_join(heads, facts.select(*names.values()).distinct(), on, list(names.values()), "left_anti")
     columns = heads.columns + [c for c in details.columns if c not in key]
     return found.select(*columns).unionByName(bare, allowMissingColumns=True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardbook.functions.clock import between_days, on_day
-from wardbook.operators.joins import Facts, Look, equi_join, role, sift_all
+from wardbook.operators.joins import Facts, Look, equi_join, role
 from wardbook.operators.keep import keep_table
 from wardbook.operators.shape import contract
 from wardbook.plans import settings as S
@@ -28,17 +28,17 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
     visit = t.patients.where(on_day("isadate", as_of, 5))
     emergency = t.admreg.where(F.col("admhsv") == S.EMERGENCY).select("patno")
     history = t.pathist.select("histn", *_HISTORY, *[F.col(f"ains{i}").alias(f"hist_ins{i}") for i in (1, 2, 3)])
-    base = (
+    facts = (
         Facts(visit)
         .by("hstnum", Look(history, "histn", "inner"))
         .by("nwattphy", Look(t.phymast, "nwdrnum", "inner"))
         .by("patno", Look(emergency, "patno", "inner"))
         .where(F.col("ains1") == F.col("hist_ins1"))
-        .df
     )
+    base = facts.df
     both = F.when(F.col("ains2") == F.col("hist_ins2"), F.col("ains2"))
     base = base.withColumns({"ins1": F.col("ains1"), "ins2": both, "ins3": F.col("hist_ins3")})
-    policies = _policies(t, visit)
+    policies = _policies(*facts.sift("patno", (t.benefits, "patno"), (t.benext, "patno")))
     for i, how in ((1, "inner"), (2, "left"), (3, "left")):
         base = equi_join(base, role(policies, f"_{i}"), ["patno", "hstnum", f"ins{i}"], [f"patno_{i}", f"histn_{i}", f"insco_{i}"], how)
     names = ["patno", "hstnum", "isadate", "isddate", "pname", "isdob", "sex", *_HISTORY, "nwattphy", "phname", "nwrefdoc"]
@@ -49,9 +49,8 @@ def demographics(t: Tables, as_of: date, p: Params) -> DataFrame:
     return contract(base, names)
 
 
-def _policies(t: Tables, visit: DataFrame) -> DataFrame:
+def _policies(benefits: DataFrame, extensions: DataFrame) -> DataFrame:
     """The policies of the visits' patients with their extensions: read once, written, and then joined in each of three roles."""
-    benefits, extensions = sift_all([(t.benefits, "patno"), (t.benext, "patno")], visit, "patno")
     found = equi_join(benefits, extensions.select("patno", "seqno", *_EXTENSION), ["patno", "seqno"], ["patno", "seqno"])
     return keep_table(found.select("patno", "histn", "insco", "policy", "iname", "reln", *_EXTENSION))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.clock import on_day, same_day, since
 from wardbook.functions.predicates import any_of, occupied
-from wardbook.operators.joins import Facts, Look, equi_join, sift_to
+from wardbook.operators.joins import Facts, Look, equi_join, meet
 from wardbook.operators.shape import contract, ordered, spaced
 from wardbook.plans import settings as S
 from wardbook.plans.settings import Params
@@ -31,8 +31,8 @@ def house_census(t: Tables, as_of: date, p: Params) -> DataFrame:
 def admissions(t: Tables, as_of: date, p: Params) -> DataFrame:
     """Yesterday's admissions that are on a station, marked inpatient or OBS."""
     admitted = t.patients.where(on_day("isadate", as_of, 1)).select("hssvc", "patno", "pname", "isadate")
-    placed = sift_to(taken_beds(t).where(F.col("nurst") != "NULL"), "pat_no", admitted, "patno")
-    found = Facts(placed).by("pat_no", Look(admitted.withColumn("_p", F.col("patno")), "_p", "inner", short=True)).df
+    placed = taken_beds(t).where(F.col("nurst") != "NULL")
+    found = meet(placed, "pat_no", admitted.withColumn("_p", F.col("patno")), "_p")
     section = F.when(F.col("hssvc") == S.OBSERVATION, "OBS").when(F.col("hssvc") != S.OBSERVATION, "inpatient")
     found = found.withColumn("section", section).where(F.col("section").isNotNull())
     return ordered(
@@ -75,8 +75,7 @@ def expired(t: Tables, as_of: date, p: Params) -> DataFrame:
     out = t.patients.where(on_day("isddate", as_of, 1))
     dead = equi_join(out, t.dsstat.where(F.col("dcexp") == "Y").drop("dcdsc"), "dcstat", "dcubs", "inner")
     rooms = t.patrmbdp.where(F.col("recid") == "Y").select("patn15", "room", "bed")
-    rooms = sift_to(rooms, "patn15", dead, "patno")
-    found = Facts(rooms).by("patn15", Look(dead.withColumn("_p", F.col("patno")), "_p", "inner", short=True)).df
+    found = meet(rooms, "patn15", dead.withColumn("_p", F.col("patno")), "_p")
     names = "hssvc patno pname age sex isadate iatme diagn isddate dtime dcsds dcexp room bed"
     return ordered(contract(found, names.split()), "pname")
 

@@ -12,7 +12,7 @@ from wardbook.functions.codes import map_codes, normalise
 from wardbook.functions.predicates import occupied, present
 from wardbook.functions.text import nth_part, top_code, zero_to_null
 from wardbook.operators.dedup import one_per_key, single
-from wardbook.operators.joins import Facts, Look, equi_join, join_chain, merge, role, sift_all, sift_to
+from wardbook.operators.joins import Facts, Look, equi_join, join_chain, meet, merge, role, sift_all, sift_to
 from wardbook.operators.shape import contract, nothing
 from wardbook.plans import settings as S
 from wardbook.plans.census import taken_beds
@@ -137,8 +137,7 @@ def emergency_extract(t: Tables, as_of: date, p: Params) -> DataFrame:
     results = t.rd.where(F.col("rdts").contains(S.VIRUS_TEST_PREFIX)).select(
         "rdpt_no", normalise("rdrs", {"NOT DETECTED": "Negative"}).alias("PatientCOVIDStatus")
     )
-    results = sift_to(results, "rdpt_no", present_now, "patno")
-    found = Facts(results).by("rdpt_no", Look(present_now, "patno", "inner", short=True)).df
+    found = meet(results, "rdpt_no", present_now, "patno")
     return contract(
         found,
         [

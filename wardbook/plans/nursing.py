@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardbook.functions.clock import between_days, on_day, since, time_after
 from wardbook.functions.predicates import any_of, dated, not_discharged, present
 from wardbook.functions.text import dash
-from wardbook.operators.joins import Facts, Look, sift_to
+from wardbook.operators.joins import Facts, Look, meet, sift_to
 from wardbook.operators.keep import keep_table
 from wardbook.operators.shape import contract, ordered
 from wardbook.plans import settings as S
@@ -121,7 +121,7 @@ def resistant_organisms(t: Tables, as_of: date, p: Params) -> DataFrame:
     """
     left = t.only("patients", "hssvc", S.ORGANISM_SERVICES).where(on_day("isddate", as_of, 1))
     left = left.select("patno", "isddate", "hssvc").withColumn("_p", F.col("patno"))
-    found = Facts(sift_to(t.chpdrip, "cipat_no", left, "patno")).by("cipat_no", Look(left, "_p", "inner", short=True)).df
+    found = meet(t.chpdrip, "cipat_no", left, "_p")
     return contract(found, "patno isddate hssvc ciinfctn ciiddte cirecdte ciresdte ciresby cistscd cicmmt".split())
 
 

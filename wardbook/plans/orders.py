@@ -12,7 +12,7 @@ from wardbook.functions.predicates import present
 from wardbook.functions.text import dash
 from wardbook.operators.counts import add_metrics, count_where, metric_rows, non_null_counts, value_counts
 from wardbook.operators.dedup import copies, expand_copies
-from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, not_in_roster, sift_to
+from wardbook.operators.joins import Facts, Look, equi_join, in_roster, join_chain, meet, not_in_roster, sift_to
 from wardbook.operators.keep import keep
 from wardbook.operators.shape import contract, ordered, sections
 from wardbook.plans import settings as S
@@ -128,14 +128,9 @@ def lab_turnaround(t: Tables, as_of: date, p: Params) -> DataFrame:
     orders = t.oeorder.where(
         (F.col("osdate") == packed_day(as_of)) & (F.col("ostime") <= 400) & (F.col("otodpt") != S.RADIOLOGY)
     ).select("opty", "oproc", "opat_no", "oord_no", "osdate", "ostime")
-    steps = sift_to(t.rh, ["rhpt_no", "rhor_no"], orders, ["opat_no", "oord_no"])
+    orders = equi_join(orders, taken_beds(t).select("pat_no", "nurst"), "opat_no", "pat_no")
     orders = orders.withColumns({"_pat": F.col("opat_no"), "_ord": F.col("oord_no")})
-    found = (
-        Facts(steps)
-        .by(["rhpt_no", "rhor_no"], Look(orders, ["_pat", "_ord"], "inner", short=True))
-        .by("rhpt_no", Look(taken_beds(t).select("pat_no", "nurst"), "pat_no"))
-        .df
-    )
+    found = meet(t.rh, ["rhpt_no", "rhor_no"], orders, ["_pat", "_ord"])
     names = [
         *"opty oproc nurst oord_no opat_no osdate".split(),
         ("stime", hhmm_to_time("ostime")),
