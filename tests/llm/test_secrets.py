@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import time
 import uuid
 
 import brute
@@ -151,3 +152,21 @@ def test_odd_rows(spark):
 def test_running_sums(spark, n):
     df = spark.createDataFrame([(list(range(n)),)], "a array<int>")
     assert df.select(secrets._running(F.col("a"))).first()[0] == [sum(range(i + 1)) for i in range(n)]
+
+
+def test_many_spans_in_a_long_text(spark, tmp_path):
+    """Work grows with the spans, not with their square: 20,000 of them in one text, some overlapping, over many pieces."""
+    text = "".join(f"é{i} token={i:08d}abcdef😀 AKIA{i:016d}{'0123456789abcdef' * 2 if i % 3 else ''} secret: zz{i:06d} x\n" for i in range(7_000))
+    spark.createDataFrame([(1, text), (2, "token=abcdefgh"), (3, "x")], "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    start = time.monotonic()
+    spans = secrets.scan(docs, [0.0] * (67 * 67)).where("doc_id = 1").first().spans
+    assert [(s.start, s.place, s.end, s.kind) for s in spans] == brute.base_spans(text) and len(spans) > 20_000
+    upto, parts = 0, []
+    for first, _, end, _ in brute.base_spans(text):
+        if first >= upto:
+            parts += [text[upto:first], secrets.PLACEHOLDER]
+        upto = max(upto, end)
+    found = secrets.mask(docs).where("doc_id = 1").first().text
+    assert found == "".join(parts) + text[upto:]
+    assert time.monotonic() - start < 60

@@ -13,7 +13,9 @@ with equal chances for every character, so alphabets beyond those seen count as
 `sample_docs` documents (those with the lowest hashes of their ids); all documents are scanned. The models are a table of a
 fixed size (67 x 67 numbers).
 
-Defined results. Null text: as an empty one, no spans, and null text stays null when masked. Overlapping spans: base kinds may
+Work on a text grows with its length and, but for sorting, with its number of spans: lists are run along in blocks, and masked in pieces.
+
+Defined results. Null text: as an empty one, no spans, and null text stays null when masked. Very long texts: whole. Overlapping spans: base kinds may
 overlap each other and all are listed; a markov span that touches a base span is left out. Ties in start: in the order of KINDS.
 Nothing to learn from: equal chances on both sides, no markov spans. Repeated rows: each comes back. An empty table gives no rows.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,23 +62,52 @@ SAMPLE_DOCS = 20_000
 _WIDTH = len(ALPHABET)
 _SEPARATORS = ALPHABET.index("+")
 _BLOCK = 64
+#: Code points of a piece that a text is masked in, and a position after all others.
+_CHUNK = 4_096
+_FAR = 2**31 - 1
 PLACEHOLDER = "[SECRET]"
 
 
-def _running(values: Column) -> Column:
-    """Sums up to and with each element, in blocks: no list is copied once per element."""
+def _running(values: Column, join: Callable[[Column, Column], Column] = lambda a, b: a + b, start: int = 0) -> Column:
+    """Sums (or what else `join` makes) up to and with each element, in blocks: no list is copied once per element."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(_BLOCK))
     blocks = F.transform(starts, lambda s: F.slice(values, s, _BLOCK))
 
     def grown(done: Column, more: Column) -> Column:
-        return F.concat(done, F.array(F.element_at(done, -1) + more))
+        return F.concat(done, F.array(join(F.element_at(done, -1), more)))
 
     def sums(block: Column, base: Column) -> Column:
         return F.slice(F.aggregate(block, F.array(base), grown), 2, F.size(block))
 
-    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x))
-    bases = F.aggregate(totals, F.array(F.lit(0)), grown)
-    return F.flatten(F.transform(blocks, lambda b, i: sums(b, F.get(bases, i))))
+    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(start), join))
+    bases = F.aggregate(totals, F.array(F.lit(start)), grown)
+    # Side by side: what a lambda names from outside is worked out again for each element.
+    return F.flatten(F.zip_with(blocks, F.slice(bases, F.lit(1), F.size(blocks)), sums))
+
+
+def _once(values: Column) -> Column:
+    """Values of a column that is worked out where it is defined. A lambda that looks into a plain column may get its definition
+    instead, by Spark's merging of projections, and work it out for each element; this one counts as not deterministic, and stays."""
+    return F.when(F.monotonically_increasing_id() >= 0, values)
+
+
+def _with_running(df: DataFrame, name: str, values: Column, join: Callable[[Column, Column], Column] = lambda a, b: a + b, start: int = 0) -> DataFrame:
+    """`df` with running values; what they are made from is a column of its own first, so that it is worked out once and not per block."""
+    source = fresh(df, "running")
+    return df.withColumn(source, _once(values)).withColumn(name, _running(F.col(source), join, start)).drop(source)
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def _before(running: Column, start: int = 0) -> Column:
+    """What stands before each element: the running values one place later."""
+    return F.concat(F.array(F.lit(start)), F.slice(running, 1, F.greatest(F.size(running) - 1, F.lit(0))))
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -106,7 +138,8 @@ def _with_matches(df: DataFrame, text: str, kinds: dict[str, tuple[str, int, int
     names = {k: (fresh(df, f"p_{k}"), fresh(df, f"e_{k}")) for k in kinds}
     # Pieces and ends are columns of their own, so that each is worked out once.
     df = df.withColumns({names[k][0]: _pieces(F.col(text), v[0]) for k, v in kinds.items()})
-    df = df.withColumns({names[k][1]: _running(F.transform(names[k][0], F.length)) for k in kinds})
+    for pieces, ends in names.values():
+        df = _with_running(df, ends, F.transform(pieces, F.length))
     spans = [_spans(F.col(names[k][0]), F.col(names[k][1]), k, first + i, *v) for i, (k, v) in enumerate(kinds.items())]
     return df.withColumn(column, F.concat(*spans)).drop(*[n for pair in names.values() for n in pair])
 
@@ -165,9 +198,24 @@ def scan(docs: DataFrame, ratios: list[float], text: str = "text", column: str =
     df = _with_matches(df, plain, {MARKOV: (TOKEN, 1, 16)}, len(KINDS), more)
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")  # folded to one literal
     likely = F.filter(more, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    apart = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    df = df.withColumn(scored, F.filter(likely, lambda s: (_ratio(s["value"], table) > threshold) & apart(s)))
-    return df.withColumn(column, F.array_sort(F.concat(base, scored))).drop(plain, base, more, scored)
+    df = df.withColumn(scored, F.filter(likely, lambda s: _ratio(s["value"], table) > threshold))
+    # Tokens beside base spans, all in order: the furthest end of a base span before, and the next start of one after.
+    both, ends, starts = (fresh(docs, n) for n in ("both", "ends", "starts"))
+    df = df.withColumn(both, F.array_sort(F.concat(base, scored)))
+    is_base = lambda s: s["kind"] != MARKOV
+    df = _with_running(df, ends, F.transform(both, lambda s: F.when(is_base(s), s["end"]).otherwise(0)), _larger)
+    later = F.reverse(F.transform(both, lambda s: F.when(is_base(s), s["start"]).otherwise(_FAR)))
+    df = _with_running(df, starts, later, _smaller, _FAR)
+    judged = F.zip_with(F.zip_with(both, _before(F.col(ends)), lambda s, e: F.struct(s.alias("s"), e.alias("e"))), F.reverse(starts), _apart)
+    kept = F.transform(F.filter(judged, lambda j: j["apart"]), lambda j: j["s"])
+    return df.withColumn(column, kept).drop(plain, base, more, scored, both, ends, starts)
+
+
+def _apart(found: Column, next_start: Column) -> Column:
+    """A span, and whether it is a base span or touches none."""
+    s = found["s"]
+    apart = (s["kind"] != MARKOV) | (found["e"] <= s["start"]) & (next_start >= s["end"])
+    return F.struct(s.alias("s"), apart.alias("apart"))
 
 
 def listed(spans: Column) -> Column:
@@ -181,26 +229,65 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_
     return scan(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ratios).select("doc_id", "spans")
 
 
+def _opened(span: Column, upto: Column) -> Column:
+    opens = (upto == 0) | (span["start"] >= upto)
+    return F.struct(span["start"].alias("start"), upto.alias("before"), opens.alias("opens"))
+
+
+def _with_chunks(df: DataFrame, name: str, text: str, runs: str) -> DataFrame:
+    """`df` with the text in chunks, each with its place and the numbers of the runs that reach into it; NULL without runs.
+
+    A position is found by walking along a string, so a long text is only ever walked chunk by chunk.
+    """
+    pieces, first, last = (fresh(df, n) for n in ("pieces", "first", "last"))
+    cut = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+    df = df.withColumn(pieces, F.when(F.col(runs).isNotNull(), cut))
+    places = F.transform(F.sequence(F.lit(0), F.size(pieces)), lambda c: c * _CHUNK)
+    for column, side, kind in ((first, "end", 0), (last, "start", 2)):
+        # How many ends (starts) are before each place: those and the places in order, counted along. 1 marks a place.
+        both, counts = fresh(df, "both"), fresh(df, "counts")
+        of_runs = F.transform(runs, lambda r: F.struct(r[side].alias("at"), F.lit(kind).alias("kind")))  # noqa: B023
+        of_places = F.transform(places, lambda v: F.struct(v.alias("at"), F.lit(1).alias("kind")))
+        df = df.withColumn(both, F.array_sort(F.concat(of_runs, of_places)))
+        df = _with_running(df, counts, F.transform(both, lambda b: (b["kind"] != 1).cast("int")))
+        counted = F.zip_with(both, counts, lambda b, n: F.struct(b["kind"].alias("kind"), n.alias("n")))
+        df = df.withColumn(column, F.transform(F.filter(counted, lambda c: c["kind"] == 1), lambda c: c["n"])).drop(both, counts)
+    # Places are one more than pieces: a piece ends where the next place is.
+    reach = F.zip_with(F.slice(first, 1, F.size(pieces)), F.slice(last, 2, F.size(pieces)), lambda f, n: F.struct(f.alias("first"), n.alias("last")))
+    zipped = F.zip_with(pieces, reach, lambda piece, r: F.struct(piece.alias("piece"), r["first"].alias("first"), r["last"].alias("last")))
+    chunks = F.transform(zipped, lambda z, c: F.struct((c * _CHUNK).alias("place"), z["piece"].alias("piece"), z["first"].alias("first"), z["last"].alias("last")))
+    return df.withColumn(name, F.when(F.col(runs).isNotNull(), chunks)).drop(pieces, first, last)
+
+
+def _masked(chunk: Column, placeholder: str) -> Column:
+    """A chunk without what its runs cover; a placeholder stands where a run begins."""
+    place, piece, inside = chunk["place"], chunk["piece"], chunk["runs"]
+
+    def part(run: Column) -> Column:
+        begin = F.greatest(run["before"] - place, F.lit(0))
+        kept = F.substring(piece, begin + 1, F.greatest(run["start"] - place, F.lit(0)) - begin)
+        return F.concat(kept, F.when(run["start"] >= place, F.lit(placeholder)).otherwise(""))
+
+    last = F.coalesce(F.get(F.transform(F.slice(inside, -1, 1), lambda r: r["end"]), F.lit(0)), place)
+    rest = F.substring(piece, F.greatest(last - place, F.lit(0)) + 1, F.lit(_CHUNK))
+    return F.concat(F.array_join(F.transform(inside, part), ""), rest)
+
+
 def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, placeholder: str = PLACEHOLDER) -> DataFrame:
     """`docs` with a placeholder for every run of spans; a column n_chars follows its text where that changed."""
-    spans, new = fresh(docs, "spans"), fresh(docs, "masked")
+    spans, ends, runs, chunks, new = (fresh(docs, n) for n in ("spans", "ends", "runs", "chunks", "masked"))
     found = scan(docs, train(docs, doc_id, text, sample_docs), text, spans)
-
-    def joined(done: Column, s: Column) -> Column:
-        """Texts and the end of what is done: spans that overlap are one."""
-        start = F.greatest(s["start"], done["upto"])
-        before = F.substring(F.col(text), done["upto"] + 1, start - done["upto"])
-        touches = (s["start"] < done["upto"]) & (done["upto"] > 0)
-        return F.struct(
-            F.when(touches, done["parts"]).otherwise(F.concat(done["parts"], F.array(before, F.lit(placeholder)))).alias("parts"),
-            F.greatest(s["end"], done["upto"]).alias("upto"),
-        )
-
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("upto"))
-    masked = F.aggregate(
-        spans, start, joined, lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(F.col(text), done["upto"] + 1, F.length(text)))
-    )
-    found = found.withColumn(new, F.when(F.size(spans) > 0, masked))
+    # Spans that overlap are one run; a run knows where the one before it ends.
+    opened = fresh(docs, "opened")
+    found = _with_running(found, ends, F.transform(spans, lambda s: s["end"]), _larger)
+    found = found.withColumn(opened, F.filter(F.zip_with(spans, _before(F.col(ends)), _opened), lambda o: o["opens"]))
+    run_ends = F.concat(F.slice(F.transform(opened, lambda o: o["before"]), 2, F.greatest(F.size(opened) - 1, F.lit(0))), F.slice(ends, -1, 1))
+    merged = F.zip_with(opened, run_ends, lambda o, e: F.struct(o["start"].alias("start"), e.alias("end"), o["before"].alias("before")))
+    found = found.withColumn(runs, _once(F.when(F.size(spans) > 0, merged)))
+    found = _with_chunks(found, chunks, text, runs)
+    # The runs of a chunk are cut out first, so that no lambda looks into the whole list.
+    held = F.transform(chunks, lambda c: F.struct(c["place"].alias("place"), c["piece"].alias("piece"), F.slice(F.col(runs), c["first"] + 1, F.greatest(c["last"] - c["first"], F.lit(0))).alias("runs")))
+    found = found.withColumn(new, F.array_join(F.transform(held, lambda c: _masked(c, placeholder)), "")).drop(opened)
     return found.select(
         *[
             F.coalesce(new, text).alias(c)
