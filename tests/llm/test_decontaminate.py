@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import brute
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from wardbook.llm import decontaminate, queries
-from wardbook.llm.decontaminate import Automaton, contamination, words
+from wardbook.llm.decontaminate import Automaton, clean, contamination, words
 
 
 def test_query_equals_brute_force(spark):
@@ -72,3 +73,38 @@ def test_no_rows(spark):
     docs = odd_docs(spark)
     assert {r.n_hit for r in contamination(docs, items.limit(0)).collect()} == {0}
     assert decontaminate.clean(docs, items.limit(0)).count() == len(ODD)
+
+
+def test_an_automaton_is_built_once_per_task_and_block(monkeypatch):
+    built = []
+
+    class Counted(decontaminate.Automaton):
+        def __init__(self, *args):
+            built.append(1)
+            super().__init__(*args)
+
+    class Shared:
+        value = [(1, "one two three four five six seven eight nine ten eleven")]
+
+    monkeypatch.setattr(decontaminate, "Automaton", Counted)
+    block = decontaminate._Block(Shared, 10)
+    for _ in range(20):
+        found = block.find([decontaminate.words(b"x one two three four five six seven eight nine ten"), []])
+        assert found == [([(1, 11)], {1}), ([], set())]
+    assert built == [1]
+
+
+def test_twenty_blocks_are_one_benchmark(spark):
+    """Hits, items, cut texts and covered documents are the same with one block and with many; copies and nulls included."""
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 40))) for _ in range(60)]
+    items = [(i, " ".join(rng.choice(texts).split()[3:16]) or None) for i in range(30)] + [(None, texts[7]), (3, "w1 W2"), (40, "")]
+    texts += [texts[5]] * 4 + [None, "", "w1, w2", *(t for _, t in items[:3])]
+    docs = spark.createDataFrame([(i % 50, t, "en", "a", len(t or "")) for i, t in enumerate(texts)], DOCS).selectExpr("*", "'x' AS spans", "'y' AS h1", "'z' AS cleaned")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    words = sum(len((t or "").split()) for _, t in items)
+    many = max(1, words // 20)
+    assert decontaminate._counted_items(benchmark, "item_id", "text", many)[1] >= 20
+    assert ordered(contamination(docs, benchmark, block_words=many).collect()) == ordered(contamination(docs, benchmark).collect())
+    assert ordered(clean(docs, benchmark, block_words=many).collect()) == ordered(clean(docs, benchmark).collect())

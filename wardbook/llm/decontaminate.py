@@ -6,13 +6,17 @@ ten are a window of an item, and the state tells which items; shorter items are
 state's suffix links. Words inside a found window are hit. Words that stand in no item reset the automaton, so only runs of
 item words that are long enough for a window are walked at all.
 
-A block holds at most `block_words` words, so a task's automaton is of bounded size whatever the benchmark; documents run
-past the blocks one after the other within their task.
+Blocks. The items are counted first. Up to `block_words` words (an item by itself may be longer) they are one block, which is sent to the tasks, and the
+documents need one narrow pass. More items are dealt by hash to as many blocks as their words ask for and written to the shared folder; each block
+in turn is sent to the tasks, which build its automaton once and let their documents stream past it. So neither the driver nor a task ever
+holds more than one block, and a pass is made per block. Passes write the hits of texts by their hashes, of each different text once; only texts
+that have any are joined with them, texts of others do not move.
 
 Limits. A document loses its hit words' spans (texts keep everything else); beyond `max_coverage` hit words of a hundred
 the document itself goes.
 
-Defined results. Null or wordless documents: 0 words, nothing hit, kept. Null or wordless items are no window. Items with the
+Defined results. Null or wordless documents: 0 words, nothing hit, kept. Very long texts: whole. Ties: a word inside several windows is hit once.
+Repeated rows: each is judged by its text. Other columns play no part. Null or wordless items are no window. Items with the
 same words are all reported; an item_id that occurs twice is reported once; items without an id hit, but are not listed.
 Empty tables: no rows, or nothing hit.
 """
@@ -20,13 +24,17 @@ Empty tables: no rows, or nothing hit.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardbook.llm.common import fresh, map_texts
+from wardbook.llm.bloom import Bloom
+from wardbook.llm.common import emit, fresh, map_texts, spark_schema
+from wardbook.operators.keep import keep_table
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 200_000
@@ -160,74 +168,104 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> list[list[tuple[int | None, bytes]]]:
-    """The items in blocks of at most `block_words` words (an item that is longer is a block of its own).
+def _counted_items(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> tuple[DataFrame, int]:
+    """(item_id, text, block) and the number of blocks; blocks of about `block_words` words or 16 times as many bytes."""
+    items = benchmark.filter(F.col(text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
+    n_words = F.size(F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0)))
+    weight = items.agg(F.sum(F.greatest(n_words.cast("long"), (F.octet_length("text") / 16).cast("long")))).first()[0] or 0
+    blocks = max(1, -(-weight // block_words))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    return (keep_table(items) if blocks > 1 else items), blocks
 
-    The query set comes to the driver as a stream of its partitions, which bounds what is held beside the blocks.
-    """
-    blocks: list[list[tuple[int | None, bytes]]] = [[]]
-    held = 0
-    for row in benchmark.filter(F.col(text).isNotNull()).select(F.col(item_id), F.col(text)).toLocalIterator():
-        raw = row[1].encode("utf-8", "surrogatepass")
-        n = len(words(raw))
-        if held + n > block_words and blocks[-1]:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((row[0], raw))
-        held += n
-    return blocks
-
-
-class _Blocks:
-    """The automata of all blocks, of which a task holds one at a time."""
-
-    def __init__(self, shared: list, size: int):
-        self.shared, self.size = shared, size
-        self.held: tuple[int, Automaton] | None = None
 
-    def get(self, k: int) -> Automaton:
-        if self.held is None or self.held[0] != k:
-            self.held = None
-            self.held = (k, Automaton(((item, words(raw)) for item, raw in self.shared[k].value), self.size))
-        return self.held[1]
+class _Block:
+    """One block of items in a task; its automaton is built when the first texts come, once."""
+
+    def __init__(self, shared, size: int):
+        self.shared, self.size = shared, size
+        self.automaton: Automaton | None = None
 
     def find(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set]]:
-        out: list[tuple[list[tuple[int, int]], set]] = [([], set()) for _ in texts]
-        for k in range(len(self.shared)):
-            automaton = self.get(k)
-            for (spans, items), text in zip(out, texts, strict=True):
-                more, which = automaton.find(text)
-                spans += more
-                items |= which
-        return [(merge(spans), items) for spans, items in out]
+        if self.automaton is None:
+            self.automaton = Automaton(((item, words(raw.encode("utf-8", "surrogatepass"))) for item, raw in self.shared.value), self.size)
+        return [self.automaton.find(text) for text in texts]
+
+
+def _sent(items: DataFrame, block: int):
+    """The items of one block, of counted size, for the tasks."""
+    held = [tuple(r) for r in items.filter(F.col("block") == block).select("item_id", "text").collect()]
+    return items.sparkSession.sparkContext.broadcast(held)
+
+
+_HITS = {"h1": pa.int64(), "h2": pa.int64(), "spans": pa.list_(pa.int64()), "items": pa.list_(pa.int64())}
+
+
+def _hits(docs: DataFrame, items: DataFrame, blocks: int, text: str, size: int) -> DataFrame:
+    """(h1, h2, spans, items) of each different text that has any, from a pass per block; spans as first, end, first, end, ..."""
+    texts = _hashed(docs, text).select("h1", "h2", F.col(text).cast("binary").alias("text")).filter("text IS NOT NULL")
+
+    def passed(shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            block = _Block(shared, size)
+            for batch in batches:
+                found = block.find([words(t.as_py()) for t in batch.column(2)])
+                for h1, h2, (spans, which) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), found, strict=True):
+                    if spans:
+                        yield h1, h2, [x for span in spans for x in span], [i for i in which if i is not None]
+
+        hits = texts.mapInArrow(lambda batches: emit(_HITS, run(batches), 256), spark_schema(_HITS))
+        return keep_table(hits.dropDuplicates(["h1", "h2"]))
+
+    found = reduce(DataFrame.union, [passed(_sent(items, block)) for block in range(blocks)])
+    # A row per block and different text: as many as there are blocks at most.
+    return found.groupBy("h1", "h2").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
-def _broadcast(docs: DataFrame, benchmark: DataFrame, block_words: int) -> list:
-    context = docs.sparkSession.sparkContext
-    return [context.broadcast(block) for block in item_blocks(benchmark, block_words=block_words)]
+def _hashed(docs: DataFrame, text: str) -> DataFrame:
+    """128 bits of hash stand for a text."""
+    return docs.withColumns({"h1": F.xxhash64(F.col(text)), "h2": F.xxhash64(F.col(text), F.lit(1))})
+
+
+def _pairs(flat: list[int] | None) -> list[tuple[int, int]]:
+    return merge(list(zip((flat or [])[::2], (flat or [])[1::2], strict=True)))
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WINDOW_WORDS, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, items) for each row of `docs`; items are the ids of items with occurring windows."""
-    shared = _broadcast(docs, benchmark, block_words)
+    items, blocks = _counted_items(benchmark, "item_id", "text", block_words)
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if blocks > 1:
+        hits = keep_table(_hits(docs, items, blocks, "text", size)).withColumnsRenamed({"h1": "t1", "h2": "t2"})
+        counted = map_texts(_hashed(docs, "text"), lambda: lambda texts: [[len(words(t)) for t in texts]], {"n_words": pa.int64()}, drop_text=True)
+        found = counted.join(hits, (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2")), "left")
+        merged = {"doc_id": pa.int64(), **FOUND}
+
+        def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+            for batch in batches:
+                for doc, n, spans, which in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    yield doc, n, sum(end - first for first, end in _pairs(spans)), sorted(which or [], key=str)
+
+        found = found.select(F.col("doc_id").cast("long"), "n_words", "spans", "items")
+        return found.mapInArrow(lambda batches: emit(merged, finish(batches), 1024), spark_schema(merged))
+    shared = _sent(items, 0)
 
     def work():
-        blocks = _Blocks(shared, size)
+        block = _Block(shared, size)
 
         def values(texts):
             found = [words(t) for t in texts]
-            hits = blocks.find(found)
+            hits = block.find(found)
             return (
                 [len(w) for w in found],
                 [sum(end - first for first, end in spans) for spans, _ in hits],
-                [sorted((i for i in items if i is not None), key=str) for _, items in hits],
+                [sorted((i for i in which if i is not None), key=str) for _, which in hits],
             )
 
         return values
 
-    return map_texts(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), work, FOUND, drop_text=True, rows=2048 if len(shared) > 1 else 256)
+    return map_texts(docs, work, FOUND, drop_text=True)
 
 
 def items_digest(items: list[int]) -> str:
@@ -250,6 +288,22 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[last:]])
 
 
+def _cut_out(rows: DataFrame, text: str, new: str, share: str, judged) -> DataFrame:
+    """`rows` with the cut text in place of its spans (JSON in `new`), and the share that was covered."""
+    names = rows.columns
+    at, spans_at = names.index(text), names.index(new)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + f", `{share}` double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            cleaned, covered = judged(texts, [_pairs(json.loads(v)) if v else [] for v in batch.column(spans_at).to_pylist()])
+            columns = [pa.array(cleaned, pa.string()) if i == spans_at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(covered, pa.float64())], names=[*names, share])
+
+    return rows.mapInArrow(run, schema)
+
+
 def clean(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", size: int = WINDOW_WORDS, max_coverage: int = MAX_COVERAGE, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
@@ -257,23 +311,36 @@ def clean(
 
     A column n_chars follows its text where that changed; untouched rows come back as they are.
     """
-    shared = _broadcast(docs, benchmark, block_words)
+    items, blocks = _counted_items(benchmark, "item_id", "text", block_words)
     new, share = fresh(docs, "cleaned"), fresh(docs, "share")
 
-    def work():
-        blocks = _Blocks(shared, size)
-
-        def values(texts):
-            found = [words(t) for t in texts]
-            cleaned, covered = [], []
-            for t, w, (spans, _) in zip(texts, found, blocks.find(found), strict=True):
-                cleaned.append(_without(t, spans).decode("utf-8", "replace") if spans else None)
-                covered.append(100 * sum(end - first for first, end in spans) / len(w) if w else 0.0)
-            return cleaned, covered
-
-        return values
-
-    marked = map_texts(docs, work, {new: pa.string(), share: pa.float64()}, text).filter(F.col(share) <= max_coverage)
+    def judged(texts, all_spans):
+        cleaned, covered = [], []
+        for t, spans in zip(texts, all_spans, strict=True):
+            n = len(words(t)) if spans else 0
+            cleaned.append(_without(t, spans).decode("utf-8", "replace") if spans else None)
+            covered.append(100 * sum(end - first for first, end in spans) / n if n else 0.0)
+        return cleaned, covered
+
+    if blocks > 1:
+        spans, h1, h2 = (fresh(docs, n) for n in ("spans", "h1", "h2"))
+        hits = keep_table(_hits(docs, items, blocks, text, size)).select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col("spans").alias(spans))
+        hashed = docs.withColumns({h1: F.xxhash64(F.col(text)), h2: F.xxhash64(F.col(text), F.lit(1))})
+        likely = Bloom(hits.select("t1")).may_have(h1)
+        joined = hashed.filter(likely).join(hits, (F.col(h1) == F.col("t1")) & (F.col(h2) == F.col("t2")), "left").drop("t1", "t2")
+        # The spans of a row travel as text beside it, and are read where it is cut.
+        joined = joined.withColumn(new, F.to_json(spans)).drop(spans, h1, h2)
+        untouched = hashed.filter(~likely).drop(h1, h2).withColumns({new: F.lit(None).cast("string"), share: F.lit(0.0)})
+        marked = _cut_out(joined, text, new, share, judged).unionByName(untouched)
+    else:
+        shared = _sent(items, 0)
+
+        def work():
+            block = _Block(shared, size)
+            return lambda texts: judged(texts, [spans for spans, _ in block.find([words(t) for t in texts])])
+
+        marked = map_texts(docs, work, {new: pa.string(), share: pa.float64()}, text)
+    marked = marked.filter(F.col(share) <= max_coverage)
     kept = [
         F.coalesce(new, text).alias(c)
         if c == text
