@@ -86,3 +86,33 @@ def test_rows_without_any_id(spark):
     docs = spark.createDataFrame([(None, "x y z", None, None, None)] * 3, DOCS)
     assert [r.component_id for r in simhash.near_duplicates(docs).collect()] == [None] * 3
     assert simhash.keep_first(docs).count() == 1
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3])
+def test_wider_tables_find_the_same_components(spark, distance):
+    rng = np.random.default_rng(7)
+    bases = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    codes = {int(b) for b in bases}
+    for b in bases:
+        for _ in range(6):
+            flips = rng.choice(64, rng.integers(0, 6), replace=False)
+            codes.add(int(b) ^ sum(1 << int(f) for f in flips))
+    ordered_codes = sorted(codes)
+    frame = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in ordered_codes], "code long")
+    label = brute.components(ordered_codes, ordered_codes, distance)
+    want = {c: root for c, root in zip(ordered_codes, label, strict=True)}
+    for blocks in (distance + 1, distance + 2, distance + 3, distance + 4):
+        stars = simhash.components(simhash.links(frame, distance, blocks=blocks)).collect()
+        of = {c: c for c in ordered_codes} | {r.node % (1 << 64): r.root % (1 << 64) for r in stars}
+        assert len({(want[c], of[c]) for c in ordered_codes}) == len(set(want.values())) == len(set(of.values()))
+
+
+def test_copies_are_bounded_whatever_the_number_of_codes():
+    for n in (0, 1, 10**6, 10**9, 4 * 10**10, 10**12, 10**15):
+        blocks = simhash.blocks_for(n)
+        masks = simhash.shared_bits(blocks)
+        assert len(masks) <= 35
+        width = 64 * (blocks - 3) // blocks
+        assert blocks == 7 or n >> width <= simhash.GROUP_ROWS // 4
+        assert all(m.bit_count() >= width - 1 for m in masks)
+    assert simhash.blocks_for(10**8) == 4 and simhash.blocks_for(4 * 10**10) < 7

@@ -8,10 +8,13 @@ what a parent already holds is taken out of its children. A search goes down fro
 the query and each node's own shared bits; above `distance` the whole subtree goes. A subtree that already belongs to the
 query's component goes too, so a dense ball of near copies costs no pairs. What leaves a group is a star per component.
 
-Groups beyond `group_rows` fingerprints are cut by hash into chunks; each pair of chunks is a task of its own, so any group
-size is worked exactly and in bounded memory.
+The fingerprints are counted first. Where groups by one of distance + 1 blocks would be large on average, there are more blocks and more tables, each
+with a wider key (`blocks_for`), so a fingerprint has a bounded number of copies however many there are. Groups that are beyond `group_rows`
+fingerprints all the same are cut by hash into chunks; each pair of chunks is a task of its own, so any group size is worked exactly and in
+bounded memory.
 
-Defined results. Null or blank text: fingerprint zero, which links like any other. Rows without an id get their component's
+Defined results. Null or blank text: fingerprint zero, which links like any other. Very long texts: whole. A bit is set if it is set in over half
+the hashes: at exactly half it is not. Rows without an id get their component's
 smallest id (null if no row there has one). Repeated rows and ids: each row comes back. An empty table gives no rows. Other
 columns, whatever their names, play no part.
 """
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -178,15 +182,31 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def links(codes: DataFrame, distance: int = MAX_DISTANCE, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Stars (u, v) that connect all distinct codes (column `code`) within `distance` bits of each other."""
-    blocks = distance + 1
+def blocks_for(n: int, distance: int = MAX_DISTANCE, group_rows: int = GROUP_ROWS) -> int:
+    """Into how many blocks of bits n codes are cut, so that groups by all but `distance` of them are small on average.
+
+    Codes that differ in `distance` bits agree on all but that many blocks. More blocks are more tables, of wider keys: 4 of 16 bits,
+    10 of 25, 20 of 32, 35 of 36 for three bits, so a code has 35 copies at most.
+    """
+    for blocks in range(distance + 1, distance + 4):
+        if n >> (64 * (blocks - distance) // blocks) <= group_rows // 4:
+            return blocks
+    return distance + 4
+
+
+def shared_bits(blocks: int, distance: int = MAX_DISTANCE) -> list[int]:
+    """A mask per table: the bits of all blocks but `distance`."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    block = [
-        F.shiftrightunsigned("code", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)) * blocks + i if hi - lo < 48 else F.xxhash64(F.shiftrightunsigned("code", lo)) + i
-        for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False))
-    ]
-    rows = codes.select("code", F.explode(F.array(*block)).alias("grp"))
+    block = [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(block, blocks - distance)]
+
+
+def links(codes: DataFrame, distance: int = MAX_DISTANCE, group_rows: int = GROUP_ROWS, blocks: int | None = None) -> DataFrame:
+    """Stars (u, v) that connect all distinct codes (column `code`) within `distance` bits of each other."""
+    blocks = blocks or blocks_for(codes.count(), distance, group_rows)
+    masks = shared_bits(blocks, distance)
+    key = [F.xxhash64(F.lit(i), F.col("code").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m))) for i, m in enumerate(masks)]
+    rows = codes.select("code", F.explode(F.array(*key)).alias("grp"))
     # Groups beyond the bound: their number of chunks. Few rows, as many as fingerprints / group_rows at most.
     large = rows.groupBy("grp").count().filter(F.col("count") > group_rows).select("grp", F.ceil(2 * F.col("count") / group_rows).alias("chunks"))
     rows = rows.join(large, "grp", "left").withColumn("own", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("code"), F.col("chunks"))))
