@@ -8,7 +8,7 @@ import pytest
 from helpers import LONG, SMALL, ordered, table
 from pyspark.sql import functions as F
 
-from wardbook.llm import queries
+from wardbook.llm import queries, warc
 from wardbook.llm.warc import WarcReader, base32_sha1, read_archives, record, write_pages
 
 PAGES = [
@@ -125,3 +125,22 @@ def test_digest_column(spark):
     texts = ["", "a", "Äö" * 1000]
     found = spark.createDataFrame([(t,) for t in texts], "t string").select(base32_sha1(F.col("t").cast("binary"))).collect()
     assert [r[0] for r in found] == [w[2] for w in brute.warc([(i, t) for i, t in enumerate(texts)])]
+
+
+def test_only_repeated_payloads_are_joined(spark, tmp_path):
+    """Payloads that stand alone go to their file from the scan; no shuffle holds them."""
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i % 40 if i % 4 == 0 else i} " + "z" * (i % 7)) for i in range(200)], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    write_pages(spark.read.parquet(str(tmp_path / "pages")), str(tmp_path / "warc"))
+    back = read_archives(spark, str(tmp_path / "warc")).collect()
+    rows = {r["page_id"]: r["html"] for r in pages.collect()}
+    assert sorted(r["page_id"] for r in back) == sorted(rows)
+    last = {html: max(i for i, h in rows.items() if h == html) for html in rows.values()}
+    for r in back:
+        owner = last[rows[r["page_id"]]]
+        assert r["record_type"] == ("response" if owner == r["page_id"] else "revisit")
+        assert r["refers_to"] == (None if owner == r["page_id"] else f"urn:page:{owner}")
+
+
+def test_names_of_stores():
+    assert [warc._uri(u) for u in ("s3a://b/x", "s3n://b/x", "s3://b/x", "/x/s3a://", "file:///x")] == ["s3://b/x", "s3://b/x", "s3://b/x", "/x/s3a://", "file:///x"]

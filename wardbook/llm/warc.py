@@ -8,12 +8,13 @@ field ("sl"), so an unwanted payload is skipped unread; in other files it is inf
 
 Writing. `df.write.format("warc").mode("append").save(path)`: each task writes one file under a name of its own, and the commit
 moves the files of the tasks that count into place; files of lost attempts are left in the staging folder and removed.
-Files go through pyarrow's file systems, so any store that executors share will do.
+Files go through pyarrow's file systems: local or shared folders, S3 (`s3a://` is read as `s3://`, with pyarrow's own settings), GCS, Azure, and
+HDFS where its library is there. Other stores that only Hadoop knows are not reached.
 
 Revisits. Of records with equal payloads of at least `least_bytes`, the one with the largest page_id is a response, and the others
 revisit it: they carry no payload, but its digest and length.
 
-Defined results. Null html is an empty payload. Null url is written as `about:blank`. A page without an id is revisited by none; it
+Defined results. Very long payloads: whole. Null html is an empty payload. Null url is written as `about:blank`. A page without an id is revisited by none; it
 revisits the page with the largest id if there is one, else it is a response. Rows that share the largest id are responses.
 Other columns play no part. An empty table writes no record and reads back as no row.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 import zlib
@@ -46,6 +48,9 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from wardbook.llm.bloom import Bloom
+from wardbook.operators.keep import keep_table
+
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, payload_digest string, payload_bytes bigint, "
     "refers_to string, page_id bigint, payload binary"
@@ -199,9 +204,14 @@ def _fields(headers: dict[str, str]) -> dict[str, object]:
     return out
 
 
+def _uri(path: str) -> str:
+    """Hadoop's names of S3 as pyarrow knows it."""
+    return re.sub("^s3[an]://", "s3://", path)
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.uri = options["path"]
+        self.uri = _uri(options["path"])
         self.target = int(options.get("partitionbytes", PARTITION_BYTES))
         self.with_payload = options.get("payload", "true").lower() == "true"
         self.wanted: list[tuple[str, str, object]] = []
@@ -286,7 +296,7 @@ class WarcWriter(DataSourceArrowWriter):
     """Expects the columns page_id, url, payload, payload_digest, refers_to, is_revisit."""
 
     def __init__(self, options: dict[str, str]):
-        self.uri = options["path"]
+        self.uri = _uri(options["path"])
         self.gzip = options.get("gzip", "true").lower() == "true"
         self.staging = f"_staging-{uuid.uuid4().hex}"
 
@@ -386,7 +396,8 @@ def base32_sha1(payload):
 
 
 def write_pages(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0, gzip: bool = True) -> None:
-    """One record per page. Payloads are grouped by digest: only digests that occur twice are looked up again, one row each."""
+    """One record per page. Digests are counted without payloads; only pages whose digest occurs twice are joined with those digests, the
+    others are written straight from their scan."""
     register(pages.sparkSession)
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload")
@@ -396,9 +407,14 @@ def write_pages(pages: DataFrame, path: str, page_id: str = "page_id", url: str
         .groupBy("payload_digest")
         .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
         .filter("n > 1 and refers_to is not null")
-        .select("payload_digest", "refers_to")
+        .select("payload_digest", "refers_to", F.xxhash64("payload_digest").alias("digest_key"))
     )
-    marked = rows.join(shared, "payload_digest", "left").withColumn("is_revisit", F.coalesce(~F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("refers_to").isNotNull(), F.lit(False)))
+    shared = keep_table(shared)
+    rows = rows.withColumn("digest_key", F.xxhash64("payload_digest"))
+    repeated = Bloom(shared.select("digest_key")).may_have("digest_key")
+    alone = rows.filter(~repeated).withColumn("refers_to", F.lit(None).cast("long"))
+    met = rows.filter(repeated).join(shared.drop("digest_key"), "payload_digest", "left").select(*alone.columns)
+    marked = alone.union(met).withColumn("is_revisit", F.coalesce(~F.col("page_id").eqNullSafe(F.col("refers_to")) & F.col("refers_to").isNotNull(), F.lit(False)))
     marked.select("page_id", "url", "payload", "payload_digest", "refers_to", "is_revisit").write.format("warc").mode("append").save(path)
 
 
