@@ -63,3 +63,8 @@ def test_a_long_conversation_is_many_parts(spark, conv):
     assert one == many
     assert sorted(r[1] for r in many if r[0] == conv) == list(range(1, 601))
     assert ordered(collapse_and_render(df).collect()) == want(rows)
+
+
+def test_one_very_long_turn(spark):
+    rows = [(1, 0, "user", "x" * 3_000_000), (1, 1, "assistant", "y"), (2, 0, "user", "x" * 3_000_000), (3, 0, "user", "x" * 2_999_999)]
+    assert ordered(collapse_and_render(spark.createDataFrame(rows, ROWS)).collect()) == want(rows)

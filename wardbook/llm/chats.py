@@ -9,8 +9,8 @@ maximal conversations.
 Turns are ordered by turn, then role, then a hash of the text; their place in that order counts, not the number itself.
 
 Defined results. Null role or text: kept apart from an empty one when conversations are compared, rendered as `unknown` and as nothing.
-Null turn: comes first. Rows without a conv_id form one conversation without an id. Repeated rows are turns like any other. Ties
-between equal conversations: the smallest id stays (one without an id last). An empty table gives no rows. Other columns play no part.
+Null turn: comes first. Rows without a conv_id form one conversation without an id. Repeated rows are turns like any other. Very long texts: whole; a rendered
+conversation is one row of 2 GB at most, with an id or without. Ties between equal conversations: the smallest id stays (one without an id last). An empty table gives no rows. Other columns play no part.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ identity  sum over pairs <v_i, v_j> x_i x_j = 1/2 sum over factors ((sum v_if x_
 Trained on at most `max_training` labelled rows (those with the lowest hashes of their ids) outside the held-out fold, in one task
 whose rows are that many at most; every document is scored. Labels, lang, source and doc_id are no features.
 
-Defined results. Null and empty texts: scored by the statistics alone. Ids that labels contradict each other on, null ids and null marks:
+Defined results. Null and empty texts: scored by the statistics alone. Very long texts: whole. A score of exactly 0.7 is predicted 1. Ids that labels contradict each other on, null ids and null marks:
 not learned from. Without labelled rows every score is 0.5; with one kind of mark only, the share of good ones, kept off 0 and 1.
 Rows without an id are not held out. Repeated rows: each comes back. An empty table gives no rows. A missing n_chars column counts as null.
 """

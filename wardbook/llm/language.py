@@ -13,7 +13,7 @@ every language with a text that is not empty has a dictionary. Where there are m
 encoded with one group of languages after the other and the smallest sizes of the groups are compared. Every document is encoded,
 none is cut.
 
-Defined results. Null texts and texts without a letter: `und`, score 0, rejected. Equal sizes: the language with more
+Defined results. Very long texts: whole. Null texts and texts without a letter: `und`, score 0, rejected. Equal sizes: the language with more
 training rows, then the name; such a row is rejected. No learned language: `und`. Repeated rows: each comes back. Rows
 without an id are not held out.
 """

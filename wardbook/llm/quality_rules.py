@@ -8,7 +8,7 @@ whole numbers, summed in Spark; the tables that travel are of a fixed size (65,5
 Counted rules stand beside the score: a text of fewer than 50 words, or with more than half of its words inside 3-word windows
 that the text repeats, is rejected whatever its score.
 
-Defined results. Null or blank text: no words, all counts 0, score 0, rejected by the counted rules. Without trusted documents
+Defined results. Very long texts: whole. A score at the threshold is kept. Null or blank text: no words, all counts 0, score 0, rejected by the counted rules. Without trusted documents
 there is no target, every score is 0 and only the counted rules decide. Repeated rows: each is counted and each comes back.
 An empty table gives no rows. Labels with a null id or mark, and ids that labels contradict each other on, are not trusted.
 """
