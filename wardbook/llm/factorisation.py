@@ -124,14 +124,19 @@ class Machine:
 
 def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row with the pickled machine, or with the share of good rows if there is one kind only."""
-    held = sorted((row["order"], row["mark"], row["text"] or b"", row["n_chars"]) for batch in batches for row in batch.to_pylist())
+    held = []
+    for batch in batches:
+        index, value = batch.column(2), batch.column(3)
+        for i, (order, mark) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            held.append((order, mark, index[i].values.to_numpy(), value[i].values.to_numpy()))
     if not held:
         return
-    marks = np.array([mark for _, mark, _, _ in held], np.float64)
+    held.sort(key=lambda row: row[:2])  # rows of one order are alike
+    marks = np.array([row[1] for row in held], np.float64)
     if marks.min() == marks.max():
         model = float(np.clip(marks[0], 0.01, 0.99))
     else:
-        model = Machine().fit([features(text, n) for _, _, text, n in held], marks)
+        model = Machine().fit([row[2:] for row in held], marks)
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
 
@@ -141,14 +146,23 @@ def _rows(docs: DataFrame, doc_id: str, text: str, n_chars: str) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", max_training: int = MAX_TRAINING) -> DataFrame:
-    """(order, mark, text, n_chars) of the rows to learn from, moved to one task; they are found by as many tasks as there are."""
+    """(order, mark, index, value) of the rows to learn from, moved to one task; they are found, and their features made, by as many tasks
+    as there are: texts do not move."""
     agreed = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     marked = agreed.filter((F.col("low") == F.col("high")) & F.col("low").isin(0, 1) & ~held_out("doc_id")).select("doc_id", F.col("low").alias("mark"))
     chosen = bounded_ids(marked, "doc_id", max_training)
     rows = _rows(docs, doc_id, text, n_chars).join(F.broadcast(chosen), "doc_id")  # bounded: max_training ids
     # Ids that occur on more rows than one make no more training rows than the bound.
     rows = rows.withColumn("order", F.xxhash64("doc_id", "text", "n_chars"))
-    return bounded_ids(rows, "order", max_training).select("order", "mark", "text", "n_chars").repartition(1)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(text.as_py(), n.as_py()) for text, n in zip(batch.column(2), batch.column(3), strict=True)]
+            columns = [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["order", "mark", "index", "value"])
+
+    chosen_rows = bounded_ids(rows, "order", max_training).select("order", F.col("mark").cast("int").alias("mark"), "text", "n_chars")
+    return chosen_rows.mapInArrow(made, "order bigint, mark int, index array<bigint>, value array<double>").repartition(1)
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", max_training: int = MAX_TRAINING) -> Machine | float:
