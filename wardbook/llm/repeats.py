@@ -210,8 +210,8 @@ def repeated_words(
                     yield doc, codes, key
 
     rows = _keyed(docs, doc_id, text).mapInArrow(lambda batches: emit(kept, coded(batches), 256), spark_schema(kept))
-    # Coding is cheap: the codes are made again for each reading rather than written.
-    spans = _spans(rows, words, anchor, 4, hot_stretches, large_group, batch_entries)
+    # Written once: made again for each reading, the codes would put one more Python worker into every task that reads them.
+    spans = _spans(keep_table(rows), words, anchor, 4, hot_stretches, large_group, batch_entries)
     ends = F.transform("spans", lambda v, i: F.when(i % 2 == 0, v).otherwise(v - 1 + words))
     counted = {"doc_id": pa.int64(), "hash": pa.int64(), "n_repeated_words": pa.int64()}
 
